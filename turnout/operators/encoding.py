@@ -21,9 +21,10 @@ def number_values(values: DataFrame, column: str, slices: int = SLICES) -> DataF
         .agg(F.sort_array(F.collect_list(column)).alias("cuts"))
         .scalar()
     )
+    below = F.size(F.filter("_cuts", lambda cut: cut <= F.col(column)))
+    # Never null, so that the join below filters nothing in front of the distinct list.
     sliced = values.withColumn("_cuts", cuts).select(
-        column,
-        F.size(F.filter("_cuts", lambda cut: cut <= F.col(column))).alias("_slice"),
+        column, F.coalesce(below, F.lit(0)).alias("_slice")
     )
     # At most ``slices`` rows, whatever the table holds.
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)

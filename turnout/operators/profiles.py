@@ -1,43 +1,140 @@
 """Descriptive statistics and grouped response-time profiles.
 
-All of it is hash aggregation on columns of the stage table: partial results
-are merged before the shuffle, so group sizes do not matter.
+Means, extremes and counts are plain hash aggregation: partial results are
+merged before the shuffle, so group sizes do not matter.
+
+Medians are exact by default.  Durations are whole seconds, so rows are first
+counted per group and second; that table shuffles on both, which spreads even
+a group with most of the rows, and is as small as the durations are few.  The
+statistics then come from the counts.  With ``accuracy`` given, medians come
+from ``percentile_approx`` instead.
 """
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from turnout.functions import code_prefix, format_hms, map_code
 from turnout.operators.cleaning import high_severity, non_critical, positive
 from turnout.schema import CATEGORY_COLUMNS, SECONDS_COLUMNS
 
-ACCURACY = 10000  # Spark's own default for percentile_approx
-
 RESPONSE = "RESPONSE_TIME_SEC"
 DISPATCH = "DISPATCH_DELAY_SEC"
 TRAVEL = "TRAVEL_TIME_SEC"
 
 
-def median(column: str, accuracy: int = ACCURACY) -> Column:
-    """An element in the middle, not interpolated, exact up to ``accuracy`` rows."""
-    return F.percentile_approx(column, 0.5, accuracy)
+# --- statistics from counted seconds --------------------------------------
+
+def count_seconds(df: DataFrame, keys, metrics: dict[str, str]) -> DataFrame:
+    """Number of rows per group, metric and second: ``keys``, metric, seconds, rows.
+
+    ``metrics`` maps a short name to a column.  Null durations are counted in a
+    row of their own.
+    """
+    cells = df.select(*keys, *[F.col(column).alias(name) for name, column in metrics.items()])
+    if len(metrics) == 1:
+        (name,) = metrics
+        cells = cells.select(*keys, F.lit(name).alias("metric"), F.col(name).alias("seconds"))
+    else:
+        cells = cells.unpivot(list(keys), list(metrics), "metric", "seconds")
+    return cells.groupBy(*keys, "metric", "seconds").agg(F.count("*").alias("rows"))
+
+
+def summarize_counts(counts: DataFrame, keys) -> DataFrame:
+    """Count, average, median, deviation and extremes per group and metric.
+
+    One window in order of seconds serves all of them; the last step is local
+    to its partitions.
+    """
+    ordered = Window.partitionBy(*keys, "metric").orderBy(F.asc_nulls_last("seconds"))
+    upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    known = F.when(F.col("seconds").isNotNull(), F.col("rows")).otherwise(0)
+    weighted = counts.withColumns({
+        "_upto": F.sum(known).over(upto),
+        "_known": F.sum(known).over(whole),
+        "_total": F.sum(F.col("seconds") * F.col("rows")).over(whole),
+    }).withColumn("_mean", F.try_divide("_total", "_known"))
+    distance = F.col("seconds") - F.col("_mean")
+    squares = F.sum(F.col("rows") * distance * distance)
+    n = F.max("_known")
+    return weighted.groupBy(*keys, "metric").agg(
+        F.sum("rows").alias("rows"),
+        F.max("_mean").alias("avg"),
+        # The first value that at least half of the rows do not exceed.
+        F.min(F.when(F.col("_upto") * 2 >= F.col("_known"), F.col("seconds"))).alias("median"),
+        F.when(n > 1, F.sqrt(squares / (n - 1))).alias("stddev"),
+        F.min("seconds").alias("min"),
+        F.max("seconds").alias("max"),
+    )
+
+
+APPROXIMATE = {
+    "avg": lambda column, accuracy: F.avg(column),
+    "median": lambda column, accuracy: F.percentile_approx(column, 0.5, accuracy),
+    "stddev": lambda column, accuracy: F.stddev_samp(column),
+    "min": lambda column, accuracy: F.min(column),
+    "max": lambda column, accuracy: F.max(column),
+}
+
+
+def group_profile(
+    df: DataFrame,
+    keys,
+    metrics: dict[str, str] | None = None,
+    stats=("avg", "median", "stddev"),
+    count_name: str = "num_records",
+    accuracy: int | None = None,
+) -> DataFrame:
+    """Statistics of one or more second columns by ``keys``, plus the row count.
+
+    ``metrics`` maps a short name to a column; results are named
+    ``<stat>_<name>_sec``.  A median is an element, never interpolated.
+    """
+    metrics = {"response": RESPONSE} if metrics is None else metrics
+    names = [(name, stat, f"{stat}_{name}_sec") for name in metrics for stat in stats]
+    if accuracy is not None or "median" not in stats:
+        return df.groupBy(*keys).agg(
+            *[APPROXIMATE[stat](metrics[name], accuracy).alias(out) for name, stat, out in names],
+            F.count("*").alias(count_name),
+        )
+    summary = summarize_counts(count_seconds(df, keys, metrics), keys)
+    if len(metrics) == 1:
+        return summary.select(
+            *keys, *[F.col(stat).alias(out) for _, stat, out in names],
+            F.col("rows").alias(count_name),
+        )
+    # One row per group again; every metric counted all rows of the group.
+    return summary.groupBy(*keys).agg(
+        *[F.max(F.when(F.col("metric") == name, F.col(stat))).alias(out)
+          for name, stat, out in names],
+        F.max("rows").alias(count_name),
+    )
 
 
 # --- whole columns --------------------------------------------------------
 
 def _names(columns, stat):
-    return [(c, f"{c.removesuffix('_SEC')}_{stat}_sec") for c in columns]
+    return {c: f"{c.removesuffix('_SEC')}_{stat}_sec" for c in columns}
 
 
 def means(df: DataFrame, columns=SECONDS_COLUMNS) -> DataFrame:
-    return df.agg(*[F.avg(c).alias(name) for c, name in _names(columns, "mean")])
+    return df.agg(*[F.avg(c).alias(name) for c, name in _names(columns, "mean").items()])
 
 
-def medians(df: DataFrame, columns=SECONDS_COLUMNS, accuracy: int = ACCURACY) -> DataFrame:
-    return df.agg(*[median(c, accuracy).alias(name) for c, name in _names(columns, "median")])
+def medians(df: DataFrame, columns=SECONDS_COLUMNS, accuracy: int | None = None) -> DataFrame:
+    names = _names(columns, "median")
+    if accuracy is not None:
+        return df.agg(*[
+            F.percentile_approx(c, 0.5, accuracy).alias(name) for c, name in names.items()
+        ])
+    summary = summarize_counts(count_seconds(df, [], {c: c for c in columns}), [])
+    return summary.agg(*[
+        F.max(F.when(F.col("metric") == c, F.col("median"))).alias(name)
+        for c, name in names.items()
+    ])
 
 
 def stddevs(df: DataFrame, columns=SECONDS_COLUMNS) -> DataFrame:
-    return df.agg(*[F.stddev_samp(c).alias(name) for c, name in _names(columns, "stddev")])
+    return df.agg(*[F.stddev_samp(c).alias(name) for c, name in _names(columns, "stddev").items()])
 
 
 def modes(df: DataFrame, columns=CATEGORY_COLUMNS) -> DataFrame:
@@ -50,62 +147,27 @@ def modes(df: DataFrame, columns=CATEGORY_COLUMNS) -> DataFrame:
     def cell(c):
         # Numbers tie-break as numbers.
         numeric = isinstance(df.schema[c].dataType, T.NumericType)
-        number = F.col(c).cast("double") if numeric else F.lit(None).cast("double")
         return F.struct(
-            F.lit(c).alias("column_name"),
-            number.alias("number"),
-            F.col(c).cast("string").alias("value"),
-        )
+            (F.col(c) if numeric else F.lit(None)).cast("double").alias("number"),
+            F.col(c).cast("string").alias("text"),
+        ).alias(c)
 
     counted = (
-        df.select(F.inline(F.array(*[cell(c) for c in columns])))
-        .groupBy("column_name", "number", "value").agg(F.count("*").alias("num_records"))
+        df.select(*[cell(c) for c in columns])
+        .unpivot([], list(columns), "column_name", "value")
+        .groupBy("column_name", "value").agg(F.count("*").alias("num_records"))
     )
     best = F.min(F.struct(
-        (-F.col("num_records")).alias("n"), F.col("value").isNull().alias("is_null"),
-        "number", "value",
+        (-F.col("num_records")).alias("n"), F.col("value.text").isNull().alias("is_null"), "value",
     ))
     return (
         counted.groupBy("column_name").agg(best.alias("best"))
-        .select("column_name", F.col("best.value").alias("mode"),
+        .select("column_name", F.col("best.value.text").alias("mode"),
                 (-F.col("best.n")).alias("num_records"))
     )
 
 
-# --- groups ---------------------------------------------------------------
-
-STATS = {
-    "avg": lambda column, accuracy: F.avg(column),
-    "median": median,
-    "stddev": lambda column, accuracy: F.stddev_samp(column),
-    "min": lambda column, accuracy: F.min(column),
-    "max": lambda column, accuracy: F.max(column),
-}
-
-
-def group_profile(
-    df: DataFrame,
-    keys,
-    metrics=None,
-    stats=("avg", "median", "stddev"),
-    count_name: str = "num_records",
-    accuracy: int = ACCURACY,
-) -> DataFrame:
-    """Statistics of one or more second columns by ``keys``, plus the row count.
-
-    ``metrics`` maps a short name to a column; results are named
-    ``<stat>_<name>_sec``.
-    """
-    metrics = {"response": RESPONSE} if metrics is None else metrics
-    return df.groupBy(*keys).agg(
-        *[
-            STATS[stat](column, accuracy).alias(f"{stat}_{name}_sec")
-            for name, column in metrics.items()
-            for stat in stats
-        ],
-        F.count("*").alias(count_name),
-    )
-
+# --- marts ----------------------------------------------------------------
 
 def with_times(df: DataFrame, names: dict | None = None, wrap24: bool = False) -> DataFrame:
     """Add an ``HH:mm:ss`` text beside each ``*_sec`` column.
@@ -125,7 +187,7 @@ def upper_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.upper() for c in df.columns])
 
 
-def area_profile(df: DataFrame, keys, accuracy: int = ACCURACY) -> DataFrame:
+def area_profile(df: DataFrame, keys, accuracy: int | None = None) -> DataFrame:
     """Response-time mart of an area: seconds and text, slowest first."""
     profile = group_profile(df.where(positive(RESPONSE)), keys, accuracy=accuracy)
     return with_times(upper_names(profile)).orderBy(
@@ -133,11 +195,11 @@ def area_profile(df: DataFrame, keys, accuracy: int = ACCURACY) -> DataFrame:
     )
 
 
-def borough_profile(df: DataFrame, accuracy: int = ACCURACY) -> DataFrame:
+def borough_profile(df: DataFrame, accuracy: int | None = None) -> DataFrame:
     return area_profile(df, ["BORO_NM"], accuracy)
 
 
-def precinct_profile(df: DataFrame, accuracy: int = ACCURACY) -> DataFrame:
+def precinct_profile(df: DataFrame, accuracy: int | None = None) -> DataFrame:
     return area_profile(df, ["BORO_NM", "NYPD_PCT_CD"], accuracy)
 
 
@@ -145,7 +207,7 @@ AREAS = {"borough": ["BORO_NM"], "precinct": ["BORO_NM", "NYPD_PCT_CD"]}
 
 
 def response_detail(
-    df: DataFrame, area: str = "borough", mapping=None, accuracy: int = ACCURACY
+    df: DataFrame, area: str = "borough", mapping=None, accuracy: int | None = None
 ) -> DataFrame:
     """Response time by area, call type and severity, in seconds, unordered.
 
@@ -166,7 +228,7 @@ def response_detail(
     )
 
 
-def borough_detail(df: DataFrame, mapping=None, accuracy: int = ACCURACY) -> DataFrame:
+def borough_detail(df: DataFrame, mapping=None, accuracy: int | None = None) -> DataFrame:
     """Borough detail mart, most calls first."""
     return with_times(response_detail(df, "borough", mapping, accuracy)).orderBy(
         F.desc("INCIDENT_COUNT"),
@@ -174,14 +236,14 @@ def borough_detail(df: DataFrame, mapping=None, accuracy: int = ACCURACY) -> Dat
     )
 
 
-def precinct_detail(df: DataFrame, mapping=None, accuracy: int = ACCURACY) -> DataFrame:
+def precinct_detail(df: DataFrame, mapping=None, accuracy: int | None = None) -> DataFrame:
     return with_times(response_detail(df, "precinct", mapping, accuracy))
 
 
 ALL_METRICS = {"response": RESPONSE, "dispatch": DISPATCH, "travel": TRAVEL}
 
 
-def severity_profile(df: DataFrame, accuracy: int = ACCURACY) -> DataFrame:
+def severity_profile(df: DataFrame, accuracy: int | None = None) -> DataFrame:
     """All three durations by severity, fastest first."""
     known = df.where(F.col("CIP_JOBS").isNotNull() & positive(RESPONSE))
     profile = group_profile(
@@ -191,7 +253,7 @@ def severity_profile(df: DataFrame, accuracy: int = ACCURACY) -> DataFrame:
 
 
 def metric_profile(
-    df: DataFrame, keys, name: str, metric: str, accuracy: int = ACCURACY
+    df: DataFrame, keys, name: str, metric: str, accuracy: int | None = None
 ) -> DataFrame:
     """Profile of one duration over the rows where it is positive, slowest first."""
     return group_profile(
@@ -199,15 +261,15 @@ def metric_profile(
     ).orderBy(F.desc(f"avg_{name}_sec"), *[F.asc_nulls_last(k) for k in keys])
 
 
-def dispatch_profile(df: DataFrame, keys, accuracy: int = ACCURACY) -> DataFrame:
+def dispatch_profile(df: DataFrame, keys, accuracy: int | None = None) -> DataFrame:
     return metric_profile(df, keys, "dispatch", DISPATCH, accuracy)
 
 
-def travel_profile(df: DataFrame, keys, accuracy: int = ACCURACY) -> DataFrame:
+def travel_profile(df: DataFrame, keys, accuracy: int | None = None) -> DataFrame:
     return metric_profile(df, keys, "travel", TRAVEL, accuracy)
 
 
-def borough_by_type(df: DataFrame, accuracy: int = ACCURACY) -> DataFrame:
+def borough_by_type(df: DataFrame, accuracy: int | None = None) -> DataFrame:
     """Borough and type code, by type and then slowest first."""
     known = df.where(F.col("TYP_DESC_ENUM").isNotNull() & positive(RESPONSE))
     return group_profile(
@@ -240,7 +302,7 @@ def hourly_profile(df: DataFrame, split: str, metrics=None) -> DataFrame:
     return with_times(profile).orderBy(F.asc_nulls_last("hour_of_day"))
 
 
-def calendar_profile(df: DataFrame, part: str, accuracy: int = ACCURACY) -> DataFrame:
+def calendar_profile(df: DataFrame, part: str, accuracy: int | None = None) -> DataFrame:
     """Response time by ``hour_of_day``, ``month`` or ``day_of_week``."""
     return group_profile(_by_part(df, part), [part], accuracy=accuracy).orderBy(
         F.asc_nulls_last(part)

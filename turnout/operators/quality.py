@@ -37,15 +37,10 @@ def distinct_counts(df: DataFrame, columns=RAW_COLUMNS) -> DataFrame:
     the shuffle as well, so a frequent value costs one pair per task and no
     column lands whole in one task.
     """
-    cells = F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
-        for c in columns
-    ])
-    return (
-        df.select(F.inline(cells))
-        .distinct()
-        .groupBy("column_name").agg(F.count("*").alias("num_distinct"))
+    cells = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot(
+        [], list(columns), "column_name", "value"
     )
+    return cells.distinct().groupBy("column_name").agg(F.count("*").alias("num_distinct"))
 
 
 def distinct_pair_count(df: DataFrame, a: str, b: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from turnout.operators.profiles import ACCURACY, response_detail, with_times
+from turnout.operators.profiles import response_detail, with_times
 from turnout.schema import FASTEST, SLOWEST
 
 GROUP = ("TYP_DESC", "CIP_JOBS")
@@ -54,7 +54,7 @@ def top_bottom_k(
     )
 
 
-def precinct_ranked(df: DataFrame, k: int = 5, mapping=None, accuracy: int = ACCURACY) -> DataFrame:
+def precinct_ranked(df: DataFrame, k: int = 5, mapping=None, accuracy: int | None = None) -> DataFrame:
     """Fastest and slowest precincts of each call type and severity, as a mart."""
     detail = response_detail(df, "precinct", mapping, accuracy)
     return with_times(top_bottom_k(detail, k=k)).drop("GROUP_ORDER")

@@ -21,8 +21,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Region names of the supplied tables, in the place of boroughs.
 REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 PRECINCT = ["BORO_NM", "NYPD_PCT_CD"]
-# Keeps percentile_approx exact for groups of up to a million order lines.
-LINE_ACCURACY = 1_000_000
 
 
 def _rounded(df: DataFrame, places: int = 6) -> DataFrame:
@@ -253,11 +251,10 @@ def _order_lines() -> dict[str, Query]:
     p = profiles
     return {
         "lineitem_group_profile": _lines(lambda df: p.group_profile(
-            df.where(cleaning.positive()), ["BORO_NM"], accuracy=LINE_ACCURACY)),
+            df.where(cleaning.positive()), ["BORO_NM"])),
         "lineitem_precinct_detail": _lines(p.precinct_detail),
         "lineitem_top_bottom": _lines(ranking.precinct_ranked),
-        "lineitem_severity_profile": _lines(
-            lambda df: p.severity_profile(df, accuracy=LINE_ACCURACY)),
+        "lineitem_severity_profile": _lines(p.severity_profile),
         "lineitem_profile_by_hour": _lines(lambda df: p.calendar_profile(df, "hour_of_day")),
         "lineitem_dedup": _on(line_calls, cleaning.dedup_most_complete),
     }

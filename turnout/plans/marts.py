@@ -5,7 +5,6 @@ from pyspark.sql import DataFrame, SparkSession
 from turnout.operators.cleaning import dedup_most_complete
 from turnout.operators.encoding import category_codes
 from turnout.operators.profiles import (
-    ACCURACY,
     borough_detail,
     borough_profile,
     hourly_profile,
@@ -27,7 +26,7 @@ MART_NAMES = (
 )
 
 
-def build_marts(calls: DataFrame, accuracy: int = ACCURACY) -> dict[str, DataFrame]:
+def build_marts(calls: DataFrame, accuracy: int | None = None) -> dict[str, DataFrame]:
     """The marts of a normalized table, by name; each carries seconds and text."""
     built = (
         borough_profile(calls, accuracy),
