@@ -1,0 +1,251 @@
+"""Deduplication, filters, codes and stages on hand-made rows."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from turnout.operators import cleaning, encoding
+from turnout.plans import clean, clean_deduped, normalize, scope
+from turnout.schema import CLEANED, RAW, RAW_COLUMNS
+
+CALL = dict(
+    CAD_EVNT_ID="1", CREATE_DATE="01/05/2025", INCIDENT_DATE="01/05/2025",
+    INCIDENT_TIME="10:00:00", NYPD_PCT_CD="14", BORO_NM="QUEENS", RADIO_CODE="34S1",
+    TYP_DESC="assault", CIP_JOBS="Critical ", ADD_TS="01/05/2025 10:00:00 AM",
+    DISP_TS="01/05/2025 10:01:00 AM", ARRIVD_TS="01/05/2025 10:05:00 AM",
+    CLOSNG_TS="01/05/2025 10:30:00 AM",
+)
+
+
+def calls(spark, *changes):
+    rows = [{**CALL, "CAD_EVNT_ID": str(n), **change} for n, change in enumerate(changes, 1)]
+    return spark.createDataFrame([tuple(r[c] for c in RAW_COLUMNS) for r in rows], RAW)
+
+
+def keys(df):
+    return sorted(r.CAD_EVNT_ID for r in df.select("CAD_EVNT_ID").collect())
+
+
+# --- deduplication --------------------------------------------------------
+
+def test_most_complete_row_wins(spark):
+    df = calls(
+        spark,
+        {"CAD_EVNT_ID": "a", "TYP_DESC": None, "CIP_JOBS": None}, {"CAD_EVNT_ID": "a"},
+        {"CAD_EVNT_ID": "b", "BORO_NM": "QUEENS"}, {"CAD_EVNT_ID": "b", "BORO_NM": "BRONX"},
+        {"CAD_EVNT_ID": "c", "BORO_NM": None}, {"CAD_EVNT_ID": "c", "TYP_DESC": None},
+    )
+    got = {r.CAD_EVNT_ID: r for r in cleaning.dedup_most_complete(df).collect()}
+    assert len(got) == 3
+    assert got["a"].TYP_DESC == "assault"
+    assert got["b"].BORO_NM == "BRONX"      # equal nulls: lowest in column order
+    assert got["c"].BORO_NM == "QUEENS"     # equal nulls: null last
+
+
+def test_rows_without_a_key(spark):
+    df = calls(spark, *[{"CAD_EVNT_ID": None, "BORO_NM": b} for b in "ABC"], {})
+    assert cleaning.dedup_most_complete(df).count() == 2
+    assert cleaning.dedup_most_complete(df, null_keys="keep").count() == 4
+    with pytest.raises(ValueError):
+        cleaning.dedup_most_complete(df, null_keys="drop")
+
+
+def test_dedup_of_a_key_with_most_rows(spark):
+    df = spark.range(20000).select(
+        F.when(F.col("id") % 3 < 2, "hot").otherwise(F.col("id").cast("string")).alias("k"),
+        F.when(F.col("id") % 5 > 0, F.col("id")).alias("v"),
+    )
+    got = cleaning.dedup_most_complete(df, "k")
+    assert got.count() == 1 + 6666
+    assert got.where("k = 'hot'").first().v == 1
+
+
+# --- filters --------------------------------------------------------------
+
+def test_valid_borough(spark):
+    df = calls(spark, *[{"BORO_NM": b} for b in (None, "(null)", " (null) ", "(NULL)", "QUEENS")])
+    assert keys(df.where(cleaning.valid_borough())) == ["4", "5"]
+
+
+def test_dispatch_order(spark):
+    df = cleaning.typed(calls(
+        spark, {"DISP_TS": None}, {"DISP_TS": CALL["ADD_TS"]},
+        {"DISP_TS": "01/05/2025 09:59:59 AM"}, {"ADD_TS": "garbage"},
+    ))
+    assert keys(df.where(cleaning.dispatched_in_order())) == ["1", "2", "4"]
+
+
+def test_incident_tolerance(spark):
+    df = calls(spark, *[
+        {"INCIDENT_TIME": t} for t in ("10:01:01", "10:01:00", "10:00:59", None, "25:61:00")
+    ])
+    # The filter works on the cleaned table, so the timestamp is built from the texts.
+    assert keys(clean(df)) == ["2", "3", "4", "5"]
+
+
+def test_severity_split(spark):
+    df = calls(spark, *[{"CIP_JOBS": c} for c in (None, "NON CRITICAL", "SERIOUS", "OTHER")])
+    assert keys(df.where(cleaning.non_critical())) == ["2"]
+    assert keys(df.where(cleaning.high_severity())) == ["3", "4"]
+    assert keys(df.where(cleaning.high_severity(values=["CRITICAL", "SERIOUS"]))) == ["3"]
+
+
+def test_positive(spark):
+    df = spark.createDataFrame([(None,), (-1,), (0,), (1,)], "RESPONSE_TIME_SEC bigint")
+    assert [r[0] for r in df.where(cleaning.positive()).collect()] == [1]
+
+
+# --- codes ----------------------------------------------------------------
+
+@pytest.mark.parametrize("mode, expected", [
+    ("index", {None: -1, "a": 0, "b": 1}),
+    ("dense_rank", {None: 1, "a": 2, "b": 3}),
+])
+def test_category_codes(spark, mode, expected):
+    df = spark.createDataFrame([(None,), ("a",), ("a",), ("b",)], "TYP_DESC string")
+    coded = encoding.encode_category(df, mode=mode)
+    assert coded.columns == ["TYP_DESC", "TYP_DESC_ENUM"]
+    assert dict(coded.dtypes)["TYP_DESC_ENUM"] == "bigint"
+    got = coded.collect()
+    assert len(got) == 4
+    assert {r.TYP_DESC: r.TYP_DESC_ENUM for r in got} == expected
+
+
+@pytest.mark.parametrize("slices", [1, 2, 7, 256])
+@pytest.mark.parametrize("with_null", [False, True])
+def test_numbering_in_slices(spark, slices, with_null):
+    words = sorted({f"{'x' * (n % 4)}{n * 7919 % 1000}" for n in range(700)})
+    rows = ([None] if with_null else []) + words
+    df = spark.createDataFrame([(w,) for w in rows], "w string").repartition(5)
+    got = {r.w: r.position for r in encoding.number_values(df, "w", slices).collect()}
+    assert got == {w: n for n, w in enumerate(rows, 1)}
+
+
+def test_numbering_of_nothing(spark):
+    df = spark.createDataFrame([], "TYP_DESC string")
+    assert encoding.category_codes(df, "TYP_DESC").count() == 0
+    one = spark.createDataFrame([(None,)], "TYP_DESC string")
+    assert encoding.encode_category(one).first().TYP_DESC_ENUM == -1
+    assert encoding.encode_category(one, mode="dense_rank").first().TYP_DESC_ENUM == 1
+    with pytest.raises(ValueError):
+        encoding.category_codes(df, "TYP_DESC", "other")
+
+
+def test_stored_codes(spark):
+    df = spark.createDataFrame([("a",), ("z",)], "TYP_DESC string")
+    codes = spark.createDataFrame([("a", 7)], "TYP_DESC string, code bigint")
+    got = {r.TYP_DESC: r.TYP_DESC_ENUM for r in encoding.encode_category(df, codes=codes).collect()}
+    assert got == {"a": 7, "z": -1}
+
+
+# --- stages ---------------------------------------------------------------
+
+def test_clean_types_and_values(spark):
+    row = clean(calls(spark, {"NYPD_PCT_CD": "x"}, {})).orderBy("CAD_EVNT_ID").collect()
+    assert clean(calls(spark, {})).dtypes == [
+        (f.name, f.dataType.simpleString()) for f in CLEANED.fields
+    ]
+    assert [r.NYPD_PCT_CD for r in row] == [None, 14]
+    call = row[1]
+    assert call.CREATE_DATE == dt.date(2025, 1, 5)
+    assert call.ADD_TS == dt.datetime(2025, 1, 5, 10)
+    assert (call.RESPONSE_TIME, call.DISPATCH_DELAY, call.TRAVEL_TIME) == (
+        "00:05:00", "00:01:00", "00:04:00")
+    assert (call.RESPONSE_TIME_SEC, call.DISPATCH_DELAY_SEC, call.TRAVEL_TIME_SEC) == (300, 60, 240)
+
+
+def test_codes_number_rows_that_are_dropped_later(spark):
+    # 'alarm' sorts first and keeps its number although its row has no borough.
+    df = calls(spark, {"TYP_DESC": "alarm", "BORO_NM": None}, {})
+    assert clean(df).first().TYP_DESC_ENUM == 1
+
+
+def test_codes_tell_case_variants_apart(spark):
+    df = calls(spark, {"TYP_DESC": "Assault"}, {"TYP_DESC": "assault"})
+    assert {r.TYP_DESC: r.TYP_DESC_ENUM for r in clean(df).collect()} == {
+        "Assault": 0, "assault": 1}
+
+
+def test_an_early_arrival_stays_negative(spark):
+    # Seconds are kept, so later filters see that the arrival lies before the call.
+    row = clean(calls(spark, {"ARRIVD_TS": "01/05/2025 09:59:55 AM"})).first()
+    assert (row.RESPONSE_TIME_SEC, row.RESPONSE_TIME) == (-5, "-00:00:05")
+
+
+def test_scope(spark):
+    df = clean(calls(
+        spark, {"CIP_JOBS": "Non CIP"}, {"CIP_JOBS": None}, {"CIP_JOBS": " serious"},
+        {"ARRIVD_TS": "01/05/2025 10:01:30 AM"}, {"ARRIVD_TS": "01/05/2025 10:01:31 AM"},
+        {"ARRIVD_TS": None},
+    ))
+    assert keys(scope(df)) == ["3", "5"]
+
+
+def test_normalize(spark):
+    row = normalize(scope(clean(calls(spark, {"BORO_NM": " queens", "INCIDENT_TIME": "09:05:06"})))).first()
+    assert (row.BORO_NM, row.TYP_DESC, row.CIP_JOBS) == ("QUEENS", "ASSAULT", "CRITICAL")
+    assert row.INCIDENT_TIME == "09:05:06 AM"
+    assert row.RESPONSE_TIME_SEC == 300
+
+
+def test_normalize_reads_seconds_back_from_text(spark):
+    df = scope(clean(calls(spark, {}))).drop("RESPONSE_TIME_SEC", "TRAVEL_TIME_SEC")
+    row = normalize(df).first()
+    assert (row.RESPONSE_TIME_SEC, row.TRAVEL_TIME_SEC) == (300, 240)
+
+
+def test_stored_codes_give_the_same_table(spark):
+    df = calls(spark, {"TYP_DESC": "b"}, {"TYP_DESC": None}, {"TYP_DESC": "a"})
+    deduped = cleaning.dedup_most_complete(df)
+    codes = encoding.category_codes(deduped, "TYP_DESC")
+    assert sorted(map(str, clean_deduped(deduped, codes).collect())) == sorted(
+        map(str, clean(df).collect()))
+
+
+def test_daylight_saving_gap_in_another_zone(spark):
+    # 02:30 does not exist on this day in New York; parsing shifts it, and
+    # durations stay what the clock of that zone says.
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        row = clean(calls(spark, {
+            "ADD_TS": "03/09/2025 01:59:00 AM", "DISP_TS": "03/09/2025 01:59:30 AM",
+            "ARRIVD_TS": "03/09/2025 03:01:00 AM", "INCIDENT_DATE": "03/09/2025",
+            "INCIDENT_TIME": "01:58:00",
+        })).first()
+        assert row.RESPONSE_TIME_SEC == 120
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+# --- invariants on the derived table --------------------------------------
+
+def test_rows_in_are_rows_out_plus_rejected(spark, small):
+    from turnout.plans import catalog
+
+    typed = catalog.typed_calls(spark, small).cache()
+    tests = [cleaning.valid_borough(), cleaning.dispatched_in_order(), cleaning.incident_within(60)]
+    left, rejected = typed, 0
+    for keep in tests:
+        rejected += left.where(~F.coalesce(keep, F.lit(False))).count()
+        left = left.where(keep)
+    assert typed.count() == left.count() + rejected
+    assert left.count() == catalog.cleaned_calls(spark, small).count()
+    typed.unpersist()
+
+
+def test_response_is_dispatch_plus_travel(spark, small):
+    from turnout.plans import catalog
+
+    df = catalog.cleaned_calls(spark, small)
+    known = df.where("DISPATCH_DELAY_SEC is not null and TRAVEL_TIME_SEC is not null")
+    assert known.where("RESPONSE_TIME_SEC <> DISPATCH_DELAY_SEC + TRAVEL_TIME_SEC").count() == 0
+    assert known.count() > 0
+
+
+def test_cleaning_leaves_keys_unique(spark, small):
+    from turnout.plans import catalog
+
+    df = catalog.cleaned_calls(spark, small).where("CAD_EVNT_ID is not null")
+    assert df.count() == df.select("CAD_EVNT_ID").distinct().count()
