@@ -21,8 +21,6 @@ def read_raw_csv(
         return reader.option("inferSchema", True).csv(path)
     if schema is None:
         return reader.csv(path)
-    # The header is checked by name only where it is whole; a wider export is
-    # read with the schema that has the extra column.
     return reader.schema(schema).csv(path)
 
 
@@ -42,14 +40,16 @@ def write_stage(df: DataFrame, path: str, files: int | None = None) -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Replace a delimited-text copy with a header line; blanks around values are kept."""
+    (
+        df.write.mode("overwrite").option("header", True)
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
 
 
 def write_marts(marts: dict[str, DataFrame], root: str) -> None:
-    """Write each mart below ``root``, under the relative path that is its key.
-
-    Marts are small, so each is written as few files as it has partitions.
-    """
+    """Write each mart below ``root``, under the relative path that is its key."""
     for name, mart in marts.items():
         write_stage(mart, f"{root}/{name}")
 
