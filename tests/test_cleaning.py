@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from turnout.operators import cleaning, encoding
-from turnout.plans import clean, clean_deduped, normalize, scope
+from turnout.plans import clean, clean_typed, normalize, scope, type_calls
 from turnout.schema import CLEANED, RAW, RAW_COLUMNS
 
 CALL = dict(
@@ -122,6 +122,22 @@ def test_numbering_in_slices(spark, slices, with_null):
     assert got == {w: n for n, w in enumerate(rows, 1)}
 
 
+def test_numbering_does_not_rely_on_reuse(spark):
+    words = sorted({f"w{n * 7919 % 5000}" for n in range(3000)})
+    df = spark.createDataFrame([(w,) for w in words * 2], "TYP_DESC string").repartition(7)
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.exchange.reuse": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        rows = encoding.encode_category(df).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(rows) == 2 * len(words)
+    assert {r.TYP_DESC: r.TYP_DESC_ENUM for r in rows} == {w: n for n, w in enumerate(words)}
+
+
 def test_numbering_of_nothing(spark):
     df = spark.createDataFrame([], "TYP_DESC string")
     assert encoding.category_codes(df, "TYP_DESC").count() == 0
@@ -197,9 +213,9 @@ def test_normalize_reads_seconds_back_from_text(spark):
 
 def test_stored_codes_give_the_same_table(spark):
     df = calls(spark, {"TYP_DESC": "b"}, {"TYP_DESC": None}, {"TYP_DESC": "a"})
-    deduped = cleaning.dedup_most_complete(df)
-    codes = encoding.category_codes(deduped, "TYP_DESC")
-    assert sorted(map(str, clean_deduped(deduped, codes).collect())) == sorted(
+    typed = type_calls(cleaning.dedup_most_complete(df))
+    codes = encoding.category_codes(typed, "TYP_DESC")
+    assert sorted(map(str, clean_typed(typed, codes).collect())) == sorted(
         map(str, clean(df).collect()))
 
 

@@ -1,8 +1,7 @@
 """Date, time and duration expressions.
 
-Everything here takes and returns a Column.  Bad text becomes null and never
-raises, also under ANSI mode, and durations are handled as whole seconds, so
-no result depends on the session time zone.
+Bad text becomes null and never raises, also under ANSI mode, and durations are
+handled as whole seconds, so no duration depends on the session time zone.
 """
 
 from pyspark.sql import Column, functions as F
@@ -38,45 +37,39 @@ def elapsed_seconds(start, end) -> Column:
     return F.unix_timestamp(_col(end)) - F.unix_timestamp(_col(start))
 
 
-def format_hms(seconds, wrap24: bool = False) -> Column:
-    """``HH:mm:ss`` text of a number of seconds; fractions are cut off.
+def format_hms(seconds: str, wrap24: bool = False) -> Column:
+    """``HH:mm:ss`` text of a column of seconds; fractions are cut off.
 
     By default hours run past 24 and negative durations carry a minus sign.
     With ``wrap24`` the value is taken modulo one day, which is what formatting
     the seconds as a UTC clock time gives.
     """
-    whole = _col(seconds).cast("bigint")
-    sign = F.lit("")
-    if wrap24:
-        whole = F.pmod(whole, F.lit(DAY))
-    else:
-        sign = F.when(whole < 0, "-").otherwise("")
-        whole = F.abs(whole)
-    hours = F.floor(whole / 3600)
-    minutes = F.floor((whole % 3600) / 60)
-    hours_text = F.when(hours < 10, F.concat(F.lit("0"), hours)).otherwise(hours.cast("string"))
-    return F.concat(
-        sign,
-        hours_text,
-        F.lit(":"),
-        F.lpad(minutes.cast("string"), 2, "0"),
-        F.lit(":"),
-        F.lpad((whole % 60).cast("string"), 2, "0"),
-    )
-
-
-def hms_to_seconds(c) -> Column:
-    """Seconds from ``HH:mm:ss`` text, null unless three whole numbers are there."""
-    text = _col(c)
-    parts = F.split(F.regexp_replace(text, "^-", ""), ":")
-    hours, minutes, seconds = (F.get(parts, F.lit(i)).try_cast("bigint") for i in range(3))
-    total = hours * 3600 + minutes * 60 + seconds
-    return F.when(text.startswith("-"), -total).otherwise(total)
-
-
-def hms_to_minutes(c) -> Column:
-    """Minutes as a double from ``HH:mm:ss`` text."""
-    return hms_to_seconds(c) / F.lit(60.0)
+    whole = f"bigint(`{seconds}`)"
+    sign = "''" if wrap24 else f"if({whole} < 0, '-', '')"
+    size = f"pmod({whole}, {DAY})" if wrap24 else f"abs({whole})"
+    hours = f"{size} div 3600"
+    return F.expr(f"""
+        concat(
+            {sign},
+            if({hours} < 10, concat('0', {hours}), string({hours})), ':',
+            lpad(string({size} % 3600 div 60), 2, '0'), ':',
+            lpad(string({size} % 60), 2, '0')
+        )
+    """)
+
+
+def hms_to_seconds(text: str) -> Column:
+    """Seconds from a column of ``HH:mm:ss``, null unless it has three whole numbers."""
+    parts = f"split(ltrim('-', `{text}`), ':')"
+    hours, minutes, seconds = (f"try_cast(get({parts}, {i}) as bigint)" for i in range(3))
+    return F.expr(f"""
+        if(startswith(`{text}`, '-'), -1, 1) * ({hours} * 3600 + {minutes} * 60 + {seconds})
+    """)
+
+
+def hms_to_minutes(text: str) -> Column:
+    """Minutes as a double from a column of ``HH:mm:ss``."""
+    return hms_to_seconds(text) / F.lit(60.0)
 
 
 def time_to_12h(c) -> Column:

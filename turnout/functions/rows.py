@@ -1,8 +1,5 @@
 """Expressions and projections over several columns of one row."""
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from turnout.functions.clock import hms_to_seconds
@@ -12,7 +9,7 @@ from turnout.schema import DURATIONS, TEXT_COLUMNS
 
 def null_count(columns) -> Column:
     """Number of null columns in a row."""
-    return reduce(add, [F.col(c).isNull().cast("int") for c in columns], F.lit(0))
+    return F.expr(" + ".join(f"int(`{c}` is null)" for c in columns))
 
 
 def add_seconds(df: DataFrame, columns=tuple(DURATIONS)) -> DataFrame:

@@ -12,7 +12,7 @@ from turnout.operators.profiles import (
     severity_profile,
 )
 from turnout.operators.ranking import precinct_ranked
-from turnout.plans.stages import clean_deduped, normalize, scope
+from turnout.plans.stages import clean_typed, normalize, scope, type_calls
 from turnout.sources import read_marts, read_stage, write_marts, write_stage
 
 MART_NAMES = (
@@ -47,17 +47,19 @@ def run_stages(
     """Run everything, writing each stage below ``root``, and return the stored marts.
 
     Each stage is read back from its files, so a lost executor costs at most
-    part of one stage.  Deduplication shuffles the whole table and feeds both
-    the code table and the cleaning, so it is stored as well; the code table is
-    stored because its file size then tells Spark whether to broadcast it.
+    part of one stage.  The typed table is stored before it is filtered: the
+    text is then parsed once, though both the code table and the filters read
+    it.  The code table is stored because its file size tells Spark whether to
+    broadcast it, so that the calls need not be shuffled for it.
     """
     def stored(name: str, df: DataFrame, files: int | None = files) -> DataFrame:
         write_stage(df, f"{root}/{name}", files)
         return read_stage(spark, f"{root}/{name}")
 
-    deduped = stored("deduped", dedup_most_complete(raw, null_keys=null_keys), None)
-    codes = stored("type_codes", category_codes(deduped, "TYP_DESC"), None)
-    cleaned = stored("cleaned", clean_deduped(deduped, codes))
+    deduped = dedup_most_complete(raw, null_keys=null_keys)
+    typed = stored("typed", type_calls(deduped), None)
+    codes = stored("type_codes", category_codes(typed, "TYP_DESC"), None)
+    cleaned = stored("cleaned", clean_typed(typed, codes))
     scoped = stored("scoped", scope(cleaned))
     normalized = stored("normalized", normalize(scoped))
     write_marts(build_marts(normalized), f"{root}/marts")

@@ -1,8 +1,15 @@
 """The table-to-table steps: raw -> cleaned -> scoped -> normalized."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from turnout.functions import add_seconds, incident_ts, normalize_text, parse_date, parse_ts, time_to_12h
+from turnout.functions import (
+    add_seconds,
+    incident_ts,
+    normalize_text,
+    parse_date,
+    parse_ts,
+    time_to_12h,
+)
 from turnout.operators.cleaning import (
     dedup_most_complete,
     dispatched_in_order,
@@ -27,27 +34,27 @@ def type_calls(deduped: DataFrame, wrap24: bool = False) -> DataFrame:
     return with_durations(typed(stamped), wrap24)
 
 
-def clean_deduped(
-    deduped: DataFrame, codes: DataFrame | None = None, tolerance: int = 60, wrap24: bool = False
+def clean_typed(
+    calls: DataFrame, codes: DataFrame | None = None, tolerance: int = 60
 ) -> DataFrame:
-    """Typed and filtered calls from rows that are unique by key.
+    """Coded and filtered calls from typed ones.
 
     Category codes number every description of the deduplicated table, also
     of rows that the filters drop, and before case and blanks are normalised.
     """
-    coded = encode_category(type_calls(deduped, wrap24), "TYP_DESC", codes=codes)
     return (
-        coded
-        .where(valid_borough())
-        .where(dispatched_in_order())
-        .where(incident_within(tolerance))
+        encode_category(calls, "TYP_DESC", codes=codes)
+        .where(valid_borough() & dispatched_in_order() & incident_within(tolerance))
         .select(*CLEANED.names)
     )
 
 
-def clean(raw: DataFrame, tolerance: int = 60, null_keys: str = "collapse") -> DataFrame:
+def clean(
+    raw: DataFrame, tolerance: int = 60, null_keys: str = "collapse", wrap24: bool = False
+) -> DataFrame:
     """Stage 1: raw text to the typed table."""
-    return clean_deduped(dedup_most_complete(raw, null_keys=null_keys), tolerance=tolerance)
+    deduped = dedup_most_complete(raw, null_keys=null_keys)
+    return clean_typed(type_calls(deduped, wrap24), tolerance=tolerance)
 
 
 def scope(cleaned: DataFrame, min_response: int = 90) -> DataFrame:

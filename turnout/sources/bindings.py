@@ -9,95 +9,91 @@ used and both engines of a comparison derive the same table.
 ``line_calls`` has one already-typed call per order line, for larger groups.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from turnout.schema import RAW_COLUMNS
 
+# The columns in use; a given schema also saves reading a footer per table.
+TABLES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "nation": "n_nationkey int, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz, "
+              "o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int",
+    "part": "p_partkey bigint, p_type string",
+}
+
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Nations and regions are fixed at 25 and 5 rows at every scale.
-    nation, region = _read(spark, sf_dir, "nation"), _read(spark, sf_dir, "region")
-    return nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey")).select(
-        F.col("n_nationkey").alias("pct"), F.col("r_name").alias("boro")
+    region = F.broadcast(_read(spark, sf_dir, "region"))
+    return _read(spark, sf_dir, "nation").join(
+        region, F.col("n_regionkey") == F.col("r_regionkey")
     )
 
 
-def _shift(ts: Column, seconds) -> Column:
-    return ts + F.make_dt_interval(secs=seconds if isinstance(seconds, Column) else F.lit(seconds))
-
-
 def raw_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _read(spark, sf_dir, "events")
     customer = _read(spark, sf_dir, "customer")
-    i = F.col("i")
-
-    def every(n: int) -> Column:
-        return i % n == 0
-
-    base = (
-        events.join(customer, F.col("user_id") == F.col("c_custkey"))
-        .join(F.broadcast(_areas(spark, sf_dir)), F.col("c_nationkey") == F.col("pct"))
-        .select(
-            F.col("event_id").alias("i"),
-            F.date_trunc("second", "ts").alias("added"),
-            "pct", "boro", F.col("event_type").alias("et"),
-            (20 + (F.col("event_id") * 7919) % 900).cast("int").alias("dd"),
-            (30 + (F.col("event_id") * 104729) % 3600).cast("int").alias("tt"),
+    calls = (
+        _read(spark, sf_dir, "events")
+        .join(customer, F.col("user_id") == F.col("c_custkey"))
+        .join(F.broadcast(_areas(spark, sf_dir)), F.col("c_nationkey") == F.col("n_nationkey"))
+        .selectExpr(
+            "event_id as i",
+            "date_trunc('second', ts) as added",
+            "n_nationkey", "r_name", "event_type",
+            "int(20 + (event_id * 7919) % 900) as dispatch_delay",
+            "int(30 + (event_id * 104729) % 3600) as travel_time",
         )
+        .selectExpr(
+            "*",
+            """case when i % 101 = 0 then added - interval 30 seconds
+                    when i % 29 = 0 then null
+                    else added + make_dt_interval(0, 0, 0, dispatch_delay) end as dispatched""",
+            """case when i % 31 = 0 then null
+                    when i % 89 = 0 then added - interval 300 seconds
+                    when i % 211 = 0 then added + interval 90000 seconds
+                    else added + make_dt_interval(0, 0, 0, dispatch_delay + travel_time)
+               end as arrived""",
+            """case when i % 67 = 0 then added + interval 120 seconds
+                    else added - interval 10 seconds end as incident""",
+        )
+        # Some calls come a second time: poorer by three columns, or in another precinct.
+        .selectExpr("*", """explode(array_compact(array(
+            'first', if(i % 47 = 0, 'poorer', null), if(i % 63 = 0, 'moved', null)))) as copy""")
     )
-    added = F.col("added")
-    timed = base.withColumns({
-        "dispatched": F.when(every(101), _shift(added, -30)).when(every(29), None)
-        .otherwise(_shift(added, F.col("dd"))),
-        "arrived": F.when(every(31), None).when(every(89), _shift(added, -300))
-        .when(every(211), _shift(added, 90000))
-        .otherwise(_shift(added, F.col("dd") + F.col("tt"))),
-        "incident": F.when(every(67), _shift(added, 120)).otherwise(_shift(added, -10)),
-    })
-
-    def stamp(c) -> Column:
-        return F.date_format(c, "MM/dd/yyyy hh:mm:ss a")
-
-    prefix = (
-        F.when(F.col("et") == "signup", "34").when(F.col("et") == "purchase", "31")
-        .when(F.col("et") == "view", "10").when(F.col("et") == "click", "32").otherwise("99")
-    )
-    suffix = F.when(i % 3 == 0, "S").when(i % 3 == 1, "C").otherwise("N")
-    calls = timed.select(
-        "i",
-        F.when(every(997), None).otherwise(i.cast("string")).alias("CAD_EVNT_ID"),
-        F.date_format("added", "MM/dd/yyyy").alias("CREATE_DATE"),
-        F.date_format("incident", "MM/dd/yyyy").alias("INCIDENT_DATE"),
-        F.when(every(59), "25:61:00").otherwise(F.date_format("incident", "HH:mm:ss"))
-        .alias("INCIDENT_TIME"),
-        F.col("pct").cast("string").alias("NYPD_PCT_CD"),
-        F.when(every(83), "(null)").when(every(79), None).otherwise(F.col("boro"))
-        .alias("BORO_NM"),
-        F.concat(prefix, suffix, F.lit("1")).alias("RADIO_CODE"),
-        F.when(every(41), "  ").when(every(43), None)
-        .when(every(37), F.concat("et", F.lit(": alt"))).otherwise(F.col("et"))
-        .alias("TYP_DESC"),
-        F.when(i % 7 == 0, "Critical ").when(i % 7 == 1, "Serious").when(i % 7 == 2, "Non CIP")
-        .otherwise("Non Critical").alias("CIP_JOBS"),
-        F.when(every(97), "garbage").otherwise(stamp("added")).alias("ADD_TS"),
-        stamp("dispatched").alias("DISP_TS"),
-        stamp("arrived").alias("ARRIVD_TS"),
-        stamp("arrived").alias("CLOSNG_TS"),
-    )
-    # Some calls come a second time: poorer by three columns, or with another precinct.
-    copies = F.array_compact(F.array(
-        F.lit("first"), F.when(every(47), "poorer"), F.when(every(63), "moved"),
-    ))
-    copied = calls.withColumn("copy", F.explode(copies))
-    poorer = F.col("copy") == "poorer"
-    return copied.withColumns({
-        **{c: F.when(~poorer, F.col(c)) for c in ("INCIDENT_TIME", "CIP_JOBS", "CLOSNG_TS")},
-        "NYPD_PCT_CD": F.when(F.col("copy") == "moved", "999").otherwise(F.col("NYPD_PCT_CD")),
-    }).select(*RAW_COLUMNS)
+    stamp = "date_format({}, 'MM/dd/yyyy hh:mm:ss a')"
+    columns = {
+        "CAD_EVNT_ID": "if(i % 997 = 0, null, string(i))",
+        "CREATE_DATE": "date_format(added, 'MM/dd/yyyy')",
+        "INCIDENT_DATE": "date_format(incident, 'MM/dd/yyyy')",
+        "INCIDENT_TIME": """case when copy = 'poorer' then null when i % 59 = 0 then '25:61:00'
+                                 else date_format(incident, 'HH:mm:ss') end""",
+        "NYPD_PCT_CD": "if(copy = 'moved', '999', string(n_nationkey))",
+        "BORO_NM": """case when i % 83 = 0 then '(null)' when i % 79 = 0 then null
+                           else r_name end""",
+        "RADIO_CODE": """concat(
+            case event_type when 'signup' then '34' when 'purchase' then '31'
+                            when 'view' then '10' when 'click' then '32' else '99' end,
+            case i % 3 when 0 then 'S' when 1 then 'C' else 'N' end, '1')""",
+        "TYP_DESC": """case when i % 41 = 0 then '  ' when i % 43 = 0 then null
+                            when i % 37 = 0 then concat(event_type, ': alt')
+                            else event_type end""",
+        "CIP_JOBS": """case when copy = 'poorer' then null when i % 7 = 0 then 'Critical '
+                            when i % 7 = 1 then 'Serious' when i % 7 = 2 then 'Non CIP'
+                            else 'Non Critical' end""",
+        "ADD_TS": f"if(i % 97 = 0, 'garbage', {stamp.format('added')})",
+        "DISP_TS": stamp.format("dispatched"),
+        "ARRIVD_TS": stamp.format("arrived"),
+        "CLOSNG_TS": f"if(copy = 'poorer', null, {stamp.format('arrived')})",
+    }
+    return calls.selectExpr(*[f"{columns[c]} as {c}" for c in RAW_COLUMNS])
 
 
 def line_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,33 +102,24 @@ def line_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(_read(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(_read(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(_read(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(F.broadcast(_areas(spark, sf_dir)), F.col("c_nationkey") == F.col("pct"))
-    )
-    severity = (
-        F.when(F.col("o_orderpriority") == "1-URGENT", "CRITICAL")
-        .when(F.col("o_orderpriority") == "2-HIGH", "SERIOUS")
-        .when(F.col("o_orderpriority") == "3-MEDIUM", "NON CRITICAL")
-        .otherwise("NON CIP")
-    )
-    code = (
-        F.when(F.col("p_type") == "PROMO", "34").when(F.col("p_type") == "ECONOMY", "31")
-        .when(F.col("p_type") == "MEDIUM", "10").when(F.col("p_type") == "SMALL", "32")
-        .when(F.col("p_type") == "STANDARD", "30").otherwise("99")
+        .join(F.broadcast(_areas(spark, sf_dir)), F.col("c_nationkey") == F.col("n_nationkey"))
     )
-    add_s = (
-        F.col("l_partkey") * 7919 + F.col("l_suppkey") * 104729 + F.col("l_linenumber") * 3671
-    ) % 86400
-    dispatch = 20 + (F.col("l_partkey") * 31 + F.col("l_linenumber")) % 900
-    travel = 30 + (F.col("l_suppkey") * 7919 + F.col("l_orderkey")) % 3600
-    return lines.select(
-        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
-        .alias("CAD_EVNT_ID"),
-        F.col("pct").alias("NYPD_PCT_CD"),
-        F.col("boro").alias("BORO_NM"),
-        code.alias("RADIO_CODE"),
-        severity.alias("CIP_JOBS"),
-        _shift(F.col("o_orderdate"), add_s.cast("int")).alias("ADD_TS"),
-        (dispatch + travel).cast("bigint").alias("RESPONSE_TIME_SEC"),
-        dispatch.cast("bigint").alias("DISPATCH_DELAY_SEC"),
-        travel.cast("bigint").alias("TRAVEL_TIME_SEC"),
+    return lines.selectExpr(
+        "concat_ws('-', string(l_orderkey), string(l_linenumber)) as CAD_EVNT_ID",
+        "n_nationkey as NYPD_PCT_CD",
+        "r_name as BORO_NM",
+        """case p_type when 'PROMO' then '34' when 'ECONOMY' then '31' when 'MEDIUM' then '10'
+                       when 'SMALL' then '32' when 'STANDARD' then '30' else '99'
+           end as RADIO_CODE""",
+        """case o_orderpriority when '1-URGENT' then 'CRITICAL' when '2-HIGH' then 'SERIOUS'
+                                when '3-MEDIUM' then 'NON CRITICAL' else 'NON CIP'
+           end as CIP_JOBS""",
+        """o_orderdate + make_dt_interval(0, 0, 0, int(
+            (l_partkey * 7919 + l_suppkey * 104729 + l_linenumber * 3671) % 86400)) as ADD_TS""",
+        "20 + (l_partkey * 31 + l_linenumber) % 900 as DISPATCH_DELAY_SEC",
+        "30 + (l_suppkey * 7919 + l_orderkey) % 3600 as TRAVEL_TIME_SEC",
+    ).selectExpr(
+        "CAD_EVNT_ID", "NYPD_PCT_CD", "BORO_NM", "RADIO_CODE", "CIP_JOBS", "ADD_TS",
+        "DISPATCH_DELAY_SEC + TRAVEL_TIME_SEC as RESPONSE_TIME_SEC",
+        "DISPATCH_DELAY_SEC", "TRAVEL_TIME_SEC",
     )
