@@ -520,6 +520,10 @@ def ranking() -> dict[str, str]:
         return on(n, f"select * from ({by_part(part)}) "
                   f"order by avg_response_sec desc, {part} limit 5")
 
+    def slowest_of_split(side):
+        return on(n, f"{hourly_out(RESPONSE)} order by avg_response_sec desc, hour_of_day limit 5",
+                  hourly(side, RESPONSE))
+
     return {
         "precinct_ranks": on(n, "select * from ranked", detail(n, PCT), RANKED),
         "precinct_top_bottom": on(n, PICKED_OUT, detail(n, PCT), RANKED, PICKED),
@@ -530,6 +534,8 @@ def ranking() -> dict[str, str]:
         "slowest_travel": precincts("travel", "desc"),
         "fastest_travel": precincts("travel", "asc"),
         "slowest_hours": slowest("hour_of_day"),
+        "slowest_hours_noncritical": slowest_of_split("="),
+        "slowest_hours_high_severity": slowest_of_split("<>"),
         "slowest_months": slowest("month"),
         "mart_preview": on(n, f"{AREA_OUT} order by AVG_RESPONSE_SEC desc, BORO_NM, NYPD_PCT_CD "
                            "limit 5", area(n, PCT)),

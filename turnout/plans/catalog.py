@@ -205,6 +205,12 @@ def _ranked() -> dict[str, Query]:
             p.calendar_profile(df, part), "avg_response_sec", 5, ties=[part]
         ))
 
+    def slowest_of_split(split):
+        return _calls(lambda df: top(
+            p.hourly_profile(df, split, {"response": p.RESPONSE}),
+            "avg_response_sec", 5, ties=["hour_of_day"],
+        ))
+
     return {
         "precinct_ranks": _calls(lambda df: ranking.rank_groups(
             p.response_detail(df, "precinct"))),
@@ -216,6 +222,8 @@ def _ranked() -> dict[str, Query]:
         "slowest_travel": precincts("travel", p.TRAVEL, False),
         "fastest_travel": precincts("travel", p.TRAVEL, True),
         "slowest_hours": slowest_parts("hour_of_day"),
+        "slowest_hours_noncritical": slowest_of_split("non_critical"),
+        "slowest_hours_high_severity": slowest_of_split("high_severity"),
         "slowest_months": slowest_parts("month"),
         "mart_preview": _calls(lambda df: preview_mart(
             p.precinct_profile(df), "AVG_RESPONSE_SEC", 5, ties=PRECINCT)),
