@@ -1,4 +1,6 @@
-"""Every query against a second engine, value for value."""
+"""Every query against a second engine, value for value, and its physical plan."""
+
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 
@@ -8,6 +10,11 @@ from tests.compare import connect, duck_rows, spark_rows, type_differences
 QUERIES = contract.queries()
 SQL = contract.oracle_sql()
 
+NOT_IN_A_PLAN = (
+    "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "Cartesian", "BroadcastNestedLoopJoin",
+    "Scan ExistingRDD",
+)
+
 
 @pytest.fixture(scope="module")
 def con(small):
@@ -15,19 +22,32 @@ def con(small):
         yield connection
 
 
+@pytest.fixture(scope="module")
+def results(spark, small):
+    """Queries are small, so a few run side by side."""
+    def run(query):
+        df = query(spark, small)
+        return df, spark_rows(df)
+
+    with ThreadPoolExecutor(4) as pool:
+        yield {name: pool.submit(run, query) for name, query in sorted(QUERIES.items())}
+        pool.shutdown(cancel_futures=True)
+
+
 def test_every_query_has_a_counterpart():
     assert set(QUERIES) == set(SQL)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query_matches(spark, small, con, name):
-    df = QUERIES[name](spark, small)
-    names, rows = spark_rows(df)
+def test_query_matches(results, con, name):
+    df, (names, rows) = results[name].result()
     expected_names, expected = duck_rows(con, SQL[name])
     assert names == expected_names
     assert rows == expected
     assert rows
     assert type_differences(df, con, SQL[name]) == {}
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert [operator for operator in NOT_IN_A_PLAN if operator in plan] == []
 
 
 def test_entry(spark):
