@@ -89,7 +89,7 @@ def test_profiles_read_only_their_columns(stored):
 
 def test_counted_seconds_shuffle_by_group_and_second(stored):
     text = plan(profiles.group_profile(stored.where(cleaning.positive()), ["BORO_NM"]))
-    assert re.search(r"Exchange hashpartitioning\(BORO_NM#\d+, .*seconds#\d+", text)
+    assert re.search(r"Exchange hashpartitioning\(BORO_NM#\d+, .*_seconds#\d+", text)
     assert text.count("Exchange") == 2
 
 

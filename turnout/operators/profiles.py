@@ -24,7 +24,7 @@ TRAVEL = "TRAVEL_TIME_SEC"
 # --- statistics from counted seconds --------------------------------------
 
 def count_seconds(df: DataFrame, keys, metrics: dict[str, str]) -> DataFrame:
-    """Number of rows per group, metric and second: ``keys``, metric, seconds, rows.
+    """Number of rows per group, metric and second: ``keys``, _metric, _seconds, _rows.
 
     ``metrics`` maps a short name to a column.  Null durations are counted in a
     row of their own.
@@ -32,10 +32,10 @@ def count_seconds(df: DataFrame, keys, metrics: dict[str, str]) -> DataFrame:
     cells = df.select(*keys, *[F.col(column).alias(name) for name, column in metrics.items()])
     if len(metrics) == 1:
         (name,) = metrics
-        cells = cells.select(*keys, F.lit(name).alias("metric"), F.col(name).alias("seconds"))
+        cells = cells.select(*keys, F.lit(name).alias("_metric"), F.col(name).alias("_seconds"))
     else:
-        cells = cells.unpivot(list(keys), list(metrics), "metric", "seconds")
-    return cells.groupBy(*keys, "metric", "seconds").agg(F.count("*").alias("rows"))
+        cells = cells.unpivot(list(keys), list(metrics), "_metric", "_seconds")
+    return cells.groupBy(*keys, "_metric", "_seconds").agg(F.count("*").alias("_rows"))
 
 
 def summarize_counts(counts: DataFrame, keys) -> DataFrame:
@@ -44,26 +44,27 @@ def summarize_counts(counts: DataFrame, keys) -> DataFrame:
     One window in order of seconds serves all of them; the last step is local
     to its partitions.
     """
-    ordered = Window.partitionBy(*keys, "metric").orderBy(F.asc_nulls_last("seconds"))
+    ordered = Window.partitionBy(*keys, "_metric").orderBy(F.asc_nulls_last("_seconds"))
     upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    known = F.when(F.col("seconds").isNotNull(), F.col("rows")).otherwise(0)
+    known = F.expr("if(_seconds is not null, _rows, 0)")
     weighted = counts.withColumns({
         "_upto": F.sum(known).over(upto),
         "_known": F.sum(known).over(whole),
-        "_total": F.sum(F.col("seconds") * F.col("rows")).over(whole),
-    }).withColumn("_mean", F.try_divide("_total", "_known"))
-    distance = F.col("seconds") - F.col("_mean")
-    squares = F.sum(F.col("rows") * distance * distance)
-    n = F.max("_known")
-    return weighted.groupBy(*keys, "metric").agg(
-        F.sum("rows").alias("rows"),
-        F.max("_mean").alias("avg"),
+        "_total": F.sum(F.expr("_seconds * _rows")).over(whole),
+    }).withColumn("_mean", F.expr("try_divide(_total, _known)"))
+    return weighted.groupBy(*keys, "_metric").agg(
+        F.expr("sum(_rows)").alias("_count"),
+        F.expr("max(_mean)").alias("_avg"),
         # The first value that at least half of the rows do not exceed.
-        F.min(F.when(F.col("_upto") * 2 >= F.col("_known"), F.col("seconds"))).alias("median"),
-        F.when(n > 1, F.sqrt(squares / (n - 1))).alias("stddev"),
-        F.min("seconds").alias("min"),
-        F.max("seconds").alias("max"),
+        F.expr("min(if(_upto * 2 >= _known, _seconds, null))").alias("_median"),
+        F.expr("""
+            if(max(_known) > 1,
+               sqrt(sum(_rows * (_seconds - _mean) * (_seconds - _mean)) / (max(_known) - 1)),
+               null)
+        """).alias("_stddev"),
+        F.expr("min(_seconds)").alias("_min"),
+        F.expr("max(_seconds)").alias("_max"),
     )
 
 
@@ -99,14 +100,14 @@ def group_profile(
     summary = summarize_counts(count_seconds(df, keys, metrics), keys)
     if len(metrics) == 1:
         return summary.select(
-            *keys, *[F.col(stat).alias(out) for _, stat, out in names],
-            F.col("rows").alias(count_name),
+            *keys, *[F.col(f"_{stat}").alias(out) for _, stat, out in names],
+            F.col("_count").alias(count_name),
         )
     # One row per group again; every metric counted all rows of the group.
     return summary.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("metric") == name, F.col(stat))).alias(out)
+        *[F.max(F.when(F.col("_metric") == name, F.col(f"_{stat}"))).alias(out)
           for name, stat, out in names],
-        F.max("rows").alias(count_name),
+        F.max("_count").alias(count_name),
     )
 
 
@@ -128,7 +129,7 @@ def medians(df: DataFrame, columns=SECONDS_COLUMNS, accuracy: int | None = None)
         ])
     summary = summarize_counts(count_seconds(df, [], {c: c for c in columns}), [])
     return summary.agg(*[
-        F.max(F.when(F.col("metric") == c, F.col("median"))).alias(name)
+        F.max(F.when(F.col("_metric") == c, F.col("_median"))).alias(name)
         for c, name in names.items()
     ])
 
