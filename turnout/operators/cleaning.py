@@ -41,12 +41,12 @@ def dedup_most_complete(df: DataFrame, key: str = KEY, null_keys: str = "collaps
 
 # --- typing ---------------------------------------------------------------
 
-def typed(df: DataFrame) -> DataFrame:
+def typed(df: DataFrame, stamps=STAMP_COLUMNS) -> DataFrame:
     """Dates, precinct number and timestamps from text; bad text becomes null."""
     return df.withColumns({
         **{c: parse_date(c) for c in DATE_COLUMNS},
         "NYPD_PCT_CD": F.col("NYPD_PCT_CD").try_cast("int"),
-        **{c: parse_ts(c) for c in STAMP_COLUMNS},
+        **{c: parse_ts(c) for c in stamps},
     })
 
 
