@@ -61,24 +61,26 @@ def _pieces(raw: bytes):
         start = end
 
 
-def _piece_hashes(raw: bytes) -> np.ndarray:
+def _piece_hashes(raw: bytes, most: int | None = None) -> np.ndarray:
     data = np.frombuffer(raw, np.uint8)
     space = _SPACE[data]
     edge = np.flatnonzero(np.diff(space, prepend=True, append=True))
     if not len(edge):
         return np.empty(0, U64)
     starts, ends = edge[::2], edge[1::2]
+    if most:
+        ends = np.minimum(ends, starts + most)
     up, down = _LETTERS.to(len(data))
     total = np.zeros(len(data) + 1, U64)
     np.cumsum(_BYTES[data] * up, out=total[1:])
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(U64))
 
 
-def word_hashes(raw: bytes) -> np.ndarray:
-    """The hash of each word in order."""
+def word_hashes(raw: bytes, most: int | None = None) -> np.ndarray:
+    """The hash of each word, or of its first ``most`` bytes, in order."""
     if len(raw) <= PIECE:
-        return _piece_hashes(raw)
-    return np.concatenate([_piece_hashes(piece) for piece in _pieces(raw)])
+        return _piece_hashes(raw, most)
+    return np.concatenate([_piece_hashes(piece, most) for piece in _pieces(raw)])
 
 
 def shingle_hashes(words: np.ndarray, size: int = 5) -> np.ndarray:
