@@ -1,12 +1,63 @@
-"""Stages that turn the documents into training text."""
+"""Stages that turn the documents into training text.
 
-from pyspark.sql import DataFrame, SparkSession
+Every stage but the last returns the columns of ``documents``; each works on all that the one
+before it kept.
+"""
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-#: SQL cannot train the classifier of the first stage.
+from turnout.llm import byte_pairs, decontaminate, jaccard_join, substrings, toxicity
+from turnout.llm.tables import checked_broadcast, ship_package, stored
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not call toxic; it learns from ``labels``."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.train(docs, labels)
+    return docs.where(toxicity.scores(docs, model) < toxicity.THRESHOLD)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the lowest id of each group of similar ones."""
+    groups = jaccard_join.similar_groups(docs)
+    copies = stored(groups.where("doc_id <> component_id").select("doc_id"))
+    return docs.join(checked_broadcast(copies), "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without passages that an earlier one has; ``n_chars`` follows the text."""
+    kept = substrings.stripped(docs)
+    return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of ``benchmark``."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = stored(decontaminate.leaks(docs, benchmark).select("doc_id").distinct())
+    return docs.join(checked_broadcast(found), "doc_id", "left_anti").select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids and what they decode to, as digests beside the text's size."""
+    return byte_pairs.byte_pairs(docs, digest=True)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("jaccard_join", drop_near_copies),
+    ("substring_dedup", drop_repeats),
+    ("decontamination", drop_leaks),
+    ("byte_pairs", encode),
+]
+
+#: The first stage is a trained classifier, which SQL cannot express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``, each written and read again; the last one's rows."""
+    ship_package(spark)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -4,7 +4,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from turnout.llm import jaccard_join
+from turnout.llm import (
+    byte_pairs,
+    decontaminate,
+    fingerprints,
+    jaccard_join,
+    substrings,
+    token_blocks,
+    token_counts,
+    toxicity,
+)
+from turnout.llm.tables import ship_package
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,8 +25,45 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_groups(_table(spark, sf_dir, "documents"))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.without_repeats(_table(spark, sf_dir, "documents"), digest=True)
+
+
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(_table(spark, sf_dir, "documents"))
+
+
+def op6_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_blocks.token_blocks(_table(spark, sf_dir, "documents"), with_ids=False)
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(_table(spark, sf_dir, "documents"))
+
+
+def op10_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_pairs.byte_pairs(_table(spark, sf_dir, "documents"), digest=True)
+
+
 def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: f for name, f in globals().items() if name.startswith("op")}
+    def shipped(query):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return query(spark, sf_dir)
+
+        return run
+
+    return {name: shipped(f) for name, f in globals().items() if name.startswith("op")}
 
 
 def statements() -> dict[str, str]:

@@ -17,6 +17,7 @@ corpus more windows pass it and are grouped; the result stays exact.
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -246,3 +247,29 @@ def without_repeats(
         texts.join(starts, ["doc_id", "version"], "left").select("doc_id", "text", "starts")
         .mapInArrow(_removed(digest), DIGEST if digest else KEPT)
     )
+
+
+def stripped(docs: DataFrame) -> DataFrame:
+    """``docs`` with the same columns and repeated passages removed from ``text``.
+
+    A text that loses nothing stays as it is; of the others the kept words remain, joined by one
+    space.
+    """
+    versioned = docs.withColumn("_version", F.xxhash64("text"))
+    starts = stored(repeated_windows(
+        versioned.select("doc_id", F.col("_version").alias("version"), "text")
+    )).select(F.col("doc_id").alias("_doc"), F.col("version").alias("_v"), F.col("starts").alias("_starts"))
+
+    @F.pandas_udf("string")
+    def kept(texts, spans):
+        def one(text, starts):
+            words = encoded(text, False).split()
+            covered = _covered(len(words), starts)
+            return b" ".join(w for w, c in zip(words, covered, strict=True) if not c).decode()
+
+        return pd.Series([one(t, s) if s is not None else t for t, s in zip(texts, spans, strict=True)])
+
+    joined = versioned.join(
+        starts, (F.col("doc_id") == F.col("_doc")) & (F.col("_version") == F.col("_v")), "left"
+    )
+    return joined.withColumn("text", kept("text", "_starts")).select(*docs.columns)

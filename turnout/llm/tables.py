@@ -1,5 +1,7 @@
 """Intermediate tables, checked broadcasts and Arrow output for the operators."""
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -11,6 +13,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 BROADCAST_ROWS = 500_000
 
 
+_SHIPPED = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once a session, where they would not find it."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    app = spark.sparkContext.applicationId
+    found = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root in found or app in _SHIPPED:
+        return
+    _SHIPPED.add(app)
+    base = os.path.join(tempfile.mkdtemp(prefix="turnout-"), "turnout-package")
+    spark.sparkContext.addPyFile(shutil.make_archive(base, "zip", root, "turnout"))
+
+
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder below ``spark.checkpoint.dir``, which all machines share.
 

@@ -26,7 +26,7 @@ from turnout.llm.words import encoded, mix, word_hashes
 BINS = 1 << 18
 POSITIVES, UNLABELLED = 6_000, 18_000
 STEMS = (4, 5, 6)
-LIFT = 2
+DEVIATIONS = 2
 THRESHOLD = 0.3
 STEPS, BATCH, RATE, DECAY = 800, 1024, 0.2, 5e-4
 
@@ -85,11 +85,11 @@ class Model:
 
 
 def _frequent(positive: list[np.ndarray], unlabelled: list[np.ndarray], bins: int) -> np.ndarray:
-    """Bins of a hundredth of the positives, three at least, that are more frequent there than elsewhere."""
+    """Bins in a hundredth of the positives, three at least, and more often than chance allows."""
     here, there = (np.bincount(np.concatenate(x), minlength=bins) for x in (positive, unlabelled))
-    return np.flatnonzero(
-        (here >= max(3, 0.01 * len(positive))) & (here / len(positive) > LIFT * there / len(unlabelled))
-    )
+    expected = len(positive) * there / len(unlabelled)
+    often = here >= max(3, 0.01 * len(positive))
+    return np.flatnonzero(often & (here - expected > DEVIATIONS * np.sqrt(expected + 1)))
 
 
 def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, bins: int = BINS,
