@@ -5,14 +5,16 @@ Two sets of sizes a and b with a Jaccard similarity of 0.75 share at least
 first ``n - need(n) + l`` tokens share l.  Candidates must pass this test under
 three orders:
 
-1. by token hash, with l an eighth of the set: each document posts only about three
-   eighths of its tokens, and stays only if enough of them occur in another document;
+1. by token hash, with l a twelfth of the set: each document posts only about a third
+   of its tokens, and stays only if enough of them occur in another document;
 2. those posted tokens, rarest first, with l = 1: the shared l tokens are themselves an
-   overlap to which the prefix rule applies again, so that the most common third of the
+   overlap to which the prefix rule applies again, so that the most common quarter of the
    posted tokens, where passages shared by many documents are, makes no candidates;
-3. by a second hash, with l = 1, on the whole sets of a candidate pair.
+3. by token hash from the highest down, with l = 1, on the sets of a candidate pair.
 
-Pairs that pass all three are verified on the whole sets.
+Before the sets of a pair meet, a bit for each token's hash, two bits or more a token,
+bounds the overlap: a bit set for one document only stands for a token that the other lacks.
+Pairs that pass are verified on the whole sets.
 
 Equal sets are one class, so copies cost nothing.  Candidates are first tied to one
 document of each token's group (twice, with another choice), and the verified links
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from turnout.llm.components import components
 from turnout.llm.tables import checked_broadcast, lists, only, rows_of, stored
-from turnout.llm.words import mix, set_hash, shingle_set
+from turnout.llm.words import set_hash, shingle_set
 
 PERCENT = 75
 FLUSH = 1_000_000  # tokens in an output batch
@@ -39,21 +41,26 @@ def need(n):
 
 def extra(n):
     """How many shared tokens order 1 asks for."""
-    return -(-n // 8)
+    return -(-n // 12)
 
 
 def posted(n):
     return n - need(n) + extra(n) if n else 0
 
 
-def _third_prefix(tokens: np.ndarray) -> np.ndarray:
-    n = len(tokens)
-    keys = mix(tokens.view(np.uint64), 31)
-    return np.sort(keys.view(np.int64))[: n - need(n) + 1 if n else 0]
+def _bits(tokens: np.ndarray) -> np.ndarray:
+    """A bit for each token in a power of two of bits, two a token at least."""
+    size = 128
+    while size < 2 * len(tokens):
+        size *= 2
+    at = tokens & (size - 1)
+    words = np.zeros(size // 64, np.uint64)
+    np.bitwise_or.at(words, at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
+    return words.view(np.int64)
 
 
 SKETCH = "doc_id long, n long, h1 long, h2 long, posted array<long>"
-SETS = "doc_id long, n long, h1 long, h2 long, tokens array<long>, third array<long>"
+SETS = "doc_id long, n long, h1 long, h2 long, tokens array<long>, bits array<long>"
 
 
 def _mapper(size: int, whole: bool):
@@ -62,7 +69,7 @@ def _mapper(size: int, whole: bool):
             ids, ns, h1, h2, *arrays = zip(*held, strict=True)
             columns = [pa.array(x, pa.int64()) for x in (ids, ns, h1, h2)]
             columns += [lists(list(x), pa.int64()) for x in arrays]
-            names = ["doc_id", "n", "h1", "h2"] + (["tokens", "third"] if whole else ["posted"])
+            names = ["doc_id", "n", "h1", "h2"] + (["tokens", "bits"] if whole else ["posted"])
             return pa.RecordBatch.from_arrays(columns, names)
 
         held, count = [], 0
@@ -70,7 +77,7 @@ def _mapper(size: int, whole: bool):
             for doc_id, text in rows_of(batch, "doc_id", "text"):
                 tokens = shingle_set(text, size)
                 n = len(tokens)
-                own = (tokens, _third_prefix(tokens)) if whole else (tokens[: posted(n)],)
+                own = (tokens, _bits(tokens)) if whole else (tokens[: posted(n)],)
                 held.append((doc_id, n, *set_hash(tokens), *own))
                 count += sum(map(len, own))
                 if count >= FLUSH or len(held) >= 5000:
@@ -93,18 +100,49 @@ def _alike(a: str, b: str):
     return F.expr(f"100 * least({a}, {b}) >= {PERCENT} * greatest({a}, {b})")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) that share a token in order 3 and are similar on their whole sets."""
+def _sides(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
     def side(name):
         return sets.select(
             F.col("doc_id").alias(name), F.col("n").alias(f"n_{name}"),
-            F.col("tokens").alias(f"t_{name}"), F.col("third").alias(f"o_{name}"),
+            F.col(column).alias(f"x_{name}"),
         )
 
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    shared = F.size(F.array_intersect("t_a", "t_b"))
+    return pairs.join(side("a"), "a").join(side("b"), "b")
+
+
+#: Bits of one document that the other does not have; the longer row of bits is folded in two.
+ONLY = """
+    aggregate(zip_with({x}, {y}, (p, q) -> bit_count(p & ~q)), 0, (sum, k) -> sum + k)
+"""
+FOLDED = """
+    if(size({x}) > size({y}), zip_with(
+        slice({x}, 1, size({y})), slice({x}, size({y}) + 1, size({y})), (p, q) -> p | q), {x})
+"""
+
+
+def _possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs whose bits leave room for enough shared tokens."""
+    both = _sides(pairs, sets, "bits").where(_alike("n_a", "n_b"))
+    both = both.withColumns({
+        "f_a": F.expr(FOLDED.format(x="x_a", y="x_b")), "f_b": F.expr(FOLDED.format(x="x_b", y="x_a")),
+    }).withColumn("most", F.least(
+        F.col("n_a") - F.expr(ONLY.format(x="f_a", y="f_b")),
+        F.col("n_b") - F.expr(ONLY.format(x="f_b", y="f_a")),
+    ))
+    return both.where(f"100 * most >= {PERCENT} * (n_a + n_b - most)").select("a", "b")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) that share tokens in orders 1 and 3 and are similar on their whole sets."""
+    both = _sides(stored(_possible(pairs, sets)), sets, "tokens")
+
+    def first(side, order):
+        size = f"int(n_{side} - ({PERCENT} * n_{side} + 99) div 100 + 1)"
+        return F.expr(f"slice(x_{side}, {'1' if order == 1 else f'-{size}'}, {size})")
+
+    shared = F.size(F.array_intersect("x_a", "x_b"))
     return both.where(
-        _alike("n_a", "n_b") & F.arrays_overlap("o_a", "o_b")
+        F.arrays_overlap(first("a", 1), first("b", 1)) & F.arrays_overlap(first("a", 3), first("b", 3))
     ).where(100 * shared >= PERCENT * (F.col("n_a") + F.col("n_b") - shared)).select("a", "b")
 
 
@@ -168,21 +206,21 @@ def similar_groups(
     )
     postings = (
         sketch.join(checked_broadcast(silent), ["doc_id", "h1", "h2"], "left_anti")
-        .select("doc_id", "n", F.explode("posted").alias("token"))
+        .select("doc_id", F.explode("posted").alias("token"))
     )
 
     # Order 1: tokens posted by several documents, and documents with enough of them.
     shared = (
         postings.groupBy("token")
-        .agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("df"))
-        .where("lo < hi").select("token", "df")
+        .agg(F.count("*").alias("df")).where("df > 1")
     )
     own_tokens = Window.partitionBy("doc_id")
     # extra(need(n)): what the smallest possible partner asks for.
-    enough = F.expr(f"(({PERCENT} * n + 99) div 100 + 7) div 8")
+    enough = F.expr(f"(({PERCENT} * n + 99) div 100 + 11) div 12")
     # Order 2: the rarest of them.
     rare = stored(
         postings.join(shared, "token")
+        .join(checked_broadcast(own.select("doc_id", "n")), "doc_id")
         .withColumn("c", F.count("*").over(own_tokens))
         .withColumn("place", F.row_number().over(own_tokens.orderBy("df", "token")))
         .where((F.col("c") >= enough) & (F.col("place") <= F.col("c") - enough + 1))

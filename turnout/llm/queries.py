@@ -9,10 +9,12 @@ from turnout.llm import (
     decontaminate,
     fingerprints,
     jaccard_join,
+    quality,
     substrings,
     token_blocks,
     token_counts,
     toxicity,
+    wrappers,
 )
 from turnout.llm.tables import ship_package
 
@@ -39,10 +41,18 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_blocks.token_blocks(_table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.main_text(_table(spark, sf_dir, "pages"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
