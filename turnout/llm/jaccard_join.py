@@ -7,9 +7,9 @@ three orders:
 
 1. by token hash, with l a twelfth of the set: each document posts only about a third
    of its tokens, and stays only if enough of them occur in another document;
-2. those posted tokens, rarest first, with l = 1: the shared l tokens are themselves an
-   overlap to which the prefix rule applies again, so that the most common quarter of the
-   posted tokens, where passages shared by many documents are, makes no candidates;
+2. rarest first, with l = 1, on the whole sets of the documents that stay.  A passage that many
+   documents share makes candidates only of those that consist of such passages, and a document with
+   more than a quarter of its tokens to itself has no candidates at all;
 3. by token hash from the highest down, with l = 1, on the sets of a candidate pair.
 
 Before the sets of a pair meet, a bit for each token's hash, two bits or more a token,
@@ -17,8 +17,8 @@ bounds the overlap: a bit set for one document only stands for a token that the
 Pairs that pass are verified on the whole sets.
 
 Equal sets are one class, so copies cost nothing.  Candidates are first tied to one
-document of each token's group (twice, with another choice), and the verified links
-contracted; afterwards only pairs that share a rare token and lie in different
+document of each token's group (in ROUNDS rounds, each with another choice), and the verified
+links contracted; afterwards only pairs that share a rare token and lie in different
 components are made.  A large group of near copies thus takes about as many pairs as
 it has members, and no link that joins two components is missed.
 """
@@ -32,6 +32,7 @@ from turnout.llm.tables import checked_broadcast, lists, only, rows_of, stored
 from turnout.llm.words import set_hash, shingle_set
 
 PERCENT = 75
+ROUNDS = 4  # of candidates tied to one document of a group
 FLUSH = 1_000_000  # tokens in an output batch
 
 
@@ -120,21 +121,21 @@ FOLDED = """
 """
 
 
+def _room(x: str, y: str, n_x: str, n_y: str):
+    """Whether the bits ``x`` and ``y`` leave room for enough shared tokens."""
+    one, other = FOLDED.format(x=x, y=y), FOLDED.format(x=y, y=x)
+    most = f"least({n_x} - {ONLY.format(x=one, y=other)}, {n_y} - {ONLY.format(x=other, y=one)})"
+    return F.expr(f"transform(array({most}), m -> 100 * m >= {PERCENT} * ({n_x} + {n_y} - m))[0]")
+
+
 def _possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs whose bits leave room for enough shared tokens."""
     both = _sides(pairs, sets, "bits").where(_alike("n_a", "n_b"))
-    both = both.withColumns({
-        "f_a": F.expr(FOLDED.format(x="x_a", y="x_b")), "f_b": F.expr(FOLDED.format(x="x_b", y="x_a")),
-    }).withColumn("most", F.least(
-        F.col("n_a") - F.expr(ONLY.format(x="f_a", y="f_b")),
-        F.col("n_b") - F.expr(ONLY.format(x="f_b", y="f_a")),
-    ))
-    return both.where(f"100 * most >= {PERCENT} * (n_a + n_b - most)").select("a", "b")
+    return both.where(_room("x_a", "x_b", "n_a", "n_b")).select("a", "b")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (a, b) that share tokens in orders 1 and 3 and are similar on their whole sets."""
-    both = _sides(stored(_possible(pairs, sets)), sets, "tokens")
+    both = _sides(pairs, sets, "tokens")
 
     def first(side, order):
         size = f"int(n_{side} - ({PERCENT} * n_{side} + 99) div 100 + 1)"
@@ -173,6 +174,24 @@ def _labelled(rare: DataFrame, links: DataFrame) -> DataFrame:
     return stored(own.join(mixed, "token", "left_semi"))
 
 
+def _crossing_pairs(rest: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of different components that share a rare token and have room for enough others.
+
+    A pair comes once, from the first of the rare tokens that it shares.
+    """
+    own = rest.groupBy("doc_id").agg(F.collect_list("token").alias("tokens")).join(
+        sets.select("doc_id", "bits"), "doc_id"
+    )
+    rows = rest.join(own, "doc_id")
+    x, y = rows.alias("x"), rows.alias("y")
+    return x.join(
+        y, (F.col("x.token") == F.col("y.token"))
+        & (F.col("x.component") < F.col("y.component")) & _alike("x.n", "y.n")
+        & _room("x.bits", "y.bits", "x.n", "y.n")
+        & (F.col("x.token") == F.array_min(F.array_intersect("x.tokens", "y.tokens"))),
+    ).select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"))
+
+
 def similar_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5
 ) -> DataFrame:
@@ -214,35 +233,40 @@ def similar_groups(
         postings.groupBy("token")
         .agg(F.count("*").alias("df")).where("df > 1")
     )
-    own_tokens = Window.partitionBy("doc_id")
+    counted = postings.join(shared, "token").groupBy("doc_id").agg(F.count("*").alias("c"))
     # extra(need(n)): what the smallest possible partner asks for.
-    enough = F.expr(f"(({PERCENT} * n + 99) div 100 + 11) div 12")
-    # Order 2: the rarest of them.
-    rare = stored(
-        postings.join(shared, "token")
-        .join(checked_broadcast(own.select("doc_id", "n")), "doc_id")
-        .withColumn("c", F.count("*").over(own_tokens))
-        .withColumn("place", F.row_number().over(own_tokens.orderBy("df", "token")))
-        .where((F.col("c") >= enough) & (F.col("place") <= F.col("c") - enough + 1))
-        .select("doc_id", "n", "token")
+    chosen = stored(
+        counted.join(checked_broadcast(own.select("doc_id", "n")), "doc_id")
+        .where(f"c >= (({PERCENT} * n + 99) div 100 + 11) div 12").select("doc_id")
     )
-
-    chosen = stored(rare.select("doc_id").distinct())
     sets = only(texts, chosen).mapInArrow(_mapper(size, True), SETS)
     sets = stored(
         sets.join(own.select("doc_id", "h1", "h2"), ["doc_id", "h1", "h2"], "left_semi")
         .dropDuplicates(["doc_id"])
     )
-    links = stored(_verified(_star_pairs(rare, F.col("doc_id")), sets))
-    rest = _labelled(rare, links)
-    links = stored(links.union(_verified(_star_pairs(rest, F.xxhash64("doc_id")), sets)).distinct())
-    rest = _labelled(rest.drop("component"), links)
-    x, y = rest.alias("x"), rest.alias("y")
-    crossing = x.join(
-        y, (F.col("x.token") == F.col("y.token"))
-        & (F.col("x.component") < F.col("y.component")) & _alike("x.n", "y.n"),
-    ).select(F.col("x.doc_id").alias("p"), F.col("y.doc_id").alias("q"))
-    links = links.union(_verified(_ordered_pairs(crossing, "p", "q"), sets))
+
+    # Order 2: the rarest tokens of what stayed; tokens of one document alone come first of all.
+    whole = sets.select("doc_id", F.explode("tokens").alias("token"))
+    frequent = whole.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    own_tokens = Window.partitionBy("doc_id")
+    required = F.expr(f"({PERCENT} * n + 99) div 100")
+    rare = stored(
+        whole.join(frequent, "token")
+        .join(checked_broadcast(sets.select("doc_id", "n")), "doc_id")
+        .withColumn("c", F.count("*").over(own_tokens))
+        .withColumn("place", F.row_number().over(own_tokens.orderBy("df", "token")))
+        .where((F.col("c") >= required) & (F.col("place") <= F.col("c") - required + 1))
+        .select("doc_id", "n", "token")
+    )
+
+    links, rest = None, rare
+    for seed in range(ROUNDS):
+        key = F.xxhash64("doc_id", F.lit(seed)) if seed else F.col("doc_id")
+        pairs = stored(_possible(_star_pairs(rest, key), sets))
+        found = _verified(pairs, sets)
+        links = stored(found if links is None else links.union(found).distinct())
+        rest = _labelled(rest.select("doc_id", "n", "token"), links)
+    links = links.union(_verified(stored(_crossing_pairs(rest, sets)), sets))
 
     parts = components(links, "a", "b").withColumnRenamed("node", "class_id")
     return member.join(parts, "class_id", "left").select(
