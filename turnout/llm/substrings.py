@@ -7,7 +7,7 @@ window is counted too low, and neighbours mostly share a cell.  Each task sketch
 the partial sketches are added up block by block, and what leaves that step is one
 bit a cell: counted at least twice or not.
 
-A second pass groups, exactly and by 128-bit hashes, only the windows whose bits are set in both
+A second pass groups, exactly and by 96-bit hashes, only the windows whose bits are set in both
 rows of the sketch, and finds the first document of each.
 
 The sketch has at most ``MAX_CELLS`` cells a row, so the bits never exceed 64 MB.  On a larger
@@ -129,7 +129,8 @@ def repeated_cells(texts: DataFrame) -> tuple[np.ndarray, int]:
     return bits, cells
 
 
-WINDOWS = "doc_id long, version long, at int, h1 long, h2 long"
+#: ``place`` holds the version in its upper and the start of the window in its lower 32 bits.
+WINDOWS = "doc_id long, place long, h1 long, h2 int"
 
 
 def _suspects(bits, cells: int):
@@ -137,7 +138,7 @@ def _suspects(bits, cells: int):
     def flush(held):
         columns = [np.concatenate(x) for x in zip(*held, strict=True)]
         return pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in columns], ["doc_id", "version", "at", "h1", "h2"]
+            [pa.array(x) for x in columns], ["doc_id", "place", "h1", "h2"]
         )
 
     def run(batches):
@@ -152,13 +153,13 @@ def _suspects(bits, cells: int):
                 for row in range(ROWS):
                     at = _cells(keys, row, cells)
                     seen &= (set_bits[(row * cells + at) >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
-                at = np.flatnonzero(seen).astype(np.int32)
+                at = np.flatnonzero(seen)
                 if not len(at):
                     continue
                 h1, h2 = window_hashes(words, WINDOW)
                 held.append((
-                    np.full(len(at), doc_id), np.full(len(at), version), at,
-                    h1[at].view(np.int64), h2[at].view(np.int64),
+                    np.full(len(at), doc_id), (version << 32) | at, h1[at].view(np.int64),
+                    (h2[at] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32),
                 ))
                 count += len(at)
                 if count >= FLUSH:
@@ -173,21 +174,18 @@ def _suspects(bits, cells: int):
 def repeated_windows(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``version`` and ``starts``: where windows start that an earlier document holds.
 
-    ``docs`` has ``doc_id``, ``version`` (to tell apart rows that repeat an id) and ``text``.
+    ``docs`` has ``doc_id``, ``version`` (32 bits that tell apart rows that repeat an id) and ``text``.
     """
     bits, cells = repeated_cells(docs.select("text"))
     suspects = docs.where("doc_id is not null").mapInArrow(
         _suspects(shared_bytes(docs.sparkSession, bits), cells), WINDOWS
     )
     # Reduced before the shuffle: a passage that a third of the documents hold is one row a task.
-    first = (
-        suspects.groupBy("h1", "h2")
-        .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-        .where("first < last").drop("last")
-    )
+    first = suspects.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"))
     return (
         suspects.join(first, ["h1", "h2"]).where("doc_id > first")
-        .groupBy("doc_id", "version").agg(F.collect_set("at").alias("starts"))
+        .groupBy("doc_id", F.expr("int(place >> 32)").alias("version"))
+        .agg(F.collect_set(F.expr("int(place & 4294967295L)")).alias("starts"))
     )
 
 
@@ -241,7 +239,7 @@ def without_repeats(
     """
     texts = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
-    ).withColumn("version", F.xxhash64("text"))
+    ).withColumn("version", F.hash("text"))
     starts = stored(repeated_windows(texts))
     return (
         texts.join(starts, ["doc_id", "version"], "left").select("doc_id", "text", "starts")
@@ -255,7 +253,7 @@ def stripped(docs: DataFrame) -> DataFrame:
     A text that loses nothing stays as it is; of the others the kept words remain, joined by one
     space.
     """
-    versioned = docs.withColumn("_version", F.xxhash64("text"))
+    versioned = docs.withColumn("_version", F.hash("text"))
     starts = stored(repeated_windows(
         versioned.select("doc_id", F.col("_version").alias("version"), "text")
     )).select(F.col("doc_id").alias("_doc"), F.col("version").alias("_v"), F.col("starts").alias("_starts"))
