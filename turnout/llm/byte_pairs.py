@@ -20,8 +20,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from turnout.llm.chunks import PIECES, ByChunk, Kept
-from turnout.llm.tables import rows_of
+from turnout.llm.chunks import PIECES, TOGETHER, ByChunk, Memo
 
 NEVER = 1 << 62
 PAIRS = 1_000_000  # compatibilities that a worker remembers
@@ -44,7 +43,7 @@ class Encoder:
             self.automaton.add_word(token.decode("latin-1"), (len(token), rank))
         self.automaton.make_automaton()
         self._spines = {}
-        self._compatible = Kept(self._border_stays, PAIRS)
+        self._compatible = Memo(self._border_stays, PAIRS)
 
     def _halves(self, token: bytes) -> tuple[bytes, bytes]:
         """The two parts whose merge made the token."""
@@ -112,6 +111,9 @@ class Encoder:
             ids.extend(self.piece(piece.encode("utf-8", "replace")))
         return np.asarray(ids, "<u4").tobytes()
 
+    def encode_all(self, chunks: list[str]) -> list[bytes]:
+        return [self.encode(" " + chunk) for chunk in chunks]
+
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
@@ -120,17 +122,18 @@ class Encoder:
 def encoder(path: str) -> tuple[Encoder, ByChunk]:
     """One for each Python worker."""
     own = Encoder(read_ranks(path))
-    return own, ByChunk(own.encode)
+    return own, ByChunk(own.encode, own.encode_all)
 
 
 def _mapper(path: str, digest: bool):
     def run(batches):
         own, by_chunk = encoder(path)
         for batch in batches:
-            for start in range(0, batch.num_rows, 1000):
+            for start in range(0, batch.num_rows, TOGETHER):
                 held = ([], [], [], [])
-                for doc_id, text in rows_of(batch.slice(start, 1000), "doc_id", "text"):
-                    ids = by_chunk(text)
+                part = batch.slice(start, TOGETHER)
+                every = by_chunk(part.column("text").to_pylist())
+                for doc_id, ids in zip(part.column("doc_id").to_pylist(), every, strict=True):
                     back = own.decode(ids)
                     row = (doc_id, len(ids) // 4)
                     if digest:

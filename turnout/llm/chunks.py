@@ -11,43 +11,77 @@ from collections.abc import Callable
 import public_tokenizers
 import regex
 
-#: Distinct chunks that a Python worker remembers, and the longest of them.
-MOST, LONGEST = 400_000, 100
+#: Distinct chunks in a generation of what a Python worker remembers.
+MOST = 250_000
+#: Texts that are encoded together.
+TOGETHER = 64
 
-_UNSAFE = re.compile(r" \s|\s ")
+#: White space other than spaces and line ends.
+_OTHER = re.compile(r"[^\S \n]")
 #: Rust's white space is the Unicode property; Python's has four separators more.
 PIECES = regex.compile(public_tokenizers.PATTERN.replace(r"\s", r"\p{White_Space}").replace(
     r"\S", r"\P{White_Space}"
 ))
 
 
-class Kept(dict):
+def cut_at_spaces(text: str) -> bool:
+    """Whether no white space stands next to a space."""
+    return not ("  " in text or " \n" in text or "\n " in text or _OTHER.search(text))
+
+
+class Memo(dict):
     """Results of a function by its argument; starts anew when full."""
 
-    def __init__(self, make: Callable, most: int = MOST):
+    def __init__(self, make: Callable, most: int):
         self.make, self.most = make, most
 
     def __missing__(self, key):
-        value = self.make(key)
-        if len(key) <= LONGEST:
-            if len(self) >= self.most:
-                self.clear()
-            self[key] = value
+        if len(self) >= self.most:
+            self.clear()
+        value = self[key] = self.make(key)
         return value
 
 
+class Kept(dict):
+    """Results by argument, made for many arguments at once, in two generations.
+
+    A full generation becomes the old one, from which what is asked for again moves on, so that
+    frequent arguments stay and memory is bounded.
+    """
+
+    def __init__(self, make_all: Callable[[list], list], most: int = MOST):
+        self.make_all, self.most, self.old = make_all, most, {}
+
+    def learn(self, keys: set) -> None:
+        """Make sure that all of ``keys`` are here."""
+        new = keys - self.keys()
+        if not new:
+            return
+        if len(self) + len(new) > self.most:
+            self.old, new = dict(self), keys
+            self.clear()
+        known = {key: self.old[key] for key in new & self.old.keys()}
+        self.update(known)
+        rest = list(new - known.keys())
+        self.update(zip(rest, self.make_all(rest), strict=True))
+
+
 class ByChunk:
-    """``encode`` applied to a text, chunk by chunk; results are byte strings."""
+    """Byte strings for texts, from those of their chunks.
 
-    def __init__(self, encode: Callable[[str], bytes]):
+    ``encode_all`` takes chunks, each standing for itself with a space before it; ``encode`` a whole text.
+    """
+
+    def __init__(self, encode: Callable[[str], bytes], encode_all: Callable[[list[str]], list[bytes]]):
         self.encode = encode
-        self.after_space = Kept(lambda chunk: encode(" " + chunk))
-
-    def __call__(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if _UNSAFE.search(text):
-            return self.encode(text)
-        first, *rest = text.split(" ")
-        head = self.encode(first) if first else b""
-        return head + b"".join(map(self.after_space.__getitem__, rest))
+        self.after_space = Kept(encode_all)
+
+    def __call__(self, texts: list[str | None]) -> list[bytes]:
+        parts = [t.split(" ") if t and cut_at_spaces(t) else None for t in texts]
+        self.after_space.learn(set().union(*[p[1:] for p in parts if p]))
+        get = self.after_space.__getitem__
+        return [
+            (self.encode(p[0]) if p[0] else b"") + b"".join(map(get, p[1:])) if p
+            else self.encode(t) if t else b""
+            for t, p in zip(texts, parts, strict=True)
+        ]

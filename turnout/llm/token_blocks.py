@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 
-from turnout.llm.chunks import ByChunk
+from turnout.llm.chunks import TOGETHER, ByChunk
 from turnout.llm.tables import checked_broadcast, lists, rows_of, scratch_folder
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -126,9 +126,25 @@ def unpack(segment: bytes) -> np.ndarray:
 def _encoder(path: str) -> ByChunk:
     """One for each Python worker."""
     library = Tokenizer.from_file(path)
-    return ByChunk(
-        lambda text: np.asarray(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-    )
+    # The letter that stands for a space in byte-level vocabularies.
+    spaced = np.zeros(library.get_vocab_size(with_added_tokens=True), bool)
+    spaced[[i for token, i in library.get_vocab().items() if token.startswith("\u0120")]] = True
+
+    def encode(text):
+        (found,) = library.encode_batch_fast([text], add_special_tokens=False)
+        return np.asarray(found.ids, "<u4")
+
+    def encode_all(chunks):
+        # In one text: each chunk's ids start with the one that holds the space before it.
+        if not chunks:
+            return []
+        ids = encode(" " + " ".join(chunks))
+        starts = np.flatnonzero(spaced[ids])
+        if len(starts) != len(chunks):
+            return [encode(" " + chunk).tobytes() for chunk in chunks]
+        return [part.tobytes() for part in np.split(ids, starts[1:])]
+
+    return ByChunk(lambda text: encode(text).tobytes(), encode_all)
 
 
 SEGMENTS = "part int, seq int, n_ids long, doc_ids array<long>, sizes array<long>, payload binary"
@@ -150,14 +166,16 @@ def _segments(path: str):
             ], ["part", "seq", "n_ids", "doc_ids", "sizes", "payload"])
 
         for batch in batches:
-            for doc_id, text in rows_of(batch, "doc_id", "text"):
-                ids = encode(text) + end
-                held[0].append(doc_id)
-                held[1].append(ids)
-                size += len(ids) // 4
-                if size >= SEGMENT:
-                    yield segment()
-                    held, size, seq = ([], []), 0, seq + 1
+            for start in range(0, batch.num_rows, TOGETHER):
+                some = batch.slice(start, TOGETHER)
+                every = encode(some.column("text").to_pylist())
+                for doc_id, ids in zip(some.column("doc_id").to_pylist(), every, strict=True):
+                    held[0].append(doc_id)
+                    held[1].append(ids + end)
+                    size += len(ids) // 4 + 1
+                    if size >= SEGMENT:
+                        yield segment()
+                        held, size, seq = ([], []), 0, seq + 1
         if held[0]:
             yield segment()
 

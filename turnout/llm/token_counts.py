@@ -8,6 +8,7 @@ are pushed.  The count is the number of symbols less the number of merges.
 import functools
 import heapq
 import json
+import os
 import re
 
 import public_tokenizers
@@ -16,8 +17,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from turnout.llm.chunks import Kept
-from turnout.llm.tables import rows_of
+from turnout.llm.chunks import TOGETHER, Kept
 
 VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
@@ -45,7 +45,8 @@ class Counter:
         self.library = Tokenizer.from_file(path)
         self.pattern = regex.compile(pre[0]["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}"))
         names = [t["content"] for t in spec["added_tokens"]]
-        self.special = re.compile("|".join(map(re.escape, names))) if names else None
+        self.special = re.compile("|".join(map(re.escape, names)) or r"(?!)")
+        self.hint = os.path.commonprefix(names)  # quick to look for
         number = model["vocab"]
         letters, end = _byte_letters(), model["end_of_word_suffix"] or ""
         self.inner = [number[letters[b]] for b in range(256)]
@@ -55,7 +56,7 @@ class Counter:
             a, b = merge.split(" ") if isinstance(merge, str) else merge
             self.rank[number[a] << SHIFT | number[b]] = rank
             self.made.append(number[a + b])
-        self.kept = Kept(self.chunk)
+        self.kept = Kept(lambda chunks: [self.chunk(c) for c in chunks])
 
     def word(self, data: bytes) -> int:
         """Symbols less merges of one word."""
@@ -96,18 +97,19 @@ class Counter:
         plain = chunk.lower() if chunk.isascii() else self.library.normalizer.normalize_str(chunk)
         return sum(self.word(w.encode("utf-8", "replace")) for w in self.pattern.findall(plain))
 
-    def _ordinary(self, text: str) -> int:
-        if _ODD.search(text):
-            return self.chunk(text)
-        return sum(map(self.kept.__getitem__, text.split()))
-
-    def __call__(self, text: str | None) -> int:
-        if not text:
-            return 0
-        if not self.special or not self.special.search(text):
-            return self._ordinary(text)
-        parts = self.special.split(text)
-        return len(parts) - 1 + sum(self._ordinary(part) for part in parts)
+    def __call__(self, texts: list[str | None]) -> list[int]:
+        """Tokens of each text; those of its words are looked up, or made if they are new."""
+        counts, words = [], []
+        for text in texts:
+            parts = [text or ""]
+            if self.hint in parts[0]:
+                parts = self.special.split(parts[0])
+            odd = [part for part in parts if _ODD.search(part)]
+            counts.append(len(parts) - 1 + sum(map(self.chunk, odd)))
+            words.append([w for part in parts if part not in odd for w in part.split()])
+        self.kept.learn(set().union(*words))
+        get = self.kept.__getitem__
+        return [n + sum(map(get, w)) for n, w in zip(counts, words, strict=True)]
 
 
 @functools.lru_cache(maxsize=2)
@@ -120,12 +122,11 @@ def _counted(path: str, limit: int):
     def run(batches):
         count = counter(path)
         for batch in batches:
-            ids, tokens = [], []
-            for doc_id, text in rows_of(batch, "doc_id", "text"):
-                ids.append(doc_id)
-                tokens.append(count(text))
+            tokens = []
+            for start in range(0, batch.num_rows, TOGETHER):
+                tokens += count(batch.column("text").slice(start, TOGETHER).to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), batch.column("n_bytes"), pa.array(tokens, pa.int64()),
+                [batch.column("doc_id"), batch.column("n_bytes"), pa.array(tokens, pa.int64()),
                  pa.array([n > limit for n in tokens], pa.bool_())],
                 ["doc_id", "n_bytes", "n_tokens", "over_limit"],
             )
