@@ -202,6 +202,20 @@ select {key}, coalesce(array_to_string(list_sort(list(distinct {value})
  count(distinct {value}) as {count_name} from raw group by {key} {having}""")
 
 
+def pairs(key: str, value: str, count_name: str, only: bool = True) -> str:
+    kept = f"n > 1 and r.{value} is not null" if only else f"(r.{value} is not null or n = 0)"
+    return on("raw", f"""
+select distinct r.{key}, r.{value}, n as {count_name} from raw r
+ join (select {key}, count(distinct {value}) as n from raw group by {key}) k
+ on r.{key} is not distinct from k.{key} where {kept}""")
+
+
+def required(columns) -> str:
+    return "select CAD_EVNT_ID, " + ", ".join(
+        f"case when {ts(c) if c.endswith('_TS') else c} is null then 'missing' else 'ok' end "
+        f"as {c}_status" for c in columns) + " from "
+
+
 def status(c: str, readable: str) -> str:
     return (
         f"case when {c} is null then 'missing' when not coalesce({readable}, false) "
@@ -239,10 +253,13 @@ def profiling() -> dict[str, str]:
         "raw_desc_to_codes": violations("TYP_DESC", "RADIO_CODE", "RADIO_CODES", "num_codes"),
         "raw_code_to_descs": violations("RADIO_CODE", "TYP_DESC", "TYP_DESCS", "num_descs"),
         "raw_desc_to_severity": violations("TYP_DESC", "CIP_JOBS", "CIP_JOBS_set", "num_CIP_JOBS"),
-        "raw_desc_to_codes_pairs": on("raw", """
-select distinct r.TYP_DESC, r.RADIO_CODE, n as num_codes from raw r
- join (select TYP_DESC, count(distinct RADIO_CODE) as n from raw group by TYP_DESC) k
- on r.TYP_DESC is not distinct from k.TYP_DESC where n > 1 and r.RADIO_CODE is not null"""),
+        "raw_desc_to_codes_pairs": pairs("TYP_DESC", "RADIO_CODE", "num_codes"),
+        "raw_code_to_descs_pairs": pairs("RADIO_CODE", "TYP_DESC", "num_descs"),
+        "raw_desc_to_severity_pairs": pairs("TYP_DESC", "CIP_JOBS", "num_CIP_JOBS"),
+        "raw_desc_severity_map_pairs": pairs("TYP_DESC", "CIP_JOBS", "num_CIP_JOBS", only=False),
+        "raw_desc_violation_counts": on("raw", """
+select TYP_DESC, count(distinct RADIO_CODE) as num_codes from raw group by TYP_DESC
+ having count(distinct RADIO_CODE) > 1"""),
         "raw_desc_severity_map": violations(
             "TYP_DESC", "CIP_JOBS", "CIP_JOBS_set", "num_CIP_JOBS", only=False),
         "raw_missing_desc": on("raw", "select distinct RADIO_CODE, TYP_DESC from raw "
@@ -255,6 +272,12 @@ select distinct r.TYP_DESC, r.RADIO_CODE, n as num_codes from raw r
             f"{b}({date(c)}) as {b}_{c}" for c in ("CREATE_DATE", "INCIDENT_DATE")
             for b in ("min", "max")) + " from raw"),
         "raw_late_incidents": on("raw", f"select * from late where {late_gap} > 60", late),
+        "raw_late_incidents_count": on(
+            "raw", "select count(*) as num_rows, cast(coalesce(sum(1), 0) as bigint) "
+            f"as num_rows_summed from late where {late_gap} > 60", late),
+        "raw_late_incidents_first": on(
+            "raw", f"select * from late where {late_gap} > 60 order by "
+            + ", ".join(f"{c} asc nulls last" for c in RAW_LIST) + " limit 10", late),
         "raw_late_incidents_strict": on(
             "raw", "select count(*) as num_rows, cast(coalesce(sum(1), 0) as bigint) "
             "as num_rows_summed from late where INCIDENT_TS_FORMATTED > ADD_TS_FORMATTED", late),
@@ -263,10 +286,12 @@ select distinct r.TYP_DESC, r.RADIO_CODE, n as num_codes from raw r
         "raw_dispatch_before_add": on(
             "raw", f"select count(*) as num_violations from raw "
             f"where {ts('DISP_TS')} < {ts('ADD_TS')}"),
-        "raw_required_status": on("raw", "select CAD_EVNT_ID, " + ", ".join(
-            f"case when {ts(c) if c.endswith('_TS') else c} is null then 'missing' else 'ok' end "
-            f"as {c}_status" for c in
-            ("CAD_EVNT_ID", "ARRIVD_TS", "CLOSNG_TS", "RADIO_CODE", "TYP_DESC")) + " from raw"),
+        "raw_required_status": on("raw", required(
+            ("CAD_EVNT_ID", "ARRIVD_TS", "CLOSNG_TS", "RADIO_CODE", "TYP_DESC")) + "raw"),
+        "raw_required_status_patrol": on("raw", required((
+            "CAD_EVNT_ID", "ARRIVD_TS", "CLOSNG_TS", "PATRL_BORO_NM", "RADIO_CODE", "TYP_DESC",
+        )) + "patrol", """patrol as (select *, case when try_cast(CAD_EVNT_ID as bigint) % 53 = 0
+            then null else 'PATROL ' || BORO_NM end as PATRL_BORO_NM from raw)"""),
         "raw_domain_status": on("raw", """
 select CAD_EVNT_ID, BORO_NM, case when BORO_NM not in
  ('AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST') then 'invalid' else 'ok' end
@@ -310,6 +335,7 @@ def cleaning() -> dict[str, str]:
         "etl_clean": on("cleaned", "select * from cleaned"),
         "etl_scope": on("scoped", "select * from scoped"),
         "etl_normalize": on("normalized", "select * from normalized"),
+        "etl_normalize_from_text": on("normalized", "select * from normalized"),
         "etl_hms_wrap24": on("typed", "select CAD_EVNT_ID, " + ", ".join(
             f"{hms_wrapped(n + '_SEC')} as {n}" for n in DURATIONS) + " from typed"),
     }
@@ -458,6 +484,12 @@ def grouped_queries() -> dict[str, str]:
         "borough_profile": on(n, AREA_OUT, area(n, "BORO_NM")),
         "borough_profile_seconds": on(n, metric("BORO_NM", "response")),
         "borough_detail": on(n, DETAIL_OUT, detail(n, "BORO_NM")),
+        "borough_detail_by_borough": on(n, DETAIL_OUT + " order by BORO_NM nulls last, "
+            "AVG_RESPONSE_SEC desc, RADIO_CODE_PREFIX nulls last, CIP_JOBS nulls last",
+            detail(n, "BORO_NM")),
+        "borough_detail_by_type": on(n, DETAIL_OUT + " order by TYP_DESC nulls last, "
+            "CIP_JOBS nulls last, AVG_RESPONSE_SEC desc, BORO_NM nulls last, "
+            "RADIO_CODE_PREFIX nulls last", detail(n, "BORO_NM")),
         "precinct_profile": on(n, AREA_OUT, area(n, PCT)),
         "precinct_profile_seconds": on(n, metric(PCT, "response")),
         "precinct_detail": on(n, DETAIL_OUT, detail(n, PCT)),
@@ -500,9 +532,13 @@ def rank(direction: str) -> str:
 RANKED = (
     f"ranked as (select *, {rank('asc')} as RANK_FAST, {rank('desc')} as RANK_SLOW from detail)"
 )
-PICKED = """picked as (
- select *, 'TOP_5_FASTEST' as GROUP_TYPE from ranked where RANK_FAST <= 5
- union all select *, 'BOTTOM_5_SLOWEST' as GROUP_TYPE from ranked where RANK_SLOW <= 5)"""
+def picked(k: int) -> str:
+    return f"""picked as (
+ select *, 'TOP_{k}_FASTEST' as GROUP_TYPE from ranked where RANK_FAST <= {k}
+ union all select *, 'BOTTOM_{k}_SLOWEST' as GROUP_TYPE from ranked where RANK_SLOW <= {k})"""
+
+
+PICKED = picked(5)
 PICKED_OUT = (
     "select * exclude (RANK_FAST, RANK_SLOW), "
     f"{texts(DETAIL_STATS, RESPONSE, upper=True)} from picked"
@@ -527,6 +563,7 @@ def ranking() -> dict[str, str]:
     return {
         "precinct_ranks": on(n, "select * from ranked", detail(n, PCT), RANKED),
         "precinct_top_bottom": on(n, PICKED_OUT, detail(n, PCT), RANKED, PICKED),
+        "precinct_top_bottom_3": on(n, PICKED_OUT, detail(n, PCT), RANKED, picked(3)),
         "slowest_precincts": precincts("response", "desc"),
         "fastest_precincts": precincts("response", "asc"),
         "slowest_dispatch": precincts("dispatch", "desc"),
@@ -552,10 +589,14 @@ def minutes(seconds: str) -> str:
 def charts() -> dict[str, str]:
     n = "normalized"
     regions = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
-    cells = ", ".join(
-        f"round(avg(case when BORO_NM = '{r}' then {minutes('AVG_RESPONSE_SEC')} end), 6) "
-        f'as "{r}"' for r in regions
-    )
+    def cell(condition, name):
+        return f'round(avg(case when {condition} then {minutes("AVG_RESPONSE_SEC")} end), 6) as "{name}"'
+
+    def cells(listed):
+        names = ", ".join(f"'{r}'" for r in listed)
+        return ", ".join([cell(f"BORO_NM = '{r}'", r) for r in listed] + [
+            cell(f"coalesce(BORO_NM not in ({names}), true)", "OTHER_BOROUGHS")])
+
     order = ("case CIP_JOBS when 'CRITICAL' then 0 when 'SERIOUS' then 1 "
              "when 'NON CRITICAL' then 2 else 3 end")
     title = "TYP_DESC || ' (' || CIP_JOBS || ')' as TITLE"
@@ -568,19 +609,25 @@ def charts() -> dict[str, str]:
     return {
         "chart_borough": on(n, f"select BORO_NM, {minutes('AVG_RESPONSE_SEC')} as AVG_MIN, "
                             "NUM_RECORDS from area", area(n, "BORO_NM")),
-        "chart_pair_matrix": on(n, f"""
+        **{name: on(n, f"""
+select TYP_DESC || ' | ' || CIP_JOBS as INCIDENT_PAIR, cast({order} as integer) as SEVERITY_ORDER,
+ {cells(listed)} from detail where {known} group by TYP_DESC, CIP_JOBS""", detail(n, "BORO_NM"))
+           for name, listed in (("chart_pair_matrix", regions), ("chart_pair_matrix_other", regions[:3]))},
+        "chart_pair_cells": on(n, f"""
 select TYP_DESC || ' | ' || CIP_JOBS as INCIDENT_PAIR, cast({order} as integer) as SEVERITY_ORDER,
- {cells} from detail where {known} group by TYP_DESC, CIP_JOBS""", detail(n, "BORO_NM")),
+ BORO_NM, round(avg({minutes('AVG_RESPONSE_SEC')}), 6) as AVG_MIN
+ from detail where {known} group by TYP_DESC, CIP_JOBS, BORO_NM""", detail(n, "BORO_NM")),
         "chart_precinct_points": on(
             n, "select BORO_NM, NYPD_PCT_CD, NUM_RECORDS, "
             f"{minutes('AVG_RESPONSE_SEC')} as AVG_MIN from area", area(n, PCT)),
         "chart_facets": on(n, f"select distinct TYP_DESC, CIP_JOBS, {title} from picked "
                            f"where {known}", detail(n, PCT), RANKED, PICKED),
-        "chart_ranked_facets": on(n, f"""
+        **{name: on(n, f"""
 select {title}, cast(NYPD_PCT_CD as varchar) as PRECINCT,
  {minutes('AVG_RESPONSE_SEC')} as AVG_MIN,
- case GROUP_TYPE when 'TOP_5_FASTEST' then 'green' else 'red' end as COLOUR
- from picked where {known}""", detail(n, PCT), RANKED, PICKED),
+ case GROUP_TYPE when 'TOP_{k}_FASTEST' then 'green' else 'red' end as COLOUR
+ from picked where {known}""", detail(n, PCT), RANKED, picked(k))
+           for name, k in (("chart_ranked_facets", 5), ("chart_ranked_facets_3", 3))},
         "chart_severity": on(n, f"select CIP_JOBS, {minutes('avg_response_sec')} as AVG_MIN, "
                              "num_records from severity", severity(n)),
         "chart_severity_stack": on(

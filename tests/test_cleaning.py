@@ -219,22 +219,34 @@ def test_stored_codes_give_the_same_table(spark):
         map(str, clean(df).collect()))
 
 
-def test_daylight_saving_gap_in_another_zone(spark):
-    # 02:30 does not exist on this day in New York; parsing shifts it, and
-    # durations stay what the clock of that zone says.
+def test_stage_reads_alike_in_another_zone(spark, tmp_path):
     zone = spark.conf.get("spark.sql.session.timeZone")
-    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    night = {
+        "ADD_TS": "03/09/2025 01:59:00 AM", "DISP_TS": "03/09/2025 02:01:00 AM",
+        "ARRIVD_TS": "03/09/2025 03:01:00 AM", "INCIDENT_DATE": "03/09/2025",
+        "INCIDENT_TIME": "01:58:00",
+    }
+
+    def seen():
+        return [tuple(r) for r in spark.read.parquet(str(tmp_path / "stage")).select(
+            "RESPONSE_TIME_SEC", "DISPATCH_DELAY_SEC", F.hour("ADD_TS"), F.hour("DISP_TS"),
+            F.col("ARRIVD_TS").cast("string")).collect()]
+
     try:
-        row = clean(calls(spark, {
-            "ADD_TS": "03/09/2025 01:59:00 AM", "DISP_TS": "03/09/2025 01:59:30 AM",
-            "ARRIVD_TS": "03/09/2025 03:01:00 AM", "INCIDENT_DATE": "03/09/2025",
-            "INCIDENT_TIME": "01:58:00",
-        })).first()
-        assert row.RESPONSE_TIME_SEC == 120
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        clean(calls(spark, night)).write.parquet(str(tmp_path / "stage"))
+        there = seen()
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        assert there == seen() == [(3720, 120, 1, 2, "2025-03-09 03:01:00")]
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
 
 
+def test_normalizing_again_changes_no_type(spark):
+    once = normalize(clean(calls(spark, {})))
+    assert normalize(once).drop("INCIDENT_TIME").collect() == once.drop("INCIDENT_TIME").collect()
+
+
 # --- invariants on the derived table --------------------------------------
 
 def test_rows_in_are_rows_out_plus_rejected(spark, small):

@@ -29,11 +29,27 @@ def test_parse_ts_is_strict_and_never_raises(spark):
     ]
 
 
-def test_parsing_again_changes_nothing(spark):
-    df = spark.sql("select date'2025-01-31' as d, timestamp'2025-01-31 13:00:00' as t")
-    row = df.select(fn.parse_date("d").alias("d"), fn.parse_ts("t").alias("t")).first()
-    assert row.d == dt.date(2025, 1, 31)
-    assert row.t == dt.datetime(2025, 1, 31, 13)
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+@pytest.mark.parametrize("start, end, seconds", [
+    # The night in March when New York has no 02:30, and the one in November when it has two.
+    ("03/09/2025 01:30:00 AM", "03/09/2025 03:10:00 AM", 6000),
+    ("03/09/2025 01:30:00 AM", "03/09/2025 02:10:00 AM", 2400),
+    ("11/02/2025 12:30:00 AM", "11/02/2025 02:30:00 AM", 7200),
+    ("11/02/2025 01:30:00 AM", "11/02/2025 01:10:00 AM", -1200),
+])
+def test_durations_are_those_of_the_clock_in_any_zone(spark, zone, start, end, seconds):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame([(start, end)], "a string, b string")
+        row = df.select(
+            fn.elapsed_seconds(fn.parse_ts("a"), fn.parse_ts("b")).alias("s"),
+            fn.parse_ts("b").cast("string").alias("t"),
+        ).first()
+        assert row.s == seconds
+        assert row.t[11:16] == dt.datetime.strptime(end, "%m/%d/%Y %I:%M:%S %p").strftime("%H:%M")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
 
 
 def test_incident_ts(spark):

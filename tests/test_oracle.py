@@ -5,10 +5,12 @@ from concurrent.futures import ThreadPoolExecutor
 import pytest
 
 import __spark_entry__ as contract
+from oracle import statements
 from tests.compare import connect, duck_rows, spark_rows, type_differences
+from turnout.plans import catalog
 
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
+QUERIES = catalog.build()
+SQL = statements()
 
 NOT_IN_A_PLAN = (
     "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "Cartesian", "BroadcastNestedLoopJoin",
@@ -50,5 +52,10 @@ def test_query_matches(results, con, name):
     assert [operator for operator in NOT_IN_A_PLAN if operator in plan] == []
 
 
+def test_contract_has_every_query():
+    assert set(QUERIES) <= set(contract.queries())
+    assert SQL.items() <= contract.oracle_sql().items()
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() == 5

@@ -25,11 +25,20 @@ def test_dedup_limits_groups_before_the_shuffle(spark, small):
     assert last < text.index("Exchange hashpartitioning(CAD_EVNT_ID") < first
 
 
-def test_top_bottom_limits_each_list_before_the_shuffle(spark, small):
-    text = plan(ranking.precinct_ranked(catalog.line_calls(spark, small)))
+def test_top_bottom_of_rows_limits_each_list_before_the_shuffle(spark, small):
+    rows = catalog.line_calls(spark, small)
+    text = plan(ranking.top_bottom_k(
+        rows, ["CIP_JOBS"], "RESPONSE_TIME_SEC", ties=["BORO_NM", "NYPD_PCT_CD", "CAD_EVNT_ID"]
+    ))
     assert text.count("WindowGroupLimit") == 4
 
 
+def test_ranked_mart_counts_once(spark, small):
+    text = plan(ranking.precinct_ranked(catalog.line_calls(spark, small)))
+    assert "Union" not in text
+    assert text.count("Scan parquet") == 6  # one of each table
+
+
 def test_codes_are_numbered_without_a_single_partition(spark, tmp_path):
     spark.range(1000).select(F.col("id").cast("string").alias("TYP_DESC")).write.parquet(
         str(tmp_path / "t"))

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from turnout.operators import charts as c, profiles as p, ranking as r
+from turnout.sources.bindings import line_calls
 
 CALLS = ("BORO_NM string, NYPD_PCT_CD int, RADIO_CODE string, TYP_DESC_ENUM bigint, "
          "CIP_JOBS string, ADD_TS timestamp, RESPONSE_TIME_SEC bigint, "
@@ -202,6 +203,39 @@ def test_top_k(spark):
 
 # --- chart tables ---------------------------------------------------------
 
+def test_pair_matrix_keeps_unlisted_boroughs(spark):
+    mart = spark.createDataFrame([
+        ("Q", "t", "CRITICAL", "00:02:00"), ("E", "t", "CRITICAL", "00:04:00"),
+        (None, "t", "CRITICAL", "00:08:00"), ("E", "u", "CRITICAL", "00:01:00"),
+    ], "BORO_NM string, TYP_DESC string, CIP_JOBS string, AVG_RESPONSE_TIME string")
+    assert [tuple(x) for x in c.chart_pair_matrix(mart, ["Q"]).collect()] == [
+        ("t | CRITICAL", 0, 2.0, 6.0), ("u | CRITICAL", 0, None, 1.0),
+    ]
+    assert [tuple(x) for x in c.chart_pair_cells(mart).collect()] == [
+        ("t | CRITICAL", 0, "E", 4.0), ("t | CRITICAL", 0, "Q", 2.0), ("t | CRITICAL", 0, None, 8.0),
+        ("u | CRITICAL", 0, "E", 1.0),
+    ]
+
+
+def test_tags_and_colours_follow_k(spark, small):
+    mart = r.precinct_ranked(line_calls(spark, small), k=3)
+    assert {x.GROUP_TYPE for x in mart.select("GROUP_TYPE").distinct().collect()} == {
+        "TOP_3_FASTEST", "BOTTOM_3_SLOWEST",
+    }
+    assert {x.COLOUR for x in c.chart_ranked_facets(mart).select("COLOUR").distinct().collect()} == {
+        "green", "red",
+    }
+
+
+def test_listings_are_ordered(spark, small):
+    rows = p.borough_listing(line_calls(spark, small), "type").collect()
+    keys = [(x.TYP_DESC, x.CIP_JOBS, -x.AVG_RESPONSE_SEC) for x in rows]
+    assert keys == sorted(keys)
+    rows = p.borough_listing(line_calls(spark, small), "borough").collect()
+    keys = [(x.BORO_NM, -x.AVG_RESPONSE_SEC) for x in rows]
+    assert keys == sorted(keys)
+
+
 def test_pair_matrix(spark):
     mart = spark.createDataFrame([
         ("Q", "t", "NON CRITICAL", "00:01:00"), ("Q", "t", "CRITICAL", "00:02:00"),
@@ -210,7 +244,8 @@ def test_pair_matrix(spark):
     ], "BORO_NM string, TYP_DESC string, CIP_JOBS string, AVG_RESPONSE_TIME string")
     rows = [tuple(x) for x in c.chart_pair_matrix(mart, ["B", "Q"]).collect()]
     assert rows == [
-        ("t | CRITICAL", 0, 4.5, 2.0), ("t | NON CRITICAL", 2, None, 1.0), ("s | OTHER", 3, None, 3.0),
+        ("t | CRITICAL", 0, 4.5, 2.0, None), ("t | NON CRITICAL", 2, None, 1.0, None),
+        ("s | OTHER", 3, None, 3.0, None),
     ]
 
 

@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from turnout import sources
 from turnout.plans import MART_NAMES, build_marts, clean, normalize, run_stages, scope
 from turnout.plans.catalog import raw_calls
@@ -34,8 +36,23 @@ def test_raw_csv_without_schema_or_with_inference(spark, tmp_path):
 def test_csv_of_the_older_export(spark, tmp_path):
     line = "1,01/05/2025,01/05/2025,10:00:00,14,QUEENS,PATROL QUEENS,34S1,t,CRITICAL,a,b,c,d"
     (tmp_path / "raw.csv").write_text(",".join(RAW_WITH_PATROL.names) + "\n" + line + "\n")
-    row = sources.read_raw_csv(spark, str(tmp_path / "raw.csv"), RAW_WITH_PATROL).first()
-    assert (row.PATRL_BORO_NM, row.RADIO_CODE) == ("PATROL QUEENS", "34S1")
+    path = str(tmp_path / "raw.csv")
+    for df in (sources.read_raw_csv(spark, path, RAW_WITH_PATROL), sources.read_raw_csv(spark, path)):
+        row = df.first()
+        assert (row.PATRL_BORO_NM, row.RADIO_CODE, row.CLOSNG_TS) == ("PATROL QUEENS", "34S1", "d")
+    assert "PATRL_BORO_NM" not in sources.read_raw_csv(spark, path, extra="drop").columns
+
+
+def test_csv_columns_land_by_name(spark, tmp_path):
+    path = str(tmp_path / "raw.csv")
+    (tmp_path / "raw.csv").write_text("BORO_NM, cad_evnt_id ,MORE,ADD_TS\nQUEENS,7,x,t\nBRONX\n")
+    df = sources.read_raw_csv(spark, path)
+    assert df.columns == [*RAW.names, "MORE"]
+    rows = [(r.CAD_EVNT_ID, r.BORO_NM, r.ADD_TS, r.TYP_DESC, r.MORE) for r in df.collect()]
+    assert rows == [("7", "QUEENS", "t", None, "x"), (None, "BRONX", None, None, None)]
+    (tmp_path / "bad.csv").write_text("BORO_NM,ADD_TS\nQUEENS,t\n")
+    with pytest.raises(ValueError, match="CAD_EVNT_ID"):
+        sources.read_raw_csv(spark, str(tmp_path / "bad.csv"))
 
 
 def test_csv_round_trip(spark, small, tmp_path):

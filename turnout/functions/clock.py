@@ -1,7 +1,9 @@
 """Date, time and duration expressions.
 
-Bad text becomes null and never raises, also under ANSI mode, and durations are
-handled as whole seconds, so no duration depends on the session time zone.
+Bad text becomes null and never raises, also under ANSI mode.  Timestamps have no time zone:
+they are what the clock on the wall said, 02:30 on any night included.  Durations are the
+whole seconds between two such readings.  Neither depends on the session time zone, so a stage
+reads alike wherever it was written.
 """
 
 from pyspark.sql import Column, functions as F
@@ -15,26 +17,37 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _wall_clock(text: Column, pattern: str) -> Column:
+    """Timestamp without zone from text, read as if in UTC, where every clock reading exists."""
+    instant = F.try_to_timestamp(F.concat(text, F.lit(" +0000")), F.lit(f"{pattern} xx"))
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return start + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.unix_timestamp(instant))
+
+
 def parse_date(c) -> Column:
-    """Date from ``MM/dd/yyyy`` text; a typed date passes through."""
-    return F.try_to_timestamp(_col(c), F.lit(DATE_FORMAT)).cast("date")
+    """Date from ``MM/dd/yyyy`` text."""
+    return _wall_clock(_col(c), DATE_FORMAT).cast("date")
 
 
 def parse_ts(c) -> Column:
-    """Timestamp from 12-hour text; a typed timestamp passes through."""
-    return F.try_to_timestamp(_col(c), F.lit(STAMP_FORMAT))
+    """Timestamp from 12-hour text."""
+    return _wall_clock(_col(c), STAMP_FORMAT)
 
 
 def incident_ts(date, time) -> Column:
     """Timestamp from a date text and a 24-hour time text, null if either is missing."""
-    return F.try_to_timestamp(
-        F.concat_ws(" ", _col(date), _col(time)), F.lit(f"{DATE_FORMAT} {TIME_FORMAT}")
-    )
+    return _wall_clock(F.concat(_col(date), F.lit(" "), _col(time)), f"{DATE_FORMAT} {TIME_FORMAT}")
 
 
 def elapsed_seconds(start, end) -> Column:
-    """Whole seconds from start to end, negative when end comes first."""
-    return F.unix_timestamp(_col(end)) - F.unix_timestamp(_col(start))
+    """Whole seconds on the clock from start to end, negative when end comes first."""
+    start, end = _col(start), _col(end)
+
+    def of_day(ts):
+        return F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+
+    days = F.datediff(end.cast("date"), start.cast("date")).cast("bigint")
+    return days * DAY + (of_day(end) - of_day(start))
 
 
 def format_hms(seconds: str, wrap24: bool = False) -> Column:
@@ -74,7 +87,9 @@ def hms_to_minutes(text: str) -> Column:
 
 def time_to_12h(c) -> Column:
     """``23:05:06`` -> ``11:05:06 PM``; anything that is no time becomes null."""
-    return F.date_format(F.try_to_timestamp(_col(c), F.lit(TIME_FORMAT)), "hh:mm:ss a")
+    # On a day without a change of the clock in any zone.
+    instant = F.try_to_timestamp(F.concat(F.lit("2000-01-15 "), _col(c)), F.lit(f"yyyy-MM-dd {TIME_FORMAT}"))
+    return F.date_format(instant, "hh:mm:ss a")
 
 
 def is_time_text(c) -> Column:

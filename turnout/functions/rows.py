@@ -21,10 +21,14 @@ def normalize_text(df: DataFrame, columns=TEXT_COLUMNS) -> DataFrame:
     return df.withColumns({c: normalized_text(c) for c in columns})
 
 
-def calendar_parts(df: DataFrame, ts: str = "ADD_TS") -> DataFrame:
-    """Add hour of day, month and weekday (``Mon`` ... ``Sun``) of a timestamp."""
-    return df.withColumns({
-        "hour_of_day": F.hour(ts),
-        "month": F.month(ts),
-        "day_of_week": F.date_format(ts, "E"),
-    })
+#: Hour of day, month and weekday (``Mon`` ... ``Sun``) of a timestamp.
+CALENDAR = {
+    "hour_of_day": F.hour,
+    "month": F.month,
+    "day_of_week": lambda ts: F.date_format(ts, "E"),
+}
+
+
+def calendar_parts(df: DataFrame, ts: str = "ADD_TS", parts=tuple(CALENDAR)) -> DataFrame:
+    """Add the calendar parts of a timestamp."""
+    return df.withColumns({part: CALENDAR[part](ts) for part in parts})

@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, functions as F
 from turnout.functions import hms_to_minutes, pair_label
 from turnout.schema import BOROUGHS, FASTEST, SEVERITIES, SLOWEST
 
-COLOURS = {FASTEST: "green", SLOWEST: "red"}
+# By the beginning of a tag, which names the side whatever the k in it.
+COLOURS = {FASTEST.split("{")[0]: "green", SLOWEST.split("{")[0]: "red"}
+OTHER_BOROUGHS = "OTHER_BOROUGHS"
 
 
 def chart_borough(mart: DataFrame) -> DataFrame:
@@ -21,28 +23,46 @@ def chart_borough(mart: DataFrame) -> DataFrame:
     )
 
 
-def chart_pair_matrix(mart: DataFrame, boroughs=BOROUGHS, severities=SEVERITIES) -> DataFrame:
-    """Mean minutes with one row per type and severity and one column per borough.
+def chart_pair_cells(mart: DataFrame, severities=SEVERITIES) -> DataFrame:
+    """Mean minutes with one row per type, severity and borough, whatever boroughs there are.
 
     The mean runs over the mart's rows, unweighted.  Rows go by severity (any
-    unlisted one last) and type; a pair with a missing part has no row, and a
-    borough without calls has a null cell.
+    unlisted one last), type and borough; a pair with a missing part has no row.
     """
+    cells = _cells(mart, severities)
+    return (
+        cells.groupBy("INCIDENT_PAIR", "SEVERITY_ORDER", "TYP_DESC", "CIP_JOBS", "BORO_NM")
+        .agg(F.avg("AVG_MIN").alias("AVG_MIN"))
+        .orderBy("SEVERITY_ORDER", "TYP_DESC", "CIP_JOBS", F.asc_nulls_last("BORO_NM"))
+        .drop("TYP_DESC", "CIP_JOBS")
+    )
+
+
+def _cells(mart: DataFrame, severities) -> DataFrame:
     place = reduce(
         lambda chain, item: chain.when(F.col("CIP_JOBS") == item[1], item[0]),
         enumerate(severities),
         F.when(F.lit(False), -1),
     ).otherwise(len(severities))
+    return mart.select(
+        "TYP_DESC", "CIP_JOBS", "BORO_NM",
+        pair_label("TYP_DESC", "CIP_JOBS").alias("INCIDENT_PAIR"),
+        place.alias("SEVERITY_ORDER"),
+        hms_to_minutes("AVG_RESPONSE_TIME").alias("AVG_MIN"),
+    ).where(F.col("INCIDENT_PAIR").isNotNull())
+
+
+def chart_pair_matrix(mart: DataFrame, boroughs=BOROUGHS, severities=SEVERITIES) -> DataFrame:
+    """The same with one row per type and severity and one column per borough.
+
+    All boroughs that are not listed, a missing one too, share the last column, as the mean
+    over their rows.  A borough without calls has a null cell.
+    """
+    listed = F.when(F.col("BORO_NM").isin(*boroughs), F.col("BORO_NM")).otherwise(OTHER_BOROUGHS)
     return (
-        mart.select(
-            "TYP_DESC", "CIP_JOBS", "BORO_NM",
-            pair_label("TYP_DESC", "CIP_JOBS").alias("INCIDENT_PAIR"),
-            place.alias("SEVERITY_ORDER"),
-            hms_to_minutes("AVG_RESPONSE_TIME").alias("AVG_MIN"),
-        )
-        .where(F.col("INCIDENT_PAIR").isNotNull())
+        _cells(mart, severities).withColumn("_column", listed)
         .groupBy("INCIDENT_PAIR", "SEVERITY_ORDER", "TYP_DESC", "CIP_JOBS")
-        .pivot("BORO_NM", list(boroughs))
+        .pivot("_column", [*boroughs, OTHER_BOROUGHS])
         .agg(F.avg("AVG_MIN"))
         .orderBy("SEVERITY_ORDER", "TYP_DESC", "CIP_JOBS")
         .drop("TYP_DESC", "CIP_JOBS")
@@ -69,7 +89,7 @@ def chart_facets(mart: DataFrame) -> DataFrame:
 def chart_ranked_facets(mart: DataFrame) -> DataFrame:
     """Bars of the ranked mart: panel title, precinct label, minutes, colour."""
     colour = reduce(
-        lambda chain, item: chain.when(F.col("GROUP_TYPE") == item[0], item[1]),
+        lambda chain, item: chain.when(F.startswith("GROUP_TYPE", F.lit(item[0])), item[1]),
         COLOURS.items(),
         F.when(F.lit(False), ""),
     )

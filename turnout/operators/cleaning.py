@@ -26,16 +26,18 @@ def dedup_most_complete(df: DataFrame, key: str = KEY, null_keys: str = "collaps
     """
     if null_keys not in ("collapse", "keep"):
         raise ValueError(f"null_keys must be 'collapse' or 'keep', not {null_keys!r}")
+    part, rows = [key], df
     if null_keys == "keep":
-        keyed = dedup_most_complete(df.where(F.col(key).isNotNull()), key)
-        return keyed.unionByName(df.where(F.col(key).isNull()))
-    order = Window.partitionBy(key).orderBy(
+        # Rows without a key get numbers of their own as keys, so that one pass serves all.
+        part.append("_own")
+        rows = df.withColumn("_own", F.when(F.col(key).isNull(), F.monotonically_increasing_id()))
+    order = Window.partitionBy(*part).orderBy(
         null_count(df.columns), *[F.asc_nulls_last(c) for c in df.columns if c != key]
     )
     return (
-        df.withColumn("_row", F.row_number().over(order))
+        rows.withColumn("_row", F.row_number().over(order))
         .where(F.col("_row") == 1)
-        .drop("_row")
+        .drop("_row", "_own")
     )
 
 

@@ -40,18 +40,22 @@ def number_values(values: DataFrame, column: str, slices: int = SLICES) -> DataF
     )
 
 
-def category_codes(df: DataFrame, column: str, mode: str = "index") -> DataFrame:
+def category_codes(
+    df: DataFrame, column: str, mode: str = "index", slices: int = SLICES
+) -> DataFrame:
     """Code table (``column``, ``code``) of a category column.
 
     ``index``       0-based position among the sorted non-null values
     ``dense_rank``  1-based rank over all values, null ranking first
+
+    ``slices`` is the number of tasks that number values side by side.
     """
     values = df.select(column).distinct()
     if mode == "index":
-        numbered = number_values(values.where(F.col(column).isNotNull()), column)
+        numbered = number_values(values.where(F.col(column).isNotNull()), column, slices)
         return numbered.select(column, (F.col("position") - 1).alias("code"))
     if mode == "dense_rank":
-        return number_values(values, column).select(column, F.col("position").alias("code"))
+        return number_values(values, column, slices).select(column, F.col("position").alias("code"))
     raise ValueError(f"mode must be 'index' or 'dense_rank', not {mode!r}")
 
 
@@ -61,6 +65,7 @@ def encode_category(
     code_column: str | None = None,
     mode: str = "index",
     codes: DataFrame | None = None,
+    slices: int = SLICES,
 ) -> DataFrame:
     """Add the code of a category column; null gets -1 in mode ``index``.
 
@@ -70,7 +75,7 @@ def encode_category(
     frequent category over several tasks where it has to shuffle.
     """
     code_column = code_column or f"{column}_ENUM"
-    codes = category_codes(df, column, mode) if codes is None else codes
+    codes = category_codes(df, column, mode, slices) if codes is None else codes
     lookup = codes.select(F.col(column).alias("_value"), F.col("code").alias(code_column))
     same = F.col(column).eqNullSafe(F.col("_value")) if mode == "dense_rank" else (
         F.col(column) == F.col("_value")

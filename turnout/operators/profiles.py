@@ -12,7 +12,7 @@ from ``percentile_approx`` instead.
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from turnout.functions import code_prefix, format_hms, map_code
+from turnout.functions import calendar_parts, code_prefix, format_hms, map_code
 from turnout.operators.cleaning import high_severity, non_critical, positive
 from turnout.schema import CATEGORY_COLUMNS, SECONDS_COLUMNS
 
@@ -237,6 +237,17 @@ def borough_detail(df: DataFrame, mapping=None, accuracy: int | None = None) ->
     )
 
 
+LISTINGS = {"borough": ("BORO_NM",), "type": ("TYP_DESC", "CIP_JOBS")}
+
+
+def borough_listing(df: DataFrame, by: str, mapping=None, accuracy: int | None = None) -> DataFrame:
+    """The borough detail, slowest first within each borough, or within each type and severity."""
+    return with_times(response_detail(df, "borough", mapping, accuracy)).orderBy(
+        *[F.asc_nulls_last(c) for c in LISTINGS[by]], F.desc("AVG_RESPONSE_SEC"),
+        *[F.asc_nulls_last(c) for c in ("BORO_NM", "RADIO_CODE_PREFIX", "CIP_JOBS")],
+    )
+
+
 def precinct_detail(df: DataFrame, mapping=None, accuracy: int | None = None) -> DataFrame:
     return with_times(response_detail(df, "precinct", mapping, accuracy))
 
@@ -280,19 +291,13 @@ def borough_by_type(df: DataFrame, accuracy: int | None = None) -> DataFrame:
 
 # --- calendar -------------------------------------------------------------
 
-PARTS = {
-    "hour_of_day": lambda ts: F.hour(ts),
-    "month": lambda ts: F.month(ts),
-    "day_of_week": lambda ts: F.date_format(ts, "E"),
-}
-
 HOURLY_METRICS = {"response": RESPONSE, "dispatch_delay": DISPATCH, "travel": TRAVEL}
 
 SPLITS = {"non_critical": non_critical, "high_severity": high_severity}
 
 
 def _by_part(df: DataFrame, part: str) -> DataFrame:
-    return df.where(positive(RESPONSE)).withColumn(part, PARTS[part]("ADD_TS"))
+    return calendar_parts(df.where(positive(RESPONSE)), "ADD_TS", [part])
 
 
 def hourly_profile(df: DataFrame, split: str, metrics=None) -> DataFrame:

@@ -6,9 +6,10 @@ columns fold them into one pass instead of rescanning the text per column.
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from turnout.functions import incident_ts, is_blank, is_time_text, parse_date, parse_ts
+from turnout.functions import elapsed_seconds, incident_ts, is_blank, is_time_text, parse_date, parse_ts
 from turnout.schema import BOROUGHS, DATE_COLUMNS, KEY, RAW_COLUMNS, STAMP_COLUMNS
 
+# Columns looked at, and the words of the status columns below.
 STATUS_COLUMNS = ("INCIDENT_TIME", *STAMP_COLUMNS)
 REQUIRED_COLUMNS = (
     "CAD_EVNT_ID", "ARRIVD_TS", "CLOSNG_TS", "PATRL_BORO_NM", "RADIO_CODE", "TYP_DESC",
@@ -49,46 +50,34 @@ def distinct_pair_count(df: DataFrame, a: str, b: str) -> DataFrame:
 
 # --- does a key determine a value? ----------------------------------------
 
-def dependency_map(
-    df: DataFrame, key: str, value: str, set_name: str = "values", count_name: str = "num_values"
+def _value_counts(pairs: DataFrame, key: str, value: str, count_name: str) -> DataFrame:
+    return pairs.groupBy(F.col(key).alias("_key")).agg(F.count(value).alias(count_name))
+
+
+def dependency_map_pairs(
+    df: DataFrame, key: str, value: str, count_name: str = "num_values"
 ) -> DataFrame:
-    """Each key with the sorted set and the number of its non-null values.
+    """Each key with each of its non-null values and the number of them; a key without any has one null.
 
     Distinct pairs come first: they shuffle on key and value together, so a key
-    that holds much of the table is reduced before its values meet.  The set is
-    one cell; where a key may have very many values use ``dependency_pairs``.
+    that holds much of the table is reduced before its values are counted, and
+    nothing gathers them.
     """
+    pairs = df.select(key, value).distinct()
+    counts = _value_counts(pairs, key, value, count_name)
     return (
-        df.select(key, value).distinct()
-        .groupBy(key)
-        .agg(
-            F.sort_array(F.collect_list(value)).alias(set_name),
-            F.count(value).alias(count_name),
-        )
-    )
-
-
-def dependency_violations(
-    df: DataFrame, key: str, value: str, set_name: str = "values", count_name: str = "num_values"
-) -> DataFrame:
-    """Keys with more than one non-null value, most values first."""
-    return (
-        dependency_map(df, key, value, set_name, count_name)
-        .where(F.col(count_name) > 1)
-        .orderBy(F.desc(count_name), F.asc_nulls_last(key))
+        pairs.join(counts, F.col(key).eqNullSafe(F.col("_key")))
+        .where(F.col(value).isNotNull() | (F.col(count_name) == 0))
+        .select(key, value, count_name)
     )
 
 
 def dependency_pairs(
     df: DataFrame, key: str, value: str, count_name: str = "num_values"
 ) -> DataFrame:
-    """The violations with one row per key and value, so that no cell grows."""
+    """The violations, keys with more than one non-null value, with one row per key and value."""
     pairs = df.select(key, value).distinct()
-    broken = (
-        pairs.groupBy(F.col(key).alias("_key"))
-        .agg(F.count(value).alias(count_name))
-        .where(F.col(count_name) > 1)
-    )
+    broken = _value_counts(pairs, key, value, count_name).where(F.col(count_name) > 1)
     return (
         pairs.where(F.col(value).isNotNull())
         .join(broken, F.col(key).eqNullSafe(F.col("_key")))
@@ -96,6 +85,46 @@ def dependency_pairs(
     )
 
 
+def violation_counts(
+    df: DataFrame, key: str, value: str, count_name: str = "num_values"
+) -> DataFrame:
+    """Keys with more than one non-null value and the number of them, most first; no sets."""
+    return (
+        _value_counts(df.select(key, value).distinct(), key, value, count_name)
+        .where(F.col(count_name) > 1)
+        .select(F.col("_key").alias(key), count_name)
+        .orderBy(F.desc(count_name), F.asc_nulls_last(key))
+    )
+
+
+def _gathered(pairs: DataFrame, key: str, value: str, set_name: str, count_name: str) -> DataFrame:
+    return pairs.groupBy(key, count_name).agg(
+        F.sort_array(F.collect_list(value)).alias(set_name)
+    ).select(key, set_name, count_name)
+
+
+def dependency_map(
+    df: DataFrame, key: str, value: str, set_name: str = "values", count_name: str = "num_values"
+) -> DataFrame:
+    """Each key with the sorted set of its non-null values in one cell, for keys of few values.
+
+    ``dependency_map_pairs`` is the same without a cell that grows.
+    """
+    return _gathered(dependency_map_pairs(df, key, value, count_name), key, value, set_name, count_name)
+
+
+def dependency_violations(
+    df: DataFrame, key: str, value: str, set_name: str = "values", count_name: str = "num_values"
+) -> DataFrame:
+    """Keys with more than one non-null value and the set of them, most values first.
+
+    The keys are found by counts; only their sets are gathered.
+    """
+    return _gathered(
+        dependency_pairs(df, key, value, count_name), key, value, set_name, count_name
+    ).orderBy(F.desc(count_name), F.asc_nulls_last(key))
+
+
 def missing_values(df: DataFrame, column: str, show) -> DataFrame:
     """Distinct ``show`` columns of the rows where a text is null or blank."""
     return df.where(is_blank(column)).select(*show).distinct()
@@ -125,11 +154,14 @@ def date_range(df: DataFrame, columns=DATE_COLUMNS) -> DataFrame:
 
 def late_incidents(df: DataFrame, tolerance: int = 60) -> DataFrame:
     """Rows whose incident lies more than ``tolerance`` seconds after the call."""
-    gap = F.unix_timestamp("INCIDENT_TS_FORMATTED") - F.unix_timestamp("ADD_TS_FORMATTED")
-    return df.withColumns({
-        "INCIDENT_TS_FORMATTED": incident_ts("INCIDENT_DATE", "INCIDENT_TIME"),
-        "ADD_TS_FORMATTED": parse_ts("ADD_TS"),
-    }).where(gap > tolerance)
+    # A filter does not move below ``inline``, so each text is parsed once per row.
+    parsed = F.struct(
+        incident_ts("INCIDENT_DATE", "INCIDENT_TIME").alias("INCIDENT_TS_FORMATTED"),
+        parse_ts("ADD_TS").alias("ADD_TS_FORMATTED"),
+    )
+    return df.select("*", F.inline(F.array(parsed))).where(
+        elapsed_seconds("ADD_TS_FORMATTED", "INCIDENT_TS_FORMATTED") > tolerance
+    )
 
 
 def _parse_status(column: str) -> Column:
@@ -193,7 +225,7 @@ def date_order_status(df: DataFrame, key: str = KEY) -> DataFrame:
     """Incident date against the call date and against the closing time."""
     incident = parse_date("INCIDENT_DATE")
     before = incident < parse_date("CREATE_DATE")
-    after = incident.cast("timestamp") > parse_ts("CLOSNG_TS")
+    after = incident.cast("timestamp_ntz") > parse_ts("CLOSNG_TS")
     return df.select(
         key,
         F.when(before, "before_CREATE_DATE").otherwise("ok").alias("INCIDENT_DATE_check1"),

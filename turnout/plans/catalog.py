@@ -9,12 +9,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from turnout.functions import format_hms
+from turnout.functions import add_seconds, format_hms
 from turnout.operators import charts, cleaning, encoding, profiles, quality, ranking
 from turnout.plans.stages import clean, normalize, scope, type_calls
-from turnout.schema import DURATIONS
+from turnout.schema import DURATIONS, SECONDS_COLUMNS
 from turnout.sources import preview_mart
-from turnout.sources.bindings import line_calls, raw_calls
+from turnout.sources.bindings import line_calls, patrol_calls, raw_calls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,6 +88,18 @@ def _profiling() -> dict[str, Query]:
         "raw_desc_to_codes_pairs": _raw(
             lambda df: q.dependency_pairs(df, "TYP_DESC", "RADIO_CODE", "num_codes")
         ),
+        "raw_code_to_descs_pairs": _raw(
+            lambda df: q.dependency_pairs(df, "RADIO_CODE", "TYP_DESC", "num_descs")
+        ),
+        "raw_desc_to_severity_pairs": _raw(
+            lambda df: q.dependency_pairs(df, "TYP_DESC", "CIP_JOBS", "num_CIP_JOBS")
+        ),
+        "raw_desc_severity_map_pairs": _raw(
+            lambda df: q.dependency_map_pairs(df, "TYP_DESC", "CIP_JOBS", "num_CIP_JOBS")
+        ),
+        "raw_desc_violation_counts": _raw(
+            lambda df: q.violation_counts(df, "TYP_DESC", "RADIO_CODE", "num_codes")
+        ),
         "raw_desc_severity_map": _raw(lambda df: _as_text(
             q.dependency_map(df, "TYP_DESC", "CIP_JOBS", "CIP_JOBS_set", "num_CIP_JOBS"),
             "CIP_JOBS_set",
@@ -99,6 +111,9 @@ def _profiling() -> dict[str, Query]:
         "raw_max_length": _raw(lambda df: q.max_length(df, "TYP_DESC")),
         "raw_date_range": _raw(q.date_range),
         "raw_late_incidents": _raw(q.late_incidents),
+        "raw_late_incidents_count": _raw(lambda df: q.row_count(q.late_incidents(df, 60))),
+        "raw_late_incidents_first": _raw(lambda df: ranking.top_k(
+            q.late_incidents(df, 60), "CAD_EVNT_ID", 10, ascending=True, ties=df.columns)),
         "raw_late_incidents_strict": _raw(lambda df: q.row_count(q.late_incidents(df, 0))),
         "raw_time_status": _raw(q.time_status),
         "raw_status_counts": _raw(q.status_counts),
@@ -107,6 +122,7 @@ def _profiling() -> dict[str, Query]:
         "raw_required_status": _raw(lambda df: q.required_status(
             df, [c for c in q.REQUIRED_COLUMNS if c != "PATRL_BORO_NM"]
         )),
+        "raw_required_status_patrol": _on(patrol_calls, q.required_status),
         "raw_domain_status": _raw(lambda df: q.domain_status(df, "BORO_NM", REGIONS)),
         "raw_date_order_status": _raw(q.date_order_status),
         "raw_order_status": _raw(q.order_status),
@@ -140,6 +156,9 @@ def _cleaning() -> dict[str, Query]:
         "etl_scope": _on(cleaned_calls, scope),
         "etl_normalize": normalized_calls,
         "etl_hms_wrap24": _on(typed_calls, wrapped),
+        # From the texts alone, as a table has them that carries no seconds.
+        "etl_normalize_from_text": _on(cleaned_calls, lambda df: normalize(scope(add_seconds(
+            df.drop(*SECONDS_COLUMNS), ["RESPONSE_TIME"])).drop("RESPONSE_TIME_SEC"))),
     }
 
 
@@ -170,6 +189,8 @@ def _grouped() -> dict[str, Query]:
         "borough_profile": _calls(p.borough_profile),
         "borough_profile_seconds": seconds(["BORO_NM"]),
         "borough_detail": _calls(p.borough_detail),
+        "borough_detail_by_borough": _calls(lambda df: p.borough_listing(df, "borough")),
+        "borough_detail_by_type": _calls(lambda df: p.borough_listing(df, "type")),
         "precinct_profile": _calls(p.precinct_profile),
         "precinct_profile_seconds": seconds(PRECINCT),
         "precinct_detail": _calls(p.precinct_detail),
@@ -215,6 +236,7 @@ def _ranked() -> dict[str, Query]:
         "precinct_ranks": _calls(lambda df: ranking.rank_groups(
             p.response_detail(df, "precinct"))),
         "precinct_top_bottom": _calls(ranking.precinct_ranked),
+        "precinct_top_bottom_3": _calls(lambda df: ranking.precinct_ranked(df, k=3)),
         "slowest_precincts": precincts("response", p.RESPONSE, False),
         "fastest_precincts": precincts("response", p.RESPONSE, True),
         "slowest_dispatch": precincts("dispatch", p.DISPATCH, False),
@@ -233,18 +255,29 @@ def _ranked() -> dict[str, Query]:
 def _charts() -> dict[str, Query]:
     c, p = charts, profiles
 
-    def matrix(df):
-        wide = c.chart_pair_matrix(p.borough_detail(df), REGIONS)
-        return wide.withColumns({name: F.round(F.col(f"`{name}`"), 6) for name in REGIONS})
+    def matrix(listed):
+        def wide(df):
+            table = c.chart_pair_matrix(p.borough_detail(df), listed)
+            return table.withColumns({
+                name: F.round(F.col(f"`{name}`"), 6) for name in (*listed, c.OTHER_BOROUGHS)
+            })
+
+        return wide
 
     return {
         "chart_borough": _calls(lambda df: c.chart_borough(p.borough_profile(df))),
-        "chart_pair_matrix": _calls(matrix),
+        "chart_pair_matrix": _calls(matrix(REGIONS)),
+        # Two regions are not listed.
+        "chart_pair_matrix_other": _calls(matrix(REGIONS[:3])),
+        "chart_pair_cells": _calls(lambda df: c.chart_pair_cells(p.borough_detail(df)).withColumn(
+            "AVG_MIN", F.round("AVG_MIN", 6))),
         "chart_precinct_points": _calls(
             lambda df: c.chart_precinct_points(p.precinct_profile(df))),
         "chart_facets": _calls(lambda df: c.chart_facets(ranking.precinct_ranked(df))),
         "chart_ranked_facets": _calls(
             lambda df: c.chart_ranked_facets(ranking.precinct_ranked(df))),
+        "chart_ranked_facets_3": _calls(
+            lambda df: c.chart_ranked_facets(ranking.precinct_ranked(df, k=3))),
         "chart_severity": _calls(lambda df: c.chart_severity(p.severity_profile(df))),
         "chart_severity_stack": _calls(
             lambda df: c.chart_severity_stack(p.severity_profile(df))),

@@ -77,7 +77,7 @@ def scope(cleaned: DataFrame, min_response: int = 90) -> DataFrame:
 
 
 def normalize(scoped: DataFrame) -> DataFrame:
-    """Stage 3: seconds, typed dates, 12-hour clock, upper-case text.
+    """Stage 3: seconds, dates and timestamps typed where they are text, 12-hour clock, upper-case text.
 
     Exact seconds are kept where the table has them; otherwise they are read
     back from the duration text.
@@ -85,8 +85,9 @@ def normalize(scoped: DataFrame) -> DataFrame:
     missing = [c for c in DURATIONS if f"{c}_SEC" not in scoped.columns]
     if missing:
         scoped = add_seconds(scoped, missing)
+    text = {name for name, kind in scoped.dtypes if kind == "string"}
     return normalize_text(scoped.withColumns({
-        **{c: parse_date(c) for c in DATE_COLUMNS},
-        **{c: parse_ts(c) for c in STAMP_COLUMNS},
+        **{c: parse_date(c) for c in DATE_COLUMNS if c in text},
+        **{c: parse_ts(c) for c in STAMP_COLUMNS if c in text},
         "INCIDENT_TIME": time_to_12h("INCIDENT_TIME"),
     }))

@@ -34,10 +34,11 @@ CODE_TO_TYPE = {
 }
 UNKNOWN_TYPE = "UNKNOWN"
 
-FASTEST = "TOP_5_FASTEST"
-SLOWEST = "BOTTOM_5_SLOWEST"
+# Tags of the two ends of a ranking, for the k first and the k last.
+FASTEST = "TOP_{k}_FASTEST"
+SLOWEST = "BOTTOM_{k}_SLOWEST"
 
-# --- columns --------------------------------------------------------------
+# --- fixed values: columns --------------------------------------------------------------
 KEY = "CAD_EVNT_ID"
 DATE_COLUMNS = ("CREATE_DATE", "INCIDENT_DATE")
 STAMP_COLUMNS = ("ADD_TS", "DISP_TS", "ARRIVD_TS", "CLOSNG_TS")
@@ -81,10 +82,10 @@ CLEANED = _struct(
     TYP_DESC=T.StringType(),
     TYP_DESC_ENUM=T.LongType(),
     CIP_JOBS=T.StringType(),
-    ADD_TS=T.TimestampType(),
-    DISP_TS=T.TimestampType(),
-    ARRIVD_TS=T.TimestampType(),
-    CLOSNG_TS=T.TimestampType(),
+    ADD_TS=T.TimestampNTZType(),
+    DISP_TS=T.TimestampNTZType(),
+    ARRIVD_TS=T.TimestampNTZType(),
+    CLOSNG_TS=T.TimestampNTZType(),
     RESPONSE_TIME=T.StringType(),
     DISPATCH_DELAY=T.StringType(),
     TRAVEL_TIME=T.StringType(),

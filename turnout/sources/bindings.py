@@ -96,6 +96,13 @@ def raw_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calls.selectExpr(*[f"{columns[c]} as {c}" for c in RAW_COLUMNS])
 
 
+def patrol_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw_calls`` with the patrol borough of the older export, missing in one call of 53."""
+    raw = raw_calls(spark, sf_dir)
+    patrol = "if(try_cast(CAD_EVNT_ID as bigint) % 53 = 0, null, concat('PATROL ', BORO_NM)) as PATRL_BORO_NM"
+    return raw.selectExpr(*raw.columns[:6], patrol, *raw.columns[6:])
+
+
 def line_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = (
         _read(spark, sf_dir, "lineitem")

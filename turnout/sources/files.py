@@ -1,27 +1,50 @@
 """Reading and writing the call table, its stages and its marts."""
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from turnout.operators.ranking import top_k
-from turnout.schema import RAW
+from turnout.schema import KEY, RAW
 
 
 def read_raw_csv(
-    spark: SparkSession, path: str, schema: T.StructType | None = RAW, infer: bool = False
+    spark: SparkSession, path: str, schema: T.StructType | None = RAW, infer: bool = False,
+    extra: str = "keep", key: str = KEY,
 ) -> DataFrame:
-    """Raw delimited text with a header line.
+    """Raw delimited text with a header line, whose names say which column is which.
 
-    Columns are text under the given schema; short lines are filled with nulls
-    and surplus fields dropped, and no line is rejected.  With ``infer`` the
-    header names the columns and Spark guesses their types, at the price of one
-    more pass over the text; with ``schema=None`` they are all text.
+    Wanted columns (those of ``schema``) come first and under their own names, wherever the file
+    has them; names match whatever their case and the blanks around them.  A wanted column that the file lacks
+    is null, except the key, which must be there.  Other columns of the file follow as text,
+    or are left out with ``extra="drop"``.  Short lines are filled with nulls, fields
+    beyond the header have no name and are not read, and no line is rejected.  Files of one read whose
+    headers differ from each other raise an error.
+
+    With ``schema=None`` all columns come as the file has them; with ``infer`` Spark also guesses
+    their types, at the price of one more pass over the text.
     """
+    if extra not in ("keep", "drop"):
+        raise ValueError(f"extra must be 'keep' or 'drop', not {extra!r}")
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
     if infer:
         return reader.option("inferSchema", True).csv(path)
+    found = reader.csv(path)
+    # Named from the header, and checked against the header of every file.
+    found = reader.schema(found.schema).option("enforceSchema", False).csv(path)
     if schema is None:
-        return reader.csv(path)
-    return reader.schema(schema).csv(path)
+        return found
+    places = {}
+    for name in found.columns:
+        places.setdefault(name.strip().upper(), name)
+    wanted = {field.name: places.pop(field.name.upper(), None) for field in schema.fields}
+    if key in wanted and wanted[key] is None:
+        raise ValueError(f"the header has no column {key}: {', '.join(found.columns)}")
+    columns = [
+        (F.lit(None) if wanted[f.name] is None else F.col(f"`{wanted[f.name]}`")).cast(f.dataType).alias(f.name)
+        for f in schema.fields
+    ]
+    used = set(wanted.values())
+    rest = [F.col(f"`{c}`") for c in found.columns if c not in used] if extra == "keep" else []
+    return found.select(*columns, *rest)
 
 
 def read_stage(spark: SparkSession, path: str) -> DataFrame:
