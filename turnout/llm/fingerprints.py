@@ -22,6 +22,7 @@ from turnout.llm.tables import checked_broadcast, stored
 TERMS = 1 << 16
 SAMPLES = 32
 RANGE_BYTES = 4 << 20
+MOST_TASKS = 20_000
 CUTS = 64  # ranges of ids cut at quantiles; each is cut again into equal widths
 SPACE = "[\\\\x20\\\\x09-\\\\x0D]+"
 
@@ -88,7 +89,9 @@ def _ranged(texts: DataFrame) -> DataFrame:
     dealt = placed.join(checked_broadcast(firsts), "part").select(
         "doc_id", "text", F.explode(F.expr(copies)).alias("p")
     ).select("p.part", "p.guest", "p.turn", "doc_id", "text")
-    return dealt.repartition("part")
+    # With the filter that a join on ``part`` would add on one side only, all readers share one shuffle.
+    ranges = (len(bounds) - 1) * splits
+    return dealt.where("part is not null").repartition(min(MOST_TASKS, ranges), "part")
 
 
 def _with_edited(rows: DataFrame) -> DataFrame:
