@@ -233,7 +233,12 @@ def fold(nodes: list, longest: int = 12) -> list:
             while shapes[run : run + size] == shapes[at : at + size] and len(shapes[run : run + size]) == size:
                 run += size
             group = nodes[at : at + size]
-            if run > at + size and any(n[0] == "open" for n in group) and not (size == 1 and group[0][0] == "many"):
+            if run > at + size and size == 1 and group[0][0] == "many":
+                for again in range(at + 1, run):
+                    group = [_merge(group[0], nodes[again])]
+                out += group
+                at = run
+            elif run > at + size and any(n[0] == "open" for n in group):
                 for again in range(at + size, run, size):
                     group = [_merge(a, b) for a, b in zip(group, nodes[again : again + size], strict=True)]
                 out.append(["many", "", group, 0])
@@ -266,8 +271,36 @@ def _joined(one: list, other: list) -> list:
     return _merge(one, other)
 
 
+def _groups(nodes: list) -> list[tuple[str, list]]:
+    """The repeated and optional groups among the nodes: kind, and the keys of what is in them."""
+    found = []
+    for n in nodes:
+        while n[0] == "maybe" and len(n[2]) == 1 and n[2][0][2]:
+            n = n[2][0]
+        if n[2]:
+            found.append((n[0], [_key(c) for c in n[2]]))
+    return found
+
+
+def _gathered(nodes: list, groups: list[tuple[str, list]]) -> list:
+    """Nodes with each run of what the other side has as a group made such a group too."""
+    for kind, keys in groups:
+        out, at = [], 0
+        while at < len(nodes):
+            run = nodes[at : at + len(keys)]
+            if len(run) == len(keys) and not (len(run) == 1 and run[0][2]) and [_key(n) for n in run] == keys:
+                out.append([kind, "", run, 0])
+                at += len(keys)
+            else:
+                out.append(nodes[at])
+                at += 1
+        nodes = out
+    return fold(nodes, 1)
+
+
 def align(one: list, other: list) -> list:
     """One list of nodes that matches what either matches."""
+    one, other = _gathered(one, _groups(other)), _gathered(other, _groups(one))
     a, b = [_key(n) for n in one], [_key(n) for n in other]
     out = []
     for op, a0, a1, b0, b1 in SequenceMatcher(None, a, b, autojunk=False).get_opcodes():
