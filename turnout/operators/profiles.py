@@ -3,11 +3,11 @@
 Means, extremes and counts are plain hash aggregation: partial results are
 merged before the shuffle, so group sizes do not matter.
 
-Medians are exact by default.  Durations are whole seconds, so rows are first
-counted per group and second; that table shuffles on both, which spreads even
-a group with most of the rows, and is as small as the durations are few.  The
-statistics then come from the counts.  With ``accuracy`` given, medians come
-from ``percentile_approx`` instead.
+Medians are exact by default, in two levels.  Rows are first counted per group and value, which
+spreads even a group with most of the rows.  The counts are summed by buckets of neighbouring
+values, of which a group has a few thousand at most; a running sum over a group's buckets
+finds the one that holds the middle row, and only that bucket's values are put in order.  With
+``accuracy`` given, medians come from ``percentile_approx`` instead.
 """
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
@@ -38,33 +38,83 @@ def count_seconds(df: DataFrame, keys, metrics: dict[str, str]) -> DataFrame:
     return cells.groupBy(*keys, "_metric", "_seconds").agg(F.count("*").alias("_rows"))
 
 
+FINE = 64  # values below it are buckets of their own; above it, buckets double in width with each power of two
+
+
+def _bucket(value: str) -> str:
+    """SQL for the bucket of a number, ascending with it: 64 for each power of two on either side."""
+    size = f"abs({value})"
+    power = f"pow(2D, floor(log2({size})) - 6)"
+    wide = f"(floor(log2({size})) - 6) * {FINE} + floor({size} / {power})"
+    return f"bigint(sign({value}) * if({size} < {FINE}, floor({size}), {wide}))"
+
+
+def _base(bucket: str) -> str:
+    """SQL for a number in or next to a bucket, from which its values differ little."""
+    size = f"abs({bucket})"
+    wide = f"({FINE} + ({size} - {FINE}) % {FINE}) * pow(2D, ({size} - {FINE}) div {FINE})"
+    return f"(sign({bucket}) * if({size} < {FINE}, double({size}), {wide}))"
+
+
 def summarize_counts(counts: DataFrame, keys) -> DataFrame:
     """Count, average, median, deviation and extremes per group and metric.
 
-    One window in order of seconds serves all of them; the last step is local
-    to its partitions.
+    All but the median follow from sums by bucket.
     """
-    ordered = Window.partitionBy(*keys, "_metric").orderBy(F.asc_nulls_last("_seconds"))
+    group = [*keys, "_metric"]
+    rows = counts.withColumn("_bucket", F.expr(_bucket("_seconds")))
+    off = f"(_seconds - {_base('_bucket')})"
+    buckets = rows.groupBy(*group, "_bucket").agg(
+        F.sum("_rows").alias("_all"),
+        F.sum(F.expr("_seconds * _rows")).alias("_sum"),
+        F.sum(F.expr(f"{off} * _rows")).alias("_off"),
+        F.sum(F.expr(f"{off} * {off} * _rows")).alias("_off2"),
+        F.min("_seconds").alias("_low"), F.max("_seconds").alias("_high"),
+    )
+    ordered = Window.partitionBy(*group).orderBy(F.asc_nulls_last("_bucket"))
     upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    known = F.expr("if(_seconds is not null, _rows, 0)")
-    weighted = counts.withColumns({
+    known = F.expr("if(_bucket is not null, _all, 0)")
+    placed = buckets.withColumns({
         "_upto": F.sum(known).over(upto),
         "_known": F.sum(known).over(whole),
-        "_total": F.sum(F.expr("_seconds * _rows")).over(whole),
+        "_total": F.sum("_sum").over(whole),
     }).withColumn("_mean", F.expr("try_divide(_total, _known)"))
-    return weighted.groupBy(*keys, "_metric").agg(
-        F.expr("sum(_rows)").alias("_count"),
-        F.expr("max(_mean)").alias("_avg"),
+    # The middle bucket is the first whose rows and those before are at least half.
+    middle = F.expr("_bucket is not null and _upto * 2 >= _known and (_upto - _all) * 2 < _known")
+    base = _base("_bucket")
+    spread = f"(_off2 + 2 * ({base} - _mean) * _off + _all * ({base} - _mean) * ({base} - _mean))"
+    summary = placed.groupBy(*group).agg(
+        F.sum("_all").alias("_count"),
+        F.max("_mean").alias("_avg"),
+        F.expr(f"if(max(_known) > 1, sqrt(greatest(sum({spread}), 0D) / (max(_known) - 1)), null)").alias("_stddev"),
+        F.min("_low").alias("_min"),
+        F.max("_high").alias("_max"),
+        F.max(F.when(middle, F.col("_bucket"))).alias("_middle"),
+        F.max(F.when(middle, F.expr("_upto - _all"))).alias("_before"),
+        F.max("_known").alias("_n"),
+    )
+    # Values of the middle buckets only, each group's in order.  No part of the join rejects nulls,
+    # so that no filter on this side keeps the counts from being shuffled once for both readers.
+    own = summary.select(*[F.col(k).alias(f"_of_{k}") for k in group], "_middle", "_before", "_n")
+    same = F.col("_bucket").eqNullSafe(F.col("_middle"))
+    for k in group:
+        same = same & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+    inside = Window.partitionBy(*group).orderBy("_seconds").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    medians = (
+        rows.join(own, same)
+        .withColumn("_upto", F.sum("_rows").over(inside) + F.col("_before"))
         # The first value that at least half of the rows do not exceed.
-        F.expr("min(if(_upto * 2 >= _known, _seconds, null))").alias("_median"),
-        F.expr("""
-            if(max(_known) > 1,
-               sqrt(sum(_rows * (_seconds - _mean) * (_seconds - _mean)) / (max(_known) - 1)),
-               null)
-        """).alias("_stddev"),
-        F.expr("min(_seconds)").alias("_min"),
-        F.expr("max(_seconds)").alias("_max"),
+        .where("_upto * 2 >= _n")
+        .groupBy(*[F.col(k).alias(f"_of_{k}") for k in group]).agg(F.min("_seconds").alias("_median"))
+    )
+    for k in group:
+        condition = F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+        same = condition if k == group[0] else same & condition
+    return summary.join(medians, same, "left").select(
+        *group, "_count", "_avg", "_median", "_stddev", "_min", "_max"
     )
 
 
