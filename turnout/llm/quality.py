@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from turnout.llm.tables import checked_broadcast, lists, rows_of, shared_bytes, stored
+from turnout.llm.tables import checked_broadcast, rows_of, shared_bytes, stored
 from turnout.llm.toxicity import held_out
 from turnout.llm.words import encoded, mix, word_hashes
 
@@ -70,8 +70,9 @@ def _featured(batches):
         rows = [(d, y, *features(t)) for d, y, t in rows_of(batch, "doc_id", "good", "text")]
         ids, good, at, values = zip(*rows, strict=True) if rows else ((), (), (), ())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(good, pa.int32()), lists(list(at), pa.int64()),
-             lists(list(values), pa.float64())],
+            [pa.array(ids, pa.int64()), pa.array(good, pa.int32()),
+             pa.array([a.astype(np.int32).tobytes() for a in at], pa.binary()),
+             pa.array([v.astype(np.float32).tobytes() for v in values], pa.binary())],
             ["doc_id", "good", "at", "values"],
         )
 
@@ -105,14 +106,14 @@ def train(docs: DataFrame, labels: DataFrame) -> Classifier:
         .groupBy("doc_id").agg(F.max("good").alias("good"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(FITTED)
     )
-    rows = sorted(
+    found = stored(
         docs.select("doc_id", "text").join(F.broadcast(stored(known)), "doc_id")  # at most FITTED rows
         .select("doc_id", "good", "text")
-        .mapInArrow(_featured, "doc_id long, good int, at array<long>, values array<double>").toLocalIterator(),
-        key=lambda r: (r[0], len(r[2])),
+        .mapInArrow(_featured, "doc_id long, good int, at binary, values binary")
     )
+    rows = sorted(found.toLocalIterator(), key=lambda r: (r[0], len(r[2])))
     return fit(
-        [(np.asarray(r.at, np.int32), np.asarray(r["values"], np.float32)) for r in rows],
+        [(np.frombuffer(r.at, np.int32), np.frombuffer(r["values"], np.float32)) for r in rows],
         np.asarray([r.good for r in rows], np.float64),
     )
 

@@ -118,7 +118,7 @@ def repeated_cells(texts: DataFrame) -> tuple[np.ndarray, int]:
     """The bits of the merged sketch, all rows after one another, and the cells of a row."""
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     cells = sketch_cells(size)
-    blocks = (
+    blocks = stored(
         texts.mapInArrow(_partial_sketches(cells), PARTIAL)
         .repartition("part").sortWithinPartitions("part")
         .mapInArrow(_merged, "part int, bits binary")

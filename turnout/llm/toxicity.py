@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from turnout.llm.tables import lists, rows_of, shared_bytes, stored
+from turnout.llm.tables import rows_of, shared_bytes, stored
 from turnout.llm.words import encoded, mix, word_hashes
 
 BINS = 1 << 18
@@ -47,7 +47,8 @@ def _featured(batches):
         rows = [(d, p, features(t)) for d, p, t in rows_of(batch, "doc_id", "positive", "text")]
         ids, positive, bins = zip(*rows, strict=True) if rows else ((), (), ())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(positive, pa.bool_()), lists(list(bins), pa.int32())],
+            [pa.array(ids, pa.int64()), pa.array(positive, pa.bool_()),
+             pa.array([b.tobytes() for b in bins], pa.binary())],
             ["doc_id", "positive", "bins"],
         )
 
@@ -162,12 +163,12 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         docs.select("doc_id").where("doc_id is not null").where(~held_out()).distinct(), UNLABELLED
     ).withColumn("positive", F.lit(False))
     both = chosen.union(pool)  # at most POSITIVES + UNLABELLED rows
-    rows = texts.join(F.broadcast(both), "doc_id").select("doc_id", "positive", "text").mapInArrow(
-        _featured, "doc_id long, positive boolean, bins array<int>"
-    )
+    rows = stored(texts.join(F.broadcast(both), "doc_id").select("doc_id", "positive", "text").mapInArrow(
+        _featured, "doc_id long, positive boolean, bins binary"
+    ))
     sides = ([], [])
     for row in rows.toLocalIterator():
-        sides[row.positive].append((row.doc_id, np.asarray(row.bins, np.int32)))
+        sides[row.positive].append((row.doc_id, np.frombuffer(row.bins, np.int32)))
     unlabelled, positive = ([b for _, b in sorted(side, key=lambda x: (x[0], len(x[1])))] for side in sides)
     return fit(positive, unlabelled, prior)
 
