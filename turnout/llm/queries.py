@@ -10,6 +10,7 @@ from turnout.llm import (
     fingerprints,
     jaccard_join,
     quality,
+    sql,
     substrings,
     token_blocks,
     token_counts,
@@ -77,4 +78,5 @@ def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def statements() -> dict[str, str]:
-    return {}
+    """The other operators need a tokenizer, a model, a hash or a parser that SQL lacks."""
+    return {"op1_jaccard_join": sql.JACCARD_JOIN, "op3_substring_dedup": sql.SUBSTRING_DEDUP}
