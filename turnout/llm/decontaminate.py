@@ -110,6 +110,9 @@ class Items:
                 _fingerprints(_votes(bags[i], self.weights(bags[i])).sum(axis=0, keepdims=True)) for i in own
             ])
             self.by_size[size] = own, HammingIndex(prints)
+        self.by_width = {}
+        for size in self.by_size:
+            self.by_width.setdefault(min(size, SHINGLE), []).append(size)
 
     def held(self, shingles: np.ndarray) -> np.ndarray:
         """Which shingles some item holds."""
@@ -131,17 +134,14 @@ class Items:
         total = sum(weight(s, 1.0) * n for s, n in bag.items()) + sum(weight(s, 1.0) * n for s, n in own.items())
         return both / (total - both)
 
-    def _matches(self, shingles, hit, size, step):
-        """(start, item, similarity) in a stretch of shingles; a window has ``step`` of them."""
+    def _matches(self, shingles, sums, votes, size, step):
+        """(start, item, similarity) in a stretch; a window has ``step`` shingles, ``sums`` counts held ones."""
         own, index = self.by_size[size]
         if len(shingles) < step:
             return
-        sums = np.concatenate([[0], np.cumsum(hit)])
         starts = np.flatnonzero(sums[step:] - sums[:-step])
         if not len(starts):
             return
-        votes = np.zeros((len(shingles) + 1, 64))
-        np.cumsum(_votes(shingles, self.weights(shingles)), axis=0, out=votes[1:])
         queries, items = index.within(_fingerprints(votes[starts + step] - votes[starts]))
         for q, i in zip(starts[queries].tolist(), own[items].tolist(), strict=True):
             similar = self.similarity(shingles[q : q + step], i)
@@ -152,30 +152,31 @@ class Items:
         """For each item found: the best similarity, the first word where it is reached, the words."""
         words = word_hashes(encoded(text, True))
         best = {}
-        cache = {}
-        for size in self.by_size:
-            width = min(size, SHINGLE)
+        for width, sizes in self.by_width.items():
+            shingles = shingle_hashes(words, width)
             if len(words) < width:
                 continue
-            if width not in cache:
-                shingles = shingle_hashes(words, width)
-                cache[width] = shingles, self.held(shingles)
-            shingles, hit = cache[width]
-            step = size - width + 1
-            for lo, hi in _stretches(np.flatnonzero(hit), step, len(shingles)):
-                for start, item, similar in self._matches(shingles[lo:hi], hit[lo:hi], size, step):
-                    best[item] = max(best.get(item, (0, 0)), (similar, -(lo + start)))
+            hit = self.held(shingles)
+            longest = max(sizes) - width + 1
+            for lo, hi in _stretches(np.flatnonzero(hit), longest, len(shingles)):
+                part = shingles[lo:hi]
+                sums = np.concatenate([[0], np.cumsum(hit[lo:hi])])
+                votes = np.zeros((len(part) + 1, 64))
+                np.cumsum(_votes(part, self.weights(part)), axis=0, out=votes[1:])
+                for size in sizes:
+                    for start, item, similar in self._matches(part, sums, votes, size, size - width + 1):
+                        best[item] = max(best.get(item, (0, 0)), (similar, -(lo + start)))
         return {item: (similar, -start, int(self.sizes[item])) for item, (similar, start) in best.items()}
 
 
 def _stretches(hits: np.ndarray, step: int, n: int):
-    """Stretches with all windows that cover a hit, at most REGION and a window long."""
+    """Stretches with all windows of up to ``step`` shingles that cover a hit, at most REGION and a window long."""
     if not len(hits):
         return
     cuts = np.flatnonzero(np.diff(hits) >= 2 * step)
     for first, last in zip(hits[np.r_[0, cuts + 1]].tolist(), hits[np.r_[cuts, len(hits) - 1]].tolist(), strict=True):
         lo, end = max(0, first - step + 1), min(n, last + step)
-        while lo + step <= end:
+        while lo < end:
             yield lo, min(end, lo + REGION + step)
             lo += REGION + 1
 
