@@ -118,7 +118,9 @@ class Items:
         """Which shingles some item holds."""
         hit = self.seen[(shingles & np.uint64(SEEN_BITS - 1)).astype(np.int64)]
         at = np.flatnonzero(hit)
-        hit[at] = np.isin(shingles[at], self.known)
+        if len(at):
+            place = np.minimum(np.searchsorted(self.known, shingles[at]), len(self.known) - 1)
+            hit[at] = self.known[place] == shingles[at]
         return hit
 
     def weights(self, shingles: np.ndarray) -> np.ndarray:
