@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from turnout.llm.tables import rows_of, shared_bytes, stored
-from turnout.llm.words import encoded, mix, sliding_min, window_hashes, word_hashes
+from turnout.llm.words import distinct, encoded, mix, sliding_min, window_hashes, word_hashes
 
 WINDOW = 50
 RUN = 26
@@ -82,7 +82,7 @@ def _partial_sketches(cells: int):
             for (text,) in rows_of(batch, "text"):
                 words = word_hashes(encoded(text, False))
                 if len(words) >= WINDOW:
-                    held.append(np.unique(_keys(words)))  # a document counts once
+                    held.append(distinct(_keys(words)))  # a document counts once
                     count += len(held[-1])
                 if count >= FLUSH:
                     yield flush(held)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from turnout.llm.tables import rows_of, shared_bytes, stored
-from turnout.llm.words import encoded, mix, word_hashes
+from turnout.llm.words import distinct, mix, word_hashes
 
 BINS = 1 << 18
 POSITIVES, UNLABELLED = 6_000, 18_000
@@ -35,7 +35,7 @@ def features(text: str | None, bins: int = BINS) -> np.ndarray:
     """Bins of the distinct words and stems, without punctuation around them."""
     raw = (text or "").lower().encode("utf-8", "replace").translate(_PLAIN)
     hashes = [mix(word_hashes(raw, most), 51 + (most or 0)) for most in (None, *STEMS)]
-    return np.unique((np.concatenate(hashes) & np.uint64(bins - 1)).astype(np.int32))
+    return distinct((np.concatenate(hashes) & np.uint64(bins - 1)).astype(np.int32))
 
 
 #: ASCII other than letters and digits separates words here.
