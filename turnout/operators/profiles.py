@@ -147,12 +147,10 @@ def group_profile(
             *[APPROXIMATE[stat](metrics[name], accuracy).alias(out) for name, stat, out in names],
             F.count("*").alias(count_name),
         )
-    summary = summarize_counts(count_seconds(df, keys, metrics), keys)
+    counts = count_seconds(df, keys, metrics)
     if len(metrics) == 1:
-        return summary.select(
-            *keys, *[F.col(f"_{stat}").alias(out) for _, stat, out in names],
-            F.col("_count").alias(count_name),
-        )
+        return profile_of_counts(counts, keys, *metrics, stats, count_name)
+    summary = summarize_counts(counts, keys)
     # One row per group again; every metric counted all rows of the group.
     return summary.groupBy(*keys).agg(
         *[F.max(F.when(F.col("_metric") == name, F.col(f"_{stat}"))).alias(out)
@@ -161,6 +159,20 @@ def group_profile(
     )
 
 
+def profile_of_counts(
+    counts: DataFrame, keys, name: str = "response", stats=("avg", "median", "stddev"),
+    count_name: str = "num_records",
+) -> DataFrame:
+    """``group_profile`` of one metric from counts by ``keys`` and perhaps more columns."""
+    extra = set(counts.columns) - {*keys, "_metric", "_seconds", "_rows"}
+    if extra:
+        counts = counts.groupBy(*keys, "_metric", "_seconds").agg(F.sum("_rows").alias("_rows"))
+    return summarize_counts(counts, keys).select(
+        *keys, *[F.col(f"_{stat}").alias(f"{stat}_{name}_sec") for stat in stats],
+        F.col("_count").alias(count_name),
+    )
+
+
 # --- whole columns --------------------------------------------------------
 
 def _names(columns, stat):
@@ -238,27 +250,44 @@ def upper_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.upper() for c in df.columns])
 
 
-def area_profile(df: DataFrame, keys, accuracy: int | None = None) -> DataFrame:
-    """Response-time mart of an area: seconds and text, slowest first."""
-    profile = group_profile(df.where(positive(RESPONSE)), keys, accuracy=accuracy)
+def response_counts(df: DataFrame) -> DataFrame:
+    """Positive responses counted by all that the response marts group by: stored once, it serves them all."""
+    prefixed = df.where(positive(RESPONSE)).withColumn("RADIO_CODE_PREFIX", code_prefix("RADIO_CODE"))
+    keys = ["BORO_NM", "NYPD_PCT_CD", "RADIO_CODE_PREFIX", "CIP_JOBS"]
+    return count_seconds(prefixed, keys, {"response": RESPONSE})
+
+
+def area_profile(
+    df: DataFrame, keys, accuracy: int | None = None, counts: DataFrame | None = None
+) -> DataFrame:
+    """Response-time mart of an area: seconds and text, slowest first; from ``response_counts`` if given."""
+    if counts is None:
+        profile = group_profile(df.where(positive(RESPONSE)), keys, accuracy=accuracy)
+    else:
+        profile = profile_of_counts(counts, keys)
     return with_times(upper_names(profile)).orderBy(
         F.desc("AVG_RESPONSE_SEC"), *[F.asc_nulls_last(k) for k in keys]
     )
 
 
-def borough_profile(df: DataFrame, accuracy: int | None = None) -> DataFrame:
-    return area_profile(df, ["BORO_NM"], accuracy)
+def borough_profile(
+    df: DataFrame, accuracy: int | None = None, counts: DataFrame | None = None
+) -> DataFrame:
+    return area_profile(df, ["BORO_NM"], accuracy, counts)
 
 
-def precinct_profile(df: DataFrame, accuracy: int | None = None) -> DataFrame:
-    return area_profile(df, ["BORO_NM", "NYPD_PCT_CD"], accuracy)
+def precinct_profile(
+    df: DataFrame, accuracy: int | None = None, counts: DataFrame | None = None
+) -> DataFrame:
+    return area_profile(df, ["BORO_NM", "NYPD_PCT_CD"], accuracy, counts)
 
 
 AREAS = {"borough": ["BORO_NM"], "precinct": ["BORO_NM", "NYPD_PCT_CD"]}
 
 
 def response_detail(
-    df: DataFrame, area: str = "borough", mapping=None, accuracy: int | None = None
+    df: DataFrame, area: str = "borough", mapping=None, accuracy: int | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Response time by area, call type and severity, in seconds, unordered.
 
@@ -266,22 +295,28 @@ def response_detail(
     group after the aggregation rather than once per call before it.
     """
     keys = AREAS[area] + ["RADIO_CODE_PREFIX", "CIP_JOBS"]
-    prefixed = df.where(positive(RESPONSE)).withColumn(
-        "RADIO_CODE_PREFIX", code_prefix("RADIO_CODE")
-    )
-    profile = upper_names(group_profile(
-        prefixed, keys, stats=("avg", "median", "min", "max"),
-        count_name="incident_count", accuracy=accuracy,
-    ))
+    stats = ("avg", "median", "min", "max")
+    if counts is None:
+        prefixed = df.where(positive(RESPONSE)).withColumn(
+            "RADIO_CODE_PREFIX", code_prefix("RADIO_CODE")
+        )
+        profile = group_profile(
+            prefixed, keys, stats=stats, count_name="incident_count", accuracy=accuracy
+        )
+    else:
+        profile = profile_of_counts(counts, keys, stats=stats, count_name="incident_count")
+    profile = upper_names(profile)
     label = map_code("RADIO_CODE_PREFIX", mapping).alias("TYP_DESC")
     return profile.select(
         *AREAS[area], "RADIO_CODE_PREFIX", label, *profile.columns[len(AREAS[area]) + 1:]
     )
 
 
-def borough_detail(df: DataFrame, mapping=None, accuracy: int | None = None) -> DataFrame:
+def borough_detail(
+    df: DataFrame, mapping=None, accuracy: int | None = None, counts: DataFrame | None = None
+) -> DataFrame:
     """Borough detail mart, most calls first."""
-    return with_times(response_detail(df, "borough", mapping, accuracy)).orderBy(
+    return with_times(response_detail(df, "borough", mapping, accuracy, counts)).orderBy(
         F.desc("INCIDENT_COUNT"),
         *[F.asc_nulls_last(c) for c in ("BORO_NM", "RADIO_CODE_PREFIX", "CIP_JOBS")],
     )

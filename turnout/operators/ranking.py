@@ -83,10 +83,10 @@ def top_bottom_of_profile(
     return _in_order(ranked.select(*profile.columns, F.inline(listed)), part, by, ties)
 
 
-def precinct_ranked(df: DataFrame, k: int = 5, mapping=None, accuracy: int | None = None) -> DataFrame:
+def precinct_ranked(
+    df: DataFrame, k: int = 5, mapping=None, accuracy: int | None = None,
+    counts: DataFrame | None = None,
+) -> DataFrame:
     """Fastest and slowest precincts of each call type and severity, as a mart."""
-    return with_times(ranked_detail(df, k, mapping, accuracy)).drop("GROUP_ORDER")
-
-
-def ranked_detail(df: DataFrame, k: int = 5, mapping=None, accuracy: int | None = None) -> DataFrame:
-    return top_bottom_of_profile(response_detail(df, "precinct", mapping, accuracy), k=k)
+    detail = response_detail(df, "precinct", mapping, accuracy, counts)
+    return with_times(top_bottom_of_profile(detail, k=k)).drop("GROUP_ORDER")

@@ -9,12 +9,14 @@ from turnout.operators.profiles import (
     borough_profile,
     hourly_profile,
     precinct_profile,
+    response_counts,
     severity_profile,
 )
 from turnout.operators.ranking import precinct_ranked
 from turnout.plans.stages import clean_typed, normalize, scope, type_calls
 from turnout.sources import read_marts, read_stage, write_marts, write_stage
 
+# Output paths, which later readers of the marts expect.
 MART_NAMES = (
     "Part1/dfBoroughStats",
     "Part1/dfBoroughResponse",
@@ -26,13 +28,18 @@ MART_NAMES = (
 )
 
 
-def build_marts(calls: DataFrame, accuracy: int | None = None) -> dict[str, DataFrame]:
-    """The marts of a normalized table, by name; each carries seconds and text."""
+def build_marts(
+    calls: DataFrame, accuracy: int | None = None, counts: DataFrame | None = None, k: int = 5
+) -> dict[str, DataFrame]:
+    """The marts of a normalized table, by name; each carries seconds and text.
+
+    With ``counts``, the stored ``response_counts`` of the same table, the first four come from these.
+    """
     built = (
-        borough_profile(calls, accuracy),
-        borough_detail(calls, accuracy=accuracy),
-        precinct_profile(calls, accuracy),
-        precinct_ranked(calls, accuracy=accuracy),
+        borough_profile(calls, accuracy, counts),
+        borough_detail(calls, accuracy=accuracy, counts=counts),
+        precinct_profile(calls, accuracy, counts),
+        precinct_ranked(calls, k, accuracy=accuracy, counts=counts),
         severity_profile(calls, accuracy),
         hourly_profile(calls, "non_critical"),
         hourly_profile(calls, "high_severity"),
@@ -42,7 +49,8 @@ def build_marts(calls: DataFrame, accuracy: int | None = None) -> dict[str, Data
 
 def run_stages(
     spark: SparkSession, raw: DataFrame, root: str, files: int | None = None,
-    null_keys: str = "collapse",
+    null_keys: str = "collapse", tolerance: int = 60, min_response: int = 90,
+    wrap24: bool = False, accuracy: int | None = None, k: int = 5, row_stages: bool = True,
 ) -> dict[str, DataFrame]:
     """Run everything, writing each stage below ``root``, and return the stored marts.
 
@@ -51,16 +59,24 @@ def run_stages(
     text is then parsed once, though both the code table and the filters read
     it.  The code table is stored because its file size tells Spark whether to
     broadcast it, so that the calls need not be shuffled for it.
+
+    ``row_stages=False`` leaves out the files of the scoped and the normalized table, which
+    only filter and rewrite rows of the cleaned one.  Exact medians come from one stored table of counts.
     """
     def stored(name: str, df: DataFrame, files: int | None = files) -> DataFrame:
         write_stage(df, f"{root}/{name}", files)
         return read_stage(spark, f"{root}/{name}")
 
     deduped = dedup_most_complete(raw, null_keys=null_keys)
-    typed = stored("typed", type_calls(deduped), None)
+    typed = stored("typed", type_calls(deduped, wrap24), None)
     codes = stored("type_codes", category_codes(typed, "TYP_DESC"), None)
-    cleaned = stored("cleaned", clean_typed(typed, codes))
-    scoped = stored("scoped", scope(cleaned))
-    normalized = stored("normalized", normalize(scoped))
-    write_marts(build_marts(normalized), f"{root}/marts")
+    cleaned = stored("cleaned", clean_typed(typed, codes, tolerance))
+    scoped = scope(cleaned, min_response)
+    if row_stages:
+        scoped = stored("scoped", scoped)
+    normalized = normalize(scoped)
+    if row_stages:
+        normalized = stored("normalized", normalized)
+    counts = stored("response_counts", response_counts(normalized), None) if accuracy is None else None
+    write_marts(build_marts(normalized, accuracy, counts, k), f"{root}/marts")
     return read_marts(spark, f"{root}/marts", MART_NAMES)
