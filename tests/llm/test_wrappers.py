@@ -87,3 +87,15 @@ def test_furniture_by_tag_name_and_role():
         assert w.is_furniture(label), label
     for label in ("div class=content", "div class=shadow", "article class=comment", "p", "body class=sidebar"):
         assert not w.is_furniture(label), label
+
+
+def test_ids_of_pages_do_not_grow_the_wrapper(spark):
+    def rows(n):
+        return [(i, f"http://a.example/{i}", f"<body><div class=top id=t{i}>Welcome all</div><div id='post-{i}-about-{i * 7}' "
+                 f"class='post-{i} post'><h2>Day {i}</h2><p>Story {i}<p>told {'and told ' * i}</div></body>", None, None, None)
+                for i in range(n)]
+
+    found = {r.page_id: r.text for r in w.main_text(rows_table(spark, rows(9))).collect()}
+    assert found == {i: f"Day {i}\n\nStory {i}\n\ntold {'and told ' * i}".strip() for i in range(9)}
+    sizes = [len(w.infer([w.page_nodes(r[2]) for r in rows(n)])) for n in (3, 60)]
+    assert sizes[0] == sizes[1]

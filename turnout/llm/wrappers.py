@@ -60,7 +60,7 @@ _FURNITURE_NAMES = re.compile(
     r")(?:$|[-_ ])"
 )
 _FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu".split())
-_MAIN_NAMES = re.compile(r"(?:^|[-_ ])(?:article|content|post|entry|story|main)(?:$|[-_ ])")
+_NUMBER = re.compile(r"\d+")
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
@@ -78,8 +78,14 @@ def host_of(url: str | None) -> str:
 
 
 def _label(tag: str, attributes: str) -> str:
-    """A tag with its class, id and role, which tell furniture from text."""
+    """A tag with its class and role, and what in its id tells furniture from text.
+
+    Ids and numbers differ from page to page, so that labels with them would not align.
+    """
     found = dict((k.lower(), v.strip("\"'").lower()) for k, v in reversed(_ATTRIBUTE.findall(attributes)))
+    name = _FURNITURE_NAMES.search(found.get("id", ""))
+    found["id"] = name[0].strip("-_ ") if name else ""
+    found["class"] = _NUMBER.sub("#", found.get("class", ""))
     parts = [f"{k}={_SPACE.sub(' ', found[k])}" for k in ("class", "id", "role") if found.get(k)]
     return " ".join([tag, *parts])
 
