@@ -89,6 +89,22 @@ def test_furniture_by_tag_name_and_role():
         assert not w.is_furniture(label), label
 
 
+def test_literals_of_the_wrapper_are_left_out_in_each_template(spark):
+    rows = []
+    for i in range(8):
+        story = f"<h1>Title {i}</h1><p>Story {i}<p>told {'at length ' * i}"
+        rows.append((i, f"http://a.example/{i}", "<body><div class=x1>Buy our things</div>"
+                     f"<article>{story}<div>All rights are ours</div></article></body>", None, None, None))
+        rows.append((100 + i, f"http://a.example/old/{i}", "<body><div class=x1>Buy our things</div>"
+                     f"<div class=old>{story}</div><div class=x2><h4>Know this</h4>{'We tell all. ' * 20}</div></body>",
+                     None, None, None))
+    found = {r.page_id: r.text for r in w.main_text(rows_table(spark, rows)).collect()}
+    for i in range(8):
+        text = f"Title {i}\n\nStory {i}\n\ntold {'at length ' * i}".strip()
+        assert found[i] == text
+        assert found[100 + i] == text
+
+
 def test_ids_of_pages_do_not_grow_the_wrapper(spark):
     def rows(n):
         return [(i, f"http://a.example/{i}", f"<body><div class=top id=t{i}>Welcome all</div><div id='post-{i}-about-{i * 7}' "

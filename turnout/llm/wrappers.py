@@ -10,10 +10,13 @@ group meets one or more of its like; what only one side has becomes an optional
 align with each other in the same way, so a host's pages are dealt into shares, each share makes a wrapper, and
 these are aligned again until the host has one.  Every page takes part.
 
-A slot's path, the tags around it, tells what it holds.  Slots inside menus, headers, footers,
-sidebars, notices, adverts, forms and comments are furniture.  The rest of the wrapper's slots choose the main part: an
-article or main element if the wrapper has one, else the element whose slots hold most of the
-text that changes from page to page.  Extraction then reads each page's blocks in that part.
+A host has one wrapper for each template.  Pages are of one template if the same element (its path, without
+ids and numbers) holds half of their text.
+
+Extraction matches each page with its template's wrapper.  Text that the wrapper has as a literal, the same on
+all of its pages, is furniture; so are slots inside menus, headers, footers, sidebars, notices,
+adverts, forms and comments.  Of the slots that are left, those in an article or main element of the page are its main
+text, else those in the element whose slots hold most of the text that changes from page to page.
 """
 
 import html as markup
@@ -21,6 +24,9 @@ import json
 import re
 from collections import Counter
 from difflib import SequenceMatcher
+from functools import lru_cache
+from hashlib import blake2b
+from operator import add, eq
 from urllib.parse import urlsplit
 
 import pandas as pd
@@ -29,6 +35,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from turnout.llm.tables import checked_broadcast, rows_of, stored
 
+LITERAL_PAGES = 3  # a text is constant only if so many different pages have it
+SENT_BYTES = 32 << 20  # wrappers of this size together are sent to all executors, larger ones are joined
 SHARE = 50  # pages or wrappers that one task aligns one after another
 SLOT = "#text"
 
@@ -77,6 +85,7 @@ def host_of(url: str | None) -> str:
         return ""
 
 
+@lru_cache(1 << 14)
 def _label(tag: str, attributes: str) -> str:
     """A tag with its class and role, and what in its id tells furniture from text.
 
@@ -90,6 +99,7 @@ def _label(tag: str, attributes: str) -> str:
     return " ".join([tag, *parts])
 
 
+@lru_cache(1 << 14)
 def is_furniture(label: str) -> bool:
     tag, *names = re.split(r" (?=(?:class|id|role)=)", label)
     if tag in FURNITURE_TAGS:
@@ -157,42 +167,22 @@ def clean(raw: str) -> str:
     return _SPACE.sub(" ", markup.unescape(raw)).strip()
 
 
-def blocks(page: str):
-    """(path, text) of each block in order; the path is the labels of the elements around it."""
-    path, parts = [], []
-    for kind, value in events(page):
-        if kind == "text":
-            parts.append(value)
-        elif kind == "mark":
-            if value == "br":
-                parts.append(" ")
-        else:
-            if parts:
-                if text := clean("".join(parts)):
-                    yield tuple(path), text
-                parts = []
-            if kind == "open":
-                path.append(value)
-            elif path:
-                path.pop()
-    if parts and (text := clean("".join(parts))):
-        yield tuple(path), text
-
-
 # --- wrappers -------------------------------------------------------------
 # A node is [kind, value, children, seen]: "open"/"close" with a label, "text" with the
-# constant text or SLOT, "many" (repeated) and "maybe" (optional) with children; ``seen`` counts the letters
-# of slots.
+# constant text (its digest, if it is long) or SLOT, "many" (repeated) and "maybe" (optional) with children.  For
+# texts, ``seen`` is [letters, pages, numbers of the page's blocks].
 
 
-def page_nodes(page: str) -> list:
-    """The page as nodes, runs of equal groups folded."""
-    nodes = []
+def read(page: str) -> tuple[list, list]:
+    """The page's nodes, and (path, text) of each block; the path is the labels of the elements around it."""
+    nodes, found = [], []
     path, parts = [], []
 
     def text():
-        if parts and (found := clean("".join(parts))):
-            nodes.append(["text", found if len(found) <= 80 else SLOT, [], len(found)])
+        if parts and (block := clean("".join(parts))):
+            value = block if len(block) <= 80 else f"#{blake2b(block.encode('utf-8', 'replace'), digest_size=12).hexdigest()}"
+            nodes.append(["text", value, [], [len(block), 1, [len(found)]]])
+            found.append((tuple(path), block))
         parts.clear()
 
     for kind, value in events(page):
@@ -208,7 +198,30 @@ def page_nodes(page: str) -> list:
             elif path and (label := path.pop()).split(" ")[0] not in IMPLIED:
                 nodes.append(["close", label, [], 0])
     text()
-    return fold(nodes)
+    return fold(nodes), found
+
+
+def page_nodes(page: str) -> list:
+    """The page as nodes, runs of equal groups folded."""
+    return read(page)[0]
+
+
+def _without_blocks(nodes: list) -> list:
+    return [[k, v, _without_blocks(c), [*seen[:2], []] if k == "text" else 0] for k, v, c, seen in nodes]
+
+
+def template(found: list) -> str:
+    """What tells a host's templates apart: the path of the innermost element with half of the letters."""
+    letters, total = Counter(), 0
+    for path, text in found:
+        if any(map(is_furniture, path)):
+            continue
+        total += len(text)
+        for depth in range(1, len(path) + 1):
+            if path[depth - 1].split(" ")[0] not in IMPLIED:
+                letters[path[:depth]] += len(text)
+    half = [p for p, n in letters.items() if 2 * n >= total]
+    return " > ".join(max(half, key=lambda p: (len(p), letters[p], p))) if half else ""
 
 
 def shape(node: list) -> str:
@@ -221,18 +234,24 @@ def shape(node: list) -> str:
     return f"{kind} {value}"
 
 
-def _merge(one: list, other: list) -> list:
-    """Two nodes of the same shape as one."""
+def _merge(one: list, other: list, pages=max) -> list:
+    """Two nodes of the same shape as one, of the same pages or (``pages=add``) of others."""
     kind, value, children, seen = one
     if kind == "text":
-        return [kind, value if value == other[1] else SLOT, [], seen + other[3]]
-    return [kind, value, [_merge(a, b) for a, b in zip(children, other[2], strict=True)], 0]
+        more = other[3]
+        both = [seen[0] + more[0], pages(seen[1], more[1]), seen[2] + more[2]]
+        return [kind, value if value == other[1] else SLOT, [], both]
+    return [kind, value, [_merge(a, b, pages) for a, b in zip(children, other[2], strict=True)], 0]
 
 
 def fold(nodes: list, longest: int = 12) -> list:
     """Turn runs of equal groups of up to ``longest`` nodes into repeated groups, short groups first."""
+    shaped = None
     for size in range(1, longest + 1):
-        shapes = [shape(n) for n in nodes]
+        if nodes is not shaped:
+            shapes, shaped = [shape(n) for n in nodes], nodes
+        if not any(map(eq, shapes, shapes[size:])):
+            continue
         out, at = [], 0
         while at < len(nodes):
             run = at + size
@@ -274,7 +293,7 @@ def _joined(one: list, other: list) -> list:
         if kinds == {"many", "maybe"}:
             return ["maybe", "", [node], 0]
         return node
-    return _merge(one, other)
+    return _merge(one, other, add)
 
 
 def _groups(nodes: list) -> list[tuple[str, list]]:
@@ -334,134 +353,133 @@ def infer(pages: list[list]) -> list:
     return wrapper
 
 
-def slots(nodes: list, path: list | None = None):
-    """(path, text, letters) of each text of a wrapper."""
-    path = [] if path is None else path
-    for kind, value, children, seen in nodes:
-        if kind == "open":
-            tag = value.split(" ")[0]
-            if tag in IMPLIED:
-                path[:] = _without_implied(path, tag)
-            if tag not in VOID:
-                path.append(value)
-        elif kind == "close":
-            while path and path.pop() != value:
-                pass
-        elif kind == "text":
-            yield tuple(path), value, seen
-        else:
-            yield from slots(children, path)
+def match(page: list, wrapper: list) -> dict[int, list]:
+    """The wrapper's text node for each block of the page that has one."""
+    one, other = _gathered(page, _groups(wrapper)), _gathered(wrapper, _groups(page))
+    a, b = [_key(n) for n in one], [_key(n) for n in other]
+    found = {}
+    for at, to, size in SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks():
+        for x, y in zip(one[at : at + size], other[to : to + size], strict=True):
+            if x[2] or y[2]:
+                found |= match(x[2] or [x], y[2] or [y])
+            elif x[0] == "text":
+                found |= dict.fromkeys(x[3][2], y)
+    return found
 
 
-def _without_implied(path: list, tag: str) -> list:
-    """The path without what an element of an optional end closes by starting."""
-    for i in range(len(path) - 1, -1, -1):
-        name = path[i].split(" ")[0]
-        if name == tag:
-            return path[:i]
-        if name not in IMPLIED:
-            break
-    return path
+def _is_literal(node: list | None) -> bool:
+    return node is not None and node[1] != SLOT and node[3][1] >= LITERAL_PAGES
 
 
-def main_part(wrapper: list) -> list[str]:
-    """The path of the main part, from the outermost element on; empty if nothing is left."""
-    found, letters = Counter(), Counter()
-    for path, value, seen in slots(wrapper):
-        if any(map(is_furniture, path)):
-            continue
-        for label in path:
-            tag = label.split(" ")[0]
-            if tag in MAIN_TAGS or ("role=main" in label.split(" ")):
-                found[tag] += seen
-        if value == SLOT:
-            for depth in range(1, len(path) + 1):
-                if path[depth - 1].split(" ")[0] not in IMPLIED:
-                    letters[path[:depth]] += seen
-    if found:
-        return [next(tag for tag in (*MAIN_TAGS, *found) if tag in found)]
-    if not letters:
-        return []
-    most = max(letters.values())
-    # The innermost element that holds nearly all of the changing text.
-    return list(max((p for p in letters if letters[p] >= 0.9 * most), key=lambda p: (len(p), p)))
-
-
-def _inside(path: tuple, main: list[str]) -> bool:
-    if len(main) == 1 and main[0] in MAIN_TAGS:
-        return any(label.split(" ")[0] == main[0] for label in path)
-    return path[: len(main)] == tuple(main)
-
-
-def extract(page: str | None, main: list[str] | None) -> str:
-    """The blocks of the main part, without furniture, joined by blank lines.
-
-    A page that lacks its host's main part is read by its own: an article or main element, else
-    all that is no furniture.
+def _main_part(slots: list) -> tuple:
+    """The path of the innermost element that holds nearly all of the changing text."""
+    letters = Counter()
+    for path, seen in slots:
+        for depth in range(1, len(path) + 1):
+            if path[depth - 1].split(" ")[0] not in IMPLIED:
+                letters[path[:depth]] += seen
+    most = max(letters.values(), default=0)
+    return max((p for p in letters if letters[p] >= 0.9 * most), key=lambda p: (len(p), p), default=())
+
+
+def _is_main(label: str, tag: str) -> bool:
+    return label.split(" ")[0] == tag or (tag == "main" and "role=main" in label.split(" "))
+
+
+def extract(page: str | None, wrappers: dict[str, tuple[int, list]] | None = None) -> str:
+    """The blocks of the main part, without furniture and literals, joined by blank lines.
+
+    ``wrappers`` holds the number of pages and the wrapper for each template of the host.  A template of too few
+    pages to tell literals is matched with the host's most frequent one.  A page of nothing but literals keeps them.
     """
-    found = [(p, t) for p, t in blocks(page or "") if not any(map(is_furniture, p))]
-    for choice in (main or [], *([tag] for tag in MAIN_TAGS), []):
-        if choice and any(_inside(p, choice) for p, _ in found):
-            return "\n\n".join(t for p, t in found if _inside(p, choice))
-    return "\n\n".join(t for _, t in found)
+    nodes, found = read(page or "")
+    wrappers = wrappers or {}
+    _, wrapper = own = wrappers.get(template(found), (0, []))
+    if own[0] < LITERAL_PAGES and wrappers:
+        wrapper = wrappers[max(wrappers, key=lambda t: (wrappers[t][0], t))][1]
+    matched = match(nodes, wrapper)
+    # How far a block's slot speaks for its element: by the letters of all pages; a slot is counted once.
+    kept, seen = [], set()
+    for i, (path, text) in enumerate(found):
+        if not any(map(is_furniture, path)):
+            node = matched.get(i)
+            new = node is None or id(node) not in seen
+            seen.add(id(node))
+            kept.append((path, text, _is_literal(node), (node[3][0] if node else len(text)) if new else 0))
+    kept = [k for k in kept if not k[2]] or kept
+    for tag in MAIN_TAGS:
+        if inside := [text for path, text, *_ in kept if any(_is_main(label, tag) for label in path)]:
+            return "\n\n".join(inside)
+    # Without other pages to compare with, all that is no furniture.
+    main = _main_part([(path, letters) for path, _, _, letters in kept]) if matched and own[0] > 1 else ()
+    return "\n\n".join(text for path, text, *_ in kept if path[: len(main)] == main)
 
 
 # --- on tables ------------------------------------------------------------
 
-WRAPPERS = "host string, share long, wrapper string"
+WRAPPERS = "host string, template string, share long, pages long, wrapper string"
 
 
-def _page_wrappers(pages: pd.DataFrame) -> pd.DataFrame:
-    return _one(pages, [page_nodes(h) for h in pages.sort_values("page_id")["html"] if h] or [[]])
+def _parsed(batches):
+    """A row for each page: its host, its template, its nodes as a wrapper of one page, and a hash of all of it."""
+    for batch in batches:
+        out = []
+        for host, html in rows_of(batch, "host", "html"):
+            if html:
+                nodes, found = read(html)
+                texts = blake2b(json.dumps(found).encode(), digest_size=8).digest()
+                out.append((host, template(found), int.from_bytes(texts, "big", signed=True), 1,
+                            json.dumps(_without_blocks(nodes), ensure_ascii=False, separators=(",", ":"))))
+        columns = zip(*out, strict=True) if out else [[]] * 5
+        kinds = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x, k) for x, k in zip(columns, kinds, strict=True)],
+            ["host", "template", "share", "pages", "wrapper"],
+        )
 
 
 def _joined_wrappers(rows: pd.DataFrame) -> pd.DataFrame:
-    return _one(rows, [json.loads(w) for w in sorted(rows["wrapper"])])
-
-
-def _one(rows: pd.DataFrame, parts: list) -> pd.DataFrame:
-    wrapper = json.dumps(infer(parts), ensure_ascii=False)
-    return pd.DataFrame({"host": [rows["host"].iloc[0]], "share": [rows["share"].iloc[0]], "wrapper": [wrapper]})
+    wrapper = infer([json.loads(w) for w in sorted(rows["wrapper"])])
+    one = rows.iloc[:1][["host", "template", "share"]].copy()
+    one["pages"] = rows["pages"].sum()
+    one["wrapper"] = json.dumps(wrapper, ensure_ascii=False, separators=(",", ":"))
+    return one
 
 
 def host_wrappers(pages: DataFrame) -> DataFrame:
-    """One wrapper for each host, from ``host``, ``page_id`` and ``html``.
+    """``host``, ``template``, ``pages`` and ``wrapper``: one row for each template, from ``host`` and ``html``.
 
-    A host's pages are dealt into shares of about SHARE, so that a host with a third of all
-    pages is spread over many tasks; each round then aligns SHARE wrappers into one.
+    Pages of the same blocks are one.  A template's pages are dealt into shares of about SHARE, so that a host
+    with a third of all pages is spread over many tasks; each round then aligns SHARE wrappers into one.
     """
-    sizes = stored(pages.groupBy("host").agg(F.count("*").alias("pages")))
-    most = sizes.agg(F.max("pages")).first()[0] or 1
-    dealt = pages.join(checked_broadcast(sizes), "host").withColumn(
-        "share", F.expr(f"pmod(xxhash64(page_id, html), (pages + {SHARE} - 1) div {SHARE})")
-    )
-    wrappers = stored(
-        dealt.select("host", "share", "page_id", "html").groupBy("host", "share")
-        .applyInPandas(_page_wrappers, WRAPPERS)
+    parsed = stored(
+        pages.select("host", "html").mapInArrow(_parsed, WRAPPERS).dropDuplicates(["host", "template", "share"])
     )
-    shares = -(-most // SHARE)
-    while shares > 1:
-        shares = -(-shares // SHARE)
+    sizes = stored(parsed.groupBy("host", "template").agg(F.count("*").alias("size")))
+    shares = -(-(sizes.agg(F.max("size")).first()[0] or 1) // SHARE)
+    wrappers = parsed.join(checked_broadcast(sizes), ["host", "template"]).withColumn(
+        "share", F.expr(f"pmod(share, (size + {SHARE} - 1) div {SHARE})")
+    ).drop("size")
+    while True:
         wrappers = stored(
-            wrappers.withColumn("share", F.expr(f"pmod(share, {shares}L)")).groupBy("host", "share")
-            .applyInPandas(_joined_wrappers, WRAPPERS)
-        )
-    return wrappers.select("host", "wrapper")
-
-
-def _mains(batches):
-    for batch in batches:
-        rows = [(host, main_part(json.loads(w))) for host, w in rows_of(batch, "host", "wrapper")]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([h for h, _ in rows], pa.string()), pa.array([m for _, m in rows], pa.list_(pa.string()))],
-            ["host", "main"],
+            wrappers.groupBy("host", "template", "share").applyInPandas(_joined_wrappers, WRAPPERS)
         )
+        if shares == 1:
+            return wrappers.drop("share")
+        shares = -(-shares // SHARE)
+        wrappers = wrappers.withColumn("share", F.expr(f"pmod(share, {shares}L)"))
 
 
 def _texts(batches):
+    host = read_wrappers = None
     for batch in batches:
-        rows = [(i, u, extract(h, m)) for i, u, h, m in rows_of(batch, "page_id", "url", "html", "main")]
-        ids, urls, texts = zip(*rows, strict=True) if rows else ((), (), ())
+        out = []
+        for i, u, h, own, rows in rows_of(batch, "page_id", "url", "html", "host", "wrappers"):
+            if host != own or read_wrappers is None:
+                host = own
+                read_wrappers = {r["template"]: (r["pages"], json.loads(r["wrapper"])) for r in rows or []}
+            out.append((i, u, extract(h, read_wrappers)))
+        ids, urls, texts = zip(*out, strict=True) if out else ((), (), ())
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.int64()), pa.array(urls, pa.string()), pa.array(texts, pa.string()),
              pa.array(list(map(len, texts)), pa.int64())],
@@ -484,9 +502,13 @@ def main_text(pages: DataFrame) -> DataFrame:
     own = pages.select(
         F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")
     ).withColumn("host", host("url"))
-    mains = stored(host_wrappers(own.select("host", "page_id", "html")).mapInArrow(
-        _mains, "host string, main array<string>"
-    ))
-    return own.join(checked_broadcast(mains), "host", "left").select(
-        "page_id", "url", "html", "main"
+    wrappers = stored(
+        host_wrappers(own).groupBy("host")
+        .agg(F.collect_list(F.struct("template", "pages", "wrapper")).alias("wrappers"))
+    )
+    size = wrappers.agg(F.sum(F.expr(
+        "aggregate(wrappers, 0L, (n, w) -> n + octet_length(w.wrapper) + octet_length(w.template))"
+    ))).first()[0] or 0
+    return own.join(F.broadcast(wrappers) if size <= SENT_BYTES else wrappers, "host", "left").select(
+        "page_id", "url", "html", "host", "wrappers"
     ).mapInArrow(_texts, "page_id long, url string, text string, n_chars long")
