@@ -82,3 +82,30 @@ def test_index_finds_all_within_the_radius():
     pairs = set(zip(*map(np.ndarray.tolist, d.HammingIndex(prints).within(queries))))
     near = np.argwhere(d.distance(queries[:, None], prints[None, :]) <= d.RADIUS)
     assert pairs == set(map(tuple, near.tolist()))
+
+
+def _found(spark, docs, items):
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    return sorted((r.doc_id, r.item_id, r.start_word, r.n_words, round(r.similarity, 9))
+                  for r in d.leaks(table(spark, docs), bench).collect())
+
+
+def test_weights_are_those_of_the_whole_benchmark(spark, monkeypatch):
+    rng = random.Random(4)
+    item = prose(rng, 40)
+    changed = [*item[:20], "changed", *item[21:]]
+    items = [(1, " ".join(item)), (2, " ".join(prose(rng, 30))), (3, " ".join(item))]
+    docs = [(7, " ".join(prose(rng, 9) + changed + prose(rng, 9)))]
+    expected = [(7, i, 9, 40, round(31 / 41, 9)) for i in (1, 3)]
+    assert _found(spark, docs, items) == expected
+    monkeypatch.setattr(d, "ITEMS", 1)
+    assert _found(spark, docs, items) == expected
+
+
+def test_windows_outside_the_radius_are_found(spark, monkeypatch):
+    rng = random.Random(5)
+    item = prose(rng, 70)
+    changed = [*item[:25], "changed", *item[26:]]
+    monkeypatch.setattr(d.HammingIndex, "within", lambda self, q: (np.empty(0, np.int64), np.empty(0, np.int64)))
+    assert _found(spark, [(7, " ".join(["x", *changed, "y"]))], [(1, " ".join(item))]) == [
+        (7, 1, 1, 70, round(61 / 71, 9))]

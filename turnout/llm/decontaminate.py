@@ -1,11 +1,16 @@
 """Documents that hold a benchmark item, by SimHash over windows of the items' sizes.
 
 Every item, and every window with as many words as some item, gets a 64-bit SimHash: each five-word
-shingle votes on all bits with its weight, one over the number of items that hold it.  Four
+shingle votes on all bits with its weight, one over the number of items of the benchmark that hold it.  Four
 blocks of 16 bits index the items' fingerprints: two fingerprints within ``RADIUS`` = 19 bits differ in at most
 four bits of some block, and each block's table lists the items within four bits of any value, so that
 no item of the window's size within the radius is missed.  These pairs are verified by the exact weighted
-similarity of their shingles, the sum of the smaller weights over that of the larger ones.
+similarity of their shingles, the sum of the smaller weights over that of the larger ones; what the item does not
+hold weighs as much as the mean of the item's own.
+
+SimHash only makes it likely that a similar window lies within the radius.  A second look therefore takes the
+items of which a text holds one of the rarest shingles, those that make up more than a quarter of the item's
+weight, and verifies each window whose shared weight allows the similarity.
 
 A window without any shingle of an item has no similarity to one, so windows are
 fingerprinted only around shingles that the items hold; whole texts are looked through for these.
@@ -21,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from turnout.llm.tables import rows_of, shared_bytes
+from turnout.llm.tables import rows_of, shared_bytes, stored
 from turnout.llm.words import encoded, mix, shingle_hashes, word_hashes
 
 SIMILARITY = 0.75
@@ -90,17 +95,31 @@ class HammingIndex:
 class Items:
     """A block of benchmark items, ready to be looked for in texts."""
 
-    def __init__(self, rows: list[tuple[int, str]]):
-        words = [word_hashes(encoded(text, True)) for _, text in rows]
+    def __init__(self, rows: list[tuple[int, str, dict[int, int]]]):
+        """``rows`` are ids, texts, and the holders in the whole benchmark of each shingle that has several."""
+        words = [word_hashes(encoded(text, True)) for _, text, _ in rows]
         kept = [i for i, w in enumerate(words) if len(w)]
         self.ids = [rows[i][0] for i in kept]
         self.sizes = np.asarray([len(words[i]) for i in kept], np.int64)
         bags = [shingle_hashes(words[i], SHINGLE) for i in kept]
-        holders = Counter(s for bag in bags for s in set(bag.tolist()))
+        holders = {s: 1 for bag in bags for s in bag.tolist()}
+        for *_, shared in rows:
+            holders |= {s % 2**64: n for s, n in shared.items()}
         self.known = np.asarray(sorted(holders), np.uint64)
         self.known_weights = np.asarray([1 / holders[s] for s in self.known.tolist()])
         self.bags = [Counter(bag.tolist()) for bag in bags]
         self.weight = {s: 1 / n for s, n in holders.items()}
+        self.totals = [sum(self.weight[s] * n for s, n in bag.items()) for bag in self.bags]
+        self.means = [total / bag.total() for total, bag in zip(self.totals, self.bags, strict=True)]
+        self.own = [np.asarray(sorted(bag), np.uint64) for bag in self.bags]
+        self.rare = {}
+        for i, bag in enumerate(self.bags):
+            left = self.totals[i]
+            for s in sorted(bag, key=lambda s: (-self.weight[s], s)):
+                self.rare.setdefault(s, []).append(i)
+                left -= self.weight[s] * bag[s]
+                if left < (SIMILARITY - 1e-9) * self.totals[i]:
+                    break
         self.seen = np.zeros(SEEN_BITS, bool)
         self.seen[(self.known & np.uint64(SEEN_BITS - 1)).astype(np.int64)] = True
         self.by_size = {}
@@ -131,10 +150,10 @@ class Items:
 
     def similarity(self, window: np.ndarray, item: int) -> float:
         bag, own = Counter(window.tolist()), self.bags[item]
-        weight = self.weight.get
-        both = sum(weight(s, 1.0) * min(n, own[s]) for s, n in bag.items() if s in own)
-        total = sum(weight(s, 1.0) * n for s, n in bag.items()) + sum(weight(s, 1.0) * n for s, n in own.items())
-        return both / (total - both)
+        weight, mean = self.weight, self.means[item]
+        both = sum(weight[s] * min(n, own[s]) for s, n in bag.items() if s in own)
+        total = sum((weight[s] if s in own else mean) * n for s, n in bag.items()) + self.totals[item]
+        return round(both / (total - both), 12)
 
     def _matches(self, shingles, sums, votes, size, step):
         """(start, item, similarity) in a stretch; a window has ``step`` shingles, ``sums`` counts held ones."""
@@ -150,6 +169,27 @@ class Items:
             if similar >= SIMILARITY:
                 yield q, i, similar
 
+    def _overlaps(self, shingles, hits, width):
+        """(start, item, similarity) of all windows of items of this shingle width, by the weight they share."""
+        held = shingles[hits]
+        for item in sorted({i for s in set(held.tolist()) & self.rare.keys() for i in self.rare[s]}):
+            if min(self.sizes[item], SHINGLE) != width:
+                continue
+            own, total = self.own[item], self.totals[item]
+            at = hits[own[np.minimum(np.searchsorted(own, held), len(own) - 1)] == held]
+            step = int(self.sizes[item]) - width + 1
+            if step > len(shingles):
+                continue
+            shared = np.zeros((2, len(shingles) + 1))
+            shared[0, at + 1], shared[1, at + 1] = [self.weight[s] for s in shingles[at].tolist()], 1
+            shared = np.cumsum(shared, axis=1)
+            weight, count = shared[:, step:] - shared[:, :-step]
+            most = np.minimum(weight, total) / (total + (step - count) * self.means[item])
+            for start in np.flatnonzero(most >= SIMILARITY - 1e-9).tolist():
+                similar = self.similarity(shingles[start : start + step], item)
+                if similar >= SIMILARITY:
+                    yield start, item, similar
+
     def find(self, text: str | None) -> dict[int, tuple[float, int, int]]:
         """For each item found: the best similarity, the first word where it is reached, the words."""
         words = word_hashes(encoded(text, True))
@@ -168,7 +208,12 @@ class Items:
                 for size in sizes:
                     for start, item, similar in self._matches(part, sums, votes, size, size - width + 1):
                         best[item] = max(best.get(item, (0, 0)), (similar, -(lo + start)))
-        return {item: (similar, -start, int(self.sizes[item])) for item, (similar, start) in best.items()}
+            for start, item, similar in self._overlaps(shingles, np.flatnonzero(hit), width):
+                best[item] = max(best.get(item, (0, 0)), (similar, -start))
+        return {
+            item: (similar, -start, int(self.sizes[item]))
+            for item, (similar, start) in best.items()
+        }
 
 
 def _stretches(hits: np.ndarray, step: int, n: int):
@@ -209,6 +254,32 @@ def _finder(rows, key: str):
     return run
 
 
+def _bags(batches):
+    for batch in batches:
+        rows = [
+            (i, t, np.unique(shingle_hashes(word_hashes(encoded(t, True)), SHINGLE).view(np.int64)).tolist())
+            for i, t in rows_of(batch, "item_id", "text")
+        ]
+        columns = zip(*rows, strict=True) if rows else [[]] * 3
+        kinds = (pa.int64(), pa.string(), pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], ["item_id", "text", "shingles"]
+        )
+
+
+def _with_holders(items: DataFrame) -> DataFrame:
+    """The items with ``shared``: how many items of the whole benchmark hold a shingle, where several do."""
+    bags = stored(items.mapInArrow(_bags, "item_id long, text string, shingles array<long>"))
+    each = bags.select("item_id", "text", F.explode("shingles").alias("shingle"))
+    holders = each.select("item_id", "shingle").distinct().groupBy("shingle").agg(
+        F.count("*").alias("holders")
+    ).where("holders > 1")
+    shared = each.join(holders, "shingle").groupBy("item_id", "text").agg(
+        F.collect_list(F.struct("shingle", "holders")).alias("shared")
+    )
+    return stored(bags.select("item_id", "text").join(shared, ["item_id", "text"], "left"))
+
+
 def leaks(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -227,18 +298,19 @@ def leaks(
     schema = "doc_id long, item_id long, start_word long, n_words long, similarity double"
     items = (
         benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
-        .where("item_id is not null and text is not null").distinct().orderBy("item_id", "text")
+        .where("item_id is not null and text is not null").distinct()
     )
+    items = _with_holders(items).orderBy("item_id", "text")
     found, block = None, []
 
     def passed(rows):
         sent = shared_bytes(spark, rows)
-        return texts.mapInArrow(_finder(sent, f"{spark.sparkContext.applicationId} {id(sent)} {rows[0]}"), schema)
+        return texts.mapInArrow(_finder(sent, f"{spark.sparkContext.applicationId} {id(sent)} {rows[0][:2]}"), schema)
 
     for row in items.toLocalIterator():  # one block at a time
-        block.append((row.item_id, row.text))
+        block.append((row.item_id, row.text, {x.shingle: x.holders for x in row.shared or []}))
         if len(block) == ITEMS:
             found, block = passed(block) if found is None else found.union(passed(block)), []
     if block or found is None:
-        found = passed(block or [(0, "")]) if found is None else found.union(passed(block))
+        found = passed(block or [(0, "", {})]) if found is None else found.union(passed(block))
     return found
