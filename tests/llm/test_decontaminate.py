@@ -109,3 +109,10 @@ def test_windows_outside_the_radius_are_found(spark, monkeypatch):
     monkeypatch.setattr(d.HammingIndex, "within", lambda self, q: (np.empty(0, np.int64), np.empty(0, np.int64)))
     assert _found(spark, [(7, " ".join(["x", *changed, "y"]))], [(1, " ".join(item))]) == [
         (7, 1, 1, 70, round(61 / 71, 9))]
+
+
+def test_texts_shorter_than_an_item(spark):
+    item = prose(random.Random(6), 50)
+    docs = [(1, " ".join(item[:45])), (2, " ".join(item[:30])), (3, " ".join(item[:3])), (4, " ".join(item[4:]))]
+    assert _found(spark, docs, [(9, " ".join(item))]) == [
+        (1, 9, 0, 45, round(41 / 46, 9)), (4, 9, 0, 46, round(42 / 46, 9))]

@@ -10,7 +10,7 @@ hold weighs as much as the mean of the item's own.
 
 SimHash only makes it likely that a similar window lies within the radius.  A second look therefore takes the
 items of which a text holds one of the rarest shingles, those that make up more than a quarter of the item's
-weight, and verifies each window whose shared weight allows the similarity.
+weight, and verifies each window whose shared weight allows the similarity.  A text shorter than an item is one window.
 
 A window without any shingle of an item has no similarity to one, so windows are
 fingerprinted only around shingles that the items hold; whole texts are looked through for these.
@@ -177,9 +177,7 @@ class Items:
                 continue
             own, total = self.own[item], self.totals[item]
             at = hits[own[np.minimum(np.searchsorted(own, held), len(own) - 1)] == held]
-            step = int(self.sizes[item]) - width + 1
-            if step > len(shingles):
-                continue
+            step = min(int(self.sizes[item]) - width + 1, len(shingles))
             shared = np.zeros((2, len(shingles) + 1))
             shared[0, at + 1], shared[1, at + 1] = [self.weight[s] for s in shingles[at].tolist()], 1
             shared = np.cumsum(shared, axis=1)
@@ -211,7 +209,7 @@ class Items:
             for start, item, similar in self._overlaps(shingles, np.flatnonzero(hit), width):
                 best[item] = max(best.get(item, (0, 0)), (similar, -start))
         return {
-            item: (similar, -start, int(self.sizes[item]))
+            item: (similar, -start, min(int(self.sizes[item]), len(words)))
             for item, (similar, start) in best.items()
         }
 
@@ -286,7 +284,7 @@ def leaks(
     """``doc_id``, ``item_id``, ``start_word``, ``n_words`` and ``similarity``: items found in documents.
 
     One row for each row of ``docs`` and item with a window of similarity 0.75 or more, with the best
-    window, the first of equals.  A-Z count as lower case.  Items of fewer than five words are one shingle.
+    window, the first of equals; a text shorter than an item is compared as a whole.  A-Z count as lower case.  Items of fewer than five words are one shingle.
     Null, empty and blank texts and items match nothing; repeated rows of ``docs`` give repeated rows, and a
     row without an id gives rows without one; items without an id are left out.  Other columns are ignored, and an
     empty table on either side gives no rows.
