@@ -78,3 +78,13 @@ def test_collision_rate_is_the_weighted_similarity(spark, monkeypatch):
     monkeypatch.setattr(f, "SAMPLES", 256)
     rows = f.fingerprints(table(spark, list(enumerate(texts)))).collect()
     assert abs(rows[0].near_next - similarity(*texts)) < 0.1
+
+
+def test_long_texts_by_the_number_of_samples_in_use(spark):
+    # Unlike texts do not look alike however long they are, and a half-edited one does by a third.
+    texts = [" ".join(f"{side}{i}" for i in range(40_000)) for side in "pq"]
+    rows = f.fingerprints(table(spark, list(enumerate(texts)))).collect()
+    for r in rows:
+        assert len(r.fingerprint) == 8 * f.SAMPLES
+        assert r.near_next < 0.05
+        assert abs(r.near_edited - 1 / 3) < 3.5 * (2 / 9 / f.SAMPLES) ** 0.5

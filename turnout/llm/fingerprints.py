@@ -1,9 +1,9 @@
 """Document fingerprints by consistent weighted sampling, with built-in functions only.
 
 The terms of a text are its pairs of neighbouring words (the last word alone), lower-cased and
-hashed to ``TERMS`` numbers; a term's weight is how often it occurs.  For each term and each
-of ``SAMPLES`` draws a fixed table holds r and c from Gamma(2, 1) and b from the uniform distribution,
-all made from hashes.  A term of weight w then has
+hashed to 64 bits; a term's weight is how often it occurs.  For each term and each
+of ``SAMPLES`` draws, r and c are from Gamma(2, 1) and b from the uniform distribution,
+all made from hashes of the term.  A term of weight w then has
 
     t = floor(ln w / r + b),    ln a = ln c - r (t - b + 1)
 
@@ -19,29 +19,33 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from turnout.llm.tables import checked_broadcast, stored
 
-TERMS = 1 << 16
-SAMPLES = 32
+SAMPLES = 64
 RANGE_BYTES = 4 << 20
 MOST_TASKS = 20_000
 CUTS = 64  # ranges of ids cut at quantiles; each is cut again into equal widths
 SPACE = "[\\\\x20\\\\x09-\\\\x0D]+"
 
 
-def draws(spark: SparkSession) -> DataFrame:
-    """``term`` and the arrays ``r``, ``lc`` and ``b``: a table of fixed size."""
-    def uniform(k, salt):
-        # 32 bits, never 0.
-        return f"((shiftrightunsigned(xxhash64(id, {k}, {salt}), 32) + 0.5D) / 4294967296D)"
+def _draw(k: int) -> tuple[str, str, str]:
+    """SQL for r, ln c and b of the ``term``."""
+    def uniforms(salt):
+        # 32 bits each, never 0.
+        number = f"xxhash64(term, {3 * k + salt})"
+        return (f"((shiftrightunsigned({number}, 32) + 0.5D) / 4294967296D)",
+                f"((({number} & 4294967295L) + 0.5D) / 4294967296D)")
 
-    def gamma(k, salt):
-        return f"(-ln({uniform(k, salt)}) - ln({uniform(k, salt + 1)}))"
+    def gamma(salt):
+        one, other = uniforms(salt)
+        return f"(-ln({one} * {other}))"
 
-    def each(value):
-        return f"transform(sequence(0, {SAMPLES - 1}), k -> float({value}))"
+    return gamma(0), f"ln({gamma(1)})", uniforms(2)[0]
 
-    return spark.range(TERMS).selectExpr(
-        "int(id) as term", f"{each(gamma('k', 1))} as r", f"{each(f'ln({gamma('k', 3)})')} as lc",
-        f"{each(uniform('k', 5))} as b",
+
+def draws(spark: SparkSession, terms: int = 1 << 16) -> DataFrame:
+    """``term`` and the arrays ``r``, ``lc`` and ``b`` for terms from 0 on, to look at their distribution."""
+    parts = zip(*map(_draw, range(SAMPLES)), strict=True)
+    return spark.range(terms).selectExpr("id as term").selectExpr(
+        "term", *[f"array({', '.join(part)}) as {name}" for part, name in zip(parts, ("r", "lc", "b"), strict=True)]
     )
 
 
@@ -116,24 +120,21 @@ def _samples(rows: DataFrame) -> DataFrame:
         .select("part", "which", F.expr(words).alias("w"))
         .select("part", "which", F.expr("inline(arrays_zip(w, slice(w, 2, greatest(size(w) - 1, 0))))"))
         .toDF("part", "which", "a", "b").where("a <> ''")
-        # One number for row, side and term keeps the hash table narrow.
-        .select("part", F.expr(f"which * {TERMS} + pmod(xxhash64(a, coalesce(b, '')), {TERMS}L)").alias("key"))
-        .groupBy("part", "key").agg(F.count("*").alias("n"))
-        .select(
-            "part", F.expr(f"key div {TERMS}").alias("which"),
-            F.expr(f"int(pmod(key, {TERMS}L))").alias("term"), F.expr("ln(n)").alias("lw"),
-        )
+        .select("part", "which", F.expr("xxhash64(a, coalesce(b, ''))").alias("term"))
+        .groupBy("part", "which", "term").agg(F.count("*").alias("n"))
+        .select("part", "which", "term", F.expr("ln(n)").alias("lw"))
     )
 
     def lowest(k):
-        t = f"floor(lw / r[{k}] + b[{k}])"
-        value = f"bigint((lc[{k}] - r[{k}] * ({t} - b[{k}] + 1)) * 16777216D)"
-        # The order in the upper bits, term and t below.
-        return F.expr(f"min(shiftleft({value}, 32) | (bigint(term) << 16) | ({t} & 65535L))").alias(f"m{k}")
+        r, lc, b = _draw(k)
+        t = f"floor(lw / {r} + {b})"
+        value = f"bigint(({lc} - {r} * ({t} - {b} + 1)) * 16777216D)"
+        # The order in the upper bits, below it a number for term and t.
+        sample = f"((term ^ (({t} & 65535L) * 2654435761L)) & 4294967295L)"
+        return F.expr(f"min(shiftleft({value}, 32) | {sample})").alias(f"m{k}")
 
-    drawn = counted.join(F.broadcast(draws(rows.sparkSession)), "term")
     ids = ", ".join(f"m{k} & 4294967295L" for k in range(SAMPLES))
-    sampled = drawn.groupBy("part", "which").agg(*[lowest(k) for k in range(SAMPLES)]).select(
+    sampled = counted.groupBy("part", "which").agg(*[lowest(k) for k in range(SAMPLES)]).select(
         "part", F.expr("int(which div 2)").alias("row"), F.expr("which % 2").alias("side"),
         F.expr(f"array({ids})").alias("s"),
     )
