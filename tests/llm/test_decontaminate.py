@@ -102,13 +102,15 @@ def test_weights_are_those_of_the_whole_benchmark(spark, monkeypatch):
     assert _found(spark, docs, items) == expected
 
 
-def test_windows_outside_the_radius_are_found(spark, monkeypatch):
+def test_windows_outside_the_radius_are_found(monkeypatch):
     rng = random.Random(5)
     item = prose(rng, 70)
     changed = [*item[:25], "changed", *item[26:]]
-    monkeypatch.setattr(d.HammingIndex, "within", lambda self, q: (np.empty(0, np.int64), np.empty(0, np.int64)))
-    assert _found(spark, [(7, " ".join(["x", *changed, "y"]))], [(1, " ".join(item))]) == [
-        (7, 1, 1, 70, round(61 / 71, 9))]
+    none = np.empty(0, np.int64)
+    monkeypatch.setattr(d.HammingIndex, "within", lambda self, queries: (none, none))
+    found = d.Items([(1, " ".join(item), {})]).find(" ".join(["x", *changed, "y"]))
+    assert found == {0: (round(61 / 71, 12), 1, 70)}
+
 
 
 def test_texts_shorter_than_an_item(spark):
