@@ -9,6 +9,7 @@ from turnout.llm import (
     decontaminate,
     fingerprints,
     jaccard_join,
+    packing,
     quality,
     sql,
     substrings,
@@ -66,6 +67,10 @@ def op10_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_pairs.byte_pairs(_table(spark, sf_dir, "documents"), digest=True)
 
 
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packing(_table(spark, sf_dir, "documents"))
+
+
 def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def shipped(query):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
