@@ -9,6 +9,7 @@ from turnout.llm import (
     decontaminate,
     fingerprints,
     jaccard_join,
+    lexical,
     packing,
     quality,
     sql,
@@ -67,6 +68,10 @@ def op10_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_pairs.byte_pairs(_table(spark, sf_dir, "documents"), digest=True)
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing(_table(spark, sf_dir, "documents"))
 
@@ -84,4 +89,8 @@ def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def statements() -> dict[str, str]:
     """The other operators need a tokenizer, a model, a hash or a parser that SQL lacks."""
-    return {"op1_jaccard_join": sql.JACCARD_JOIN, "op3_substring_dedup": sql.SUBSTRING_DEDUP}
+    return {
+        "op1_jaccard_join": sql.JACCARD_JOIN,
+        "op3_substring_dedup": sql.SUBSTRING_DEDUP,
+        "op11_lexical_search": sql.LEXICAL_SEARCH,
+    }

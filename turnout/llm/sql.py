@@ -34,3 +34,26 @@ select doc_id, len(ws) as n_words, len(ws) - coalesce(n, 0) as n_removed,
   sha256(coalesce(text, '')) as kept_sha256
 from w left join kept using (doc_id)
 """
+
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+LEXICAL_SEARCH = rf"""
+with d as (select doc_id, {_TERMS} as ws from documents),
+n as (select doc_id, len(ws) as n from d where len(ws) > 0),
+held as (select doc_id, term, count(*) as tf
+  from (select doc_id, unnest(ws) as term from d) group by all),
+asked as (select item_id, term, count(*) as r
+  from (select item_id, unnest({_TERMS}) as term from benchmark) group by all),
+c as (select count(*)::bigint as n_docs, sum(n)::bigint as n_terms from n),
+w as (select term, floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+  from held, c where term in (select term from asked) group by term, n_docs),
+m as (select doc_id, 25 + (75 * n * n_docs) // n_terms as m from n, c),
+s as (select item_id, doc_id,
+    sum(r * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::bigint as score
+  from asked join w using (term) join held using (term) join m using (doc_id) group by all),
+ranked as (select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank,
+  doc_id, score from s where score > 0)
+select * from ranked where rank <= 10
+"""
