@@ -17,6 +17,7 @@ from turnout.llm import (
     token_blocks,
     token_counts,
     toxicity,
+    trie,
     wrappers,
 )
 from turnout.llm.tables import ship_package
@@ -72,6 +73,10 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(_table(spark, sf_dir, "conversations"), regrow=True)
+
+
 def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing(_table(spark, sf_dir, "documents"))
 
@@ -93,4 +98,5 @@ def statements() -> dict[str, str]:
         "op1_jaccard_join": sql.JACCARD_JOIN,
         "op3_substring_dedup": sql.SUBSTRING_DEDUP,
         "op11_lexical_search": sql.LEXICAL_SEARCH,
+        "op12_prefix_trie": sql.PREFIX_TRIE,
     }

@@ -57,3 +57,41 @@ ranked as (select item_id, row_number() over (partition by item_id order by scor
   doc_id, score from s where score > 0)
 select * from ranked where rank <= 10
 """
+
+_CRC32 = """xor(4294967295::bigint, list_reduce(
+  list_concat([4294967295::bigint], list_transform(string_split({text}, ''), lambda s: ascii(s)::bigint)),
+  lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]),
+    lambda x, i: case when x % 2 = 1 then xor(x // 2, 3988292384::bigint) else x // 2 end)))"""
+
+PREFIX_TRIE = rf"""
+with own as (select conv_id, row_number() over (partition by conv_id order by turn nulls first) as d,
+  struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) as turn from conversations),
+c as (select conv_id, count(*) as n, conv_id - conv_id % 20 as base,
+  {_CRC32.format(text="conv_id::varchar")} % 4 as h from conversations group by conv_id),
+taken as (select c.*, least(c.h, coalesce(b.n, 0)) as k from c left join c b on b.conv_id = c.base),
+grown as (select taken.conv_id, d, turn from taken join own on own.conv_id = base and d <= k
+  union all select conv_id, k + d - h, turn from taken join own using (conv_id) where d > h),
+keyed as (select conv_id, d, turn,
+  list(turn) over (partition by conv_id order by d rows unbounded preceding) as key from grown),
+nodes as (select min(conv_id) as conv_id, d as depth, key, count(*) as n_convs,
+    len({_WORDS.format(text="any_value(turn.t)")}) as words from keyed group by d, key
+  union all select min(conv_id), 0, [], count(*), 0 from c having count(*) > 0),
+paths as (select k.conv_id, d, n.conv_id as node from keyed k join nodes n on n.depth = d and n.key = k.key
+  union all select conv_id, 0, (select min(conv_id) from c) from c),
+linked as (select n.conv_id, depth, p.node as parent_conv_id, n_convs, (n_convs - 1) * words as saved
+  from nodes n left join paths p on p.conv_id = n.conv_id and p.d = depth - 1),
+children as (select parent_conv_id, depth - 1 as depth, count(*) as n_children
+  from linked where depth > 0 group by all),
+counted as (select l.*, coalesce(n_children, 0) as n_children from linked l left join children x
+  on x.parent_conv_id = l.conv_id and x.depth = l.depth),
+subtrees as (select p.node as conv_id, p.d as depth, sum((n_children = 0)::bigint)::bigint as n_leaves,
+  sum(saved)::bigint as saved_tokens
+  from counted u join paths p on p.conv_id = u.conv_id and p.d <= u.depth group by all),
+last as (select conv_id, max(d) as d from paths group by conv_id),
+ends as (select p.node as conv_id, p.d as depth,
+  sha256(string_agg(p.conv_id::varchar, ',' order by p.conv_id)) as ends_sha256
+  from paths p join last using (conv_id, d) group by all)
+select conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens,
+  coalesce(ends_sha256, sha256('')) as ends_sha256
+from counted join subtrees using (conv_id, depth) left join ends using (conv_id, depth)
+"""
