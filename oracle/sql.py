@@ -137,6 +137,8 @@ cleaned as (select {CLEAN_COLUMNS} from coded
  where {GOOD_BOROUGH} and {GOOD_DISPATCH} and {GOOD_INCIDENT})
 """
 
+IN_SCOPE = "coalesce(upper(trim(CIP_JOBS)) in ('CRITICAL', 'SERIOUS', 'NON CRITICAL'), false)"
+
 SCOPED = """
 scoped as (select * from cleaned
  where upper(trim(CIP_JOBS)) in ('CRITICAL', 'SERIOUS', 'NON CRITICAL')
@@ -231,6 +233,40 @@ TIME_STATUS = ", ".join([
 INCIDENT = "try_strptime(concat_ws(' ', INCIDENT_DATE, INCIDENT_TIME), '%m/%d/%Y %H:%M:%S')"
 
 
+def overview() -> str:
+    """Every scalar check as a row of its own."""
+    late = gap(ts("ADD_TS"), INCIDENT)
+    checks = {
+        ("rows", "*"): "count(*)",
+        ("max_length", "TYP_DESC"): "max(length(TYP_DESC))",
+        ("late_by_60", "INCIDENT_TIME"): f"count(*) filter (where {late} > 60)",
+        ("late_by_0", "INCIDENT_TIME"): f"count(*) filter (where {late} > 0)",
+        ("invalid", "INCIDENT_TIME"):
+            f"count(*) filter (where not regexp_matches(trim(INCIDENT_TIME), {TIME_TEXT}))",
+        ("invalid_untrimmed", "INCIDENT_TIME"):
+            f"count(*) filter (where not regexp_matches(INCIDENT_TIME, {TIME_TEXT}))",
+        ("before_ADD_TS", "DISP_TS"): f"count(*) filter (where {ts('DISP_TS')} < {ts('ADD_TS')})",
+        ("outside_domain", "BORO_NM"): "count(*) filter (where BORO_NM not in "
+            "('AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST'))",
+        ("before_CREATE_DATE", "INCIDENT_DATE"):
+            f"count(*) filter (where {date('INCIDENT_DATE')} < {date('CREATE_DATE')})",
+        ("after_CLOSNG_TS", "INCIDENT_DATE"):
+            f"count(*) filter (where cast({date('INCIDENT_DATE')} as timestamp) > {ts('CLOSNG_TS')})",
+    }
+    for c in RAW_LIST:
+        checks["null", c] = f"count(*) filter (where {c} is null)"
+        checks["null_or_blank", c] = f"count(*) filter (where {c} is null or trim({c}) = '')"
+    for c in ("CREATE_DATE", "INCIDENT_DATE"):
+        checks["earliest", c], checks["latest", c] = f"min({date(c)})", f"max({date(c)})"
+    for c in STAMP_NAMES:
+        checks["invalid", c] = f"count(*) filter (where {c} is not null and {ts(c)} is null)"
+    for c in ("CAD_EVNT_ID", "ARRIVD_TS", "CLOSNG_TS", "RADIO_CODE", "TYP_DESC"):
+        checks["missing", c] = f"count(*) filter (where {ts(c) if c.endswith('_TS') else c} is null)"
+    return " union all ".join(
+        f"select '{check}' as check_name, '{c}' as column_name, cast({value} as varchar) as value from raw"
+        for (check, c), value in checks.items())
+
+
 def profiling() -> dict[str, str]:
     counts = " union all ".join(
         f"select '{c}' as column_name, count(*) as num_distinct "
@@ -248,6 +284,14 @@ def profiling() -> dict[str, str]:
                             "cast(sum(1) as bigint) as num_rows_summed from raw"),
         "raw_distinct_values_borough": on("raw", "select distinct BORO_NM from raw"),
         "raw_distinct_counts": on("raw", counts),
+        "raw_overview": on("raw", overview()),
+        "raw_distinct_sketches": on("raw", f"""
+select *, true as sketch_is_near from ({counts} union all select 'RADIO_CODE, TYP_DESC', count(*)
+ from (select distinct RADIO_CODE, TYP_DESC from raw))"""),
+        "raw_desc_severity_cells": on("raw", """
+select TYP_DESC, cast(0 as bigint) as chunk, coalesce(array_to_string(list_sort(list(distinct CIP_JOBS)
+  filter (where CIP_JOBS is not null)), ', '), '') as CIP_JOBS_set,
+ count(distinct CIP_JOBS) as num_CIP_JOBS from raw group by TYP_DESC"""),
         "raw_pair_count": on("raw", "select count(*) as num_pairs from "
                              "(select distinct RADIO_CODE, TYP_DESC from raw)"),
         "raw_desc_to_codes": violations("TYP_DESC", "RADIO_CODE", "RADIO_CODES", "num_codes"),
@@ -336,6 +380,21 @@ def cleaning() -> dict[str, str]:
         "etl_scope": on("scoped", "select * from scoped"),
         "etl_normalize": on("normalized", "select * from normalized"),
         "etl_normalize_from_text": on("normalized", "select * from normalized"),
+        "etl_reject_ledger": on("cleaned", " union all ".join(
+            f"select '{stage}' as stage, {i} as step, '{rule}' as rule, count(*) as num_rows "
+            f"from {table} where {condition}" for stage, i, rule, table, condition in (
+                ("clean", 0, "rows_in", "typed", "true"),
+                ("clean", 1, "valid_borough", "typed", f"not coalesce({GOOD_BOROUGH}, false)"),
+                ("clean", 2, "dispatched_in_order", "typed", f"{GOOD_BOROUGH} and not {GOOD_DISPATCH}"),
+                ("clean", 3, "incident_within", "typed",
+                 f"{GOOD_BOROUGH} and {GOOD_DISPATCH} and not {GOOD_INCIDENT}"),
+                ("clean", 4, "rows_out", "cleaned", "true"),
+                ("scope", 0, "rows_in", "cleaned", "true"),
+                ("scope", 1, "severity_in_scope", "cleaned", f"not {IN_SCOPE}"),
+                ("scope", 2, "responded_after", "cleaned",
+                 f"{IN_SCOPE} and not coalesce(RESPONSE_TIME_SEC > 90, false)"),
+                ("scope", 3, "rows_out", "cleaned", f"{IN_SCOPE} and RESPONSE_TIME_SEC > 90"),
+            ))),
         "etl_hms_wrap24": on("typed", "select CAD_EVNT_ID, " + ", ".join(
             f"{hms_wrapped(n + '_SEC')} as {n}" for n in DURATIONS) + " from typed"),
     }
@@ -562,6 +621,9 @@ def ranking() -> dict[str, str]:
 
     return {
         "precinct_ranks": on(n, "select * from ranked", detail(n, PCT), RANKED),
+        "precinct_ranks_in_slices": on(
+            n, "select * replace (cast(RANK_FAST as bigint) as RANK_FAST, "
+            "cast(RANK_SLOW as bigint) as RANK_SLOW) from ranked", detail(n, PCT), RANKED),
         "precinct_top_bottom": on(n, PICKED_OUT, detail(n, PCT), RANKED, PICKED),
         "precinct_top_bottom_3": on(n, PICKED_OUT, detail(n, PCT), RANKED, picked(3)),
         "slowest_precincts": precincts("response", "desc"),
@@ -647,6 +709,11 @@ def order_lines() -> dict[str, str]:
         "lineitem_top_bottom": on(t, PICKED_OUT, detail(t, PCT), RANKED, PICKED),
         "lineitem_severity_profile": on(t, SEVERITY_OUT, severity(t)),
         "lineitem_profile_by_hour": on(t, by_part("hour_of_day", t)),
+        "lineitem_ranks_in_slices": on(t, """
+select CAD_EVNT_ID, BORO_NM, RESPONSE_TIME_SEC,
+ row_number() over (partition by BORO_NM order by RESPONSE_TIME_SEC, CAD_EVNT_ID) as RANK_FAST,
+ row_number() over (partition by BORO_NM order by RESPONSE_TIME_SEC desc, CAD_EVNT_ID) as RANK_SLOW
+ from (select distinct CAD_EVNT_ID, BORO_NM, RESPONSE_TIME_SEC from lines)"""),
         "lineitem_dedup": on(t, dedup("lines", LINE_COLUMNS)),
     }
 

@@ -31,7 +31,23 @@ def duck_rows(con, sql):
     return _rows([d[0] for d in result.description], result.fetchall())
 
 
+def _sequence(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return [columns[i] for i in order], [tuple(row[i] for i in order) for row in rows]
+
+
+def spark_sequence(df):
+    """Columns by name, rows as they come."""
+    return _sequence(df.columns, [tuple(row) for row in df.collect()])
+
+
+def duck_sequence(con, sql, order):
+    result = con.execute(f"select * from ({sql}) order by {order}")
+    return _sequence([d[0] for d in result.description], result.fetchall())
+
+
 KINDS = {
+    "boolean": "BOOLEAN",
     "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
     "date": "DATE", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP",
 }

@@ -29,6 +29,30 @@ def test_parse_ts_is_strict_and_never_raises(spark):
     ]
 
 
+@pytest.mark.parametrize("text, expected", [
+    ("02/29/2024 12:00:00 AM", dt.datetime(2024, 2, 29)), ("02/29/2023 12:00:00 AM", None),
+    ("04/31/2025 12:00:00 PM", None), ("04/30/2025 12:59:59 pm", dt.datetime(2025, 4, 30, 12, 59, 59)),
+    ("03/09/2025 02:30:00 Am", dt.datetime(2025, 3, 9, 2, 30)), ("12/31/9999 11:59:59 PM", dt.datetime(9999, 12, 31, 23, 59, 59)),
+    ("01/01/2025 00:10:00 AM", None), ("01/01/2025 13:00:00 PM", None), ("01/01/2025 11:60:00 AM", None),
+    ("01/01/2025 11:59:60 PM", None), ("01/01/2025 11:59:59  PM", None), ("01/01/2025 11:59:59 XM", None),
+    (" 01/01/2025 11:59:59 PM", None), ("01/01/2025 11:59:59 PM\n", None), ("01/01/12025 11:59:59 PM", None),
+    ("+1/01/2025 11:59:59 PM", None), ("13/01/2025 11:59:59 PM", None), ("00/10/2025 11:59:59 PM", None),
+])
+def test_odd_stamps(spark, text, expected):
+    df = spark.createDataFrame([(text, text[:10], text[11:19])], "x string, d string, t string")
+    row = df.select(fn.parse_ts("x").alias("y"), fn.is_stamp_text("x").alias("ok"), fn.parse_date("d").alias("d")).first()
+    assert (row.y, row.ok) == (expected, expected is not None)
+    assert expected is None or row.d == expected.date()
+
+
+def test_odd_times(spark):
+    times = ["24:00:00", "9:05:06", "12:00:60", "12:60:00", " 12:00:00", "12:00:00\n", "12:00", "", None]
+    assert values(spark, "string", times, fn.time_to_12h("x")) == [None] * 9
+    assert values(spark, "string", times, fn.incident_ts(F.lit("01/05/2025"), "x")) == [None] * 9
+    dates = ["02/30/2024", "01/01/2025\n", "1/1/2025", "2025-01-01"]
+    assert values(spark, "string", dates, fn.incident_ts("x", F.lit("12:00:00"))) == [None] * 4
+
+
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
 @pytest.mark.parametrize("start, end, seconds", [
     # The night in March when New York has no 02:30, and the one in November when it has two.

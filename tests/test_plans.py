@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from turnout.operators import cleaning, encoding, profiles, ranking
+from turnout.operators import cleaning, encoding, numbering, overview, profiles, ranking
 from turnout.plans import catalog
 
 
@@ -39,9 +39,13 @@ def test_top_bottom_of_rows_limits_each_list_before_the_shuffle(spark, small):
 
 
 def test_ranked_mart_counts_once(spark, small):
-    text = final_plan(ranking.precinct_ranked(catalog.line_calls(spark, small)))
+    calls = catalog.line_calls(spark, small)
+    text = final_plan(ranking.precinct_ranked(calls))
     assert "Union" not in text and "ReusedExchange" in text
-    assert text.count("Scan parquet") == 6  # one of each table
+    # Two passes over the lines for exact medians; the other tables are read once.
+    assert text.count("Scan parquet") == 6 + 1
+    counts = profiles.response_counts(calls)
+    assert final_plan(ranking.precinct_ranked(calls, counts=counts)).count("Scan parquet") == 6
 
 
 def test_codes_are_numbered_without_a_single_partition(spark, tmp_path):
@@ -102,7 +106,8 @@ def test_profiles_read_only_their_columns(stored):
 
 
 def test_counted_seconds_shuffle_by_group_and_second(stored):
-    text = final_plan(profiles.group_profile(stored.where(cleaning.positive()), ["BORO_NM"]))
+    counts = profiles.response_counts(stored)
+    text = final_plan(profiles.profile_of_counts(counts, ["BORO_NM"]))
     assert re.search(r"Exchange hashpartitioning\(BORO_NM#\d+, .*_seconds#\d+", text)
     assert text.count("Scan parquet") == 1 and "ReusedExchange" in text
     # Groups are put in order by buckets; single values only inside the buckets that a join picks.
@@ -112,6 +117,30 @@ def test_counted_seconds_shuffle_by_group_and_second(stored):
     assert all("Join" in text[at:] for at in values)
 
 
+def test_medians_of_rows_shuffle_by_group_alone(stored):
+    text = final_plan(profiles.group_profile(stored.where(cleaning.positive()), ["BORO_NM"]))
+    assert set(re.findall(r"Exchange hashpartitioning\(([^)]*?), \d+\)", text)) and "Window" not in text
+    for keys in re.findall(r"Exchange hashpartitioning\(([^)]*?), \d+\)", text):
+        assert re.fullmatch(r"(BORO_NM|_group|_of_group)#\d+", keys), keys
+    assert "PushedFilters: [IsNotNull(RESPONSE_TIME_SEC), GreaterThan(RESPONSE_TIME_SEC,0)]" in text
+
+
+def test_all_scalar_checks_are_one_scan(spark, small, tmp_path):
+    catalog.raw_calls(spark, small).write.parquet(str(tmp_path / "raw"))
+    raw = spark.read.parquet(str(tmp_path / "raw"))
+    text = plan(overview.profile_raw(raw))
+    assert text.count("Scan parquet") == 1 and text.count("Exchange") == 1
+    assert text.count("HashAggregate") + text.count("SortAggregate") == 2
+
+
+def test_a_hot_group_is_ranked_in_slices(spark):
+    df = spark.range(20_000).selectExpr("if(id % 3 = 0, 'hot', string(id % 50)) as k", "id * 7919 % 4999 as v", "id")
+    ranked = numbering.ranks_in_slices(df, ["k"], "v", ["id"], slices=16)
+    text = final_plan(ranked)
+    assert re.search(r"Exchange hashpartitioning\(k#\d+, _slice#\d+", text)
+    assert not re.search(r"Window \[row_number[^\n]*\[k#\d+\]", text)
+
+
 def test_top_k_does_not_sort_everything(stored):
     df = ranking.top_k(profiles.group_profile(stored, ["NYPD_PCT_CD"]), "avg_response_sec", 5)
     assert "TakeOrderedAndProject" in plan(df)

@@ -1,6 +1,8 @@
 """Profiles, rankings and chart tables on hand-made rows."""
 
 import datetime as dt
+import random
+import re
 import statistics
 
 import pytest
@@ -270,3 +272,40 @@ def test_ranked_facets(sample):
     bars = c.chart_ranked_facets(mart).collect()
     assert len(bars) == 6 and {x.COLOUR for x in bars} == {"green", "red"}
     assert {x.PRECINCT for x in bars} == {"1", "2", "3"}
+
+
+def test_exact_medians_against_plain_ones(spark):
+    rng = random.Random(9)
+    rows = [(rng.choice(["a", "a", "a", None, "b"]), rng.choice([None, 1, 2]),
+             rng.choice([None, rng.randrange(-50, 50), int(rng.lognormvariate(6, 2)), 7])) for _ in range(6000)]
+    rows += [("one", 1, 5), ("two", 1, 9), ("two", 1, 3), ("none", 1, None), ("same", 1, 4), ("same", 1, 4)]
+    df = spark.createDataFrame(rows, "k string, g int, v bigint").repartition(7)
+    got = {(r.k, r.g): r for r in p.group_profile(
+        df, ["k", "g"], {"v": "v"}, ("median", "avg", "min", "max")).collect()}
+    groups = {}
+    for k, g, v in rows:
+        groups.setdefault((k, g), []).append(v)
+    assert set(got) == set(groups)
+    for key, all_values in groups.items():
+        known = [v for v in all_values if v is not None]
+        row = got[key]
+        assert row.num_records == len(all_values)
+        expected = (statistics.median_low(known), min(known), max(known)) if known else (None,) * 3
+        assert (row.median_v_sec, row.min_v_sec, row.max_v_sec) == expected
+
+
+def test_medians_shuffle_by_group_only(spark):
+    df = spark.range(1000).selectExpr("id % 3 as k", "id as v")
+    profile = p.group_profile(df, ["k"], {"v": "v"})
+    profile.collect()
+    plan = profile._jdf.queryExecution().executedPlan().toString()
+    keys = set(re.findall(r"hashpartitioning\(([^)]*)\)", plan))
+    assert keys and not any("_v" in k.split(", ") or "seconds" in k for k in keys)
+    assert "Window" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_a_broken_sketch_is_an_error_and_not_a_wrong_median(spark, monkeypatch):
+    monkeypatch.setattr(p, "MARGIN", -0.4)  # bounds the wrong way round
+    df = spark.range(100).selectExpr("1 as k", "id as v")
+    with pytest.raises(Exception, match="outside the bounds"):
+        p.group_profile(df, ["k"], {"v": "v"}).collect()

@@ -102,3 +102,36 @@ def test_whole_run(spark, small, tmp_path):
     # Stored marts can still be ordered by seconds.
     top = sources.preview_mart(marts["Part1/dfPrecinctStats"], "AVG_RESPONSE_SEC")
     assert top.count() == 5
+
+
+def test_lines_with_too_many_or_too_few_fields_are_rescued(spark, tmp_path):
+    full = "1,01/05/2025,01/05/2025,10:00:00,14,QUEENS,34S1,t,CRITICAL,a,b,c,d"
+    lines = [full, "2,01/05/2025", full + ",x,y", '3,"a, ""b""",' + ",".join("cdefghijk")]
+    (tmp_path / "raw.csv").write_text("\n".join([HEADER, *lines]) + "\n")
+    path = str(tmp_path / "raw.csv")
+    plain, df = sources.read_raw_csv(spark, path), sources.read_raw_csv(spark, path, rescued="_line")
+    assert df.columns == [*plain.columns, "_line"]
+    assert [r[:-1] for r in df.collect()] == [tuple(r) for r in plain.collect()]
+    assert [r._line for r in df.collect()] == [None, *lines[1:]]
+    assert df.where("_line is not null").count() == 3
+    assert df.select("_line").where("_line like '%,x,y'").count() == 1
+    assert df.select("CAD_EVNT_ID").collect() == plain.select("CAD_EVNT_ID").collect()
+    bare = sources.read_raw_csv(spark, path, schema=None, rescued="_line")
+    assert bare.columns == [*HEADER.split(","), "_line"] and bare.where("_line is not null").count() == 3
+
+
+def test_versions_of_a_stage(spark, tmp_path):
+    path = str(tmp_path / "stage")
+    with pytest.raises(FileNotFoundError):
+        sources.read_current(spark, path)
+    sources.replace_stage(spark.range(10), path)
+    sources.replace_stage(sources.read_current(spark, path).where("id >= 4"), path, files=1)  # from itself
+    assert sources.read_current(spark, path).count() == 6
+    assert sources.read_current(spark, path, 1).count() == 10
+    assert [r.number for r in sources.stage_versions(spark, path).orderBy("number").collect()] == [1, 2]
+    broken = spark.range(4).selectExpr("if(id = 3, raise_error('half-way'), id) as id")
+    with pytest.raises(Exception, match="half-way"):
+        sources.replace_stage(broken, path)
+    assert sources.read_current(spark, path).count() == 6
+    with pytest.raises(FileNotFoundError):
+        sources.read_current(spark, path, 9)

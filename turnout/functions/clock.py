@@ -8,7 +8,7 @@ reads alike wherever it was written.
 
 from pyspark.sql import Column, functions as F
 
-from turnout.schema import DATE_FORMAT, STAMP_FORMAT, TIME_FORMAT, TIME_PATTERN
+from turnout.schema import CLOCK_PATTERN, DATE_PATTERN, STAMP_PATTERN, TIME_PATTERN
 
 DAY = 86400
 
@@ -17,37 +17,52 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _wall_clock(text: Column, pattern: str) -> Column:
-    """Timestamp without zone from text, read as if in UTC, where every clock reading exists."""
-    instant = F.try_to_timestamp(F.concat(text, F.lit(" +0000")), F.lit(f"{pattern} xx"))
-    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return start + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.unix_timestamp(instant))
+def _number(text: Column, start: int, size: int) -> Column:
+    return F.substring(text, start, size).try_cast("int")
+
+
+def _reading(date: Column, hour: Column, time: Column, at: int) -> Column:
+    """Timestamp without zone of a date text, an hour, and the minutes and seconds from place ``at`` of a text.
+
+    Texts are of the right form; what no calendar has, like 30 February, is null.
+    """
+    return F.try_make_timestamp_ntz(
+        _number(date, 7, 4), _number(date, 1, 2), _number(date, 4, 2),
+        hour, _number(time, at, 2), _number(time, at + 3, 2),
+    )
 
 
 def parse_date(c) -> Column:
     """Date from ``MM/dd/yyyy`` text."""
-    return _wall_clock(_col(c), DATE_FORMAT).cast("date")
+    text = _col(c)
+    iso = F.concat(F.substring(text, 7, 4), F.lit("-"), F.substring(text, 1, 2), F.lit("-"), F.substring(text, 4, 2))
+    return F.when(text.rlike(DATE_PATTERN), iso.try_cast("date"))
 
 
 def parse_ts(c) -> Column:
     """Timestamp from 12-hour text."""
-    return _wall_clock(_col(c), STAMP_FORMAT)
+    text = _col(c)
+    noon = F.when(F.substring(text, 21, 1).isin("P", "p"), 12).otherwise(0)
+    return F.when(text.rlike(STAMP_PATTERN), _reading(text, _number(text, 12, 2) % 12 + noon, text, 15))
+
+
+def is_stamp_text(c) -> Column:
+    """Whether ``parse_ts`` reads the text; only days that some months lack are looked up."""
+    text = _col(c)
+    late = F.substring(text, 4, 2) > "28"
+    return text.rlike(STAMP_PATTERN) & (~late | parse_ts(text).isNotNull())
 
 
 def incident_ts(date, time) -> Column:
     """Timestamp from a date text and a 24-hour time text, null if either is missing."""
-    return _wall_clock(F.concat(_col(date), F.lit(" "), _col(time)), f"{DATE_FORMAT} {TIME_FORMAT}")
+    date, time = _col(date), _col(time)
+    fits = date.rlike(DATE_PATTERN) & time.rlike(CLOCK_PATTERN)
+    return F.when(fits, _reading(date, _number(time, 1, 2), time, 4))
 
 
 def elapsed_seconds(start, end) -> Column:
-    """Whole seconds on the clock from start to end, negative when end comes first."""
-    start, end = _col(start), _col(end)
-
-    def of_day(ts):
-        return F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
-
-    days = F.datediff(end.cast("date"), start.cast("date")).cast("bigint")
-    return days * DAY + (of_day(end) - of_day(start))
+    """Whole seconds on the clock from start to end, fractions cut off, negative when end comes first."""
+    return (_col(end) - _col(start)).cast("interval second").cast("bigint")
 
 
 def format_hms(seconds: str, wrap24: bool = False) -> Column:
@@ -87,9 +102,11 @@ def hms_to_minutes(text: str) -> Column:
 
 def time_to_12h(c) -> Column:
     """``23:05:06`` -> ``11:05:06 PM``; anything that is no time becomes null."""
-    # On a day without a change of the clock in any zone.
-    instant = F.try_to_timestamp(F.concat(F.lit("2000-01-15 "), _col(c)), F.lit(f"yyyy-MM-dd {TIME_FORMAT}"))
-    return F.date_format(instant, "hh:mm:ss a")
+    text = _col(c)
+    hour = _number(text, 1, 2)
+    twelve = F.lpad(F.pmod(hour + 11, F.lit(12)) + 1, 2, "0")
+    half = F.when(hour < 12, " AM").otherwise(" PM")
+    return F.when(text.rlike(CLOCK_PATTERN), F.concat(twelve, F.substring(text, 3, 6), half))
 
 
 def is_time_text(c) -> Column:

@@ -3,11 +3,12 @@
 Means, extremes and counts are plain hash aggregation: partial results are
 merged before the shuffle, so group sizes do not matter.
 
-Medians are exact by default, in two levels.  Rows are first counted per group and value, which
-spreads even a group with most of the rows.  The counts are summed by buckets of neighbouring
-values, of which a group has a few thousand at most; a running sum over a group's buckets
-finds the one that holds the middle row, and only that bucket's values are put in order.  With
-``accuracy`` given, medians come from ``percentile_approx`` instead.
+Medians are exact by default, in two passes over the rows.  The first keeps a quantile sketch of
+each group, merged before and after the shuffle like a sum, which only bounds the middle; the second
+counts each value between the bounds, everything below as the lower bound and everything above as the
+upper one, so that what a group sends is small however many values it has.  Groups are the only
+thing either pass shuffles by.  From a stored table of counted seconds medians follow without a second
+pass over the rows.  With ``accuracy`` given, they come from ``percentile_approx`` instead.
 """
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
@@ -21,6 +22,56 @@ DISPATCH = "DISPATCH_DELAY_SEC"
 TRAVEL = "TRAVEL_TIME_SEC"
 
 
+# --- statistics of rows ----------------------------------------------------
+
+#: The sketch errs by one rank in SKETCH at most; the bounds lie MARGIN of the ranks from the middle.
+SKETCH, MARGIN = 200, 0.05
+
+
+def _of(name: str, stat: str) -> str:
+    return f"_{stat}_of_{name}"
+
+
+def summarize_rows(df: DataFrame, keys, metrics: dict[str, str], stats) -> DataFrame:
+    """A row per group with ``stats`` of each metric, as ``_of`` names them, and ``_count``.
+
+    ``stats`` holds any of avg, median, stddev, min and max.  Bounds are joined to the rows by one struct, in
+    which nulls are equal; the second pass groups by the keys themselves, so the rows of a frequent key are
+    reduced where they are and may be split in the join.
+    """
+    rows = df.select(
+        *keys, *[F.col(column).alias(f"_{name}") for name, column in metrics.items()],
+        F.struct(*keys).alias("_group"))
+    simple = {"avg": F.avg, "stddev": F.stddev_samp, "min": F.min, "max": F.max}
+    around = F.array(F.lit(0.5 - MARGIN), F.lit(0.5 + MARGIN))
+    first = rows.groupBy(*keys).agg(
+        F.count("*").alias("_count"),
+        *[simple[stat](f"_{name}").alias(_of(name, stat)) for name in metrics for stat in stats if stat != "median"],
+        *[f(f"_{name}").alias(_of(name, stat)) for name in metrics for stat, f in (
+            ("known", F.count), ("bounds", lambda c: F.percentile_approx(c, around, SKETCH)))],
+    )
+    # What the first pass found comes along with the bounds: one value a group.
+    found = [c for c in first.columns if c not in keys]
+    first = first.select(F.struct(*keys).alias("_of_group"), *found)
+    kinds = dict(rows.dtypes)
+    return rows.join(first, F.col("_group") == F.col("_of_group")).groupBy(*keys).agg(
+        *[F.any_value(c).alias(c) for c in found],
+        *[_middle(name, kinds[f"_{name}"]).alias(_of(name, "median")) for name in metrics],
+    )
+
+
+def _middle(name: str, kind: str) -> Column:
+    """The first value that at least half of the known ones do not exceed, by bounds around it."""
+    value, bounds, known = f"_{name}", _of(name, "bounds"), f"max({_of(name, 'known')})"
+    cut = f"if({value} is null, null, greatest({bounds}[0], least({bounds}[1], {value})))"
+    middle = f"cast(percentile_disc(0.5) within group (order by {cut}) as {kind})"
+    below, above = f"count_if({value} < {bounds}[0])", f"count_if({value} > {bounds}[1])"
+    return F.expr(f"""
+        if({known} = 0 or ({below} * 2 < {known} and {above} * 2 <= {known}), {middle},
+           raise_error('the middle of {name} lies outside the bounds of its sketch'))
+    """)
+
+
 # --- statistics from counted seconds --------------------------------------
 
 def count_seconds(df: DataFrame, keys, metrics: dict[str, str]) -> DataFrame:
@@ -147,15 +198,9 @@ def group_profile(
             *[APPROXIMATE[stat](metrics[name], accuracy).alias(out) for name, stat, out in names],
             F.count("*").alias(count_name),
         )
-    counts = count_seconds(df, keys, metrics)
-    if len(metrics) == 1:
-        return profile_of_counts(counts, keys, *metrics, stats, count_name)
-    summary = summarize_counts(counts, keys)
-    # One row per group again; every metric counted all rows of the group.
-    return summary.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_metric") == name, F.col(f"_{stat}"))).alias(out)
-          for name, stat, out in names],
-        F.max("_count").alias(count_name),
+    return summarize_rows(df, keys, metrics, stats).select(
+        *keys, *[F.col(_of(name, stat)).alias(out) for name, stat, out in names],
+        F.col("_count").alias(count_name),
     )
 
 
@@ -189,9 +234,10 @@ def medians(df: DataFrame, columns=SECONDS_COLUMNS, accuracy: int | None = None)
         return df.agg(*[
             F.percentile_approx(c, 0.5, accuracy).alias(name) for c, name in names.items()
         ])
-    summary = summarize_counts(count_seconds(df, [], {c: c for c in columns}), [])
+    cells = df.select(*columns).unpivot([], list(columns), "_metric", "_seconds")
+    summary = summarize_rows(cells, ["_metric"], {"all": "_seconds"}, ("median",))
     return summary.agg(*[
-        F.max(F.when(F.col("_metric") == c, F.col("_median"))).alias(name)
+        F.max(F.when(F.col("_metric") == c, F.col(_of("all", "median")))).alias(name)
         for c, name in names.items()
     ])
 

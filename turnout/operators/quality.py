@@ -6,7 +6,16 @@ columns fold them into one pass instead of rescanning the text per column.
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from turnout.functions import elapsed_seconds, incident_ts, is_blank, is_time_text, parse_date, parse_ts
+from turnout.functions import (
+    elapsed_seconds,
+    incident_ts,
+    is_blank,
+    is_stamp_text,
+    is_time_text,
+    parse_date,
+    parse_ts,
+)
+from turnout.operators.numbering import ranks_in_slices
 from turnout.schema import BOROUGHS, DATE_COLUMNS, KEY, RAW_COLUMNS, STAMP_COLUMNS
 
 # Columns looked at, and the words of the status columns below.
@@ -97,32 +106,61 @@ def violation_counts(
     )
 
 
-def _gathered(pairs: DataFrame, key: str, value: str, set_name: str, count_name: str) -> DataFrame:
-    return pairs.groupBy(key, count_name).agg(
+#: Values in one cell.
+CELL = 1000
+
+
+def _cells(
+    pairs: DataFrame, key: str, value: str, set_name: str, count_name: str, size: int
+) -> DataFrame:
+    """``key``, ``chunk``, the sorted values of the chunk, at most ``size``, and the number of all values of the key.
+
+    The values of a key with more of them are numbered in the order of their hashes, in slices, and
+    cut into chunks by number: no task and no cell ever holds all of them.
+    """
+    few = pairs.where(F.col(count_name) <= size).withColumn("chunk", F.lit(0).cast("bigint"))
+    hashed = pairs.where(F.col(count_name) > size).withColumn("_hash", F.xxhash64(value))
+    many = ranks_in_slices(hashed, [key], "_hash", [value]).withColumn(
+        "chunk", F.floor((F.col("RANK_FAST") - 1) / size))
+    columns = [key, value, count_name, "chunk"]
+    return few.select(columns).unionByName(many.select(columns)).groupBy(key, count_name, "chunk").agg(
         F.sort_array(F.collect_list(value)).alias(set_name)
-    ).select(key, set_name, count_name)
+    ).select(key, "chunk", set_name, count_name)
+
+
+def dependency_cells(
+    df: DataFrame, key: str, value: str, set_name: str = "values", count_name: str = "num_values",
+    size: int = CELL, only_violations: bool = False,
+) -> DataFrame:
+    """Each key with its non-null values in cells of at most ``size``: ``key``, ``chunk``, values, their number.
+
+    A key without any value has one empty cell, unless only violations are asked for.
+    """
+    pairs = (dependency_pairs if only_violations else dependency_map_pairs)(df, key, value, count_name)
+    return _cells(pairs, key, value, set_name, count_name, size)
 
 
 def dependency_map(
-    df: DataFrame, key: str, value: str, set_name: str = "values", count_name: str = "num_values"
+    df: DataFrame, key: str, value: str, set_name: str = "values", count_name: str = "num_values",
+    size: int = CELL,
 ) -> DataFrame:
-    """Each key with the sorted set of its non-null values in one cell, for keys of few values.
+    """Each key with the sorted set of its non-null values; a key with more than ``size`` has several such rows.
 
-    ``dependency_map_pairs`` is the same without a cell that grows.
+    ``dependency_map_pairs`` has a row for each value, ``dependency_cells`` the number of each cell.
     """
-    return _gathered(dependency_map_pairs(df, key, value, count_name), key, value, set_name, count_name)
+    return dependency_cells(df, key, value, set_name, count_name, size).drop("chunk")
 
 
 def dependency_violations(
-    df: DataFrame, key: str, value: str, set_name: str = "values", count_name: str = "num_values"
+    df: DataFrame, key: str, value: str, set_name: str = "values", count_name: str = "num_values",
+    size: int = CELL,
 ) -> DataFrame:
     """Keys with more than one non-null value and the set of them, most values first.
 
-    The keys are found by counts; only their sets are gathered.
+    The keys are found by counts; only their sets are gathered, in rows of at most ``size`` values.
     """
-    return _gathered(
-        dependency_pairs(df, key, value, count_name), key, value, set_name, count_name
-    ).orderBy(F.desc(count_name), F.asc_nulls_last(key))
+    cells = dependency_cells(df, key, value, set_name, count_name, size, only_violations=True)
+    return cells.orderBy(F.desc(count_name), F.asc_nulls_last(key), "chunk").drop("chunk")
 
 
 def missing_values(df: DataFrame, column: str, show) -> DataFrame:
@@ -167,7 +205,7 @@ def late_incidents(df: DataFrame, tolerance: int = 60) -> DataFrame:
 def _parse_status(column: str) -> Column:
     return (
         F.when(F.col(column).isNull(), "missing")
-        .when(parse_ts(column).isNull(), "invalid")
+        .when(~is_stamp_text(column), "invalid")
         .otherwise("ok")
     )
 
@@ -207,8 +245,8 @@ def required_status(
 ) -> DataFrame:
     """``missing`` or ``ok`` per required column; an unreadable timestamp is missing."""
     def status(c):
-        present = parse_ts(c) if c in stamps else F.col(c)
-        return F.when(present.isNull(), "missing").otherwise("ok").alias(f"{c}_status")
+        present = is_stamp_text(c) if c in stamps else F.col(c).isNotNull()
+        return F.when(present, "ok").otherwise("missing").alias(f"{c}_status")
 
     return df.select(key, *[status(c) for c in columns])
 

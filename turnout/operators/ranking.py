@@ -2,13 +2,10 @@
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from turnout.operators.numbering import BY, GROUP, TIES, group_order, rank_groups
 from turnout.operators.profiles import response_detail, with_times
 from turnout.schema import FASTEST, SLOWEST
 
-GROUP = ("TYP_DESC", "CIP_JOBS")
-BY = "AVG_RESPONSE_SEC"
-TIES = ("BORO_NM", "NYPD_PCT_CD", "RADIO_CODE_PREFIX")
-
 
 def top_k(df: DataFrame, by: str, k: int, ascending: bool = False, ties=()) -> DataFrame:
     """The k rows with the highest (or lowest) value; ties by ``ties`` ascending."""
@@ -16,19 +13,6 @@ def top_k(df: DataFrame, by: str, k: int, ascending: bool = False, ties=()) -> D
     return df.orderBy(first, *[F.asc_nulls_last(c) for c in ties]).limit(k)
 
 
-def _order(part, by, ties, slow: bool):
-    first = F.desc_nulls_last(by) if slow else F.asc_nulls_first(by)
-    return Window.partitionBy(*part).orderBy(first, *[F.asc_nulls_last(c) for c in ties])
-
-
-def rank_groups(df: DataFrame, part=GROUP, by: str = BY, ties=TIES) -> DataFrame:
-    """Rank every row within its group, fastest first and slowest first."""
-    return df.withColumns({
-        "RANK_FAST": F.row_number().over(_order(part, by, ties, slow=False)),
-        "RANK_SLOW": F.row_number().over(_order(part, by, ties, slow=True)),
-    })
-
-
 def tags(k: int) -> tuple[str, str]:
     """The tags of the k fastest and of the k slowest rows."""
     return FASTEST.format(k=k), SLOWEST.format(k=k)
@@ -53,7 +37,7 @@ def top_bottom_k(
 
     def side(slow: bool) -> DataFrame:
         return (
-            df.withColumn("_rank", F.row_number().over(_order(part, by, ties, slow)))
+            df.withColumn("_rank", F.row_number().over(group_order(part, by, ties, slow)))
             .where(F.col("_rank") <= k)
             .drop("_rank")
             .withColumns({

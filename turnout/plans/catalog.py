@@ -10,7 +10,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from turnout.functions import add_seconds, format_hms
-from turnout.operators import charts, cleaning, encoding, profiles, quality, ranking
+from turnout.operators import (
+    charts,
+    cleaning,
+    encoding,
+    ledger,
+    numbering,
+    overview,
+    profiles,
+    quality,
+    ranking,
+    sketches,
+)
 from turnout.plans.stages import clean, normalize, scope, type_calls
 from turnout.schema import DURATIONS, SECONDS_COLUMNS
 from turnout.sources import preview_mart
@@ -126,10 +137,27 @@ def _profiling() -> dict[str, Query]:
         "raw_domain_status": _raw(lambda df: q.domain_status(df, "BORO_NM", REGIONS)),
         "raw_date_order_status": _raw(q.date_order_status),
         "raw_order_status": _raw(q.order_status),
+        "raw_overview": _raw(lambda df: overview.profile_raw(df, REGIONS)),
+        "raw_distinct_sketches": _raw(_sketched_counts),
+        "raw_desc_severity_cells": _raw(lambda df: _as_text(q.dependency_cells(
+            df, "TYP_DESC", "CIP_JOBS", "CIP_JOBS_set", "num_CIP_JOBS"), "CIP_JOBS_set")),
         "cleaned_borough_domain": _on(cleaned_calls, q.domain_listing),
     }
 
 
+def _sketched_counts(df: DataFrame) -> DataFrame:
+    """Exact distinct counts of columns and a pair, and whether merged sketches of two halves come near them."""
+    pair = ("RADIO_CODE", "TYP_DESC")
+    halves = F.pmod(F.xxhash64(*df.columns), F.lit(2))
+    parts = [sketches.distinct_sketches(df.where(halves == i), pairs=[pair]) for i in (0, 1)]
+    found = sketches.estimates(sketches.merged(parts[0].unionByName(parts[1])))
+    exact = quality.distinct_counts(df).unionByName(quality.distinct_pair_count(df, *pair).select(
+        F.lit(", ".join(pair)).alias("column_name"), F.col("num_pairs").alias("num_distinct")))
+    near = F.abs(found.num_distinct - exact.num_distinct) <= 3 * sketches.relative_error() * exact.num_distinct
+    return exact.join(found, "column_name").select(
+        "column_name", exact.num_distinct, near.alias("sketch_is_near"))
+
+
 def _cleaning() -> dict[str, Query]:
     def coded(mode):
         return _on(deduped_calls, lambda df: encoding.encode_category(
@@ -155,6 +183,9 @@ def _cleaning() -> dict[str, Query]:
         "etl_clean": cleaned_calls,
         "etl_scope": _on(cleaned_calls, scope),
         "etl_normalize": normalized_calls,
+        "etl_reject_ledger": lambda spark, sf_dir: ledger.rejects(
+            typed_calls(spark, sf_dir), ledger.clean_rules(), "clean"
+        ).unionByName(ledger.rejects(cleaned_calls(spark, sf_dir), ledger.scope_rules(), "scope")),
         "etl_hms_wrap24": _on(typed_calls, wrapped),
         # From the texts alone, as a table has them that carries no seconds.
         "etl_normalize_from_text": _on(cleaned_calls, lambda df: normalize(scope(add_seconds(
@@ -233,7 +264,9 @@ def _ranked() -> dict[str, Query]:
         ))
 
     return {
-        "precinct_ranks": _calls(lambda df: ranking.rank_groups(
+        "precinct_ranks": _calls(lambda df: numbering.rank_groups(
+            p.response_detail(df, "precinct"))),
+        "precinct_ranks_in_slices": _calls(lambda df: numbering.ranks_in_slices(
             p.response_detail(df, "precinct"))),
         "precinct_top_bottom": _calls(ranking.precinct_ranked),
         "precinct_top_bottom_3": _calls(lambda df: ranking.precinct_ranked(df, k=3)),
@@ -297,6 +330,9 @@ def _order_lines() -> dict[str, Query]:
         "lineitem_top_bottom": _lines(ranking.precinct_ranked),
         "lineitem_severity_profile": _lines(p.severity_profile),
         "lineitem_profile_by_hour": _lines(lambda df: p.calendar_profile(df, "hour_of_day")),
+        "lineitem_ranks_in_slices": _lines(lambda df: numbering.ranks_in_slices(
+            df.select("CAD_EVNT_ID", "BORO_NM", "RESPONSE_TIME_SEC").distinct(), ["BORO_NM"], "RESPONSE_TIME_SEC",
+            ["CAD_EVNT_ID"])),
         "lineitem_dedup": _on(line_calls, cleaning.dedup_most_complete),
     }
 

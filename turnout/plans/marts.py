@@ -1,9 +1,10 @@
 """The seven marts, and the whole run from raw text to marts."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from turnout.operators.cleaning import dedup_most_complete
 from turnout.operators.encoding import category_codes
+from turnout.operators.ledger import ROWS_IN, ROWS_OUT, ledger_table, observed_rows
 from turnout.operators.profiles import (
     borough_detail,
     borough_profile,
@@ -14,7 +15,14 @@ from turnout.operators.profiles import (
 )
 from turnout.operators.ranking import precinct_ranked
 from turnout.plans.stages import clean_typed, normalize, scope, type_calls
-from turnout.sources import read_marts, read_stage, write_marts, write_stage
+from turnout.sources import (
+    read_current,
+    read_marts,
+    read_stage,
+    replace_stage,
+    write_marts,
+    write_stage,
+)
 
 # Output paths, which later readers of the marts expect.
 MART_NAMES = (
@@ -51,6 +59,7 @@ def run_stages(
     spark: SparkSession, raw: DataFrame, root: str, files: int | None = None,
     null_keys: str = "collapse", tolerance: int = 60, min_response: int = 90,
     wrap24: bool = False, accuracy: int | None = None, k: int = 5, row_stages: bool = True,
+    versions: bool = False,
 ) -> dict[str, DataFrame]:
     """Run everything, writing each stage below ``root``, and return the stored marts.
 
@@ -62,21 +71,33 @@ def run_stages(
 
     ``row_stages=False`` leaves out the files of the scoped and the normalized table, which
     only filter and rewrite rows of the cleaned one.  Exact medians come from one stored table of counts.
+
+    With ``versions`` every stage and mart becomes a new version of itself, and a run that fails leaves the ones
+    before as they were; else a folder of the same name is overwritten.  ``ledger`` is stored last: what deduplication and each filter dropped, counted while the stages were written.
     """
     def stored(name: str, df: DataFrame, files: int | None = files) -> DataFrame:
+        if versions:
+            replace_stage(df, f"{root}/{name}", files)
+            return read_current(spark, f"{root}/{name}")
         write_stage(df, f"{root}/{name}", files)
         return read_stage(spark, f"{root}/{name}")
 
-    deduped = dedup_most_complete(raw, null_keys=null_keys)
+    read, kept, cleaning, scoping = (Observation() for _ in range(4))
+    rows = F.count(F.lit(1)).alias("rows")
+    deduped = dedup_most_complete(raw.observe(read, rows), null_keys=null_keys).observe(kept, rows)
     typed = stored("typed", type_calls(deduped, wrap24), None)
     codes = stored("type_codes", category_codes(typed, "TYP_DESC"), None)
-    cleaned = stored("cleaned", clean_typed(typed, codes, tolerance))
-    scoped = scope(cleaned, min_response)
+    cleaned = stored("cleaned", clean_typed(typed, codes, tolerance, cleaning))
+    scoped = scope(cleaned, min_response, scoping)
     if row_stages:
         scoped = stored("scoped", scoped)
     normalized = normalize(scoped)
     if row_stages:
         normalized = stored("normalized", normalized)
     counts = stored("response_counts", response_counts(normalized), None) if accuracy is None else None
-    write_marts(build_marts(normalized, accuracy, counts, k), f"{root}/marts")
-    return read_marts(spark, f"{root}/marts", MART_NAMES)
+    n_read, n_kept = read.get["rows"], kept.get["rows"]
+    dropped = [("dedup", 0, ROWS_IN, n_read), ("dedup", 1, "most_complete", n_read - n_kept), ("dedup", 2, ROWS_OUT, n_kept)]
+    write_marts(build_marts(normalized, accuracy, counts, k), f"{root}/marts", versions)
+    dropped += [*observed_rows("clean", cleaning), *observed_rows("scope", scoping)]
+    stored("ledger", ledger_table(spark, dropped), 1)
+    return read_marts(spark, f"{root}/marts", MART_NAMES, versions)

@@ -1,6 +1,6 @@
 """The table-to-table steps: raw -> cleaned -> scoped -> normalized."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from turnout.functions import (
     add_seconds,
@@ -10,17 +10,9 @@ from turnout.functions import (
     parse_ts,
     time_to_12h,
 )
-from turnout.operators.cleaning import (
-    dedup_most_complete,
-    dispatched_in_order,
-    incident_within,
-    responded_after,
-    severity_in_scope,
-    typed,
-    valid_borough,
-    with_durations,
-)
+from turnout.operators.cleaning import dedup_most_complete, typed, with_durations
 from turnout.operators.encoding import category_codes, encode_category
+from turnout.operators.ledger import apply_rules, clean_rules, scope_rules
 from turnout.schema import CLEANED, DATE_COLUMNS, DURATIONS, STAMP_COLUMNS
 
 
@@ -47,18 +39,15 @@ def type_calls(deduped: DataFrame, wrap24: bool = False) -> DataFrame:
 
 
 def clean_typed(
-    calls: DataFrame, codes: DataFrame | None = None, tolerance: int = 60
+    calls: DataFrame, codes: DataFrame | None = None, tolerance: int = 60, seen: Observation | None = None
 ) -> DataFrame:
-    """Coded and filtered calls from typed ones.
+    """Coded and filtered calls from typed ones; ``seen`` gets what each filter drops.
 
     Category codes number every description of the deduplicated table, also
     of rows that the filters drop, and before case and blanks are normalised.
     """
-    return (
-        encode_category(calls, "TYP_DESC", codes=codes)
-        .where(valid_borough() & dispatched_in_order() & incident_within(tolerance))
-        .select(*CLEANED.names)
-    )
+    coded = encode_category(calls, "TYP_DESC", codes=codes)
+    return apply_rules(coded, clean_rules(tolerance), seen).select(*CLEANED.names)
 
 
 def clean(
@@ -71,9 +60,9 @@ def clean(
     return clean_typed(type_calls(deduped, wrap24), codes, tolerance)
 
 
-def scope(cleaned: DataFrame, min_response: int = 90) -> DataFrame:
+def scope(cleaned: DataFrame, min_response: int = 90, seen: Observation | None = None) -> DataFrame:
     """Stage 2: the three severities, with a response of more than 90 seconds."""
-    return cleaned.where(severity_in_scope()).where(responded_after(min_response))
+    return apply_rules(cleaned, scope_rules(min_response), seen)
 
 
 def normalize(scoped: DataFrame) -> DataFrame:

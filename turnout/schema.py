@@ -9,9 +9,13 @@ One row is one call for service.  The table passes through four shapes:
 from pyspark.sql import types as T
 
 # --- fixed values: formats of the raw text -------------------------------
-DATE_FORMAT = "MM/dd/yyyy"
-TIME_FORMAT = "HH:mm:ss"
-STAMP_FORMAT = "MM/dd/yyyy hh:mm:ss a"
+# MM/dd/yyyy, HH:mm:ss and MM/dd/yyyy hh:mm:ss a; whether a month has the day is not theirs to say.
+DATE_PATTERN = r"^(0[1-9]|1[0-2])/(0[1-9]|[12][0-9]|3[01])/[0-9]{4}\z"
+CLOCK_PATTERN = r"^([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]\z"
+STAMP_PATTERN = (
+    r"^(0[1-9]|1[0-2])/(0[1-9]|[12][0-9]|3[01])/[0-9]{4} "
+    r"(0[1-9]|1[0-2]):[0-5][0-9]:[0-5][0-9] [AaPp][Mm]\z"
+)
 TIME_PATTERN = r"^([01]?[0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]$"
 
 # --- fixed values: domains ------------------------------------------------
