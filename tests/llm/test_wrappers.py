@@ -2,6 +2,7 @@
 
 import html
 import re
+from difflib import SequenceMatcher
 
 from turnout.llm import wrappers as w
 
@@ -101,10 +102,68 @@ def test_literals_of_the_wrapper_are_left_out_in_each_template(spark):
     found = {r.page_id: r.text for r in w.main_text(rows_table(spark, rows)).collect()}
     for i in range(8):
         text = f"Title {i}\n\nStory {i}\n\ntold {'at length ' * i}".strip()
-        assert found[i] == text
+        # An article's text is whole, whatever other articles say too; elsewhere the wrapper tells.
+        assert found[i] == text + "\n\nAll rights are ours"
         assert found[100 + i] == text
 
 
+def extracted(spark, pages, host="a.example"):
+    rows = [(i, f"http://{host}/{i}", h, None, None, None) for i, h in enumerate(pages)]
+    return [r.text for r in sorted(w.main_text(rows_table(spark, rows)).collect(), key=lambda r: r.page_id)]
+
+
+def test_an_article_is_whole_on_hosts_of_any_number_of_pages(spark):
+    def recipes(n):
+        return [f"<article><h1>Dish {i}</h1><h2>Ingredients</h2><p>{i} eggs</p></article>" for i in range(n)]
+
+    def counters(n):
+        story = "<article><h1>One story</h1><p>told in full.</p></article>"
+        return [f"<body>{story}<div class=count>seen {i} times</div></body>" for i in range(n)]
+
+    for n in (1, 2, 3, 7):
+        assert extracted(spark, recipes(n)) == [f"Dish {i}\n\nIngredients\n\n{i} eggs" for i in range(n)]
+        assert extracted(spark, counters(n)) == ["One story\n\ntold in full."] * n
+
+
+def test_names_inside_an_article(spark):
+    def pages(n):
+        return [f"<article><h1>Drug {i}</h1><div class='side-effects'>causes {i}</div><section id='discussion'>"
+                f"<p>We discuss {i}</p></section><div class='post-comments'>Reader {i}</div><div class='share'>Share</div>"
+                f"<div class='notice'>Note</div><div class='promo-box'>Buy now</div></article>" for i in range(n)]
+
+    for n in (2, 3, 5):
+        assert extracted(spark, pages(n)) == [f"Drug {i}\n\ncauses {i}\n\nWe discuss {i}" for i in range(n)]
+
+
+def test_an_article_in_furniture_is_none(spark):
+    pages = [f"<aside><article>Other {i}</article></aside><main><p>Mine {i}</p></main>" for i in range(3)]
+    assert extracted(spark, pages) == [f"Mine {i}" for i in range(3)]
+
+
+def plainly_matched(nodes, wrapper):
+    one, other = w._gathered(nodes, w._groups(wrapper)), w._gathered(wrapper, w._groups(nodes))
+    blocks = SequenceMatcher(None, [w._key(n) for n in one], [w._key(n) for n in other], autojunk=False)
+    found = {}
+    for at, to, size in blocks.get_matching_blocks():
+        for x, y in zip(one[at : at + size], other[to : to + size]):
+            if x[2] or y[2]:
+                found |= plainly_matched(x[2] or [x], y[2] or [y])
+            elif x[0] == "text":
+                found |= dict.fromkeys(x[3][2], y)
+    return found
+
+
+def test_prepared_wrappers_match_like_fresh_ones():
+    pages = [page(f"T{i}", " z" * (i % 3)) + "<ul>" + "<li>x" * (i % 4) + "</ul>" for i in range(12)]
+    wrapper = w.infer([w.page_nodes(p) for p in pages])
+    prepared = w.Prepared(wrapper)
+    for p in pages * 2:
+        nodes = w.page_nodes(p)
+        found = w.match(nodes, prepared)
+        assert len(found) > 10 and found == plainly_matched(nodes, wrapper)
+
+
+
 def test_ids_of_pages_do_not_grow_the_wrapper(spark):
     def rows(n):
         return [(i, f"http://a.example/{i}", f"<body><div class=top id=t{i}>Welcome all</div><div id='post-{i}-about-{i * 7}' "

@@ -13,10 +13,12 @@ these are aligned again until the host has one.  Every page takes part.
 A host has one wrapper for each template.  Pages are of one template if the same element (its path, without
 ids and numbers) holds half of their text.
 
-Extraction matches each page with its template's wrapper.  Text that the wrapper has as a literal, the same on
-all of its pages, is furniture; so are slots inside menus, headers, footers, sidebars, notices,
-adverts, forms and comments.  Of the slots that are left, those in an article or main element of the page are its main
-text, else those in the element whose slots hold most of the text that changes from page to page.
+Extraction matches each page with its template's wrapper.  A page's article or main element is its main part,
+and all text in it counts, literals too, but for menus, adverts, forms, comments and the like.  Where only a part
+of a class or id speaks for furniture (``side-effects``), the wrapper decides: what it has as a literal is furniture,
+what changes from page to page is text.  On pages without such an element, text that the wrapper has as a
+literal is furniture, so are slots inside menus, headers, footers, sidebars, notices, adverts, forms and comments, and
+the main text is in the element whose slots hold most of the text that changes from page to page.
 """
 
 import html as markup
@@ -67,6 +69,12 @@ _FURNITURE_NAMES = re.compile(
     r"footer|foot|header|masthead|topbar|toolbar|comment|comments|respond|discussion|reply|replies|pagination|pager"
     r")(?:$|[-_ ])"
 )
+#: Inside the main part, names that speak for furniture also as a part of a longer one, and such that do not even alone.
+_STRONG_PARTS = frozenset(
+    "advert advertisement advertising sponsored cookie cookies newsletter navbar navigation breadcrumb breadcrumbs "
+    "sidebar related comment comments pagination".split()
+)
+_AMBIGUOUS = frozenset("discussion side foot".split())
 _FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu".split())
 _NUMBER = re.compile(r"\d+")
 
@@ -110,6 +118,25 @@ def is_furniture(label: str) -> bool:
     ))
 
 
+@lru_cache(1 << 14)
+def _inside_main(label: str) -> bool | None:
+    """Whether an element inside the main part is furniture; None if only the wrapper can tell."""
+    tag, *names = re.split(r" (?=(?:class|id|role)=)", label)
+    values = dict(n.split("=", 1) for n in names)
+    if tag in FURNITURE_TAGS or values.get("role") in _FURNITURE_ROLES:
+        return True
+    if tag in MAIN_TAGS:
+        return False
+    unsure = False
+    for token in f"{values.get('class', '')} {values.get('id', '')}".split():
+        if _FURNITURE_NAMES.search(token):
+            whole = _FURNITURE_NAMES.fullmatch(token) and token not in _AMBIGUOUS
+            if whole or not _STRONG_PARTS.isdisjoint(re.split("[-_]", token)):
+                return True
+            unsure = True
+    return None if unsure else False
+
+
 def events(page: str):
     """("open", label), ("close", tag) and ("text", raw) of a page; a tag closes what it implies."""
     stack = []
@@ -164,7 +191,7 @@ def events(page: str):
 
 
 def clean(raw: str) -> str:
-    return _SPACE.sub(" ", markup.unescape(raw)).strip()
+    return " ".join(markup.unescape(raw).split())
 
 
 # --- wrappers -------------------------------------------------------------
@@ -309,17 +336,22 @@ def _groups(nodes: list) -> list[tuple[str, list]]:
 
 def _gathered(nodes: list, groups: list[tuple[str, list]]) -> list:
     """Nodes with each run of what the other side has as a group made such a group too."""
+    own = [_key(n) for n in nodes]
     for kind, keys in groups:
-        out, at = [], 0
+        size, first = len(keys), keys[0]
+        if first not in own:
+            continue
+        out, kept, at = [], [], 0
         while at < len(nodes):
-            run = nodes[at : at + len(keys)]
-            if len(run) == len(keys) and not (len(run) == 1 and run[0][2]) and [_key(n) for n in run] == keys:
-                out.append([kind, "", run, 0])
-                at += len(keys)
+            if own[at] == first and own[at : at + size] == keys and not (size == 1 and nodes[at][2]):
+                out.append([kind, "", nodes[at : at + size], 0])
+                kept.append(" ".join(keys))
+                at += size
             else:
                 out.append(nodes[at])
+                kept.append(own[at])
                 at += 1
-        nodes = out
+        nodes, own = out, kept
     return fold(nodes, 1)
 
 
@@ -353,22 +385,47 @@ def infer(pages: list[list]) -> list:
     return wrapper
 
 
-def match(page: list, wrapper: list) -> dict[int, list]:
+class Prepared:
+    """A wrapper with what matching needs of it, kept for pages with the same groups."""
+
+    def __init__(self, nodes: list):
+        self.nodes, self.groups, self.forms, self.inner = nodes, _groups(nodes), {}, {}
+
+    def gathered(self, groups: list) -> tuple[list, SequenceMatcher]:
+        """Its nodes with the groups of a page, and a matcher that has looked through their keys."""
+        name = str(groups)
+        if name not in self.forms:
+            if len(self.forms) >= 64:
+                self.forms.clear()
+                self.inner.clear()
+            nodes = _gathered(self.nodes, groups)
+            self.forms[name] = nodes, SequenceMatcher(None, (), [_key(n) for n in nodes], autojunk=False)
+        return self.forms[name]
+
+    def below(self, node: list) -> "Prepared":
+        """The nodes inside one of its nodes; ``node`` is kept, so that its identity stays its own."""
+        if id(node) not in self.inner:
+            self.inner[id(node)] = node, Prepared(node[2] or [node])
+        return self.inner[id(node)][1]
+
+
+def match(page: list, wrapper: Prepared) -> dict[int, list]:
     """The wrapper's text node for each block of the page that has one."""
-    one, other = _gathered(page, _groups(wrapper)), _gathered(wrapper, _groups(page))
-    a, b = [_key(n) for n in one], [_key(n) for n in other]
+    one = _gathered(page, wrapper.groups)
+    other, matcher = wrapper.gathered(_groups(page))
+    matcher.set_seq1([_key(n) for n in one])
     found = {}
-    for at, to, size in SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks():
+    for at, to, size in matcher.get_matching_blocks():
         for x, y in zip(one[at : at + size], other[to : to + size], strict=True):
             if x[2] or y[2]:
-                found |= match(x[2] or [x], y[2] or [y])
+                found |= match(x[2] or [x], wrapper.below(y))
             elif x[0] == "text":
                 found |= dict.fromkeys(x[3][2], y)
     return found
 
 
-def _is_literal(node: list | None) -> bool:
-    return node is not None and node[1] != SLOT and node[3][1] >= LITERAL_PAGES
+def _is_literal(node: list | None, pages: int = LITERAL_PAGES) -> bool:
+    return node is not None and node[1] != SLOT and node[3][1] >= pages
 
 
 def _main_part(slots: list) -> tuple:
@@ -386,18 +443,35 @@ def _is_main(label: str, tag: str) -> bool:
     return label.split(" ")[0] == tag or (tag == "main" and "role=main" in label.split(" "))
 
 
-def extract(page: str | None, wrappers: dict[str, tuple[int, list]] | None = None) -> str:
-    """The blocks of the main part, without furniture and literals, joined by blank lines.
+def _main_blocks(found: list, matched: dict, tag: str) -> list[str]:
+    """The text in the elements of a tag that are not furniture themselves."""
+    out = []
+    for i, (path, text) in enumerate(found):
+        at = next((d for d, label in enumerate(path) if _is_main(label, tag)), None)
+        if at is None or any(map(is_furniture, path[:at])):
+            continue
+        kinds = set(map(_inside_main, path[at + 1 :]))
+        if True in kinds or None in kinds and _is_literal(matched.get(i), 2):
+            continue
+        out.append(text)
+    return out
 
-    ``wrappers`` holds the number of pages and the wrapper for each template of the host.  A template of too few
-    pages to tell literals is matched with the host's most frequent one.  A page of nothing but literals keeps them.
+
+def extract(page: str | None, wrappers: dict[str, tuple[int, Prepared]] | None = None) -> str:
+    """The blocks of the main part, without furniture, joined by blank lines.
+
+    ``wrappers`` holds the number of pages and the prepared wrapper for each template of the host.  A template of too
+    few pages to tell literals is matched with the host's most frequent one.  A page of nothing but literals keeps them.
     """
     nodes, found = read(page or "")
     wrappers = wrappers or {}
-    _, wrapper = own = wrappers.get(template(found), (0, []))
+    _, wrapper = own = wrappers.get(template(found), (0, None))
     if own[0] < LITERAL_PAGES and wrappers:
         wrapper = wrappers[max(wrappers, key=lambda t: (wrappers[t][0], t))][1]
-    matched = match(nodes, wrapper)
+    matched = match(nodes, wrapper) if wrapper else {}
+    for tag in MAIN_TAGS:
+        if inside := _main_blocks(found, matched, tag):
+            return "\n\n".join(inside)
     # How far a block's slot speaks for its element: by the letters of all pages; a slot is counted once.
     kept, seen = [], set()
     for i, (path, text) in enumerate(found):
@@ -407,9 +481,6 @@ def extract(page: str | None, wrappers: dict[str, tuple[int, list]] | None = Non
             seen.add(id(node))
             kept.append((path, text, _is_literal(node), (node[3][0] if node else len(text)) if new else 0))
     kept = [k for k in kept if not k[2]] or kept
-    for tag in MAIN_TAGS:
-        if inside := [text for path, text, *_ in kept if any(_is_main(label, tag) for label in path)]:
-            return "\n\n".join(inside)
     # Without other pages to compare with, all that is no furniture.
     main = _main_part([(path, letters) for path, _, _, letters in kept]) if matched and own[0] > 1 else ()
     return "\n\n".join(text for path, text, *_ in kept if path[: len(main)] == main)
@@ -477,7 +548,8 @@ def _texts(batches):
         for i, u, h, own, rows in rows_of(batch, "page_id", "url", "html", "host", "wrappers"):
             if host != own or read_wrappers is None:
                 host = own
-                read_wrappers = {r["template"]: (r["pages"], json.loads(r["wrapper"])) for r in rows or []}
+                read_wrappers = {
+                    r["template"]: (r["pages"], Prepared(json.loads(r["wrapper"]))) for r in rows or []}
             out.append((i, u, extract(h, read_wrappers)))
         ids, urls, texts = zip(*out, strict=True) if out else ((), (), ())
         yield pa.RecordBatch.from_arrays(
