@@ -5,6 +5,7 @@ a new piece, so what a chunk and the space before it become does not depend
 on the rest of the text.  Where white space stands next to a space the text is not cut.
 """
 
+import json
 import re
 from collections.abc import Callable
 
@@ -24,6 +25,24 @@ PIECES = regex.compile(public_tokenizers.PATTERN.replace(r"\s", r"\p{White_Space
 ))
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if printable, else one from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = (b for b in range(256) if b not in plain)
+    return {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+BYTE_LETTERS = _byte_letters()
+SPACE_LETTER = BYTE_LETTERS[32]
+
+
+def special_names(path: str) -> re.Pattern:
+    """The names of special tokens of a vocabulary file, which the library looks for before all else."""
+    with open(path, encoding="utf-8") as file:
+        names = [t["content"] for t in json.load(file).get("added_tokens", [])]
+    return re.compile("|".join(map(re.escape, names)) or r"(?!)")
+
+
 def cut_at_spaces(text: str) -> bool:
     """Whether no white space stands next to a space."""
     return not ("  " in text or " \n" in text or "\n " in text or _OTHER.search(text))
@@ -54,7 +73,7 @@ class Kept(dict):
 
     def learn(self, keys: set) -> None:
         """Make sure that all of ``keys`` are here."""
-        new = keys - self.keys()
+        new = {key for key in keys if key not in self}
         if not new:
             return
         if len(self) + len(new) > self.most:
@@ -70,14 +89,18 @@ class ByChunk:
     """Byte strings for texts, from those of their chunks.
 
     ``encode_all`` takes chunks, each standing for itself with a space before it; ``encode`` a whole text.
+    Texts in which ``whole`` finds something are not cut.
     """
 
-    def __init__(self, encode: Callable[[str], bytes], encode_all: Callable[[list[str]], list[bytes]]):
-        self.encode = encode
+    def __init__(
+        self, encode: Callable[[str], bytes], encode_all: Callable[[list[str]], list[bytes]],
+        whole: re.Pattern | None = None,
+    ):
+        self.encode, self.whole = encode, whole or re.compile(r"(?!)")
         self.after_space = Kept(encode_all)
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        parts = [t.split(" ") if t and cut_at_spaces(t) else None for t in texts]
+        parts = [t.split(" ") if t and cut_at_spaces(t) and not self.whole.search(t) else None for t in texts]
         self.after_space.learn(set().union(*[p[1:] for p in parts if p]))
         get = self.after_space.__getitem__
         return [

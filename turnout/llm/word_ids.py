@@ -8,20 +8,22 @@ import functools
 import json
 import os
 import re
+import struct
 
 import numpy as np
 import public_tokenizers
 import regex
 from tokenizers import Tokenizer
 
-from turnout.llm.chunks import Kept
+from turnout.llm.chunks import BYTE_LETTERS, Kept, special_names
 
 VOCABULARY = "word_bpe_49k.json"
 #: Words of a generation that a worker remembers, and runs.
-WORDS, RUNS = 300_000, 200_000
+WORDS, RUNS = 300_000, 500_000
 
 #: Separators that Python splits at and the vocabulary's pattern does not.
 _ODD = re.compile("[\x1c-\x1f]")
+_FORMS = [struct.Struct(f"<{n}I").pack for n in range(17)]
 
 
 class WordIds:
@@ -30,15 +32,13 @@ class WordIds:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        suffix = spec["model"]["end_of_word_suffix"]
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         names = [t["content"] for t in spec["added_tokens"]]
         self.library = Tokenizer.from_file(path)
+        self.model = self.library.model
         self.pattern = regex.compile(pattern.replace(r"\s", r"\p{White_Space}"))
-        self.special = re.compile("|".join(map(re.escape, names)) or r"(?!)")
+        self.special = special_names(path)
         self.hint = os.path.commonprefix(names)  # quick to look for
-        self.ends = np.zeros(self.library.get_vocab_size(with_added_tokens=True), bool)
-        self.ends[[i for token, i in spec["model"]["vocab"].items() if token.endswith(suffix)]] = True
         self.words = Kept(self._words, WORDS)
         self.runs = Kept(self._runs, RUNS)
 
@@ -48,22 +48,28 @@ class WordIds:
         return np.asarray(found.ids, "<u4").tobytes()
 
     def _words(self, words: list[str]) -> list[bytes]:
-        # In one text: each word's ids stop with the one that holds a word end.
-        if not words:
-            return []
-        ids = np.frombuffer(self.whole(" ".join(words)), "<u4")
-        stops = np.flatnonzero(self.ends[ids]) + 1
-        if len(stops) != len(words) or stops[-1] != len(ids):
-            return [self.whole(word) for word in words]
-        raw, at = ids.tobytes(), [0, *(4 * stops).tolist()]
-        return [raw[a:b] for a, b in zip(at, at[1:])]
+        # The library's model takes the letters that stand for the bytes of one word.
+        tokenize = self.model.tokenize
+        out = []
+        for word in words:
+            if not (word.isascii() and word.isprintable()):
+                word = word.encode("utf-8", "replace").decode("latin-1").translate(BYTE_LETTERS)
+            found = [t.id for t in tokenize(word)]
+            out.append(_FORMS[len(found)](*found) if len(found) < len(_FORMS) else np.asarray(found, "<u4").tobytes())
+        return out
+
+    def _parts(self, run: str) -> list[str]:
+        # Below the first combining marks there is nothing to compose.
+        if run.isascii() or max(run) < "\u0250":
+            low = run.lower()
+            return [low] if low.isalpha() else self.pattern.findall(low)
+        return self.pattern.findall(self.library.normalizer.normalize_str(run))
 
     def _runs(self, runs: list[str]) -> list[bytes]:
-        normal = self.library.normalizer.normalize_str
-        parts = [self.pattern.findall(r.lower() if r.isascii() else normal(r)) for r in runs]
+        parts = list(map(self._parts, runs))
         self.words.learn(set().union(*parts))
         get = self.words.__getitem__
-        return [b"".join(map(get, p)) for p in parts]
+        return [get(p[0]) if len(p) == 1 else b"".join(map(get, p)) for p in parts]
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         split = []
