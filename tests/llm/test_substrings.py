@@ -48,6 +48,15 @@ def test_stripped_keeps_columns_and_untouched_texts(spark):
     assert sorted(map(str, [r.text for r in back.collect()])) == sorted(map(str, expected))
 
 
+def test_stripped_takes_columns_of_any_name(spark):
+    passage = " ".join(f"w{i}" for i in range(60))
+    names = ("_version", "_doc", "_v", "_starts", "starts", "version", "kept", "rest", "row")
+    df = table(spark, [(1, passage), (2, f"own {passage} end"), (None, passage), (3, None)], *names)
+    rows = {r.doc_id: r for r in s.stripped(df).collect()}
+    assert rows[2].text == "own end" and rows[1].text == rows[None].text == passage and rows[3].text is None
+    assert all(r[n] == "x" for r in rows.values() for n in names)
+
+
 def test_empty_table(spark):
     assert s.without_repeats(table(spark, [])).collect() == []
 

@@ -247,16 +247,19 @@ def without_repeats(
     )
 
 
-def stripped(docs: DataFrame) -> DataFrame:
-    """``docs`` with the same columns and repeated passages removed from ``text``.
+def stripped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with the same columns, whatever their names, and repeated passages removed from the text.
 
-    A text that loses nothing stays as it is; of the others the kept words remain, joined by one
-    space.
+    A text that loses nothing stays as it is, null included; of the others the kept words remain, joined by one
+    space.  Rows that share an id, or lack one, are as in ``without_repeats``.
     """
-    versioned = docs.withColumn("_version", F.hash("text"))
-    starts = stored(repeated_windows(
-        versioned.select("doc_id", F.col("_version").alias("version"), "text")
-    )).select(F.col("doc_id").alias("_doc"), F.col("version").alias("_v"), F.col("starts").alias("_starts"))
+    # Other columns travel in one struct, so that none can clash.
+    rest = [c for c in docs.columns if c != text_col]
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in rest]).alias("rest"), F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+        F.col(f"`{text_col}`").alias("text"), F.hash(F.col(f"`{text_col}`")).alias("version"),
+    )
+    starts = stored(repeated_windows(rows.select("doc_id", "version", "text")))
 
     @F.pandas_udf("string")
     def kept(texts, spans):
@@ -267,7 +270,7 @@ def stripped(docs: DataFrame) -> DataFrame:
 
         return pd.Series([one(t, s) if s is not None else t for t, s in zip(texts, spans, strict=True)])
 
-    joined = versioned.join(
-        starts, (F.col("doc_id") == F.col("_doc")) & (F.col("_version") == F.col("_v")), "left"
-    )
-    return joined.withColumn("text", kept("text", "_starts")).select(*docs.columns)
+    joined = rows.join(starts, ["doc_id", "version"], "left").select("rest", kept("text", "starts").alias("kept"))
+    return joined.select(*[
+        F.col("kept").alias(c) if c == text_col else F.col(f"rest.`{c}`").alias(c) for c in docs.columns
+    ])

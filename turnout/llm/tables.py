@@ -55,12 +55,54 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files and broadcasts of plans that are done with.
+
+    Spark deletes them when the driver's JVM collects what refers to them, which a driver with memory to spare
+    puts off while the disks of the executors fill.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def checked_broadcast(small: DataFrame, rows: int | None = None) -> DataFrame:
     """Hint a broadcast if the stored table has few rows; else leave the join to be shuffled."""
     rows = small.count() if rows is None else rows
     return F.broadcast(small) if rows <= BROADCAST_ROWS else small
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def with_row_ids(docs: DataFrame, id_col: str = "doc_id") -> tuple[DataFrame, str]:
+    """``docs`` with an id of its own for each row, and that column's name.
+
+    The id is the row's own, but that of rows without one, and of all but the first of those that share one, lies
+    above all others; ``docs`` is stored then, so that the ids stay.
+    """
+    name = free_name(docs, "row_id")
+    own = F.col(f"`{id_col}`").cast("long")
+    several = docs.groupBy(own.alias("id")).agg(F.count("*").alias("n")).where("n > 1 or id is null")
+    several = stored(several.select("id"))
+    if several.isEmpty():
+        return docs.withColumn(name, own), name
+    numbered = stored(docs.withColumn(name, F.monotonically_increasing_id()))
+    own = F.col(f"`{id_col}`").cast("long")
+    top = numbered.agg(F.coalesce(F.max(own), F.lit(-1))).first()[0] + 1
+    first = numbered.groupBy(own.alias("id")).agg(F.min(name).alias("first")).join(several, "id")
+    first = stored(first.where("id is not null").select(F.col("first").alias("_first"))) # one row a shared id
+    single = numbered.join(several.where("id is not null"), own == F.col("id"), "left_anti").where(own.isNotNull())
+    kept = numbered.join(first, F.col(name) == F.col("_first"), "left_semi")
+    rest = numbered.join(several, own.eqNullSafe(F.col("id")), "left_semi").join(
+        first, F.col(name) == F.col("_first"), "left_anti")
+    return single.withColumn(name, own).unionByName(kept.withColumn(name, own)).unionByName(
+        rest.withColumn(name, F.col(name) + top)), name
+
+
 def only(docs: DataFrame, rows: DataFrame, key: str = "doc_id") -> DataFrame:
     """Rows of ``docs`` whose key is in the stored table ``rows``."""
     return docs.join(checked_broadcast(rows.select(key)), key, "left_semi")
