@@ -143,10 +143,13 @@ class Items:
         return hit
 
     def weights(self, shingles: np.ndarray) -> np.ndarray:
+        """Votes of shingles: those that no item holds weigh as much as the mean of the held ones around."""
         at = np.minimum(np.searchsorted(self.known, shingles), max(len(self.known) - 1, 0))
         if not len(self.known):
             return np.ones(len(shingles))
-        return np.where(self.known[at] == shingles, self.known_weights[at], 1.0)
+        held = self.known[at] == shingles
+        rest = self.known_weights[at[held]].mean() if held.any() else 1.0
+        return np.where(held, self.known_weights[at], rest)
 
     def similarity(self, window: np.ndarray, item: int) -> float:
         bag, own = Counter(window.tolist()), self.bags[item]
