@@ -23,6 +23,8 @@ VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
 SHIFT = 20  # bits of a symbol in a pair
 PLACE = (1 << 40) - 1
+#: Words of a generation that a worker remembers, and runs of text.
+WORDS, CHUNKS = 250_000, 250_000
 
 #: Separators that Python splits at and the vocabulary's pattern does not.
 _ODD = re.compile("[\x1c-\x1f]")
@@ -56,7 +58,8 @@ class Counter:
             a, b = merge.split(" ") if isinstance(merge, str) else merge
             self.rank[number[a] << SHIFT | number[b]] = rank
             self.made.append(number[a + b])
-        self.kept = Kept(lambda chunks: [self.chunk(c) for c in chunks])
+        self.known = Kept(lambda words: [self.word(w.encode("utf-8", "replace")) for w in words], WORDS)
+        self.kept = Kept(self._chunks, CHUNKS)
 
     def word(self, data: bytes) -> int:
         """Symbols less merges of one word."""
@@ -92,10 +95,23 @@ class Counter:
                     heapq.heappush(heap, new << 40 | h)
         return size - merges
 
+    def _words(self, chunk: str) -> list[str]:
+        # Below the first combining marks there is nothing to compose.
+        if chunk.isascii() or max(chunk) < "\u0250":
+            low = chunk.lower()
+            return [low] if low.isalpha() else self.pattern.findall(low)
+        return self.pattern.findall(self.library.normalizer.normalize_str(chunk))
+
+    def _chunks(self, chunks: list[str]) -> list[int]:
+        """Tokens of runs of text, from those of their words; white space only separates words."""
+        words = list(map(self._words, chunks))
+        self.known.learn(set().union(*words))
+        get = self.known.__getitem__
+        return [sum(map(get, w)) for w in words]
+
     def chunk(self, chunk: str) -> int:
-        """Tokens of a run of text; white space only separates words."""
-        plain = chunk.lower() if chunk.isascii() else self.library.normalizer.normalize_str(chunk)
-        return sum(self.word(w.encode("utf-8", "replace")) for w in self.pattern.findall(plain))
+        """Tokens of one run of text."""
+        return self._chunks([chunk])[0]
 
     def __call__(self, texts: list[str | None]) -> list[int]:
         """Tokens of each text; those of its words are looked up, or made if they are new."""
@@ -104,9 +120,11 @@ class Counter:
             parts = [text or ""]
             if self.hint in parts[0]:
                 parts = self.special.split(parts[0])
-            odd = [part for part in parts if _ODD.search(part)]
+            odd, plain = [], []
+            for part in parts:
+                (odd if _ODD.search(part) else plain).append(part)
             counts.append(len(parts) - 1 + sum(map(self.chunk, odd)))
-            words.append([w for part in parts if part not in odd for w in part.split()])
+            words.append([w for part in plain for w in part.split()])
         self.kept.learn(set().union(*words))
         get = self.kept.__getitem__
         return [n + sum(map(get, w)) for n, w in zip(counts, words, strict=True)]
