@@ -28,12 +28,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from turnout.llm.components import components
-from turnout.llm.tables import checked_broadcast, lists, only, rows_of, stored
-from turnout.llm.words import set_hash, shingle_set
+from turnout.llm.tables import (
+    checked_broadcast,
+    free_shuffles,
+    lists,
+    only,
+    rows_of,
+    shared_bytes,
+    stored,
+)
+from turnout.llm.words import mix, set_hash, shingle_set
 
 PERCENT = 75
 ROUNDS = 4  # of candidates tied to one document of a group
 FLUSH = 1_000_000  # tokens in an output batch
+LEAST_MARKS, MOST_MARKS = 1 << 16, 1 << 26  # bits; full ones let more tokens through to the exact join
 
 
 def need(n):
@@ -90,6 +99,54 @@ def _mapper(size: int, whole: bool):
     return run
 
 
+def _places(tokens: np.ndarray, size: int) -> list[np.ndarray]:
+    return [(mix(tokens.view(np.uint64), seed) & np.uint64(size - 1)).astype(np.int64) for seed in (51, 52)]
+
+
+def _marking(size: int):
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                at = np.concatenate(_places(batch.column("token").to_numpy(), size))
+                words = np.unique(at >> 6)
+                masks = np.zeros(len(words), np.uint64)
+                np.bitwise_or.at(masks, np.searchsorted(words, at >> 6), np.uint64(1) << (at & 63).astype(np.uint64))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(words), pa.array(masks.view(np.int64))], ["word", "mask"])
+
+    return run
+
+
+def _marks(shared: DataFrame) -> np.ndarray:
+    """Two marked bits for each token; other tokens pass by chance, the more the fuller the bits are."""
+    size, n = LEAST_MARKS, shared.count()
+    while size < min(MOST_MARKS, 16 * n):
+        size *= 2
+    found = shared.mapInArrow(_marking(size), "word long, mask long").groupBy("word").agg(
+        F.bit_or("mask").alias("mask")).toArrow()  # at most size / 64 rows
+    bits = np.zeros(size // 64, np.int64)
+    bits[found["word"].to_numpy()] = found["mask"].to_numpy()
+    return bits.view(np.uint64)
+
+
+def _marked(marks):
+    """Postings of tokens whose two bits are marked."""
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            bits, posted = marks.value, batch.column("posted")
+            tokens = posted.flatten().to_numpy()
+            keep = np.ones(len(tokens), bool)
+            for at in _places(tokens, 64 * len(bits)):
+                keep &= (bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
+            owner = np.repeat(batch.column("doc_id").to_numpy(), posted.value_lengths().to_numpy())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(owner[keep]), pa.array(tokens[keep])], ["doc_id", "token"])
+
+    return run
+
+
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
@@ -162,10 +219,16 @@ def _star_pairs(rare: DataFrame, key) -> DataFrame:
     )
 
 
-def _labelled(rare: DataFrame, links: DataFrame) -> DataFrame:
+def _grown(parts: DataFrame | None, found: DataFrame) -> DataFrame:
+    """Components of the new links and of what the components so far tie together."""
+    if parts is not None:
+        found = found.union(parts.select("node", "component"))
+    return components(found, "a", "b")
+
+
+def _labelled(rare: DataFrame, parts: DataFrame) -> DataFrame:
     """Postings with their documents' components, of tokens that still join several."""
-    parts = components(links, "a", "b").withColumnRenamed("node", "doc_id")
-    own = rare.join(parts, "doc_id", "left").withColumn(
+    own = rare.join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
         "component", F.coalesce("component", "doc_id")
     )
     mixed = own.groupBy("token").agg(
@@ -223,17 +286,17 @@ def similar_groups(
             ["doc_id", "h1", "h2"], "left_anti",
         ).distinct()
     )
-    postings = (
-        sketch.join(checked_broadcast(silent), ["doc_id", "h1", "h2"], "left_anti")
-        .select("doc_id", F.explode("posted").alias("token"))
-    )
+    posting = sketch.join(checked_broadcast(silent), ["doc_id", "h1", "h2"], "left_anti").select("doc_id", "posted")
 
-    # Order 1: tokens posted by several documents, and documents with enough of them.
-    shared = (
-        postings.groupBy("token")
-        .agg(F.count("*").alias("df")).where("df > 1")
+    # Order 1: tokens posted by several documents, and documents with enough of them.  Only tokens that may
+    # be among the former are looked up with their documents.
+    shared = stored(
+        posting.select(F.explode("posted").alias("token")).groupBy("token")
+        .agg(F.count("*").alias("df")).where("df > 1").select("token")
     )
-    counted = postings.join(shared, "token").groupBy("doc_id").agg(F.count("*").alias("c"))
+    marks = shared_bytes(docs.sparkSession, _marks(shared))
+    likely = posting.mapInArrow(_marked(marks), "doc_id long, token long")
+    counted = likely.join(shared, "token").groupBy("doc_id").agg(F.count("*").alias("c"))
     # extra(need(n)): what the smallest possible partner asks for.
     chosen = stored(
         counted.join(checked_broadcast(own.select("doc_id", "n")), "doc_id")
@@ -259,16 +322,27 @@ def similar_groups(
         .select("doc_id", "n", "token")
     )
 
-    links, rest = None, rare
+    free_shuffles(docs.sparkSession)
+    parts, rest = None, rare.withColumn("component", F.col("doc_id"))
     for seed in range(ROUNDS):
         key = F.xxhash64("doc_id", F.lit(seed)) if seed else F.col("doc_id")
         pairs = stored(_possible(_star_pairs(rest, key), sets))
-        found = _verified(pairs, sets)
-        links = stored(found if links is None else links.union(found).distinct())
-        rest = _labelled(rest.select("doc_id", "n", "token"), links)
-    links = links.union(_verified(stored(_crossing_pairs(rest, sets)), sets))
-
-    parts = components(links, "a", "b").withColumnRenamed("node", "class_id")
+        found = stored(_verified(pairs, sets))
+        if found.isEmpty():
+            break
+        parts = _grown(parts, found)
+        rest = _labelled(rest.select("doc_id", "n", "token"), parts)
+        free_shuffles(docs.sparkSession)
+        if rest.isEmpty():
+            break
+    if not rest.isEmpty():
+        found = stored(_verified(stored(_crossing_pairs(rest, sets)), sets))
+        if not found.isEmpty():
+            parts = _grown(parts, found)
+
+    if parts is None:
+        return member.select("doc_id", F.col("n").alias("n_shingles"), F.col("class_id").alias("component_id"))
+    parts = parts.withColumnRenamed("node", "class_id")
     return member.join(parts, "class_id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.coalesce("component", "class_id").alias("component_id"),
