@@ -11,6 +11,10 @@ and the term with the lowest a, together with its t, is the draw's sample.  Two
 same sample with a probability of their generalised Jaccard similarity, the sum of the smaller
 weights over the sum of the larger ones.
 
+r and b come from two independent Exp(1) numbers, s = -ln x and u = -ln y for uniform x and y: r = s + u is from
+Gamma(2, 1), and b = s / r is uniform and independent of it.  So t = floor((ln w + s) / r) and
+a = c exp(s - r (t + 1)); for a term that occurs once, as most do, t = 0 and a = c y.
+
 Documents are dealt by ranges of their ids, once, with the text; the next document, the edited text and
 all sums by term are found inside a range.  The first document of each range is also dealt to the one before.
 """
@@ -27,23 +31,26 @@ SPACE = "[\\\\x20\\\\x09-\\\\x0D]+"
 
 
 def _draw(k: int) -> tuple[str, str, str]:
-    """SQL for r, ln c and b of the ``term``."""
+    """SQL for the uniform x and y and for c of the ``term``."""
     def uniforms(salt):
-        # 32 bits each, never 0.
-        number = f"xxhash64(term, {3 * k + salt})"
+        # 32 bits each, never 0 or 1.
+        number = f"xxhash64(term, {2 * k + salt})"
         return (f"((shiftrightunsigned({number}, 32) + 0.5D) / 4294967296D)",
                 f"((({number} & 4294967295L) + 0.5D) / 4294967296D)")
 
-    def gamma(salt):
-        one, other = uniforms(salt)
-        return f"(-ln({one} * {other}))"
-
-    return gamma(0), f"ln({gamma(1)})", uniforms(2)[0]
+    x, y = uniforms(0)
+    one, other = uniforms(1)
+    return x, y, f"(-ln({one} * {other}))"
 
 
 def draws(spark: SparkSession, terms: int = 1 << 16) -> DataFrame:
     """``term`` and the arrays ``r``, ``lc`` and ``b`` for terms from 0 on, to look at their distribution."""
-    parts = zip(*map(_draw, range(SAMPLES)), strict=True)
+    def named(k):
+        x, y, c = _draw(k)
+        r = f"(-ln({x}) - ln({y}))"
+        return r, f"ln({c})", f"(-ln({x}) / {r})"
+
+    parts = zip(*map(named, range(SAMPLES)), strict=True)
     return spark.range(terms).selectExpr("id as term").selectExpr(
         "term", *[f"array({', '.join(part)}) as {name}" for part, name in zip(parts, ("r", "lc", "b"), strict=True)]
     )
@@ -126,12 +133,16 @@ def _samples(rows: DataFrame) -> DataFrame:
     )
 
     def lowest(k):
-        r, lc, b = _draw(k)
-        t = f"floor(lw / {r} + {b})"
-        value = f"bigint(({lc} - {r} * ({t} - {b} + 1)) * 16777216D)"
+        x, y, c = _draw(k)
+        r = f"(-ln({x}) - ln({y}))"
+        t = f"floor((lw - ln({x})) / {r})"
         # The order in the upper bits, below it a number for term and t.
-        sample = f"((term ^ (({t} & 65535L) * 2654435761L)) & 4294967295L)"
-        return F.expr(f"min(shiftleft({value}, 32) | {sample})").alias(f"m{k}")
+        once = f"shiftleft(bigint(ln({c} * {y}) * 16777216D), 32) | (term & 4294967295L)"
+        often = (
+            f"shiftleft(bigint((ln({c} / {x}) - {r} * ({t} + 1)) * 16777216D), 32) "
+            f"| ((term ^ (({t} & 65535L) * 2654435761L)) & 4294967295L)"
+        )
+        return F.expr(f"min(if(lw = 0, {once}, {often}))").alias(f"m{k}")
 
     ids = ", ".join(f"m{k} & 4294967295L" for k in range(SAMPLES))
     sampled = counted.groupBy("part", "which").agg(*[lowest(k) for k in range(SAMPLES)]).select(
