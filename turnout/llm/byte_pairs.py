@@ -163,7 +163,8 @@ def byte_pairs(
 
     Every match of the pattern is encoded by itself, without special tokens: their names in a
     text are ordinary text.  A null or empty text has no ids.  Rows that repeat each
-    other are encoded one by one, a row without an id too; other columns are ignored.
+    other are encoded one by one, a row without an id too; other columns are ignored.  Texts of any length are
+    encoded whole, and an empty table gives no rows.
     ``ranks`` is a file that all machines can read.
     """
     path = ranks or public_tokenizers.path(RANKS)

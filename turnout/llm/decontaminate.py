@@ -289,7 +289,7 @@ def leaks(
     One row for each row of ``docs`` and item with a window of similarity 0.75 or more, with the best
     window, the first of equals; a text shorter than an item is compared as a whole.  A-Z count as lower case.  Items of fewer than five words are one shingle.
     Null, empty and blank texts and items match nothing; repeated rows of ``docs`` give repeated rows, and a
-    row without an id gives rows without one; items without an id are left out.  Other columns are ignored, and an
+    row without an id gives rows without one; items without an id are left out.  Texts of any length are read whole, other columns are ignored, and an
     empty table on either side gives no rows.
     """
     spark = docs.sparkSession

@@ -160,8 +160,8 @@ def token_counts(
 
     No begin, end or padding tokens and no truncation; the name of a special token inside a
     text counts as that one token.  A null or empty text has none.  Rows that repeat each other or
-    lack an id are counted one by one; other columns are ignored.  ``vocabulary`` is a file that all
-    machines can read.
+    lack an id are counted one by one; other columns are ignored.  Texts of any length are counted whole, and an
+    empty table gives no rows.  ``vocabulary`` is a file that all machines can read.
     """
     texts = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")

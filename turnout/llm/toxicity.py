@@ -194,8 +194,8 @@ def toxicity(
     Labels of the held-out fold are not learnt from; language, source, id and labels
     are no input of a score.  A null or empty text gets the score of a text without words.  Equal
     texts have equal scores; rows that repeat an id are scored one by one; a row without an id
-    is scored and not held out.  Without a toxic label all scores are next to 0.  Other columns
-    are ignored.
+    is scored and not held out.  Without a toxic label all scores are next to 0.  Texts of any length
+    are read whole, other columns are ignored, and an empty table gives no rows.
     """
     texts = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
