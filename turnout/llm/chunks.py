@@ -12,10 +12,13 @@ from collections.abc import Callable
 import public_tokenizers
 import regex
 
+from turnout.llm.tables import rows_of
+
 #: Distinct chunks in a generation of what a Python worker remembers.
 MOST = 250_000
-#: Texts that are encoded together.
+#: Texts that are encoded together; or characters of such, where a longer text is encoded by itself.
 TOGETHER = 64
+LETTERS = 1 << 22
 
 #: White space other than spaces and line ends.
 _OTHER = re.compile(r"[^\S \n]")
@@ -48,6 +51,21 @@ def cut_at_spaces(text: str) -> bool:
     return not ("  " in text or " \n" in text or "\n " in text or _OTHER.search(text))
 
 
+def together(batches):
+    """Lists of ids and of texts of about ``LETTERS`` characters in all."""
+    held, size = ([], []), 0
+    for batch in batches:
+        for doc_id, text in rows_of(batch, "doc_id", "text"):
+            if held[0] and size + len(text or "") > LETTERS:
+                yield held
+                held, size = ([], []), 0
+            held[0].append(doc_id)
+            held[1].append(text)
+            size += len(text or "") + 1
+    if held[0]:
+        yield held
+
+
 class Memo(dict):
     """Results of a function by its argument; starts anew when full."""
 
@@ -94,10 +112,10 @@ class ByChunk:
 
     def __init__(
         self, encode: Callable[[str], bytes], encode_all: Callable[[list[str]], list[bytes]],
-        whole: re.Pattern | None = None,
+        whole: re.Pattern | None = None, most: int = MOST,
     ):
         self.encode, self.whole = encode, whole or re.compile(r"(?!)")
-        self.after_space = Kept(encode_all)
+        self.after_space = Kept(encode_all, most)
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         parts = [t.split(" ") if t and cut_at_spaces(t) and not self.whole.search(t) else None for t in texts]

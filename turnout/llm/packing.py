@@ -20,15 +20,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from turnout.llm.tables import checked_broadcast, rows_of, stored
+from turnout.llm.chunks import together
+from turnout.llm.tables import checked_broadcast, stored
 from turnout.llm.word_ids import VOCABULARY, word_ids
 
 CAPACITY = 2048
 #: Rests below this length are not cut further.
 LEAST = 64
 END = 1
-#: Characters of texts that are encoded together; a longer text is encoded by itself.
-TOGETHER = 1 << 22
 
 FIELDS = {
     "doc_id": "long", "start": "long", "length": "long", "ids_crc32": "long", "doc_tokens": "long",
@@ -47,28 +46,13 @@ def cuts(n: int, capacity: int = CAPACITY, least: int = LEAST) -> list[int]:
     return lengths + [rest] * (rest > 0)
 
 
-def _together(batches):
-    """Lists of ids and of texts of about ``TOGETHER`` characters in all."""
-    held, size = ([], []), 0
-    for batch in batches:
-        for doc_id, text in rows_of(batch, "doc_id", "text"):
-            if held[0] and size + len(text or "") > TOGETHER:
-                yield held
-                held, size = ([], []), 0
-            held[0].append(doc_id)
-            held[1].append(text)
-            size += len(text or "") + 1
-    if held[0]:
-        yield held
-
-
 def _cut(path: str, capacity: int, least: int):
     kinds = {"long": pa.int64(), "int": pa.int32()}
 
     def run(batches):
         encode, end = word_ids(path), np.asarray([END], "<u4").tobytes()
         worker, seen = TaskContext.get().partitionId(), {}
-        for doc_ids, texts in _together(batches):
+        for doc_ids, texts in together(batches):
             rows = []
             for doc_id, ids in zip(doc_ids, encode(texts), strict=True):
                 ids, start = ids + end, 0

@@ -19,6 +19,7 @@ beside it, so that any store that Spark writes to can hold it and lost tasks are
 import functools
 import struct
 import zlib
+from array import array
 
 import numpy as np
 import public_tokenizers
@@ -27,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 
-from turnout.llm.chunks import TOGETHER, ByChunk
+from turnout.llm.chunks import BYTE_LETTERS, PIECES, SPACE_LETTER, ByChunk, Kept, special_names, together
 from turnout.llm.tables import checked_broadcast, lists, rows_of, scratch_folder
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -37,6 +38,9 @@ PERCENTILE = 90
 SEGMENT = 1 << 18  # a segment ends with the document that reaches so many ids
 AT_ONCE = 256  # blocks packed at a time
 
+#: Pieces and runs of a generation that a worker remembers.
+PIECES_KEPT, CHUNKS_KEPT = 300_000, 500_000
+
 _MAGIC = b"PFB1"
 _HEADER = struct.Struct("<4sQI")
 _HEAD = struct.Struct("<IBH")
@@ -48,9 +52,31 @@ def _width(values: np.ndarray) -> np.ndarray:
 
 
 def _packed(values: np.ndarray, width: int) -> np.ndarray:
-    """Rows of bytes with the low ``width`` bits of each number."""
-    bits = (values[:, :, None] >> np.arange(width, dtype=np.uint32)) & np.uint32(1)
-    return np.packbits(bits.astype(np.uint8).reshape(len(values), -1), axis=1, bitorder="little")
+    """Rows of bytes with the low ``width`` bits of each number; eight numbers fill ``width`` bytes."""
+    rows, size = values.shape
+    eights = -(-size // 8)
+    whole = np.zeros((rows, 8 * eights), np.uint64)
+    whole[:, :size] = values
+    whole = (whole & np.uint64((1 << width) - 1)).reshape(rows, eights, 8)
+    out = np.zeros((rows, eights, width), np.uint8)
+    for place in range(8):
+        first, shift = divmod(place * width, 8)
+        shifted = whole[:, :, place] << np.uint64(shift)
+        for byte in range(-(-(shift + width) // 8)):
+            out[:, :, first + byte] |= (shifted >> np.uint64(8 * byte)).astype(np.uint8)
+    return out.reshape(rows, -1)[:, : -(-size * width // 8)]
+
+
+def _unpacked(rows: np.ndarray, width: int, size: int) -> np.ndarray:
+    """``size`` numbers of ``width`` bits from each row of bytes."""
+    padded = np.zeros((len(rows), rows.shape[1] + 8), np.uint8)
+    padded[:, : rows.shape[1]] = rows
+    at = np.arange(size) * width
+    first, shift = at >> 3, (at & 7).astype(np.uint64)
+    values = np.zeros((len(rows), size), np.uint64)
+    for byte in range(-(-(7 + width) // 8)):
+        values |= padded[:, first + byte].astype(np.uint64) << np.uint64(8 * byte)
+    return ((values >> shift) & np.uint64((1 << width) - 1)).astype(np.uint32)
 
 
 def pack(ids: np.ndarray) -> bytes:
@@ -95,30 +121,39 @@ def block_starts(segment: bytes) -> tuple[int, np.ndarray]:
 
 
 def unpack_block(segment: bytes, start: int, size: int) -> np.ndarray:
-    low, width, count = _HEAD.unpack_from(segment, start)
-    start += _HEAD.size
-    used = -(-size * width // 8)
-    values = np.zeros(size, np.uint32)
-    if width:
-        bits = np.unpackbits(
-            np.frombuffer(segment, np.uint8, used, start), count=size * width, bitorder="little"
-        ).reshape(size, width)
-        # Whole bytes at a time, low bits first.
-        padded = np.zeros((size, 32), np.uint8)
-        padded[:, :width] = bits
-        values = np.packbits(padded, axis=1, bitorder="little").view("<u4")[:, 0].astype(np.uint32)
-    start += used
-    places = np.frombuffer(segment, "<u2", count, start)
-    values[places] = np.frombuffer(segment, "<u4", count, start + 2 * count)
-    return values + np.uint32(low)
+    """One block by itself."""
+    return _unpack_blocks(segment, [start], size)[0]
+
+
+def _unpack_blocks(segment: bytes, starts: list[int], size: int) -> np.ndarray:
+    """Blocks of ``size`` ids, as rows; those of a width together."""
+    heads = [_HEAD.unpack_from(segment, start) for start in starts]
+    out = np.zeros((len(starts), size), np.uint32)
+    data = np.frombuffer(segment, np.uint8)
+    widths = np.asarray([width for _, width, _ in heads])
+    bodies = np.asarray(starts, np.int64) + _HEAD.size
+    for width in set(widths.tolist()) - {0}:
+        at = np.flatnonzero(widths == width)
+        used = -(-size * width // 8)
+        out[at] = _unpacked(data[bodies[at, None] + np.arange(used)], width, size)
+    for row, (low, width, count), body in zip(out, heads, bodies.tolist(), strict=True):
+        if count:
+            end = body + -(-size * width // 8)
+            places = np.frombuffer(segment, "<u2", count, end)
+            row[places] = np.frombuffer(segment, "<u4", count, end + 2 * count)
+        row += np.uint32(low)
+    return out
 
 
 def unpack(segment: bytes) -> np.ndarray:
     """All ids of a segment."""
     n, starts = block_starts(segment)
-    parts = [
-        unpack_block(segment, start, min(BLOCK, n - i * BLOCK)) for i, start in enumerate(starts.tolist())
-    ]
+    whole = n // BLOCK
+    starts, parts = starts.tolist(), []
+    for first in range(0, whole, AT_ONCE):
+        parts.append(_unpack_blocks(segment, starts[first : min(first + AT_ONCE, whole)], BLOCK).ravel())
+    if whole < len(starts):
+        parts.append(unpack_block(segment, starts[whole], n - whole * BLOCK))
     return np.concatenate(parts) if parts else np.empty(0, np.uint32)
 
 
@@ -126,25 +161,31 @@ def unpack(segment: bytes) -> np.ndarray:
 def _encoder(path: str) -> ByChunk:
     """One for each Python worker."""
     library = Tokenizer.from_file(path)
-    # The letter that stands for a space in byte-level vocabularies.
-    spaced = np.zeros(library.get_vocab_size(with_added_tokens=True), bool)
-    spaced[[i for token, i in library.get_vocab().items() if token.startswith("\u0120")]] = True
+    tokenize = library.model.tokenize
 
     def encode(text):
         (found,) = library.encode_batch_fast([text], add_special_tokens=False)
-        return np.asarray(found.ids, "<u4")
+        return np.asarray(found.ids, "<u4").tobytes()
 
-    def encode_all(chunks):
-        # In one text: each chunk's ids start with the one that holds the space before it.
-        if not chunks:
-            return []
-        ids = encode(" " + " ".join(chunks))
-        starts = np.flatnonzero(spaced[ids])
-        if len(starts) != len(chunks):
-            return [encode(" " + chunk).tobytes() for chunk in chunks]
-        return [part.tobytes() for part in np.split(ids, starts[1:])]
+    def piece(text):
+        # The library's model takes the letters that stand for the bytes of one match of the pattern.
+        if text[0] == " " and text[1:].isascii() and text[1:].isalnum():
+            text = SPACE_LETTER + text[1:]
+        elif not (text.isascii() and text.isalnum()):
+            text = text.encode("utf-8", "replace").decode("latin-1").translate(BYTE_LETTERS)
+        return array("I", [t.id for t in tokenize(text)]).tobytes()
 
-    return ByChunk(lambda text: encode(text).tobytes(), encode_all)
+    pieces = Kept(lambda texts: list(map(piece, texts)), PIECES_KEPT)
+
+    def chunks(texts):
+        parts = [
+            [f" {t}"] if t.isalpha() and (t.isascii() or max(t) < "\u0250") else PIECES.findall(f" {t}") for t in texts
+        ]
+        pieces.learn(set().union(*parts))
+        get = pieces.__getitem__
+        return [get(p[0]) if len(p) == 1 else b"".join(map(get, p)) for p in parts]
+
+    return ByChunk(encode, chunks, special_names(path), CHUNKS_KEPT)
 
 
 SEGMENTS = "part int, seq int, n_ids long, doc_ids array<long>, sizes array<long>, payload binary"
@@ -165,17 +206,14 @@ def _segments(path: str):
                 doc_ids, lists([sizes], pa.int64()), pa.array([pack(ids)], pa.binary()),
             ], ["part", "seq", "n_ids", "doc_ids", "sizes", "payload"])
 
-        for batch in batches:
-            for start in range(0, batch.num_rows, TOGETHER):
-                some = batch.slice(start, TOGETHER)
-                every = encode(some.column("text").to_pylist())
-                for doc_id, ids in zip(some.column("doc_id").to_pylist(), every, strict=True):
-                    held[0].append(doc_id)
-                    held[1].append(ids + end)
-                    size += len(ids) // 4 + 1
-                    if size >= SEGMENT:
-                        yield segment()
-                        held, size, seq = ([], []), 0, seq + 1
+        for some, texts in together(batches):
+            for doc_id, ids in zip(some, encode(texts), strict=True):
+                held[0].append(doc_id)
+                held[1].append(ids + end)
+                size += len(ids) // 4 + 1
+                if size >= SEGMENT:
+                    yield segment()
+                    held, size, seq = ([], []), 0, seq + 1
         if held[0]:
             yield segment()
 
