@@ -11,7 +11,7 @@ from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 from tests.llm.helpers import corpus, table
-from turnout.llm import byte_pairs as bp, token_blocks as tb, token_counts as tc
+from turnout.llm import byte_pairs as bp, chunks as ck, token_blocks as tb, token_counts as tc
 
 ODD = [
     "a", "aa", "the", " ", "  ", "\n", "\t", "é", "ß", "'s", "'re", "12", "3", "<|endoftext|>", "…", "日本",
@@ -99,3 +99,29 @@ def test_outliers_do_not_widen_a_block():
     narrow = len(tb.pack(ids))
     ids[[3, 77]] = 50_000
     assert len(tb.pack(ids)) == narrow + 2 * 6
+
+
+def test_pieces_of_chunks_in_one_text():
+    chunks = [c for t in texts() if ck.cut_at_spaces(t) for c in t.split(" ")[1:]]
+    chunks += ["word", "Zuüein,", "x's", "12a\nb", "la.\nCiónra", "end\n", "&&&", "日本", "ǅ"]
+    assert ck.pieces_of(chunks) == [ck.PIECES.findall(f" {c}") for c in chunks]
+    assert ck.pieces_of([]) == []
+
+
+def test_a_piece_is_encoded_once_for_all_chunks():
+    own = bp.Encoder(bp.read_ranks(public_tokenizers.path(bp.RANKS)))
+    seen, piece = [], own.piece
+    own.piece = lambda raw: seen.append(raw) or piece(raw)
+    by_chunk = ck.ByChunk(own.encode, ck.by_pieces(own.pieces, 100), most=100)
+    texts = ["a house, house. house!", "my house; house,", None, "", "  two  spaces"]
+    found = by_chunk(texts)
+    assert seen.count(b" house") == 1
+    assert found == [own.encode(t or "") for t in texts]
+
+
+def test_full_memos_give_the_same_ids():
+    own = bp.Encoder(bp.read_ranks(public_tokenizers.path(bp.RANKS)))
+    by_chunk = ck.ByChunk(own.encode, ck.by_pieces(own.pieces, 5), most=5)
+    some = [t or "" for _, t in rows()]
+    for start in range(0, len(some), 7):
+        assert by_chunk(some[start : start + 7]) == [own.encode(t) for t in some[start : start + 7]]

@@ -20,10 +20,12 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from turnout.llm.chunks import PIECES, TOGETHER, ByChunk, Memo
+from turnout.llm.chunks import PIECES, ByChunk, Memo, by_pieces, together
 
 NEVER = 1 << 62
 PAIRS = 1_000_000  # compatibilities that a worker remembers
+#: Pieces and chunks of a generation that a worker remembers, and characters encoded together.
+PIECES_KEPT, CHUNKS_KEPT, LETTERS = 200_000, 150_000, 1 << 20
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -85,14 +87,15 @@ class Encoder:
             return [whole]
         size = len(piece)
         at = [[] for _ in range(size)]  # tokens that start here, the longest last
-        for end, (length, token) in self.automaton.iter(piece.decode("latin-1")):
-            at[end + 1 - length].append((end + 1, token))
+        for last, found in self.automaton.iter(piece.decode("latin-1")):
+            at[last + 1 - found[0]].append(found)
         alive = [True] * (size + 1)
         path = []  # places, tokens and how many shorter ones are left
         place, left = 0, len(at[0])
         while place < size:
             while left:
-                end, token = at[place][left - 1]
+                length, token = at[place][left - 1]
+                end = place + length
                 left -= 1
                 if alive[end] and (not path or self._compatible[path[-1][1], token]):
                     path.append((place, token, left))
@@ -111,8 +114,9 @@ class Encoder:
             ids.extend(self.piece(piece.encode("utf-8", "replace")))
         return np.asarray(ids, "<u4").tobytes()
 
-    def encode_all(self, chunks: list[str]) -> list[bytes]:
-        return [self.encode(" " + chunk) for chunk in chunks]
+    def pieces(self, pieces: list[str]) -> list[bytes]:
+        """The ids of single pieces."""
+        return [array("I", self.piece(piece.encode("utf-8", "replace"))).tobytes() for piece in pieces]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -122,31 +126,28 @@ class Encoder:
 def encoder(path: str) -> tuple[Encoder, ByChunk]:
     """One for each Python worker."""
     own = Encoder(read_ranks(path))
-    return own, ByChunk(own.encode, own.encode_all)
+    return own, ByChunk(own.encode, by_pieces(own.pieces, PIECES_KEPT), most=CHUNKS_KEPT)
 
 
 def _mapper(path: str, digest: bool):
     def run(batches):
         own, by_chunk = encoder(path)
-        for batch in batches:
-            for start in range(0, batch.num_rows, TOGETHER):
-                held = ([], [], [], [])
-                part = batch.slice(start, TOGETHER)
-                every = by_chunk(part.column("text").to_pylist())
-                for doc_id, ids in zip(part.column("doc_id").to_pylist(), every, strict=True):
-                    back = own.decode(ids)
-                    row = (doc_id, len(ids) // 4)
-                    if digest:
-                        row += hashlib.sha256(ids).hexdigest(), hashlib.sha256(back).hexdigest()
-                    else:
-                        row += np.frombuffer(ids, "<u4").astype(np.int32), back.decode("utf-8", "replace")
-                    for column, value in zip(held, row, strict=True):
-                        column.append(value)
-                kinds = (pa.string(), pa.string()) if digest else (pa.list_(pa.int32()), pa.string())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, t) for x, t in zip(held, (pa.int64(), pa.int64(), *kinds), strict=True)],
-                    _names(digest),
-                )
+        kinds = (pa.string(), pa.string()) if digest else (pa.list_(pa.int32()), pa.string())
+        for doc_ids, texts in together(batches, LETTERS):
+            held = ([], [], [], [])
+            for doc_id, ids in zip(doc_ids, by_chunk(texts), strict=True):
+                back = own.decode(ids)
+                row = (doc_id, len(ids) // 4)
+                if digest:
+                    row += hashlib.sha256(ids).hexdigest(), hashlib.sha256(back).hexdigest()
+                else:
+                    row += np.frombuffer(ids, "<u4").astype(np.int32), back.decode("utf-8", "replace")
+                for column, value in zip(held, row, strict=True):
+                    column.append(value)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x, t) for x, t in zip(held, (pa.int64(), pa.int64(), *kinds), strict=True)],
+                _names(digest),
+            )
 
     return run
 

@@ -8,8 +8,12 @@ on the rest of the text.  Where white space stands next to a space the text is n
 import json
 import re
 from collections.abc import Callable
+from itertools import chain
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 from turnout.llm.tables import rows_of
@@ -19,6 +23,8 @@ MOST = 250_000
 #: Texts that are encoded together; or characters of such, where a longer text is encoded by itself.
 TOGETHER = 64
 LETTERS = 1 << 22
+#: Results put one after another at a time.
+GATHERED = 1 << 16
 
 #: White space other than spaces and line ends.
 _OTHER = re.compile(r"[^\S \n]")
@@ -37,6 +43,8 @@ def _byte_letters() -> dict[int, str]:
 
 BYTE_LETTERS = _byte_letters()
 SPACE_LETTER = BYTE_LETTERS[32]
+#: The same as a table for all bytes, in UTF-16.
+LETTER_OF = np.asarray([ord(BYTE_LETTERS.get(b, chr(b))) for b in range(256)], "<u2")
 
 
 def special_names(path: str) -> re.Pattern:
@@ -51,12 +59,12 @@ def cut_at_spaces(text: str) -> bool:
     return not ("  " in text or " \n" in text or "\n " in text or _OTHER.search(text))
 
 
-def together(batches):
-    """Lists of ids and of texts of about ``LETTERS`` characters in all."""
+def together(batches, letters: int = LETTERS):
+    """Lists of ids and of texts of about so many characters in all."""
     held, size = ([], []), 0
     for batch in batches:
         for doc_id, text in rows_of(batch, "doc_id", "text"):
-            if held[0] and size + len(text or "") > LETTERS:
+            if held[0] and size + len(text or "") > letters:
                 yield held
                 held, size = ([], []), 0
             held[0].append(doc_id)
@@ -89,20 +97,74 @@ class Kept(dict):
     def __init__(self, make_all: Callable[[list], list], most: int = MOST):
         self.make_all, self.most, self.old = make_all, most, {}
 
-    def learn(self, keys: set) -> None:
-        """Make sure that all of ``keys`` are here."""
-        new = {key for key in keys if key not in self}
+    def learn(self, keys) -> None:
+        """Make sure that all of ``keys``, which differ from each other, are here."""
+        new = [key for key in keys if key not in self]
         if not new:
             return
         if len(self) + len(new) > self.most:
             self.old, new = dict(self), keys
             self.clear()
-        known = {key: self.old[key] for key in new & self.old.keys()}
+        known = {key: self.old[key] for key in new if key in self.old}
         self.update(known)
-        rest = list(new - known.keys())
+        rest = [key for key in new if key not in known] if known else list(new)
         self.update(zip(rest, self.make_all(rest), strict=True))
 
 
+def joined(split: pa.ListArray, results: Kept) -> list[bytes]:
+    """For each list of keys its results, ids of four bytes each, one after another.
+
+    Keys are numbered by Arrow, so that each distinct one is looked up once for all lists.
+    """
+    offsets = split.offsets.to_numpy()
+    numbered = split.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
+    keys = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+    results.learn(keys)
+    made = list(map(results.__getitem__, keys))
+    sizes = np.fromiter(map(len, made), np.int64, len(made)) // 4
+    starts, ids = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(made), "<u4")
+    places, total = numbered.indices.to_numpy(), np.zeros(len(numbered) + 1, np.int64)
+    parts = []
+    for first in range(0, len(places), GATHERED):
+        some = places[first : first + GATHERED]
+        n = sizes[some]
+        ends = np.cumsum(n)
+        total[first + 1 : first + 1 + len(n)] = total[first] + ends
+        parts.append(ids[np.repeat(starts[some] - ends + n, n) + np.arange(ends[-1])].tobytes())
+    every = b"".join(parts)
+    cuts = (4 * total[offsets - offsets[0]]).tolist()
+    return [every[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
+def pieces_of(chunks: list[str]) -> list[list[str]]:
+    """The matches of the pattern in each chunk with a space before it.
+
+    All other chunks than plain words go through the pattern in one text, where each space starts one.
+    """
+    parts = [[f" {c}"] if c.isalpha() and (c.isascii() or max(c) < "\u0250") else None for c in chunks]
+    found = []
+    for piece in PIECES.findall("".join([f" {c}" for c, p in zip(chunks, parts, strict=True) if not p])):
+        if piece[0] == " ":
+            found.append([piece])
+        else:
+            found[-1].append(piece)
+    rest = iter(found)
+    return [p or next(rest) for p in parts]
+
+
+def by_pieces(encode_pieces: Callable[[list[str]], list[bytes]], most: int) -> Callable[[list[str]], list[bytes]]:
+    """What makes results for chunks from those of their pieces, ``most`` of which are remembered."""
+    known = Kept(encode_pieces, most)
+
+    def encode_all(chunks):
+        parts = pieces_of(chunks)
+        known.learn(set(chain.from_iterable(parts)))
+        get = known.__getitem__
+        return [get(p[0]) if len(p) == 1 else b"".join(map(get, p)) for p in parts]
+
+    return encode_all
+
+
 class ByChunk:
     """Byte strings for texts, from those of their chunks.
 
@@ -118,11 +180,21 @@ class ByChunk:
         self.after_space = Kept(encode_all, most)
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        parts = [t.split(" ") if t and cut_at_spaces(t) and not self.whole.search(t) else None for t in texts]
-        self.after_space.learn(set().union(*[p[1:] for p in parts if p]))
-        get = self.after_space.__getitem__
-        return [
-            (self.encode(p[0]) if p[0] else b"") + b"".join(map(get, p[1:])) if p
-            else self.encode(t) if t else b""
-            for t, p in zip(texts, parts, strict=True)
-        ]
+        cut = [bool(t) and cut_at_spaces(t) and not self.whole.search(t) for t in texts]
+        held = pa.array([t for t, c in zip(texts, cut, strict=True) if c], pa.large_string())
+        split = pc.split_pattern(held, " ")
+        offsets = split.offsets.to_numpy()
+        later = np.ones(len(split.values), bool)
+        later[offsets[:-1]] = False  # before the first chunk there is no space
+        firsts = split.values.filter(pa.array(~later)).to_pylist()
+        rest = pa.ListArray.from_arrays(
+            pa.array(offsets - np.arange(len(offsets), dtype=np.int32)), split.values.filter(pa.array(later)))
+        made = zip(firsts, joined(rest, self.after_space), strict=True)
+        out = []
+        for text, c in zip(texts, cut, strict=True):
+            if c:
+                first, ids = next(made)
+                out.append((self.encode(first) if first else b"") + ids)
+            else:
+                out.append(self.encode(text) if text else b"")
+        return out
