@@ -88,3 +88,15 @@ def test_long_texts_by_the_number_of_samples_in_use(spark):
         assert len(r.fingerprint) == 8 * f.SAMPLES
         assert r.near_next < 0.05
         assert abs(r.near_edited - 1 / 3) < 3.5 * (2 / 9 / f.SAMPLES) ** 0.5
+
+
+def test_a_term_that_occurs_once_needs_no_logarithm(spark):
+    # Its order is a uniform number from the hash, which grows with the same draw's c y.
+    rows = spark.range(2000).selectExpr("id as term").selectExpr(
+        *[f"{x} as {name}" for x, name in zip(f._draw(3), ("bits", "e", "f", "s"), strict=True)]).toPandas()
+    assert rows.bits.between(0, 2**31 - 1).all()
+    assert (np.abs(-np.expm1(-rows.e) * 2**31 - rows.bits) <= 1).all()
+    assert "ln(" not in f._draw(3)[0]
+    for column in ("e", "f", "s"):
+        assert abs(rows[column].mean() - 1) < 0.1
+    assert np.abs(np.corrcoef(rows[["e", "f", "s"]].T) - np.eye(3)).max() < 0.1

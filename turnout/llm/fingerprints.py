@@ -15,6 +15,10 @@ r and b come from two independent Exp(1) numbers, s = -ln x and u = -ln y for un
 Gamma(2, 1), and b = s / r is uniform and independent of it.  So t = floor((ln w + s) / r) and
 a = c exp(s - r (t + 1)); for a term that occurs once, as most do, t = 0 and a = c y.
 
+c and y come from two more, e = -ln(1 - p) and f = -ln q: c = e + f is from Gamma(2, 1), and y = e / c is uniform and
+independent of it.  So for a term that occurs once a = e, which grows with p: the order of 1 - exp(-a) is that of a,
+and for most terms it is the uniform p, bits of a hash, without a logarithm.
+
 Documents are dealt by ranges of their ids, once, with the text; the next document, the edited text and
 all sums by term are found inside a range.  The first document of each range is also dealt to the one before.
 """
@@ -30,25 +34,23 @@ CUTS = 64  # ranges of ids cut at quantiles; each is cut again into equal widths
 SPACE = "[\\\\x20\\\\x09-\\\\x0D]+"
 
 
-def _draw(k: int) -> tuple[str, str, str]:
-    """SQL for the uniform x and y and for c of the ``term``."""
-    def uniforms(salt):
-        # 32 bits each, never 0 or 1.
-        number = f"xxhash64(term, {2 * k + salt})"
-        return (f"((shiftrightunsigned({number}, 32) + 0.5D) / 4294967296D)",
-                f"((({number} & 4294967295L) + 0.5D) / 4294967296D)")
-
-    x, y = uniforms(0)
-    one, other = uniforms(1)
-    return x, y, f"(-ln({one} * {other}))"
+def _draw(k: int) -> tuple[str, str, str, str]:
+    """SQL for 31 bits of a hash of the ``term``, for e whose 1 - exp(-e) they are, and for f and s."""
+    bits, other = f"xxhash64(term, {2 * k})", f"xxhash64(term, {2 * k + 1})"
+    return (
+        f"shiftrightunsigned({bits}, 33)",
+        f"(-log1p(-(shiftrightunsigned({bits}, 33) + 0.5D) / 2147483648D))",
+        f"(-ln((({bits} & 4294967295L) + 0.5D) / 4294967296D))",
+        f"(-ln((shiftrightunsigned({other}, 32) + 0.5D) / 4294967296D))",
+    )
 
 
 def draws(spark: SparkSession, terms: int = 1 << 16) -> DataFrame:
     """``term`` and the arrays ``r``, ``lc`` and ``b`` for terms from 0 on, to look at their distribution."""
     def named(k):
-        x, y, c = _draw(k)
-        r = f"(-ln({x}) - ln({y}))"
-        return r, f"ln({c})", f"(-ln({x}) / {r})"
+        _, e, f, s = _draw(k)
+        r = f"({s} + log1p({f} / {e}))"
+        return r, f"ln({e} + {f})", f"({s} / {r})"
 
     parts = zip(*map(named, range(SAMPLES)), strict=True)
     return spark.range(terms).selectExpr("id as term").selectExpr(
@@ -133,14 +135,14 @@ def _samples(rows: DataFrame) -> DataFrame:
     )
 
     def lowest(k):
-        x, y, c = _draw(k)
-        r = f"(-ln({x}) - ln({y}))"
-        t = f"floor((lw - ln({x})) / {r})"
-        # The order in the upper bits, below it a number for term and t.
-        once = f"shiftleft(bigint(ln({c} * {y}) * 16777216D), 32) | (term & 4294967295L)"
+        bits, e, f, s = _draw(k)
+        r = f"({s} + log1p({f} / {e}))"
+        t = f"floor((lw + {s}) / {r})"
+        # The order in the upper bits, 31 of 1 - exp(-a); below it a number for term and t.
+        once = f"shiftleft({bits}, 32) | (term & 4294967295L)"
         often = (
-            f"shiftleft(bigint((ln({c} / {x}) - {r} * ({t} + 1)) * 16777216D), 32) "
-            f"| ((term ^ (({t} & 65535L) * 2654435761L)) & 4294967295L)"
+            f"shiftleft(least(2147483647L, bigint(-expm1(-({e} + {f}) * exp({s} - {r} * ({t} + 1))) * 2147483648D)), 32)"
+            f" | ((term ^ (({t} & 65535L) * 2654435761L)) & 4294967295L)"
         )
         return F.expr(f"min(if(lw = 0, {once}, {often}))").alias(f"m{k}")
 
