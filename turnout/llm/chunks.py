@@ -42,7 +42,6 @@ def _byte_letters() -> dict[int, str]:
 
 
 BYTE_LETTERS = _byte_letters()
-SPACE_LETTER = BYTE_LETTERS[32]
 #: The same as a table for all bytes, in UTF-16.
 LETTER_OF = np.asarray([ord(BYTE_LETTERS.get(b, chr(b))) for b in range(256)], "<u2")
 

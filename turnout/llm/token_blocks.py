@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 
-from turnout.llm.chunks import BYTE_LETTERS, PIECES, SPACE_LETTER, ByChunk, Kept, special_names, together
+from turnout.llm.chunks import LETTER_OF, ByChunk, by_pieces, special_names, together
 from turnout.llm.tables import checked_broadcast, lists, rows_of, scratch_folder
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -167,25 +167,16 @@ def _encoder(path: str) -> ByChunk:
         (found,) = library.encode_batch_fast([text], add_special_tokens=False)
         return np.asarray(found.ids, "<u4").tobytes()
 
-    def piece(text):
-        # The library's model takes the letters that stand for the bytes of one match of the pattern.
-        if text[0] == " " and text[1:].isascii() and text[1:].isalnum():
-            text = SPACE_LETTER + text[1:]
-        elif not (text.isascii() and text.isalnum()):
-            text = text.encode("utf-8", "replace").decode("latin-1").translate(BYTE_LETTERS)
-        return array("I", [t.id for t in tokenize(text)]).tobytes()
-
-    pieces = Kept(lambda texts: list(map(piece, texts)), PIECES_KEPT)
-
-    def chunks(texts):
-        parts = [
-            [f" {t}"] if t.isalpha() and (t.isascii() or max(t) < "\u0250") else PIECES.findall(f" {t}") for t in texts
-        ]
-        pieces.learn(set().union(*parts))
-        get = pieces.__getitem__
-        return [get(p[0]) if len(p) == 1 else b"".join(map(get, p)) for p in parts]
-
-    return ByChunk(encode, chunks, special_names(path), CHUNKS_KEPT)
+    def pieces(texts):
+        # The library's model takes the letters that stand for the bytes of one match of the pattern;
+        # 255 is in no text's bytes.
+        raw = np.frombuffer("\udcff".join(texts).encode("utf-8", "surrogateescape"), np.uint8)
+        letters = LETTER_OF[raw].tobytes().decode("utf-16-le")
+        return [
+            array("I", [t.id for t in tokenize(own)]).tobytes() for own in letters.split("\xff")
+        ] if texts else []
+
+    return ByChunk(encode, by_pieces(pieces, PIECES_KEPT), special_names(path), CHUNKS_KEPT)
 
 
 SEGMENTS = "part int, seq int, n_ids long, doc_ids array<long>, sizes array<long>, payload binary"
