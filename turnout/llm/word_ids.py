@@ -9,13 +9,16 @@ import json
 import os
 import re
 import struct
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer
 
-from turnout.llm.chunks import BYTE_LETTERS, Kept, special_names
+from turnout.llm.chunks import LETTER_OF, Kept, joined, special_names
 
 VOCABULARY = "word_bpe_49k.json"
 #: Words of a generation that a worker remembers, and runs.
@@ -37,6 +40,7 @@ class WordIds:
         self.library = Tokenizer.from_file(path)
         self.model = self.library.model
         self.pattern = regex.compile(pattern.replace(r"\s", r"\p{White_Space}"))
+        self.spaced = regex.compile(f"(?:{self.pattern.pattern})| ")
         self.special = special_names(path)
         self.hint = os.path.commonprefix(names)  # quick to look for
         self.words = Kept(self._words, WORDS)
@@ -48,38 +52,48 @@ class WordIds:
         return np.asarray(found.ids, "<u4").tobytes()
 
     def _words(self, words: list[str]) -> list[bytes]:
-        # The library's model takes the letters that stand for the bytes of one word.
+        # The library's model takes the letters that stand for the bytes of one word; 255 is in no text's bytes.
+        raw = np.frombuffer("\udcff".join(words).encode("utf-8", "surrogateescape"), np.uint8)
+        letters = LETTER_OF[raw].tobytes().decode("utf-16-le")
         tokenize = self.model.tokenize
         out = []
-        for word in words:
-            if not (word.isascii() and word.isprintable()):
-                word = word.encode("utf-8", "replace").decode("latin-1").translate(BYTE_LETTERS)
+        for word in letters.split("\xff") if words else []:
             found = [t.id for t in tokenize(word)]
             out.append(_FORMS[len(found)](*found) if len(found) < len(_FORMS) else np.asarray(found, "<u4").tobytes())
         return out
 
-    def _parts(self, run: str) -> list[str]:
-        # Below the first combining marks there is nothing to compose.
-        if run.isascii() or max(run) < "\u0250":
-            low = run.lower()
-            return [low] if low.isalpha() else self.pattern.findall(low)
-        return self.pattern.findall(self.library.normalizer.normalize_str(run))
+    def _parts_of_all(self, runs: list[str]) -> list[list[str]]:
+        """The words of each run; runs below the first combining marks go through the pattern in one text."""
+        parts, low = [], []
+        for run in runs:
+            if run.isascii() or max(run) < "\u0250":
+                run = run.lower()
+                if not run.isalpha():
+                    low.append(run)
+                    run = None
+                parts.append([run] if run else None)
+            else:
+                parts.append(self.pattern.findall(self.library.normalizer.normalize_str(run)))
+        found = [[]]
+        for word in self.spaced.findall(" ".join(low)):
+            if word == " ":
+                found.append([])
+            else:
+                found[-1].append(word)
+        rest = iter(found)
+        return [next(rest) if p is None else p for p in parts]
 
     def _runs(self, runs: list[str]) -> list[bytes]:
-        parts = list(map(self._parts, runs))
-        self.words.learn(set().union(*parts))
+        parts = self._parts_of_all(runs)
+        self.words.learn(set(chain.from_iterable(parts)))
         get = self.words.__getitem__
         return [get(p[0]) if len(p) == 1 else b"".join(map(get, p)) for p in parts]
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        split = []
-        for text in texts:
-            text = text or ""
-            by_run = not (_ODD.search(text) or self.hint in text and self.special.search(text))
-            split.append(text.split() if by_run else text)
-        self.runs.learn(set().union(*[s for s in split if isinstance(s, list)]))
-        get = self.runs.__getitem__
-        return [b"".join(map(get, s)) if isinstance(s, list) else self.whole(s) for s in split]
+        cut = [not (_ODD.search(t) or self.hint in t and self.special.search(t)) if t else False for t in texts]
+        held = pa.array([t for t, c in zip(texts, cut, strict=True) if c], pa.large_string())
+        found = iter(joined(pc.utf8_split_whitespace(held), self.runs))
+        return [next(found) if c else self.whole(t) if t else b"" for t, c in zip(texts, cut, strict=True)]
 
 
 @functools.lru_cache(maxsize=2)
