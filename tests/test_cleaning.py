@@ -51,6 +51,23 @@ def test_rows_without_a_key(spark):
         cleaning.dedup_most_complete(df, null_keys="drop")
 
 
+def test_dedup_in_as_many_tasks_as_the_rows_take(spark, monkeypatch):
+    df = spark.range(20000).select(
+        F.when(F.col("id") % 3 < 2, "hot").when(F.col("id") % 7 > 0, F.col("id").cast("string")).alias("k"),
+        F.when(F.col("id") % 5 > 0, F.col("id")).alias("v"),
+    )
+    monkeypatch.setattr(cleaning, "TASK_ROWS", 1000)
+    for null_keys in ("collapse", "keep"):
+        plain = cleaning.dedup_most_complete(df, "k", null_keys)
+        dealt = cleaning.dedup_most_complete(df, "k", null_keys, n_rows=df.count())
+        assert dealt.columns == plain.columns
+        assert sorted(map(str, dealt.collect())) == sorted(map(str, plain.collect()))
+    # The copies of a key are dealt too, and no sort stands before the first exchange.
+    plan = cleaning.dedup_most_complete(df, "k", n_rows=20000)._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" in plan and plan.count("REPARTITION_BY_NUM") == 2
+    assert "Sort" not in plan[plan.rindex("REPARTITION_BY_NUM"):]
+
+
 def test_dedup_of_a_key_with_most_rows(spark):
     df = spark.range(20000).select(
         F.when(F.col("id") % 3 < 2, "hot").otherwise(F.col("id").cast("string")).alias("k"),

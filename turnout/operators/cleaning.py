@@ -15,14 +15,23 @@ from turnout.schema import (
 
 # --- deduplication --------------------------------------------------------
 
-def dedup_most_complete(df: DataFrame, key: str = KEY, null_keys: str = "collapse") -> DataFrame:
+#: Rows that one task sorts where the number of rows is known.
+TASK_ROWS = 1_000_000
+
+
+def dedup_most_complete(
+    df: DataFrame, key: str = KEY, null_keys: str = "collapse", n_rows: int | None = None
+) -> DataFrame:
     """One row per key: the one with the fewest nulls.
 
     Ties go to the lowest row in column order, nulls last.  Rows without a key
     fall together into one row (``collapse``) or all stay (``keep``).
 
     ``row_number() == 1`` makes Spark put a group limit in front of the shuffle
-    too, so a key with very many copies sends one row per map task.
+    too, so a key with very many copies sends one row per map task.  That sort takes place in the task that
+    makes the rows, beside the sorts of its joins.  With ``n_rows``, about how many rows there are, more than
+    ``TASK_ROWS`` are first dealt to as many tasks as that takes, copies of a key too, and one row of each key
+    and task is dealt again by the key.
     """
     if null_keys not in ("collapse", "keep"):
         raise ValueError(f"null_keys must be 'collapse' or 'keep', not {null_keys!r}")
@@ -31,14 +40,18 @@ def dedup_most_complete(df: DataFrame, key: str = KEY, null_keys: str = "collaps
         # Rows without a key get numbers of their own as keys, so that one pass serves all.
         part.append("_own")
         rows = df.withColumn("_own", F.when(F.col(key).isNull(), F.monotonically_increasing_id()))
-    order = Window.partitionBy(*part).orderBy(
-        null_count(df.columns), *[F.asc_nulls_last(c) for c in df.columns if c != key]
-    )
-    return (
-        rows.withColumn("_row", F.row_number().over(order))
-        .where(F.col("_row") == 1)
-        .drop("_row", "_own")
-    )
+    order = (null_count(df.columns), *[F.asc_nulls_last(c) for c in df.columns if c != key])
+
+    def first(rows, *part):
+        window = Window.partitionBy(*part).orderBy(*order)
+        return rows.withColumn("_row", F.row_number().over(window)).where(F.col("_row") == 1).drop("_row")
+
+    tasks = -(-(n_rows or 0) // TASK_ROWS)
+    if tasks > 1:
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(tasks))
+        rows = first(rows.withColumn("_salt", salt).repartition(tasks, *part, "_salt"), *part, "_salt")
+        rows = rows.drop("_salt").repartition(tasks, *part)
+    return first(rows, *part).drop("_own")
 
 
 # --- typing ---------------------------------------------------------------

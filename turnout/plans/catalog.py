@@ -25,7 +25,7 @@ from turnout.operators import (
 from turnout.plans.stages import clean, normalize, scope, type_calls
 from turnout.schema import DURATIONS, SECONDS_COLUMNS
 from turnout.sources import preview_mart
-from turnout.sources.bindings import line_calls, patrol_calls, raw_calls
+from turnout.sources.bindings import line_calls, line_count, patrol_calls, raw_calls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -333,7 +333,8 @@ def _order_lines() -> dict[str, Query]:
         "lineitem_ranks_in_slices": _lines(lambda df: numbering.ranks_in_slices(
             df.select("CAD_EVNT_ID", "BORO_NM", "RESPONSE_TIME_SEC").distinct(), ["BORO_NM"], "RESPONSE_TIME_SEC",
             ["CAD_EVNT_ID"])),
-        "lineitem_dedup": _on(line_calls, cleaning.dedup_most_complete),
+        "lineitem_dedup": lambda spark, sf_dir: cleaning.dedup_most_complete(
+            line_calls(spark, sf_dir), n_rows=line_count(spark, sf_dir)),
     }
 
 

@@ -130,3 +130,8 @@ def line_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         "DISPATCH_DELAY_SEC + TRAVEL_TIME_SEC as RESPONSE_TIME_SEC",
         "DISPATCH_DELAY_SEC", "TRAVEL_TIME_SEC",
     )
+
+
+def line_count(spark: SparkSession, sf_dir: str) -> int:
+    """Rows of the table of order lines, from which ``line_calls`` makes one call each."""
+    return _read(spark, sf_dir, "lineitem").count()
