@@ -147,3 +147,10 @@ def test_the_index_alone_reaches_similar_windows():
             queries, _ = items.by_size[len(item)][1].within(d._fingerprints(votes))
             reached += len(queries) > 0
         assert wanted > 50 and reached >= 0.99 * wanted, (holders, reached, wanted)
+
+
+def test_index_tables_hold_small_numbers():
+    index = d.HammingIndex(np.arange(1000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    assert all(owners.dtype.itemsize == 2 for _, owners in index.tables)
+    queries, items = index.within(index.fingerprints)
+    assert {(i, i) for i in range(1000)} <= set(zip(queries.tolist(), items.tolist(), strict=True))

@@ -68,7 +68,8 @@ class HammingIndex:
         near, self.tables = _near_values(), []
         for block in range(BLOCKS):
             values = self._block(fingerprints, block)[:, None] ^ near[None, :]
-            owners = np.repeat(np.arange(len(fingerprints)), len(near))
+            # Numbers as small as they may be: every worker keeps the tables.
+            owners = np.repeat(np.arange(len(fingerprints), dtype=np.min_scalar_type(len(fingerprints))), len(near))
             order = np.argsort(values.ravel(), kind="stable")
             starts = np.searchsorted(values.ravel()[order], np.arange((1 << BITS) + 1))
             self.tables.append((starts, owners[order]))
