@@ -10,7 +10,6 @@ merging by rank gives.
 """
 
 import base64
-import functools
 import hashlib
 from array import array
 
@@ -21,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from turnout.llm.chunks import PIECES, ByChunk, Memo, by_pieces, together
+from turnout.llm.worker import kept
 
 NEVER = 1 << 62
 PAIRS = 1_000_000  # compatibilities that a worker remembers
@@ -122,11 +122,13 @@ class Encoder:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-@functools.lru_cache(maxsize=2)
 def encoder(path: str) -> tuple[Encoder, ByChunk]:
     """One for each Python worker."""
-    own = Encoder(read_ranks(path))
-    return own, ByChunk(own.encode, by_pieces(own.pieces, PIECES_KEPT), most=CHUNKS_KEPT)
+    def make():
+        own = Encoder(read_ranks(path))
+        return own, ByChunk(own.encode, by_pieces(own.pieces, PIECES_KEPT), most=CHUNKS_KEPT)
+
+    return kept(("byte pairs", path), make)
 
 
 def _mapper(path: str, digest: bool):

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from turnout.llm.tables import rows_of, shared_bytes, stored
 from turnout.llm.words import encoded, mix, shingle_hashes, word_hashes
+from turnout.llm.worker import kept
 
 SIMILARITY = 0.75
 SHINGLE = 5
@@ -230,16 +231,9 @@ def _stretches(hits: np.ndarray, step: int, n: int):
             lo += REGION + 1
 
 
-#: Items made ready in this Python worker, by the number of their broadcast.
-_READY: dict = {}
-
-
 def _finder(rows, key: str):
     def run(batches):
-        if key not in _READY:
-            _READY.clear()
-            _READY[key] = Items(rows.value)
-        items = _READY[key]
+        items = kept(("benchmark items", key), lambda: Items(rows.value))
         for batch in batches:
             out = [
                 (doc_id, items.ids[item], start, size, similar)

@@ -38,6 +38,7 @@ from turnout.llm.tables import (
     stored,
 )
 from turnout.llm.words import mix, set_hash, shingle_set
+from turnout.llm.worker import release
 
 PERCENT = 75
 ROUNDS = 4  # of candidates tied to one document of a group
@@ -82,6 +83,7 @@ def _mapper(size: int, whole: bool):
             names = ["doc_id", "n", "h1", "h2"] + (["tokens", "bits"] if whole else ["posted"])
             return pa.RecordBatch.from_arrays(columns, names)
 
+        release()
         held, count = [], 0
         for batch in batches:
             for doc_id, text in rows_of(batch, "doc_id", "text"):
@@ -105,6 +107,7 @@ def _places(tokens: np.ndarray, size: int) -> list[np.ndarray]:
 
 def _marking(size: int):
     def run(batches):
+        release()
         for batch in batches:
             if batch.num_rows:
                 at = np.concatenate(_places(batch.column("token").to_numpy(), size))
@@ -132,6 +135,7 @@ def _marks(shared: DataFrame) -> np.ndarray:
 def _marked(marks):
     """Postings of tokens whose two bits are marked."""
     def run(batches):
+        release()
         for batch in batches:
             if not batch.num_rows:
                 continue

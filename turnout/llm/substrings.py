@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from turnout.llm.tables import rows_of, shared_bytes, stored
 from turnout.llm.words import distinct, encoded, mix, sliding_min, window_hashes, word_hashes
+from turnout.llm.worker import release
 
 WINDOW = 50
 RUN = 26
@@ -77,6 +78,7 @@ def _partial_sketches(cells: int):
         )
 
     def run(batches):
+        release()
         held, count = [], 0
         for batch in batches:
             for (text,) in rows_of(batch, "text"):
@@ -142,6 +144,7 @@ def _suspects(bits, cells: int):
         )
 
     def run(batches):
+        release()
         held, count, set_bits = [], 0, bits.value
         for batch in batches:
             for doc_id, version, text in rows_of(batch, "doc_id", "version", "text"):
@@ -203,6 +206,7 @@ def _covered(n: int, starts) -> np.ndarray:
 
 def _removed(digest: bool):
     def run(batches):
+        release()
         for batch in batches:
             held = ([], [], [], [])
             for doc_id, text, starts in rows_of(batch, "doc_id", "text", "starts"):
@@ -268,6 +272,7 @@ def stripped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             covered = _covered(len(words), starts)
             return b" ".join(w for w, c in zip(words, covered, strict=True) if not c).decode()
 
+        release()
         return pd.Series([one(t, s) if s is not None else t for t, s in zip(texts, spans, strict=True)])
 
     joined = rows.join(starts, ["doc_id", "version"], "left").select("rest", kept("text", "starts").alias("kept"))

@@ -16,7 +16,6 @@ segments; it is kept as the rows of a Parquet table, with the documents and size
 beside it, so that any store that Spark writes to can hold it and lost tasks are written again.
 """
 
-import functools
 import struct
 import zlib
 from array import array
@@ -30,6 +29,7 @@ from tokenizers import Tokenizer
 
 from turnout.llm.chunks import LETTER_OF, ByChunk, by_pieces, special_names, together
 from turnout.llm.tables import checked_broadcast, lists, rows_of, scratch_folder
+from turnout.llm.worker import kept
 
 VOCABULARY = "byte_bpe_50k.json"
 END = 2
@@ -157,9 +157,12 @@ def unpack(segment: bytes) -> np.ndarray:
     return np.concatenate(parts) if parts else np.empty(0, np.uint32)
 
 
-@functools.lru_cache(maxsize=2)
 def _encoder(path: str) -> ByChunk:
     """One for each Python worker."""
+    return kept(("token blocks", path), lambda: _new_encoder(path))
+
+
+def _new_encoder(path: str) -> ByChunk:
     library = Tokenizer.from_file(path)
     tokenize = library.model.tokenize
 

@@ -5,7 +5,6 @@ lowest is popped again and again, its two symbols become one, and the pairs with
 are pushed.  The count is the number of symbols less the number of merges.
 """
 
-import functools
 import heapq
 import json
 import os
@@ -18,6 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
 from turnout.llm.chunks import TOGETHER, Kept
+from turnout.llm.worker import kept
 
 VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
@@ -130,10 +130,9 @@ class Counter:
         return [n + sum(map(get, w)) for n, w in zip(counts, words, strict=True)]
 
 
-@functools.lru_cache(maxsize=2)
 def counter(path: str) -> Counter:
     """One for each Python worker."""
-    return Counter(path)
+    return kept(("token counts", path), lambda: Counter(path))
 
 
 def _counted(path: str, limit: int):

@@ -4,7 +4,6 @@ White space only separates words in such a vocabulary, so a text's ids are those
 runs between white space, and a run's are those of the matches of the vocabulary's pattern.
 """
 
-import functools
 import json
 import os
 import re
@@ -19,6 +18,7 @@ import regex
 from tokenizers import Tokenizer
 
 from turnout.llm.chunks import LETTER_OF, Kept, joined, special_names
+from turnout.llm.worker import kept
 
 VOCABULARY = "word_bpe_49k.json"
 #: Words of a generation that a worker remembers, and runs.
@@ -96,7 +96,7 @@ class WordIds:
         return [next(found) if c else self.whole(t) if t else b"" for t, c in zip(texts, cut, strict=True)]
 
 
-@functools.lru_cache(maxsize=2)
 def word_ids(path: str | None = None) -> WordIds:
     """One for each Python worker."""
-    return WordIds(path or public_tokenizers.path(VOCABULARY))
+    path = path or public_tokenizers.path(VOCABULARY)
+    return kept(("word ids", path), lambda: WordIds(path))
