@@ -100,3 +100,19 @@ def test_a_term_that_occurs_once_needs_no_logarithm(spark):
     for column in ("e", "f", "s"):
         assert abs(rows[column].mean() - 1) < 0.1
     assert np.abs(np.corrcoef(rows[["e", "f", "s"]].T) - np.eye(3)).max() < 0.1
+
+
+def test_the_plan_has_each_formula_once(spark):
+    # The driver plans and compiles every copy again; only the hash of a term that occurs once is there by draw.
+    rows = f.fingerprints(table(spark, [(1, "a b a b c d"), (2, "a b c")]))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.lower().count("log1p") <= 8
+    assert len(rows.collect()) == 2
+
+
+def test_one_formula_for_all_draws(spark):
+    terms = spark.range(500).selectExpr("id as term").crossJoin(spark.range(4).selectExpr("int(id) as k"))
+    for k in range(4):
+        one, all_ = f._draw(k), f._draw("k")
+        assert terms.where(f"k = {k}").where(" or ".join(
+            f"{x} <> {y}" for x, y in zip(one, all_, strict=True))).isEmpty()

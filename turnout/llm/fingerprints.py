@@ -13,12 +13,15 @@ weights over the sum of the larger ones.
 
 r and b come from two independent Exp(1) numbers, s = -ln x and u = -ln y for uniform x and y: r = s + u is from
 Gamma(2, 1), and b = s / r is uniform and independent of it.  So t = floor((ln w + s) / r) and
-a = c exp(s - r (t + 1)); for a term that occurs once, as most do, t = 0 and a = c y.
+a = c exp(s - r (t + 1)) = c y exp(-r t); for a term that occurs once, as most do, t = 0 and a = c y.
 
 c and y come from two more, e = -ln(1 - p) and f = -ln q: c = e + f is from Gamma(2, 1), and y = e / c is uniform and
 independent of it.  So for a term that occurs once a = e, which grows with p: the order of 1 - exp(-a) is that of a,
 and for most terms it is the uniform p, bits of a hash, without a logarithm.
 
+A term that occurs more often becomes a row for each draw, so that its formula stands once in the plan, over the
+number of the draw, and not 64 times: the driver plans and compiles each copy again and again.
+
 Documents are dealt by ranges of their ids, once, with the text; the next document, the edited text and
 all sums by term are found inside a range.  The first document of each range is also dealt to the one before.
 """
@@ -34,9 +37,13 @@ CUTS = 64  # ranges of ids cut at quantiles; each is cut again into equal widths
 SPACE = "[\\\\x20\\\\x09-\\\\x0D]+"
 
 
-def _draw(k: int) -> tuple[str, str, str, str]:
-    """SQL for 31 bits of a hash of the ``term``, for e whose 1 - exp(-e) they are, and for f and s."""
-    bits, other = f"xxhash64(term, {2 * k})", f"xxhash64(term, {2 * k + 1})"
+def _draw(k: int | str) -> tuple[str, str, str, str]:
+    """SQL for 31 bits of a hash of the ``term``, for e whose 1 - exp(-e) they are, and for f and s.
+
+    ``k`` is a number or a column of them.
+    """
+    first, second = (f"2 * {k}", f"2 * {k} + 1") if isinstance(k, str) else (2 * k, 2 * k + 1)
+    bits, other = f"xxhash64(term, {first})", f"xxhash64(term, {second})"
     return (
         f"shiftrightunsigned({bits}, 33)",
         f"(-log1p(-(shiftrightunsigned({bits}, 33) + 0.5D) / 2147483648D))",
@@ -131,23 +138,29 @@ def _samples(rows: DataFrame) -> DataFrame:
         .toDF("part", "which", "a", "b").where("a <> ''")
         .select("part", "which", F.expr("xxhash64(a, coalesce(b, ''))").alias("term"))
         .groupBy("part", "which", "term").agg(F.count("*").alias("n"))
-        .select("part", "which", "term", F.expr("ln(n)").alias("lw"))
+        .select("part", "which", "term", "n", F.explode(F.expr(
+            f"if(n = 1, array(int(null)), array({', '.join(map(str, range(SAMPLES)))}))"
+        )).alias("k"))
+    )
+
+    # The order in the upper bits, 31 of 1 - exp(-a); below it a number for term and t.
+    _, *drawn = _draw("k")
+    often = (
+        counted.select("*", *[F.expr(f"if(k is null, null, {x})").alias(name) for x, name in zip(drawn, "efs", strict=True)])
+        .select("part", "which", "term", "n", "k", "e", "s", F.expr("s + log1p(f / e)").alias("r"))
+        .select("part", "which", "term", "k", "e", "r", F.expr("floor((ln(n) + s) / r)").alias("t"))
+        .select("part", "which", "term", "k", F.expr("""
+            shiftleft(least(2147483647L, bigint(-expm1(-e * exp(-r * t)) * 2147483648D)), 32)
+            | ((term ^ ((t & 65535L) * 2654435761L)) & 4294967295L)
+        """).alias("own"))
     )
 
     def lowest(k):
-        bits, e, f, s = _draw(k)
-        r = f"({s} + log1p({f} / {e}))"
-        t = f"floor((lw + {s}) / {r})"
-        # The order in the upper bits, 31 of 1 - exp(-a); below it a number for term and t.
-        once = f"shiftleft({bits}, 32) | (term & 4294967295L)"
-        often = (
-            f"shiftleft(least(2147483647L, bigint(-expm1(-({e} + {f}) * exp({s} - {r} * ({t} + 1))) * 2147483648D)), 32)"
-            f" | ((term ^ (({t} & 65535L) * 2654435761L)) & 4294967295L)"
-        )
-        return F.expr(f"min(if(lw = 0, {once}, {often}))").alias(f"m{k}")
+        once = f"shiftleft({_draw(k)[0]}, 32) | (term & 4294967295L)"
+        return F.expr(f"min(if(k is null, {once}, if(k = {k}, own, null)))").alias(f"m{k}")
 
     ids = ", ".join(f"m{k} & 4294967295L" for k in range(SAMPLES))
-    sampled = counted.groupBy("part", "which").agg(*[lowest(k) for k in range(SAMPLES)]).select(
+    sampled = often.groupBy("part", "which").agg(*[lowest(k) for k in range(SAMPLES)]).select(
         "part", F.expr("int(which div 2)").alias("row"), F.expr("which % 2").alias("side"),
         F.expr(f"array({ids})").alias("s"),
     )
