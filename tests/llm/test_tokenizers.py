@@ -1,5 +1,6 @@
 """Byte-pair encodings, counts and token blocks against the libraries."""
 
+import gc
 import hashlib
 import random
 import zlib
@@ -125,3 +126,26 @@ def test_full_memos_give_the_same_ids():
     some = [t or "" for _, t in rows()]
     for start in range(0, len(some), 7):
         assert by_chunk(some[start : start + 7]) == [own.encode(t) for t in some[start : start + 7]]
+
+
+def test_results_are_made_once_and_looked_up_in_one_pass():
+    made = []
+    memo = ck.Kept(lambda keys: made.extend(keys) or [k.encode() for k in keys], 3)
+    assert memo.results(["a", "b"]) == [b"a", b"b"]
+    assert memo.results(["b", "c"]) == [b"b", b"c"] and made == ["a", "b", "c"]
+    assert memo.results(["d", "a", "c"]) == [b"d", b"a", b"c"]  # a new generation
+    assert made == ["a", "b", "c", "d"] and set(memo) == {"d", "a", "c"}
+    assert memo.results([]) == []
+
+
+def test_no_search_for_cycles_while_texts_are_encoded():
+    enabled = []
+    by_chunk = ck.ByChunk(str.encode, lambda chunks: [enabled.append(gc.isenabled()) or b"1234" for _ in chunks])
+    assert by_chunk(["a b c"]) == [b"a12341234"]
+    assert enabled == [False, False] and gc.isenabled()
+
+
+def test_white_space_beside_spaces_in_ascii_and_other_texts():
+    for code in range(0x3000 + 1):
+        for text in (f"a{chr(code)}b", f"a{chr(code)}é"):
+            assert ck.cut_at_spaces(text) == (not chr(code).isspace() or chr(code) in " \n")

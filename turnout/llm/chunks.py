@@ -5,6 +5,8 @@ a new piece, so what a chunk and the space before it become does not depend
 on the rest of the text.  Where white space stands next to a space the text is not cut.
 """
 
+import contextlib
+import gc
 import json
 import re
 from collections.abc import Callable
@@ -28,6 +30,7 @@ GATHERED = 1 << 16
 
 #: White space other than spaces and line ends.
 _OTHER = re.compile(r"[^\S \n]")
+_ASCII_OTHER = "\t\v\f\r\x1c\x1d\x1e\x1f"
 #: Rust's white space is the Unicode property; Python's has four separators more.
 PIECES = regex.compile(public_tokenizers.PATTERN.replace(r"\s", r"\p{White_Space}").replace(
     r"\S", r"\P{White_Space}"
@@ -55,7 +58,9 @@ def special_names(path: str) -> re.Pattern:
 
 def cut_at_spaces(text: str) -> bool:
     """Whether no white space stands next to a space."""
-    return not ("  " in text or " \n" in text or "\n " in text or _OTHER.search(text))
+    if "  " in text or " \n" in text or "\n " in text:
+        return False
+    return not (any(c in text for c in _ASCII_OTHER) if text.isascii() else _OTHER.search(text))
 
 
 def together(batches, letters: int = LETTERS):
@@ -96,18 +101,29 @@ class Kept(dict):
     def __init__(self, make_all: Callable[[list], list], most: int = MOST):
         self.make_all, self.most, self.old = make_all, most, {}
 
-    def learn(self, keys) -> None:
-        """Make sure that all of ``keys``, which differ from each other, are here."""
-        new = [key for key in keys if key not in self]
+    def results(self, keys: list) -> list:
+        """The results for ``keys``, which differ from each other; all of them are here then."""
+        made = list(map(self.get, keys))
+        new = [i for i, one in enumerate(made) if one is None]
         if not new:
-            return
+            return made
         if len(self) + len(new) > self.most:
-            self.old, new = dict(self), keys
+            self.old = dict(self)
             self.clear()
-        known = {key: self.old[key] for key in new if key in self.old}
-        self.update(known)
-        rest = [key for key in new if key not in known] if known else list(new)
-        self.update(zip(rest, self.make_all(rest), strict=True))
+            self.update((key, one) for key, one in zip(keys, made, strict=True) if one is not None)
+        old, rest = self.old.get, []
+        for i in new:
+            made[i] = old(keys[i])
+            if made[i] is None:
+                rest.append(i)
+        for i, one in zip(rest, self.make_all([keys[i] for i in rest]), strict=True):
+            made[i] = one
+        self.update((keys[i], made[i]) for i in new)
+        return made
+
+    def learn(self, keys) -> None:
+        """Make sure that all of ``keys``, which differ from each other, are here."""
+        self.results(list(keys))
 
 
 def joined(split: pa.ListArray, results: Kept) -> list[bytes]:
@@ -118,8 +134,7 @@ def joined(split: pa.ListArray, results: Kept) -> list[bytes]:
     offsets = split.offsets.to_numpy()
     numbered = split.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
     keys = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
-    results.learn(keys)
-    made = list(map(results.__getitem__, keys))
+    made = results.results(keys)
     sizes = np.fromiter(map(len, made), np.int64, len(made)) // 4
     starts, ids = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(made), "<u4")
     places, total = numbered.indices.to_numpy(), np.zeros(len(numbered) + 1, np.int64)
@@ -164,6 +179,18 @@ def by_pieces(encode_pieces: Callable[[list[str]], list[bytes]], most: int) -> C
     return encode_all
 
 
+@contextlib.contextmanager
+def _uncollected():
+    """No search for cycles while very many lists are made and none of them is in a cycle."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 class ByChunk:
     """Byte strings for texts, from those of their chunks.
 
@@ -178,6 +205,7 @@ class ByChunk:
         self.encode, self.whole = encode, whole or re.compile(r"(?!)")
         self.after_space = Kept(encode_all, most)
 
+    @_uncollected()
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         cut = [bool(t) and cut_at_spaces(t) and not self.whole.search(t) for t in texts]
         held = pa.array([t for t, c in zip(texts, cut, strict=True) if c], pa.large_string())

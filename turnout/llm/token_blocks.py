@@ -16,6 +16,7 @@ segments; it is kept as the rows of a Parquet table, with the documents and size
 beside it, so that any store that Spark writes to can hold it and lost tasks are written again.
 """
 
+import itertools
 import struct
 import zlib
 from array import array
@@ -175,9 +176,12 @@ def _new_encoder(path: str) -> ByChunk:
         # 255 is in no text's bytes.
         raw = np.frombuffer("\udcff".join(texts).encode("utf-8", "surrogateescape"), np.uint8)
         letters = LETTER_OF[raw].tobytes().decode("utf-16-le")
-        return [
-            array("I", [t.id for t in tokenize(own)]).tobytes() for own in letters.split("\xff")
-        ] if texts else []
+        ids, ends = array("I"), [0]
+        for own in letters.split("\xff") if texts else []:
+            ids.extend([t.id for t in tokenize(own)])
+            ends.append(ids.itemsize * len(ids))
+        every = ids.tobytes()
+        return [every[a:b] for a, b in itertools.pairwise(ends)]
 
     return ByChunk(encode, by_pieces(pieces, PIECES_KEPT), special_names(path), CHUNKS_KEPT)
 
