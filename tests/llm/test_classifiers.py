@@ -120,3 +120,13 @@ def test_quality_of_odd_rows(spark):
     assert len(found) == 4 and all(0 < r.score < 1 for r in found)
     assert q.quality(docs.limit(0), marks).collect() == []
     assert all(abs(r.document_score - 0.5) < 1e-6 for r in q.quality(docs, marks.limit(0)).collect())
+
+
+def test_training_rows_lie_in_one_piece(spark, small, monkeypatch):
+    fitted = []
+    monkeypatch.setattr(t, "fit", lambda positive, unlabelled, prior: fitted.append((positive, unlabelled)))
+    t.train(read(spark, small, "documents"), read(spark, small, "labels"))
+    ((positive, unlabelled),) = fitted
+    assert positive and unlabelled and len({id(x.base) for x in positive + unlabelled}) == 1
+    counts = t._counts(unlabelled, t.BINS)
+    assert (counts == np.bincount(np.concatenate(unlabelled), minlength=t.BINS)).all()

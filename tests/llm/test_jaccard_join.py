@@ -3,7 +3,7 @@
 import itertools
 
 from tests.llm.helpers import corpus, lowered, table, unique_ids, words
-from turnout.llm import jaccard_join as j
+from turnout.llm import components as c, jaccard_join as j
 from turnout.llm.components import components
 
 
@@ -54,3 +54,14 @@ def test_components_of_a_chain_and_a_star(spark):
     df = spark.createDataFrame(links, "a long, b long")
     found = {r.node: r.component for r in components(df, "a", "b").collect()}
     assert found == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 130), 100)}
+
+
+def test_links_that_are_stars_take_no_round(spark, monkeypatch):
+    rounds, star = [], c._star
+    monkeypatch.setattr(c, "_star", lambda edges, large: rounds.append(large) or star(edges, large))
+    df = spark.createDataFrame([(1, 2), (3, 1), (3, 1), (7, 8)], "a long, b long")
+    assert {r.node: r.component for r in components(df, "a", "b").collect()} == {1: 1, 2: 1, 3: 1, 7: 7, 8: 7}
+    assert not rounds
+    df = spark.createDataFrame([(5, 6), (4, 6)], "a long, b long")
+    assert {r.node: r.component for r in components(df, "a", "b").collect()} == {4: 4, 5: 4, 6: 4}
+    assert rounds == [True, False]

@@ -87,9 +87,17 @@ class Model:
         return float(_sigmoid(self.weights[bins].sum() + self.bias))
 
 
+def _counts(rows: list[np.ndarray], bins: int) -> np.ndarray:
+    """How many rows have each bin; a number for each bin of a thousand rows at a time."""
+    total = np.zeros(bins, np.int64)
+    for first in range(0, len(rows), 1000):
+        total += np.bincount(np.concatenate(rows[first : first + 1000]), minlength=bins)
+    return total
+
+
 def _frequent(positive: list[np.ndarray], unlabelled: list[np.ndarray], bins: int) -> np.ndarray:
     """Bins in a hundredth of the positives, three at least, and more often than chance allows."""
-    here, there = (np.bincount(np.concatenate(x), minlength=bins) for x in (positive, unlabelled))
+    here, there = (_counts(x, bins) for x in (positive, unlabelled))
     expected = len(positive) * there / len(unlabelled)
     often = here >= max(3, 0.01 * len(positive))
     return np.flatnonzero(often & (here - expected > DEVIATIONS * np.sqrt(expected + 1)))
@@ -168,10 +176,12 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     rows = stored(texts.join(F.broadcast(both), "doc_id").select("doc_id", "positive", "text").mapInArrow(
         _featured, "doc_id long, positive boolean, bins binary"
     ))
-    sides = ([], [])
+    sides, every = ([], []), bytearray()  # in one piece, which the driver gets back whole
     for row in rows.toLocalIterator():
-        sides[row.positive].append((row.doc_id, np.frombuffer(row.bins, np.int32)))
-    unlabelled, positive = ([b for _, b in sorted(side, key=lambda x: (x[0], len(x[1])))] for side in sides)
+        sides[row.positive].append((row.doc_id, len(row.bins) // 4, len(every) // 4))
+        every += row.bins
+    bins = np.frombuffer(every, np.int32)
+    unlabelled, positive = ([bins[start : start + n] for _, n, start in sorted(side)] for side in sides)
     return fit(positive, unlabelled, prior)
 
 
