@@ -65,3 +65,14 @@ def test_links_that_are_stars_take_no_round(spark, monkeypatch):
     df = spark.createDataFrame([(5, 6), (4, 6)], "a long, b long")
     assert {r.node: r.component for r in components(df, "a", "b").collect()} == {4: 4, 5: 4, 6: 4}
     assert rounds == [True, False]
+
+
+def test_shuffles_are_freed_after_each_large_step(spark, monkeypatch):
+    steps = []
+    for name in ("stored", "free_shuffles", "_possible", "_verified"):
+        old = getattr(j, name)
+        monkeypatch.setattr(j, name, lambda *a, f=old, n=name: steps.append((n, getattr(a[0], "columns", None))) or f(*a))
+    j.similar_groups(table(spark, corpus())).collect()
+    for kind in ({"token"}, {"doc_id"}, {"doc_id", "n", "h1", "h2", "tokens", "bits"}, {"a", "b"}):
+        then = [then for (name, columns), (then, _) in zip(steps, steps[1:]) if name == "stored" and set(columns) == kind]
+        assert then and set(then) == {"free_shuffles"}, kind

@@ -298,6 +298,7 @@ def similar_groups(
         posting.select(F.explode("posted").alias("token")).groupBy("token")
         .agg(F.count("*").alias("df")).where("df > 1").select("token")
     )
+    free_shuffles(docs.sparkSession)
     marks = shared_bytes(docs.sparkSession, _marks(shared))
     likely = posting.mapInArrow(_marked(marks), "doc_id long, token long")
     counted = likely.join(shared, "token").groupBy("doc_id").agg(F.count("*").alias("c"))
@@ -306,11 +307,13 @@ def similar_groups(
         counted.join(checked_broadcast(own.select("doc_id", "n")), "doc_id")
         .where(f"c >= (({PERCENT} * n + 99) div 100 + 11) div 12").select("doc_id")
     )
+    free_shuffles(docs.sparkSession)
     sets = only(texts, chosen).mapInArrow(_mapper(size, True), SETS)
     sets = stored(
         sets.join(own.select("doc_id", "h1", "h2"), ["doc_id", "h1", "h2"], "left_semi")
         .dropDuplicates(["doc_id"])
     )
+    free_shuffles(docs.sparkSession)
 
     # Order 2: the rarest tokens of what stayed; tokens of one document alone come first of all.
     whole = sets.select("doc_id", F.explode("tokens").alias("token"))
@@ -331,7 +334,9 @@ def similar_groups(
     for seed in range(ROUNDS):
         key = F.xxhash64("doc_id", F.lit(seed)) if seed else F.col("doc_id")
         pairs = stored(_possible(_star_pairs(rest, key), sets))
+        free_shuffles(docs.sparkSession)
         found = stored(_verified(pairs, sets))
+        free_shuffles(docs.sparkSession)
         if found.isEmpty():
             break
         parts = _grown(parts, found)
@@ -340,7 +345,10 @@ def similar_groups(
         if rest.isEmpty():
             break
     if not rest.isEmpty():
-        found = stored(_verified(stored(_crossing_pairs(rest, sets)), sets))
+        pairs = stored(_crossing_pairs(rest, sets))
+        free_shuffles(docs.sparkSession)
+        found = stored(_verified(pairs, sets))
+        free_shuffles(docs.sparkSession)
         if not found.isEmpty():
             parts = _grown(parts, found)
 
