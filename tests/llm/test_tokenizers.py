@@ -3,10 +3,12 @@
 import gc
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import tiktoken
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
@@ -149,3 +151,27 @@ def test_white_space_beside_spaces_in_ascii_and_other_texts():
     for code in range(0x3000 + 1):
         for text in (f"a{chr(code)}b", f"a{chr(code)}é"):
             assert ck.cut_at_spaces(text) == (not chr(code).isspace() or chr(code) in " \n")
+
+
+def test_kept_words_are_encoded_together_and_stay_bounded():
+    texts = []
+
+    def encode(text):  # an id for each byte; "xy z" as one
+        texts.append(text)
+        raw = text.encode().replace(b"xy z", b"\xff")
+        return np.frombuffer(raw, np.uint8).astype("<u4")
+
+    lengths = np.ones(256, np.int64)
+    lengths[255] = 4
+    words = ck.KeptWords(encode, lengths, re.compile("q r"), 5)
+
+    def ids(*keys):
+        starts, sizes, every = words.located(pa.array(keys, pa.large_string()))
+        return [bytes(every[a : a + n].astype(np.uint8)).decode() for a, n in zip(starts, sizes)]
+
+    assert ids("a", "é", "") == [" a", " é", " "] and texts == [" a é "]
+    assert ids("b", "a") == [" b", " a"] and texts[1:] == [" b"]
+    assert ids("xy", "zz", "a") == [" xy", " zz", " a"]  # a piece lies over both, so each is encoded by itself
+    assert len(words.keys) == 3 and texts[2:] == [" xy zz", " xy", " zz"]
+    assert ids("q", "r") == [" q", " r"] and texts[5:] == [" q", " r"]
+    assert ids("a", "zz") == [" a", " zz"] and len(texts) == 7 and ids() == []

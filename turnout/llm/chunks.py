@@ -27,6 +27,8 @@ TOGETHER = 64
 LETTERS = 1 << 22
 #: Results put one after another at a time.
 GATHERED = 1 << 16
+#: Chunks encoded in one text.
+IN_ONE = 1 << 15
 
 #: White space other than spaces and line ends.
 _OTHER = re.compile(r"[^\S \n]")
@@ -125,18 +127,75 @@ class Kept(dict):
         """Make sure that all of ``keys``, which differ from each other, are here."""
         self.results(list(keys))
 
+    def located(self, keys: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where the ids for each key start, how many they are, and the ids."""
+        made = self.results(keys.to_numpy(zero_copy_only=False).tolist())
+        sizes = np.fromiter(map(len, made), np.int64, len(made)) // 4
+        return np.cumsum(sizes) - sizes, sizes, np.frombuffer(b"".join(made), "<u4")
 
-def joined(split: pa.ListArray, results: Kept) -> list[bytes]:
+
+class KeptWords:
+    """Ids of chunks with a space before them, in Arrow arrays; unknown ones are encoded many in one text.
+
+    Each chunk's share of that text's ids is told by ``lengths``, the bytes that each id stands for.  When
+    more than ``most`` chunks would be kept, only those that are asked for at the time stay.
+    """
+
+    def __init__(
+        self, encode: Callable[[str], np.ndarray], lengths: np.ndarray, whole: re.Pattern, most: int = MOST,
+    ):
+        self.encode, self.lengths, self.whole, self.most = encode, lengths, whole, most
+        self.keys, self.ends, self.ids = pa.array([], pa.large_string()), np.zeros(1, np.int64), np.empty(0, "<u4")
+
+    def located(self, keys: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For ``keys``, which differ from each other, where the ids of each start, how many they are, and the ids."""
+        found = pc.index_in(keys, value_set=self.keys)
+        new = found.is_null().to_numpy(zero_copy_only=False)
+        at = found.fill_null(0).to_numpy().astype(np.int64)
+        if new.any():
+            if len(self.keys) + new.sum() > self.most:
+                self._only(at[~new])
+                at[~new] = np.arange(len(at) - new.sum())
+            at[new] = len(self.keys) + np.arange(new.sum())
+            self._learn(keys.filter(pa.array(new)))
+        return self.ends[at], self.ends[at + 1] - self.ends[at], self.ids
+
+    def _only(self, at: np.ndarray) -> None:
+        starts, n = self.ends[at], self.ends[at + 1] - self.ends[at]
+        ends = np.cumsum(n)
+        self.ids = self.ids[np.repeat(starts - ends + n, n) + np.arange(n.sum())]
+        self.keys, self.ends = self.keys.take(pa.array(at)), np.concatenate([[0], ends])
+
+    def _learn(self, keys: pa.Array) -> None:
+        ids, sizes = [self.ids], [np.diff(self.ends, prepend=0)]
+        for first in range(0, len(keys), IN_ONE):
+            one, n = self._encoded(keys.slice(first, IN_ONE))
+            ids.append(one)
+            sizes.append(n)
+        self.keys = pa.concat_arrays([self.keys, keys])
+        self.ids, self.ends = np.concatenate(ids), np.cumsum(np.concatenate(sizes))
+
+    def _encoded(self, keys: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        text = " " + " ".join(keys.to_pylist())
+        if not self.whole.search(text):
+            ids = self.encode(text)
+            ends, wanted = np.cumsum(self.lengths[ids]), np.cumsum(pc.binary_length(keys).to_numpy() + 1)
+            cuts = np.minimum(np.searchsorted(ends, wanted), len(ids) - 1)
+            if np.array_equal(ends[cuts], wanted) and ends[-1] == wanted[-1]:
+                return ids, np.diff(cuts, prepend=-1)
+        # Chunks side by side make what none of them holds.
+        made = [self.encode(f" {key}") for key in keys.to_pylist()]
+        return np.concatenate(made), np.asarray([len(x) for x in made])
+
+
+def joined(split: pa.ListArray, results: Kept | KeptWords) -> list[bytes]:
     """For each list of keys its results, ids of four bytes each, one after another.
 
     Keys are numbered by Arrow, so that each distinct one is looked up once for all lists.
     """
     offsets = split.offsets.to_numpy()
     numbered = split.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
-    keys = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
-    made = results.results(keys)
-    sizes = np.fromiter(map(len, made), np.int64, len(made)) // 4
-    starts, ids = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(made), "<u4")
+    starts, sizes, ids = results.located(numbered.dictionary)
     places, total = numbered.indices.to_numpy(), np.zeros(len(numbered) + 1, np.int64)
     parts = []
     for first in range(0, len(places), GATHERED):
@@ -194,16 +253,16 @@ def _uncollected():
 class ByChunk:
     """Byte strings for texts, from those of their chunks.
 
-    ``encode_all`` takes chunks, each standing for itself with a space before it; ``encode`` a whole text.
-    Texts in which ``whole`` finds something are not cut.
+    ``encode_all`` takes chunks, each standing for itself with a space before it, or is what keeps their
+    ids; ``encode`` takes a whole text.  Texts in which ``whole`` finds something are not cut.
     """
 
     def __init__(
-        self, encode: Callable[[str], bytes], encode_all: Callable[[list[str]], list[bytes]],
+        self, encode: Callable[[str], bytes], encode_all: Callable[[list[str]], list[bytes]] | KeptWords,
         whole: re.Pattern | None = None, most: int = MOST,
     ):
         self.encode, self.whole = encode, whole or re.compile(r"(?!)")
-        self.after_space = Kept(encode_all, most)
+        self.after_space = encode_all if isinstance(encode_all, KeptWords) else Kept(encode_all, most)
 
     @_uncollected()
     def __call__(self, texts: list[str | None]) -> list[bytes]:

@@ -16,10 +16,8 @@ segments; it is kept as the rows of a Parquet table, with the documents and size
 beside it, so that any store that Spark writes to can hold it and lost tasks are written again.
 """
 
-import itertools
 import struct
 import zlib
-from array import array
 
 import numpy as np
 import public_tokenizers
@@ -28,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 
-from turnout.llm.chunks import LETTER_OF, ByChunk, by_pieces, special_names, together
+from turnout.llm.chunks import ByChunk, KeptWords, special_names, together
 from turnout.llm.tables import checked_broadcast, lists, rows_of, scratch_folder
 from turnout.llm.worker import kept
 
@@ -39,8 +37,9 @@ PERCENTILE = 90
 SEGMENT = 1 << 18  # a segment ends with the document that reaches so many ids
 AT_ONCE = 256  # blocks packed at a time
 
-#: Pieces and runs of a generation that a worker remembers.
-PIECES_KEPT, CHUNKS_KEPT = 300_000, 500_000
+#: Characters encoded together, and runs between spaces that a worker remembers.
+LETTERS = 1 << 24
+CHUNKS_KEPT = 1_000_000
 
 _MAGIC = b"PFB1"
 _HEADER = struct.Struct("<4sQI")
@@ -165,25 +164,17 @@ def _encoder(path: str) -> ByChunk:
 
 def _new_encoder(path: str) -> ByChunk:
     library = Tokenizer.from_file(path)
-    tokenize = library.model.tokenize
 
     def encode(text):
         (found,) = library.encode_batch_fast([text], add_special_tokens=False)
-        return np.asarray(found.ids, "<u4").tobytes()
+        return np.asarray(found.ids, "<u4")
 
-    def pieces(texts):
-        # The library's model takes the letters that stand for the bytes of one match of the pattern;
-        # 255 is in no text's bytes.
-        raw = np.frombuffer("\udcff".join(texts).encode("utf-8", "surrogateescape"), np.uint8)
-        letters = LETTER_OF[raw].tobytes().decode("utf-16-le")
-        ids, ends = array("I"), [0]
-        for own in letters.split("\xff") if texts else []:
-            ids.extend([t.id for t in tokenize(own)])
-            ends.append(ids.itemsize * len(ids))
-        every = ids.tobytes()
-        return [every[a:b] for a, b in itertools.pairwise(ends)]
-
-    return ByChunk(encode, by_pieces(pieces, PIECES_KEPT), special_names(path), CHUNKS_KEPT)
+    vocabulary = library.get_vocab()
+    lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)
+    for letters, i in vocabulary.items():
+        lengths[i] = len(letters)  # a letter for each byte
+    names = special_names(path)
+    return ByChunk(lambda text: encode(text).tobytes(), KeptWords(encode, lengths, names, CHUNKS_KEPT), names)
 
 
 SEGMENTS = "part int, seq int, n_ids long, doc_ids array<long>, sizes array<long>, payload binary"
@@ -204,7 +195,7 @@ def _segments(path: str):
                 doc_ids, lists([sizes], pa.int64()), pa.array([pack(ids)], pa.binary()),
             ], ["part", "seq", "n_ids", "doc_ids", "sizes", "payload"])
 
-        for some, texts in together(batches):
+        for some, texts in together(batches, LETTERS):
             for doc_id, ids in zip(some, encode(texts), strict=True):
                 held[0].append(doc_id)
                 held[1].append(ids + end)
