@@ -3,9 +3,13 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
+from urllib.parse import unquote, urlparse
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -133,3 +137,42 @@ def test_a_floor_keeps_ties_with_it():
 def test_long_documents_keep_their_norm_in_integers():
     lengths = np.asarray([1, 10**9], np.int64)
     assert lexical.length_norms(lengths, 10**9, 10**10).tolist() == [25 + 75 * n // 10 for n in (1, 10**9)]
+
+
+def test_each_segment_is_a_row_group(spark, monkeypatch):
+    def small_segments(batches):
+        usual, lexical.SEGMENT = lexical.SEGMENT, 300
+        yield from lexical._indexed(batches)  # in a worker this is the module's own
+        lexical.SEGMENT = usual
+
+    monkeypatch.setattr(lexical, "_indexed", small_segments)
+    docs = corpus()
+    stored = lexical.index(table(spark, docs).coalesce(1))
+    files = [pq.ParquetFile(unquote(urlparse(f).path)).metadata for f in stored.inputFiles()]
+    assert sum(f.num_rows for f in files) > 5
+    assert [f.num_row_groups for f in files] == [f.num_rows for f in files]
+    items = asked(docs)
+    assert found(spark, docs, items) == brute(docs, items)
+
+
+def test_sizes_of_terms_by_segment():
+    segments = [lexical._segment([1, 2], [lexical.term_hashes(t) for t in texts]) for texts in (("a b", "b b"), ("c", "a c"))]
+    batch = pa.Table.from_batches(segments).combine_chunks().to_batches()[0].select(["terms", "sizes"])
+    rows = [r for b in lexical._term_sizes([batch, batch.slice(1)]) for r in zip(*b.to_pydict().values())]
+    a, b, c = lexical.term_hashes("a b c").tolist()
+    assert sorted(rows) == sorted([(a, 1), (b, 2), (a, 1), (c, 2), (a, 1), (c, 2)])
+
+
+def test_a_long_item_over_short_documents(monkeypatch):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(1000)]
+    docs = [(i, " ".join(rng.sample(words, 7))) for i in range(20_000)]
+    held, repeats, ids = lists_of(docs, " ".join(words))
+    tracemalloc.start()
+    found = [x.tolist() for x in held.search(np.arange(1000), repeats, ids, 10, 0)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6
+    for cells in (1 << 40, 5000, 100):
+        monkeypatch.setattr(lexical, "CELLS", cells)
+        assert [x.tolist() for x in held.search(np.arange(1000), repeats, ids, 10, 0)] == found

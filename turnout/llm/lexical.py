@@ -27,6 +27,8 @@ SEGMENT = 1 << 20
 ITEMS, ITEM_TERMS = 1024, 1 << 20
 #: Positions read from each list in the first round; twice as many in each following one.
 STEP, MOST_STEP = 32, 2048
+#: Pairs of a list and a position, or of a list and a document, that are looked at together.
+CELLS = 1 << 20
 
 SHIFT = 36  # bits of an impact: below 1000 * ln(2**64) * 10**6
 _NO_ID = np.iinfo(np.int64).max
@@ -88,11 +90,14 @@ def _indexed(batches):
 
 
 def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A stored row for each segment: its documents, terms and postings by term and document."""
+    """A stored row for each segment: its documents, terms and postings by term and document.
+
+    Each is a row group, so that a task has one decoded at a time, however many its files hold.
+    """
     texts = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
     )
-    return stored(texts.mapInArrow(_indexed, INDEX))
+    return stored(texts.mapInArrow(_indexed, INDEX), group_rows=1)
 
 
 def _item_terms(batches):
@@ -112,14 +117,21 @@ def _item_terms(batches):
             key += 1
 
 
+def _term_sizes(batches):
+    """Each term of each segment; to explode the arrays would make an object of every term of a segment at once."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1)
+            yield pa.RecordBatch.from_arrays([row.column(c).flatten() for c in ("terms", "sizes")], ["term", "size"])
+
+
 def _weighted(items: DataFrame, segments: DataFrame, n_docs: int) -> DataFrame:
     """A row for each item with the lists of its terms that some document holds, stored."""
     pairs = items.select(
         "block", "key", "item_id", F.explode(F.arrays_zip("terms", "repeats")).alias("t")
     ).select("block", "key", "item_id", F.col("t.terms").alias("term"), F.col("t.repeats").alias("repeats"))
     wanted = stored(pairs.select("term").distinct())
-    sizes = segments.select(F.explode(F.arrays_zip("terms", "sizes")).alias("t")).select(
-        F.col("t.terms").alias("term"), F.col("t.sizes").alias("size"))
+    sizes = segments.select("terms", "sizes").mapInArrow(_term_sizes, "term long, size int")
     df = sizes.join(checked_broadcast(wanted), "term", "left_semi").groupBy("term").agg(F.sum("size").alias("df"))
     odds = F.lit(2 * n_docs + 2).cast("double") / (2 * F.col("df") + 1).cast("double")
     weights = df.select("term", F.floor(1000 * F.log(odds)).cast("long").alias("weight"))
@@ -167,7 +179,8 @@ class Lists:
         best, end = self.start[numbers].copy(), self.end[numbers]
         seen, met = np.zeros(len(self.docs), bool), np.zeros(self.n_docs, bool)
         top, scores = np.empty(0, np.int64), np.empty(0, np.int64)
-        step = STEP
+        most = max(1, min(MOST_STEP, CELLS // len(numbers)))
+        step = min(STEP, most)
         while True:
             live = np.flatnonzero(best < end)
             bound = int((repeats[live] * self.impact[self.by_impact[best[live]]]).sum())
@@ -178,21 +191,22 @@ class Lists:
             new = np.unique(self.docs[reads])
             new = new[~met[new]]
             met[new] = True
-            # Direct access to every list of the item.
-            wanted = numbers[:, None] * self.n_docs + new
-            at = np.minimum(np.searchsorted(self.place, wanted), len(self.place) - 1)
-            found = self.place[at] == wanted
-            seen[self.position[at[found]]] = True
-            gained = (np.where(found, self.impact[at], 0) * repeats[:, None]).sum(axis=0)
-            keep = gained >= max(floor, 1)
-            top, scores = np.concatenate([top, new[keep]]), np.concatenate([scores, gained[keep]])
+            for some in np.array_split(new, len(numbers) * len(new) // CELLS + 1):
+                # Direct access to every list of the item.
+                wanted = numbers[:, None] * self.n_docs + some
+                at = np.minimum(np.searchsorted(self.place, wanted), len(self.place) - 1)
+                found = self.place[at] == wanted
+                seen[self.position[at[found]]] = True
+                gained = (np.where(found, self.impact[at], 0) * repeats[:, None]).sum(axis=0)
+                keep = gained >= max(floor, 1)
+                top, scores = np.concatenate([top, some[keep]]), np.concatenate([scores, gained[keep]])
             if len(top) > k:
                 order = np.lexsort((ids[top], -scores))[:k]
                 top, scores = top[order], scores[order]
             if len(top) == k:
                 floor = max(floor, int(scores.min()))
             self._advance(best, end, seen, step)
-            step = min(2 * step, MOST_STEP)
+            step = min(2 * step, most)
 
     @staticmethod
     def _advance(best: np.ndarray, end: np.ndarray, seen: np.ndarray, width: int) -> None:

@@ -44,14 +44,18 @@ def scratch_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, group_rows: int | None = None) -> DataFrame:
     """The same rows, written to the shared folder and read back.
 
     Cuts the lineage and survives lost executors.  The files stay until the
-    owner of the folder clears it.
+    owner of the folder clears it.  ``group_rows`` is for rows of several megabytes: Spark decodes
+    4,096 rows at once, but never more than a row group has.
     """
     path = scratch_folder(df.sparkSession)
-    df.write.parquet(path)
+    writer = df.write
+    if group_rows:
+        writer = writer.option("parquet.block.row.count.limit", group_rows)
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
